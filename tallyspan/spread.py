@@ -147,6 +147,8 @@ def ranked(
     index, so that a group with a third of the table is ranked by many tasks.
     """
     keys, order = list(keys), list(order)
+    if not keys:
+        return dense_index(df, order, out).withColumn(out, F.col(out) + 1)
     spec = Window.partitionBy(*keys).orderBy(*[df_col(c) for c in order])
     windowed = lambda d: d.withColumn(out, F.row_number().over(spec).cast("long"))
     hot = hot_groups(df, keys, hot_rows)
@@ -161,6 +163,29 @@ def ranked(
     return cold_rows.unionByName(hot_ranked)
 
 
+def quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, tie: str, fractions: dict[str, float]
+) -> DataFrame:
+    """Exact, linearly interpolated quantiles per group, from ranks: no group is held in memory.
+
+    ``tie`` is a unique column that makes the order total; ``fractions`` maps output names to
+    fractions in [0, 1].
+    """
+    keys = list(keys)
+    r = ranked(df.select(*keys, value, tie).filter(F.col(value).isNotNull()), keys, [value, tie], "__pos")
+    r = attach(r, keys, __size=F.count(F.lit(1)))
+    picks = []
+    for name, fraction in fractions.items():
+        h = (F.col("__size") - 1) * F.lit(fraction) + 1
+        part = F.col("__pos") == F.floor(h), F.col("__pos") == F.floor(h) + 1
+        share = h - F.floor(h)
+        v = F.col(value).cast("double")
+        low, high = F.max(F.when(part[0], v)), F.max(F.when(part[1], v))
+        weight = F.max(F.when(part[0], share))
+        picks.append((low + F.coalesce(high - low, F.lit(0.0)) * weight).alias(name))
+    return r.groupBy(*keys).agg(*picks)
+
+
 def packed(
     df: DataFrame, keys: Sequence[str], pos: str, cols: Sequence[str], out: str, block: int = SCAN_BLOCK
 ) -> DataFrame:
