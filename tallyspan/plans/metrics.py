@@ -50,13 +50,13 @@ register(
     "reduce_nested_metrics",
     with_views(
         "metric_log",
-        """WITH d AS (SELECT worker, step, name, value FROM metric_log UNION ALL SELECT worker, step, name, value * 2 FROM metric_log)
+        """WITH d AS (SELECT worker, step, name, value FROM metric_log UNION ALL SELECT worker, step, name, ln(1 + value) FROM metric_log)
  SELECT step, name, round(avg(value), 6) AS value FROM d GROUP BY 1, 2""",
     ),
 )(
     lambda spark, sf: M.reduce_by_name(
         M.flatten_metrics(
-            V.metric_log(spark, sf).select("step", F.create_map("name", F.array("value", F.col("value") * 2)).alias("metrics")),
+            V.metric_log(spark, sf).select("step", F.create_map("name", F.array(F.col("value"), F.log1p("value"))).alias("metrics")),
             ["step"],
         ),
         ["step"],
