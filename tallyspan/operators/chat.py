@@ -64,11 +64,11 @@ def chat_ids(messages: Column, ids: Tokenizer = word_ids) -> Column:
 def pair_rows(df: DataFrame, prompt: str, length: int, ids: Tokenizer = word_ids, pad: int = 0, end: int = 1) -> DataFrame:
     """``chosen_ids`` and ``rejected_ids``: prompt, completion and end mark, right-padded or cut at ``length``.
 
-    A completion that is cut keeps the end mark in the last place.
+    A cut row simply ends; it has no end mark.
     """
     for side in ("chosen", "rejected"):
         full = F.concat(ids(F.col(prompt)), ids(F.col(side)), F.array(F.lit(end)))
-        cut = F.concat(F.slice(full, F.lit(1), F.lit(length - 1)), F.array(F.lit(end)))
+        cut = F.slice(full, F.lit(1), F.lit(length))
         whole = F.concat(full, F.array_repeat(F.lit(pad), F.greatest(F.lit(length) - F.size(full), F.lit(0))))
         df = df.withColumn(side + "_mask", F.concat(_ones(F.least(F.size(full), F.lit(length))), _ones(F.lit(length) - F.size(full), 0)))
         df = df.withColumn(side + "_ids", F.when(F.size(full) <= length, whole).otherwise(cut))

@@ -268,7 +268,7 @@ def stdin_code_rows(df: DataFrame, dataset: str, time_limit: float = 1.0) -> Dat
     """
     limit = float_or(F.col("time_limit").cast("string"), time_limit)
     extra = {n: F.col(c) for n, c in (("interaction", "interaction_format"), ("note", "note"), ("editorial", "editorial")) if c in df.columns}
-    page = html_problem(F.col("title"), F.col("time_limit").cast("string"), F.col("description"), F.col("input_format"), F.col("output_format"), **extra)
+    page = html_problem(F.col("title"), F.coalesce(F.col("time_limit").cast("string"), L("-")), F.col("description"), F.col("input_format"), F.col("output_format"), **extra)
     pick = lambda n: F.transform("tests", lambda t: t[n])
     keys = [c for c in ("row_id",) if c in df.columns]
     return df.select(
