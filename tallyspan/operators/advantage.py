@@ -141,9 +141,9 @@ def rloo_vectorised(df: DataFrame) -> DataFrame:
 
 @estimator("opo")
 def opo(df: DataFrame, weight: str = "n_valid") -> DataFrame:
-    """score minus the length-weighted group mean; a group of one keeps its score."""
+    """score minus the length-weighted group mean; a group of one keeps its score, one without any token has no value."""
     s, w = F.col("score"), F.col(weight)
-    g = attach(df, ["uid"], __n=F.count(s), __base=F.sum(s * w) / F.sum(w))
+    g = attach(df, ["uid"], __n=F.count(s), __base=F.try_divide(F.sum(s * w), F.sum(w)))
     adv = F.when(F.col("__n") == 1, s).otherwise(s - F.col("__base"))
     return _done(g.withColumn("adv", adv))
 

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspan.operators.masked import masked
 from tallyspan.operators.offpolicy import clamp
@@ -45,8 +48,12 @@ def with_tail(arr: Column) -> Column:
     return F.concat(arr, F.array(F.log(-F.expm1(s))))
 
 
-def entropy(arr: Column) -> Column:
-    return -total(F.transform(arr, lambda x: F.exp(x) * F.greatest(x, F.lit(-100.0))))
+@F.pandas_udf(T.DoubleType())
+def entropy(arr: pd.Series) -> pd.Series:
+    if not len(arr):
+        return pd.Series([], dtype=float)
+    logp = _matrix(arr)
+    return pd.Series(-(np.exp(logp) * np.maximum(logp, -100.0)).sum(axis=1))
 
 
 def kl(p: Column, q: Column) -> Column:
@@ -214,10 +221,14 @@ def confidence_weights(
     if version not in scores:
         raise ValueError(f"unknown weighting {version}")
     t = t.withColumn("__s", scores[version] / temperature)
-    t = attach(t, ["sample_id"], __max=F.max(masked(F.col("__s"), m)), __n=F.sum(m))
-    t = t.withColumn("__e", F.when(m != 0, F.exp(F.col("__s") - F.col("__max"))).otherwise(F.lit(0.0)))
-    t = attach(t, ["sample_id"], __z=F.sum("__e"))
-    w = F.least(F.col("__e") / F.col("__z") * F.greatest(F.col("__n"), F.lit(1)), F.lit(10.0))
+    top = F.lit(0.0)
+    if temperature < 0.05:
+        # the scores lie within ln K of 0: only a small temperature makes them too large for exp
+        t = attach(t, ["sample_id"], __max=F.max(masked(F.col("__s"), m)))
+        top = F.col("__max")
+    t = t.withColumn("__e", F.when(m != 0, F.exp(F.col("__s") - top)).otherwise(F.lit(0.0)))
+    t = attach(t, ["sample_id"], __z=F.sum("__e"), __n=F.sum(m))
+    w = F.least(F.try_divide(F.col("__e"), F.col("__z")) * F.greatest(F.col("__n"), F.lit(1)), F.lit(10.0))
     w = F.when(m == 0, F.lit(0.0)).when(F.isnan(w), F.lit(1.0)).otherwise(w)
     return t.withColumn(out, w).drop(*[c for c in t.columns if c.startswith("__")])
 
@@ -241,12 +252,22 @@ def entropy_metrics(tokens: DataFrame, batch: Sequence[str] = ("step",)) -> Data
     )
 
 
-def _weighted(p: Column, a: Column, b: Column) -> Column:
-    return total(F.zip_with(p, F.zip_with(a, b, lambda x, y: x * y), lambda w, v: F.exp(w) * v))
+_CLEAN = T.StructType(
+    [
+        T.StructField(n, T.DoubleType())
+        for n in ("beta", "cos_full_answer", "cos_clean_answer", "h_base", "h_full", "h_answer", "h_clean")
+    ]
+    + [T.StructField("clean_topk", T.ArrayType(T.DoubleType()))]
+)
 
 
-def _minus(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x - y)
+def _matrix(arr: pd.Series) -> np.ndarray:
+    """Arrays of equal length as one matrix."""
+    return np.stack(arr.to_numpy()).astype(float)
+
+
+def _norm(logp: np.ndarray) -> np.ndarray:
+    return logp - np.logaddexp.reduce(logp, axis=1, keepdims=True)
 
 
 def clean_teacher(
@@ -263,47 +284,45 @@ def clean_teacher(
     demonstration and with the answer only. Adds ``beta``, ``clean_topk`` (tail appended, or
     renormalised), ``cos_full_answer``, ``cos_clean_answer`` and the four entropies ``h_*``.
     """
-    raw_b, raw_f, raw_a = (F.col(c) for c in ("base_topk", "full_topk", "answer_topk"))
-    t = tokens
-    for name, col in (("b", raw_b), ("f", raw_f), ("a", raw_a)):
-        t = t.withColumn("__" + name, renormalise(col))
-    p = F.col("__b")
-    t = t.withColumn("__df", _minus(F.col("__f"), p)).withColumn("__da", _minus(F.col("__a"), p))
-    df, da = F.col("__df"), F.col("__da")
-    t = (
-        t.withColumn("__fa", _weighted(p, df, da))
-        .withColumn("__aa", _weighted(p, da, da))
-        .withColumn("__ff", _weighted(p, df, df))
-    )
-    if beta_fixed is None:
-        beta = clamp(F.col("__fa") / (F.col("__aa") + eps), 0.0, beta_max)
-    else:
-        beta = F.lit(float(beta_fixed))
-    t = t.withColumn("beta", beta)
-    b = F.col("beta")
-    pulled = F.zip_with(_minus(raw_f, raw_b), _minus(raw_a, raw_b), lambda x, y: x - b * y)
-    t = t.withColumn("__raw", F.zip_with(raw_b, pulled, lambda x, y: x + y * gamma))
-    t = t.withColumn("__clean", renormalise(F.col("__raw"))).withColumn("__dc", F.zip_with(df, da, lambda x, y: x - b * y))
-    dc = F.col("__dc")
-    norm_a = F.sqrt(F.col("__aa") + eps)
-    flat = lambda c: -total(F.transform(c, lambda x: F.exp(x) * x))
-    t = (
-        t.withColumn("cos_full_answer", F.col("__fa") / (F.sqrt(F.col("__ff") + eps) * norm_a + eps))
-        .withColumn("cos_clean_answer", _weighted(p, dc, da) / (F.sqrt(_weighted(p, dc, dc) + eps) * norm_a + eps))
-        .withColumn("h_base", flat(p))
-        .withColumn("h_full", flat(F.col("__f")))
-        .withColumn("h_answer", flat(F.col("__a")))
-        .withColumn("h_clean", flat(F.col("__clean")))
-    )
-    if tail:
-        raw = F.col("__raw")
-        over = F.greatest(logsumexp(raw) + 1e-7, F.lit(0.0))
-        t = t.withColumn("__over", over)
-        clean = with_tail(F.transform(raw, lambda x: x - F.col("__over")))
-    else:
-        clean = F.col("__clean")
-    t = t.withColumn("clean_topk", clean)
-    return t.drop(*[c for c in t.columns if c.startswith("__")], "__over")
+
+    @F.pandas_udf(_CLEAN)
+    def run(base: pd.Series, full: pd.Series, answer: pd.Series) -> pd.DataFrame:
+        if not len(base):
+            return pd.DataFrame({f: [] for f in _CLEAN.names})
+        raw = [_matrix(x) for x in (base, full, answer)]
+        cond = [_norm(x) for x in raw]
+        weight = np.exp(cond[0])
+        inner = lambda x, y: (weight * x * y).sum(axis=1)
+        to_full, to_answer = cond[1] - cond[0], cond[2] - cond[0]
+        if beta_fixed is None:
+            beta = np.clip(inner(to_full, to_answer) / (inner(to_answer, to_answer) + eps), 0.0, beta_max)
+        else:
+            beta = np.full(len(base), float(beta_fixed))
+        pull = beta[:, None]
+        target = raw[0] + gamma * ((raw[1] - raw[0]) - pull * (raw[2] - raw[0]))
+        kept = to_full - pull * to_answer
+        size = lambda x: np.sqrt(inner(x, x) + eps)
+        cosine = lambda x: inner(x, to_answer) / (size(x) * size(to_answer) + eps)
+        spread = lambda x: -(np.exp(x) * x).sum(axis=1)
+        clean = _norm(target)
+        out = {
+            "beta": beta,
+            "cos_full_answer": cosine(to_full),
+            "cos_clean_answer": cosine(kept),
+            "h_base": spread(cond[0]),
+            "h_full": spread(cond[1]),
+            "h_answer": spread(cond[2]),
+            "h_clean": spread(clean),
+        }
+        if tail:
+            mass = np.logaddexp.reduce(target, axis=1, keepdims=True)
+            target = target - np.maximum(mass + 1e-7, 0.0)
+            mass = np.minimum(np.logaddexp.reduce(target, axis=1, keepdims=True), -1e-7)
+            clean = np.hstack([target, np.log(-np.expm1(mass))])
+        return pd.DataFrame({**out, "clean_topk": list(clean)})
+
+    d = tokens.withColumn("__c", run("base_topk", "full_topk", "answer_topk"))
+    return d.select(*tokens.columns, "__c.*")
 
 
 def clean_teacher_metrics(cleaned: DataFrame, batch: Sequence[str] = ("step",)) -> DataFrame:

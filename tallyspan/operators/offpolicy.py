@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.masked import TINY, masked, masked_average
-from tallyspan.spread import attach
+from tallyspan.spread import attach, attach_table
 
 BOUND = 20.0
 
@@ -66,26 +66,29 @@ def importance_weights(
     ``normalise`` divides by the batch mean (over tokens, or over responses with a valid token).
     """
     m, batch = F.col("mask"), list(batch)
+    raw = "raw_" + out
     if level == "token":
-        t, ratio = tokens, log_ratio()
-    elif level == "sequence":
-        t = attach(tokens, ["sample_id"], __lr=F.coalesce(F.sum(masked(log_ratio(), m)), F.lit(0.0)))
-        ratio = F.col("__lr")
-    else:
+        t = tokens.withColumn(raw, F.exp(clamp(log_ratio(), -BOUND, BOUND)) * m)
+        t = t.withColumn(out, F.least(F.col(raw), F.lit(float(threshold))))
+        if normalise:
+            t = attach(t, batch, __wm=masked_average(F.col(out), m))
+            t = t.withColumn(out, F.when(F.col("__wm") > 1e-8, F.col(out) / F.col("__wm")).otherwise(F.col(out)))
+        return t.drop("__wm")
+    if level != "sequence":
         raise ValueError(f"unknown level {level}")
-    raw = "raw_" + out
-    t = t.withColumn(raw, F.exp(clamp(ratio, -BOUND, BOUND)) * m)
-    t = t.withColumn(out, F.least(F.col(raw), F.lit(float(threshold))))
+    keys = [*batch, "sample_id"] if normalise else ["sample_id"]
+    per = tokens.groupBy(*keys).agg(
+        F.coalesce(F.sum(masked(log_ratio(), m)), F.lit(0.0)).alias("__lr"), F.sum(m).alias("__n"), F.count(F.lit(1)).alias("__rows")
+    )
+    per = per.withColumn("__raw", F.exp(clamp(F.col("__lr"), -BOUND, BOUND)))
+    per = per.withColumn("__w", F.least(F.col("__raw"), F.lit(float(threshold))))
     if normalise:
-        if level == "token":
-            t = attach(t, batch, __wm=masked_average(F.col(out), m))
-        else:
-            # one value per response: the mean over responses is the token sum of w / n
-            t = attach(t, ["sample_id"], __n=F.sum(m))
-            share = F.when(m != 0, F.col(out) / (F.col("__n") + TINY))
-            t = attach(t, batch, __wm=F.sum(share) / F.sum(F.when(m != 0, m / F.col("__n"))))
-        t = t.withColumn(out, F.when(F.col("__wm") > 1e-8, F.col(out) / F.col("__wm")).otherwise(F.col(out)))
-    return t.drop("__lr", "__wm", "__n")
+        # one value per response with a valid token
+        share = F.when(F.col("__n") > 0, F.col("__w") * F.col("__n") / (F.col("__n") + TINY))
+        per = attach(per, batch, __wm=F.avg(share))
+        per = per.withColumn("__w", F.when(F.col("__wm") > 1e-8, F.col("__w") / F.col("__wm")).otherwise(F.col("__w")))
+    t = attach_table(tokens, keys, per, "__rows", ["__raw", "__w"])
+    return t.withColumn(raw, F.col("__raw") * m).withColumn(out, F.col("__w") * m).drop("__raw", "__w")
 
 
 def weight_metrics(

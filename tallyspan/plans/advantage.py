@@ -90,7 +90,7 @@ register("adv_rloo", group_sql("CASE WHEN n = 1 THEN score ELSE (score - mean) *
 register("adv_rloo_vectorised", group_sql("CASE WHEN n = 1 THEN 0 ELSE (n * score - total) / (n - 1) END"))(
     lambda spark, sf: out(A.rloo_vectorised(responses(spark, sf)))
 )
-register("adv_opo", group_sql("CASE WHEN n = 1 THEN score ELSE score - ws / wn END"))(
+register("adv_opo", group_sql("CASE WHEN n = 1 THEN score ELSE score - ws / nullif(wn, 0) END"))(
     lambda spark, sf: out(A.opo(responses(spark, sf)))
 )
 register(

@@ -21,7 +21,7 @@ def as_queue_log(e):
         F.when(F.col("user_id") % 10 < 8, 0).otherwise(F.col("user_id") % 10 - 7).cast("long").alias("queue"),
         F.col("event_id").alias("seq"),
         # expensive events take a sample too, which keeps the queue moving
-        F.when(F.col("event_type") == "signup", -1).when(F.col("value") < 30, op).otherwise(-F.abs(op)).cast("long").alias("op"),
+        F.when(F.col("event_type") == "signup", -1).when(F.col("value") < 60, op).otherwise(-F.abs(op)).cast("long").alias("op"),
         (F.col("event_type") == "error").cast("int").alias("bump"),
         F.unix_timestamp(F.col("ts")).cast("double").alias("seconds"),
         F.col("event_type").alias("name"),
@@ -34,7 +34,7 @@ def log(spark, sf):
 
 
 LOG = """l AS (SELECT CASE WHEN user_id % 10 < 8 THEN 0 ELSE user_id % 10 - 7 END AS queue, event_id AS seq,
- CAST(CASE WHEN event_type = 'error' THEN 0 WHEN event_type = 'signup' THEN -1 WHEN value < 30 THEN 1 ELSE -1 END AS BIGINT) AS op, CAST(event_type = 'error' AS INTEGER) AS bump, CAST(floor(epoch(ts)) AS DOUBLE) AS seconds, event_type AS name, value FROM events),
+ CAST(CASE WHEN event_type = 'error' THEN 0 WHEN event_type = 'signup' THEN -1 WHEN value < 60 THEN 1 ELSE -1 END AS BIGINT) AS op, CAST(event_type = 'error' AS INTEGER) AS bump, CAST(floor(epoch(ts)) AS DOUBLE) AS seconds, event_type AS name, value FROM events),
  p AS (SELECT *, row_number() OVER (PARTITION BY queue ORDER BY seq) AS pos, sum(bump) OVER (PARTITION BY queue ORDER BY seq) AS version FROM l)"""
 # the size after each event by recursion over positions
 REPLAY = f"""WITH RECURSIVE {LOG}, z(queue, pos, before, after) AS (SELECT queue, pos, 0::BIGINT, least(greatest(op, 0), {CAP}) FROM p WHERE pos = 1
@@ -67,11 +67,11 @@ register(
  SELECT *, CAST(sum(stale) OVER (PARTITION BY queue ORDER BY version) AS BIGINT) AS stale_total FROM c""",
 )(lambda spark, sf: Q.staleness(versioned(spark, sf), ["queue"]))
 STALL = """s AS (SELECT r.*, coalesce(max(CASE WHEN bump = 1 THEN size_after END) OVER v, 0) + count(*) FILTER (op > 0) OVER (PARTITION BY queue, version ORDER BY pos) AS stale_samples FROM r WINDOW v AS (PARTITION BY queue, version)),
- w AS (SELECT *, CASE WHEN size_after >= 40 THEN 'queue full' WHEN stale_samples >= 36 THEN 'stale samples' END AS reason FROM s)"""
+ w AS (SELECT *, CASE WHEN size_after >= 40 THEN 'queue full' WHEN stale_samples >= 39 THEN 'stale samples' END AS reason FROM s)"""
 
 
 def stalled(spark, sf):
-    return Q.stalls(versioned(spark, sf), ["queue"], CAP, 24, 0.5, 1)
+    return Q.stalls(versioned(spark, sf), ["queue"], CAP, 26, 0.5, 1)
 
 
 register("producer_stalls", f"{REPLAY}, {STALL} SELECT queue, seq, CAST(version AS BIGINT) AS version, stale_samples, reason IS NOT NULL AS paused, reason FROM w")(
