@@ -406,8 +406,9 @@ def kl_penalised_reward(tokens: DataFrame, kl: Column, beta: float, batch: Seque
 
 def place_on_last_valid(tokens: DataFrame, scores: DataFrame, score: str = "score", out: str = "token_score") -> DataFrame:
     """The response score on its last valid token (position = mask sum), 0 elsewhere."""
-    n = tokens.groupBy("sample_id").agg(F.sum("mask").alias("__n"))
-    t = tokens.join(n.join(scores.select("sample_id", F.col(score).alias("__s")), "sample_id"), "sample_id")
+    n = tokens.groupBy("sample_id").agg(F.sum("mask").alias("__n"), F.count(F.lit(1)).alias("__rows"))
+    ends = n.join(scores.select("sample_id", F.col(score).alias("__s")), "sample_id")
+    t = attach_table(tokens, ["sample_id"], ends, "__rows", ["__n", "__s"])
     return _done(t.withColumn(out, F.when(F.col("pos") == F.col("__n"), F.col("__s")).otherwise(F.lit(0.0))))
 
 
@@ -420,8 +421,7 @@ def sequence_log_prob(tokens: DataFrame, logp: str) -> DataFrame:
 
 def eos_mask(tokens: DataFrame, end_tags: Sequence[int], tag: str = "tag") -> DataFrame:
     """``resp_mask`` = 1 up to and including the first end token."""
-    first = tokens.filter(F.col(tag).isin(*end_tags)).groupBy("sample_id").agg(F.min("pos").alias("__end"))
-    t = tokens.join(first, "sample_id", "left")
+    t = attach(tokens, ["sample_id"], __end=F.min(F.when(F.col(tag).isin(*end_tags), F.col("pos"))))
     return _done(t.withColumn("resp_mask", F.when(F.col("pos") > F.col("__end"), 0).otherwise(1)))
 
 

@@ -207,24 +207,54 @@ def rejection_metrics(
     batch, m = list(batch), F.col("mask")
     options = list(dict.fromkeys(options))
     bounds = parse_thresholds(options, spec)
-    t = rejection_mask(tokens, options, spec)
-    sums = [F.sum(m).alias("n"), F.sum(m - F.col("kept_mask")).alias("lost")]
-    for o in options:
-        low, high = bounds[o]
-        s = F.col("stat_" + o)
-        hi, lo = (math.log(high), math.log(low)) if low is not None else (high, 0.0)
-        c = clamp(s, lo, hi)
+    k = _token_stats()
+    limits = {o: (math.log(high), math.log(low)) if low is not None else (high, 0.0) for o, (low, high) in bounds.items()}
+
+    def holds(o: str, stat: Column) -> Column:
+        hi, lo = limits[o]
+        return (stat >= lo) & (stat <= hi) if bounds[o][0] is not None else stat <= hi
+
+    # everything comes from one aggregation per response: token options need sums over the tokens,
+    # sequence options only the totals and maxima of the three statistics
+    by_token = [o for o in options if o.startswith("token")]
+    fine = F.lit(True)
+    for o in by_token:
+        fine = fine & holds(o, k[o[-2:]])
+    sums = [F.sum(m).alias("n"), F.sum(m * fine.cast("int")).alias("fine")]
+    for name, stat in k.items():
+        sums += [F.coalesce(F.sum(masked(stat, m)), F.lit(0.0)).alias("t_" + name), F.coalesce(F.max(masked(stat, m)), F.lit(0.0)).alias("x_" + name)]
+    for o in by_token:
+        (hi, lo), v = limits[o], k[o[-2:]]
+        c = clamp(v, lo, hi)
         sums += [
-            F.sum(s * m).alias("s_" + o),
-            F.max(masked(s, m)).alias("hi_" + o),
-            F.min(masked(s, m)).alias("lo_" + o),
-            F.sum((s > hi).cast("int") * m).alias("above_" + o),
-            F.sum((s < lo).cast("int") * m).alias("below_" + o),
+            F.sum(v * m).alias("s_" + o),
+            F.max(masked(v, m)).alias("hi_" + o),
+            F.min(masked(v, m)).alias("lo_" + o),
+            F.sum((v > hi).cast("int") * m).alias("above_" + o),
+            F.sum((v < lo).cast("int") * m).alias("below_" + o),
             F.sum(c * m).alias("c_" + o),
             F.sum(c * c * m).alias("cc_" + o),
-            F.sum(m * (1 - F.col("keep_" + o))).alias("lost_" + o),
+            F.sum(m * (~holds(o, v)).cast("int")).alias("lost_" + o),
+        ]
+    per = tokens.groupBy(*batch, "sample_id").agg(*sums)
+    count, whole = F.col("n"), F.lit(True)
+    more = []
+    for o in options:
+        if o in by_token:
+            continue
+        hi, lo = limits[o]
+        level, _, name = o.rpartition("_")
+        stat = {"seq_sum": F.col("t_" + name), "seq_mean": F.col("t_" + name) / (count + TINY), "seq_max": F.col("x_" + name)}[level]
+        whole = whole & holds(o, stat)
+        c = clamp(stat, lo, hi)
+        more += [
+            (stat * count).alias("s_" + o),
+            F.when(count > 0, stat).alias("hi_" + o),
+            (c * count).alias("c_" + o),
+            (c * c * count).alias("cc_" + o),
+            (count * (~holds(o, stat)).cast("int")).alias("lost_" + o),
         ]
-    per = t.groupBy(*batch, "sample_id").agg(*sums)
+    per = per.select("*", *more, (count - F.col("fine") * whole.cast("int")).alias("lost"))
     n, valid = F.sum("n") + TINY, F.col("n") > 0
     found: list[Column] = []
     names: list[tuple[str, str]] = []

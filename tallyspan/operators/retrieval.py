@@ -114,16 +114,19 @@ def bm25_top_k(
             names, vocab, weights = block.value
             best, word = _Best(len(names), k), re.compile(WORD)
             for pdf in batches:
-                for doc_id, body in zip(pdf["doc_id"], pdf["text"], strict=True):
+                scores = np.zeros((len(pdf), len(names)))
+                for row, body in enumerate(pdf["text"]):
                     found = word.findall(body.lower())
                     counts = [(vocab[w], c) for w, c in Counter(found).items() if w in vocab]
                     if not counts:
                         continue
                     terms, tf = (np.array(x) for x in zip(*counts, strict=True))
                     part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(found) / average))
-                    scores = np.round(part @ weights[terms], 9)
-                    for q in np.flatnonzero(scores > 0):
-                        best.add(q, scores[q : q + 1], np.array([doc_id]))
+                    scores[row] = np.round(part @ weights[terms], 9)
+                ids = pdf["doc_id"].to_numpy()
+                for q in np.flatnonzero(scores.any(axis=0)):
+                    hit = scores[:, q] > 0
+                    best.add(q, scores[hit, q], ids[hit])
             yield best.rows(names)
 
         return docs.select("doc_id", F.col(text).alias("text")).filter(F.col("text").isNotNull()).mapInPandas(
