@@ -72,8 +72,10 @@ def attach(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, **aggs:
     """
     keys = list(keys)
     if not keys:
-        # exactly one row
-        return df.crossJoin(F.broadcast(df.agg(*[c.alias(n) for n, c in aggs.items()])))
+        # one value for the whole table: a scalar subquery
+        whole = df.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("__whole")).scalar()
+        wide = df.withColumn("__whole", whole)
+        return wide.select(*[df_col(c) for c in df.columns], *[F.col(f"__whole.{n}").alias(n) for n in aggs])
     stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__attach_n"), *[c.alias(n) for n, c in aggs.items()])
     return attach_table(df, keys, stats, "__attach_n", list(aggs), hot_rows)
 
