@@ -114,7 +114,7 @@ register(
     ),
 )(lambda spark, sf: rolled(M.over_prompts(M.mean_metrics(validation_vars(spark, sf)))))
 SIZES = """r AS (SELECT *, row_number() OVER (PARTITION BY data_source, uid, var ORDER BY val, sample_id) AS i, count(*) OVER (PARTITION BY data_source, uid, var) AS n FROM vars),
- k AS (SELECT r.*, unnest(list_distinct(list_append(list_filter([2, 4, 8, 16, 32, 64, 128, 256, 512], lambda x: x < n), n))) AS k FROM r WHERE n > 1)"""
+ k AS (SELECT r.*, unnest(list_distinct(list_append(list_filter(list_transform(range(1, 41), lambda j: CAST(power(2, j) AS BIGINT)), lambda x: x < n), n))) AS k FROM r WHERE n > 1)"""
 BEST = """b AS (SELECT data_source, uid, var, k, sum(val * (power(i / n, k) - power((i - 1) / n, k))) AS bm, sum(val * val * (power(i / n, k) - power((i - 1) / n, k))) AS bq,
  sum(val * (power((n - i + 1) / n, k) - power((n - i) / n, k))) AS wm, sum(val * val * (power((n - i + 1) / n, k) - power((n - i) / n, k))) AS wq FROM k GROUP BY 1, 2, 3, 4),
  c AS (SELECT data_source, uid, var, 'best@' || k || '/mean' AS metric, bm AS v FROM b UNION ALL SELECT data_source, uid, var, 'best@' || k || '/std', sqrt(greatest(bq - bm * bm, 0)) FROM b
@@ -137,7 +137,7 @@ register(
         "rollouts",
         f"""WITH {VARS}, r AS (SELECT *, row_number() OVER (PARTITION BY data_source, uid, var ORDER BY sample_id) - 1 AS i FROM vars),
  g AS (SELECT data_source, uid, var, count(*) AS n, avg(val) AS m, stddev_pop(val) AS s FROM vars GROUP BY 1, 2, 3),
- z AS (SELECT *, unnest(list_distinct(list_append(list_filter([2, 4, 8, 16, 32, 64, 128, 256, 512], lambda x: x < n), n))) AS k FROM g WHERE n > 1),
+ z AS (SELECT *, unnest(list_distinct(list_append(list_filter(list_transform(range(1, 41), lambda j: CAST(power(2, j) AS BIGINT)), lambda x: x < n), n))) AS k FROM g WHERE n > 1),
  p AS (SELECT data_source, uid, var, n, k, draw, unnest(range(1, k + 1)) AS slot FROM (SELECT *, unnest(range(1, {DRAWS} + 1)) AS draw FROM z WHERE k > 2)),
  h AS (SELECT *, CAST(floor(CAST(('0x' || substring(md5(concat_ws(':', '42', uid, k, draw, slot)), 1, 12)) AS BIGINT) / 281474976710656.0 * n) AS BIGINT) AS i FROM p),
  d AS (SELECT h.*, r.val, r.pred FROM h JOIN r USING (data_source, uid, var, i)),

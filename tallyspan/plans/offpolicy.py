@@ -56,7 +56,7 @@ register(
     with_views(
         "loose_tokens rollouts",
         f"""WITH {STEPPED}, s AS (SELECT *, sum(lr * mask) OVER u AS slr, sum(mask) OVER u AS n FROM t WINDOW u AS (PARTITION BY sample_id)),
- w AS (SELECT *, least(exp(slr) * mask, 1.2) AS w FROM s),
+ w AS (SELECT *, least(exp(least(greatest(slr, -20), 20)) * mask, 1.2) AS w FROM s),
  q AS (SELECT step, sample_id, sum(w) / (sum(mask) + 1e-8) AS sw FROM w GROUP BY 1, 2 HAVING sum(mask) > 0),
  b AS (SELECT step, avg(sw) AS m FROM q GROUP BY 1)
  SELECT sample_id, tag, round(w / m, 6) AS weight FROM w JOIN b USING (step)""",
