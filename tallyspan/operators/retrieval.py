@@ -204,11 +204,11 @@ def joined_results(results: DataFrame, keys: Sequence[str], order: str) -> DataF
     return pages.select(*keys, "page", F.array_join(F.transform("__r", lambda x: x["result"]), "\n---\n").alias("result"))
 
 
-def sorted_step(dump: DataFrame, step: int) -> DataFrame:
-    """Samples of one step by ``score``, else ``score_1``, else 0, best first."""
+def sorted_steps(dump: DataFrame) -> DataFrame:
+    """Samples of each step by ``score``, else ``score_1``, else 0: ``place`` counts from the best."""
     names = [F.col(c) for c in ("score", "score_1") if c in dump.columns]
-    d = dump.filter(F.col("step") == step).withColumn("sort_score", F.coalesce(*names, F.lit(0.0)))
-    return d.orderBy(F.desc("sort_score"), F.asc("sample_id"))
+    d = dump.withColumn("sort_score", F.coalesce(*names, F.lit(0.0))).withColumn("__o", -F.col("sort_score"))
+    return ranked(d, ["step"], ["__o", "sample_id"], "place").drop("__o")
 
 
 def covariance(tokens: DataFrame, batch: Sequence[str]) -> DataFrame:

@@ -93,8 +93,15 @@ register(
 )
 register(
     "samples_by_score",
-    with_views("rollouts", "SELECT sample_id, round(score, 6) AS sort_score FROM rollouts WHERE step = 3"),
-)(lambda spark, sf: R.sorted_step(V.rollouts(spark, sf), 3).select("sample_id", r6("sort_score").alias("sort_score")))
+    with_views(
+        "rollouts",
+        "SELECT step, sample_id, row_number() OVER (PARTITION BY step ORDER BY -coalesce(CASE WHEN pred <> 'P' THEN score END, acc, 0), sample_id) AS place FROM rollouts",
+    ),
+)(
+    lambda spark, sf: R.sorted_steps(
+        V.rollouts(spark, sf).withColumn("score_1", F.col("acc")).withColumn("score", F.when(F.col("pred") != "P", F.col("score")))
+    ).select("step", "sample_id", "place")
+)
 
 
 def cov_tokens(spark, sf):
