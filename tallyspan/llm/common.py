@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyspan.spread import durable
 
 #: Distinct words that a task remembers; the memory is emptied when it is full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import hyperminhash, line_bloom
+from tallyspan.llm import bpe_queue, ftrl, hyperminhash, line_bloom, projected_search, secrets_scan, separator_scan, swap_packing
 from tallyspan.plans import register
 
 
@@ -13,6 +14,23 @@ def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{table}.parquet")
 
 
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+#: <|endoftext|> of that vocabulary.
+WORDS_END = 49_407
+
+
+@register("op3_projected_search")
+def op3_projected_search(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _read(spark, sf, "embeddings")
+    out = projected_search.nearest(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+    return out.select("query_id", "rank", "vec_id", "score")
+
+
+@register("op4_separator_scan")
+def op4_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return separator_scan.token_counts(_read(spark, sf, "documents"), WORDS, WORDS_END).select("doc_id", "n_tokens")
+
+
 @register(
     "op5_line_bloom",
     r"""
@@ -36,7 +54,44 @@ def op5_line_bloom(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+@register("op6_ftrl")
+def op6_ftrl(spark: SparkSession, sf: str) -> DataFrame:
+    out = ftrl.toxicity(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
+    return out.select("doc_id", ftrl.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op7_swap_packing")
+def op7_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _read(spark, sf, "documents")
+    parts = swap_packing.pieces(docs, WORDS)
+    parts = parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return swap_packing.pack(parts, docs.count())
+
+
 @register("op8_hyperminhash")
 def op8_hyperminhash(spark: SparkSession, sf: str) -> DataFrame:
     out = hyperminhash.near_duplicates(_read(spark, sf, "documents"), shingle=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op9_secrets_scan")
+def op9_secrets_scan(spark: SparkSession, sf: str) -> DataFrame:
+    out = secrets_scan.scan_secrets(_read(spark, sf, "documents"))
+    base = secrets_scan.of_kinds(F.col("spans"), "assign", "access", "hex")
+    counts = [F.size(secrets_scan.of_kinds(F.col("spans"), k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    digest = F.sha2(secrets_scan.rendered(base).cast("binary"), 256).alias("base_sha256")
+    return out.select("doc_id", *counts, digest, secrets_scan.rendered(F.col("spans")).alias("spans"))
+
+
+@register("op10_bpe_queue")
+def op10_bpe_queue(spark: SparkSession, sf: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    coded = bpe_queue.encode(_read(spark, sf, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
+    out = bpe_queue.decode(coded, ranks, pattern)
+    listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
