@@ -12,7 +12,8 @@ once. A long piece has a queue of its own. Pieces are encoded once as long as a
 Decoding joins the bytes of the ids.
 
 Defined results: a null text is an empty one and has no ids; an unknown id fails on decoding; the
-same row twice gives the same result twice. Extra columns pass through.
+same row twice gives the same result twice. Extra columns pass through; one named like the result is
+replaced by it.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyspan.llm.common import CACHE_WORDS, free_names, utf8
+from tallyspan.spread import df_col
 
 #: Pieces longer than this have a queue of their own and are not remembered.
 SHORT_BYTES = 64
@@ -258,6 +260,7 @@ def bpe(path: str, pattern: str) -> Bpe:
 
 def encode(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` with the token ids of the text as ``array<int>``."""
+    docs = docs.select(*[df_col(c) for c in docs.columns if c.lower() != out.lower()])
     (work,) = free_names(docs, "text_bytes")
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
     arrow = to_arrow_schema(schema)

@@ -11,7 +11,8 @@ reach it, and a document's share is bounded by the number of features.
 
 Defined results: a null text is an empty one; a text without known features gets the score of the
 bias; rows without id or label teach nothing; an id labelled twice counts once, with its larger
-label; without labels of both classes every score is 0. Extra columns pass through.
+label; without labels of both classes every score is 0. Extra columns pass
+through; one named like the result is replaced by it.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ The twice-filter is the only thing that every task gets. It has ``BITS_PER_LINE`
 
 Defined results: a null or empty text is one empty line; keys shorter than ``min_chars`` never count;
 rows that share an id are one document; a row without id neither loses lines nor makes others lose
-them. Extra columns pass through.
+them. Extra columns pass through; those named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -156,6 +156,7 @@ def dedup_lines(
     smaller id holds too is gone. The key is the line without ASCII white space at both ends, A-Z
     lower-cased. ``power`` sets the filter's size (log2 of its bits) instead of the count of lines."""
     spark = docs.sparkSession
+    docs = docs.select(*[df_col(c) for c in docs.columns if c.lower() not in ("kept_text", "n_lines", "n_dropped")])
     if power is None:
         text = F.coalesce(df_col(text_col), F.lit(""))
         lines = docs.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"))) + 1)).first()[0]

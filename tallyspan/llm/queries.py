@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bpe_queue, ftrl, hyperminhash, line_bloom, projected_search, secrets_scan, separator_scan, swap_packing
+from tallyspan.llm import bpe_queue, ftrl, hyperminhash, imatch, line_bloom, projected_search, secrets_scan, separator_scan, swap_packing, url_templates
 from tallyspan.plans import register
 
 
@@ -19,6 +19,19 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 WORDS_END = 49_407
 
 
+@register("op1_url_templates", url_templates.oracle())
+def op1_url_templates(spark: SparkSession, sf: str) -> DataFrame:
+    out = url_templates.judge(_read(spark, sf, "pages").select("page_id", "url"))
+    return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@register("op2_imatch")
+def op2_imatch(spark: SparkSession, sf: str) -> DataFrame:
+    out = imatch.edited_fingerprints(_read(spark, sf, "documents"))
+    digest = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
+    return out.select("doc_id", "n_chars", digest, "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 @register("op3_projected_search")
 def op3_projected_search(spark: SparkSession, sf: str) -> DataFrame:
     rows = _read(spark, sf, "embeddings")

@@ -12,7 +12,8 @@ Kinds, in the order in which spans that start together are listed:
 * ``card``: 16 digits in one run, starting like a payment card, that pass the Luhn test.
 
 Defined results: a null text is an empty one; spans are code points, end exclusive; the same row
-twice gives the same result twice. Extra columns pass through.
+twice gives the same result twice. Extra columns pass
+through; one named like the result is replaced by it.
 """
 
 from __future__ import annotations
