@@ -408,17 +408,29 @@ SIZED = f"{RESPONSES_SQL}, sz AS (SELECT sample_id, uid, step, n_tokens AS lengt
 register("workload", with_views("rollouts loose_tokens", f"WITH {SIZED} SELECT sample_id, length, work FROM sz"))(
     lambda spark, sf: sized(spark, sf).select("sample_id", "length", "work")
 )
-register("partition_by_differencing")(
-    lambda spark, sf: B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8).select("step", "sample_id", "part", "work")
-)
-register("partition_equal_size")(
-    lambda spark, sf: B.partition_batches(B.mini_batches(sized(spark, sf), ["step"], "sample_id", 64), ["step", "mini"], "work", "sample_id", 8, equal_size=True).select(
-        "step", "mini", "sample_id", "part", "work"
-    )
-)
-register("partition_greedy")(
-    lambda spark, sf: B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8, method="greedy").select("step", "sample_id", "part", "work")
-)
+# rows dealt by descending work over 8 parts per step, in SQL
+DEALT = f"""{SIZED}, dr AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY -work, sample_id) - 1 AS z FROM sz),
+ dealt AS (SELECT *, CAST(CASE WHEN (z // 8) % 2 = 0 THEN z % 8 ELSE 7 - z % 8 END AS INTEGER) AS part FROM dr)"""
+register(
+    "partition_by_differencing",
+    with_views("rollouts loose_tokens", f"WITH {DEALT} SELECT step, sample_id, part, work FROM dealt"),
+)(lambda spark, sf: B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8).select("step", "sample_id", "part", "work"))
+register(
+    "partition_equal_size",
+    with_views(
+        "rollouts loose_tokens",
+        f"""WITH {SIZED}, r AS (SELECT *, row_number() OVER (ORDER BY -work, sample_id) - 1 AS z FROM sz)
+ SELECT sample_id, CAST(CASE WHEN (z // 4) % 2 = 0 THEN z % 4 ELSE 3 - z % 4 END AS INTEGER) AS part, work FROM r""",
+    ),
+)(lambda spark, sf: B.partition_batches(sized(spark, sf), [], "work", "sample_id", 4, equal_size=True).select("sample_id", "part", "work"))
+register(
+    "partition_greedy",
+    with_views(
+        "rollouts loose_tokens",
+        f"""WITH {SIZED}, r AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY sample_id) - 1 AS z FROM sz)
+ SELECT step, sample_id, CAST(CASE WHEN (z // 8) % 2 = 0 THEN z % 8 ELSE 7 - z % 8 END AS INTEGER) AS part, work FROM r""",
+    ),
+)(lambda spark, sf: B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8, sort=False).select("step", "sample_id", "part", "work"))
 register(
     "partition_serpentine",
     with_views(
@@ -429,37 +441,44 @@ register(
 )(lambda spark, sf: B.serpentine(sized(spark, sf), ["step"], "work", "sample_id", F.lit(8)).select("step", "sample_id", "part"))
 
 
-@register("partition_groups_together")
+@register(
+    "partition_groups_together",
+    with_views(
+        "rollouts loose_tokens",
+        f"""WITH {SIZED}, g AS (SELECT uid, sum(work) AS w FROM sz GROUP BY 1), r AS (SELECT uid, row_number() OVER (ORDER BY -w, uid) - 1 AS z FROM g)
+ SELECT uid, sample_id, CAST(CASE WHEN (z // 8) % 2 = 0 THEN z % 8 ELSE 7 - z % 8 END AS INTEGER) AS part, work FROM sz JOIN r USING (uid)""",
+    ),
+)
 def partition_groups_together(spark, sf):
-    d = sized(spark, sf).withColumn("wave", F.lit(0))
-    g = G.with_index(d.select("uid").distinct(), ["uid"])
-    # whole laps of 8 groups only, as a rank set needs equally many groups
-    keep = X.whole_batches(g, 8).select("uid")
-    return B.partition_groups(d.join(keep, "uid"), ["wave"], "uid", "work", 8).select("uid", "sample_id", "part", "work")
+    return B.partition_groups(sized(spark, sf), [], "uid", "work", 8).select("uid", "sample_id", "part", "work")
 
 
-@register("batch_balance_order")
+@register(
+    "batch_balance_order",
+    with_views(
+        "rollouts loose_tokens",
+        f"""WITH {DEALT}, r AS (SELECT *, row_number() OVER (PARTITION BY step, part ORDER BY work, sample_id) - 1 AS y, count(*) OVER (PARTITION BY step, part) AS n FROM dealt)
+ SELECT step, part, CAST(CASE WHEN y % 2 = 0 THEN y // 2 ELSE n - 1 - (y - 1) // 2 END AS BIGINT) AS slot, sample_id FROM r""",
+    ),
+)
 def batch_balance_order(spark, sf):
     placed = B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8)
     return B.order_inside_parts(placed, ["step"], "work", "sample_id").select("step", "part", "slot", "sample_id")
 
 
-@register("partition_imbalance")
+IMBALANCE = f"""WITH {SIZED}, r AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY -work, sample_id) - 1 AS z, row_number() OVER (PARTITION BY step ORDER BY sample_id) - 1 AS i, count(*) OVER (PARTITION BY step) AS n FROM sz),
+ p AS (SELECT step, length, CASE WHEN (z // 8) % 2 = 0 THEN z % 8 ELSE 7 - z % 8 END AS part, i // (n // 8) AS sl FROM r),
+ b AS (SELECT step, CAST(sum(length) AS BIGINT) AS s FROM p GROUP BY step, sl), a AS (SELECT step, CAST(sum(length) AS BIGINT) AS s FROM p GROUP BY step, part)
+ SELECT step, min, max, minmax_diff, balanced_min, balanced_max, mean FROM (SELECT step, min(s) AS min, max(s) AS max, max(s) - min(s) AS minmax_diff, CAST(sum(s) AS BIGINT) / 8 AS mean FROM b GROUP BY 1) JOIN (SELECT step, min(s) AS balanced_min, max(s) AS balanced_max FROM a GROUP BY 1) USING (step)"""
+
+
+@register("partition_imbalance", with_views("rollouts loose_tokens", IMBALANCE))
 def partition_imbalance(spark, sf):
     placed = B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8)
     return B.imbalance(placed, ["step"], "length", "sample_id", 8)
 
 
-register(
-    "partition_imbalance_serpentine",
-    with_views(
-        "rollouts loose_tokens",
-        f"""WITH {SIZED}, r AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY -work, sample_id) - 1 AS z, row_number() OVER (PARTITION BY step ORDER BY sample_id) - 1 AS i, count(*) OVER (PARTITION BY step) AS n FROM sz),
- p AS (SELECT step, length, CASE WHEN (z // 8) % 2 = 0 THEN z % 8 ELSE 7 - z % 8 END AS part, i // (n // 8) AS sl FROM r),
- b AS (SELECT step, CAST(sum(length) AS BIGINT) AS s FROM p GROUP BY step, sl), a AS (SELECT step, CAST(sum(length) AS BIGINT) AS s FROM p GROUP BY step, part)
- SELECT step, min, max, minmax_diff, balanced_min, balanced_max, mean FROM (SELECT step, min(s) AS min, max(s) AS max, max(s) - min(s) AS minmax_diff, CAST(sum(s) AS BIGINT) / 8 AS mean FROM b GROUP BY 1) JOIN (SELECT step, min(s) AS balanced_min, max(s) AS balanced_max FROM a GROUP BY 1) USING (step)""",
-    ),
-)(
+register("partition_imbalance_serpentine", with_views("rollouts loose_tokens", IMBALANCE))(
     lambda spark, sf: B.imbalance(
         B.serpentine(sized(spark, sf), ["step"], "work", "sample_id", F.lit(8)), ["step"], "length", "sample_id", 8
     )
@@ -471,7 +490,18 @@ register(
         f"WITH {SIZED} SELECT step, CAST(sum(length) AS BIGINT) AS tokens, CAST(ceil(greatest(least(count(*), ceil(sum(length) / 300.0)), 4) / 4.0) * 4 AS INTEGER) AS micro_batches FROM sz GROUP BY 1",
     ),
 )(lambda spark, sf: B.micro_batch_counts(sized(spark, sf), ["step"], "length", 300, 4, 4))
-register("micro_batches")(
+register(
+    "micro_batches",
+    with_views(
+        "rollouts loose_tokens",
+        f"""WITH {SIZED}, k AS (SELECT step, CAST(ceil(greatest(least(count(*), ceil(sum(length) / 300.0)), 4) / 4.0) * 4 AS BIGINT) AS k FROM sz GROUP BY 1),
+ r AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY -work, sample_id) - 1 AS z FROM sz JOIN k USING (step)),
+ p AS (SELECT *, CAST(CASE WHEN (z // k) % 2 = 0 THEN z % k ELSE k - 1 - z % k END AS INTEGER) AS part FROM r),
+ g AS (SELECT step, part, any_value(k) AS k, row_number() OVER (PARTITION BY step ORDER BY -sum(work), -min(sample_id)) - 1 AS y FROM p GROUP BY step, part)
+ SELECT step, sample_id, part, CAST(CASE WHEN y % 2 = 0 THEN (g.k + 1) // 2 - 1 - y // 2 ELSE (g.k + 1) // 2 + (y - 1) // 2 END AS BIGINT) AS micro, length
+ FROM p JOIN g USING (step, part)""",
+    ),
+)(
     lambda spark, sf: B.micro_batches(sized(spark, sf), ["step"], "length", "sample_id", 300, 4, 4).select("step", "sample_id", "part", "micro", "length")
 )
 

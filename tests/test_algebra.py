@@ -1,8 +1,5 @@
 """Batch algebra, filters, balancing and chats on small fixtures."""
 
-import itertools
-import random
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,39 +90,39 @@ def test_unrenderable_prompt_is_dropped(spark):
     assert X.drop_overlong(df, X.words(X.render_chat(F.col("m"))), 50).count() == 1
 
 
-def best_spread(work, k):
-    best = None
-    for owners in itertools.product(range(k), repeat=len(work)):
-        sums = [sum(w for w, o in zip(work, owners) if o == p) for p in range(k)]
-        best = max(sums) - min(sums) if best is None else min(best, max(sums) - min(sums))
-    return best
-
-
-@pytest.mark.parametrize("seed", range(4))
-def test_differencing_is_close_to_the_best(seed):
-    rng = random.Random(seed)
-    work = [rng.randint(1, 50) for _ in range(8)]
-    parts = B.difference_parts(work, 2, False)
-    assert sorted(itertools.chain(*parts)) == list(range(8)) and all(parts)
-    sums = [sum(work[i] for i in p) for p in parts]
-    assert max(sums) - min(sums) <= best_spread(work, 2) + max(work) // 2
-    equal = B.difference_parts(work, 4, True)
-    assert {len(p) for p in equal} == {2}
-
-
-def test_partition_errors():
-    with pytest.raises(ValueError):
-        B.difference_parts([1], 2, False)
-    with pytest.raises(ValueError):
-        B.difference_parts([1, 2, 3], 2, True)
-    assert B.greedy_parts([5, 1, 1, 1], 2, False) == [[0], [1, 2, 3]]
-
-
-def test_large_batches_take_the_serpentine_way(spark):
-    df = spark.createDataFrame([(0, i, (i * 37) % 101 + 1) for i in range(64)], "b int, id long, w long")
-    got = B.partition_batches(df, ["b"], "w", "id", 4, max_batch=16)
+@pytest.mark.parametrize("n", [4, 13, 64, 300])
+def test_parts_are_level_at_every_size(spark, n):
+    df = spark.createDataFrame([(0, i, (i * 37) % 101 + 1) for i in range(n)], "b int, id long, w long")
+    got = B.partition_batches(df, ["b"], "w", "id", 4)
     rows = got.groupBy("part").agg(F.count("*").alias("n"), F.sum("w").alias("s")).collect()
-    assert {r["n"] for r in rows} == {16} and max(r["s"] for r in rows) - min(r["s"] for r in rows) <= 101
+    assert sorted(r["part"] for r in rows) == [0, 1, 2, 3] and sum(r["n"] for r in rows) == n
+    assert max(r["n"] for r in rows) - min(r["n"] for r in rows) <= 1
+    assert max(r["s"] for r in rows) - min(r["s"] for r in rows) <= 101
+
+
+@pytest.mark.parametrize("n", [3, 40, 4000])
+def test_partition_errors_at_every_size(spark, n):
+    df = spark.range(n).select(F.lit(0).alias("b"), F.col("id"), (F.col("id") + 1).alias("w"))
+    with pytest.raises(Exception, match="cannot fill"):
+        B.partition_batches(df, ["b"], "w", "id", n + 1).collect()
+    with pytest.raises(Exception, match="equal parts"):
+        B.partition_batches(df, ["b"], "w", "id", n - 1, equal_size=True).collect()
+    sizes = B.partition_batches(df, [], "w", "id", n, equal_size=True).groupBy("part").count().collect()
+    assert len(sizes) == n
+
+
+def test_unsorted_rows_are_dealt_in_input_order(spark):
+    df = spark.createDataFrame([(0, i, 9 - i) for i in range(5)], "b int, id long, w long")
+    got = B.partition_batches(df, ["b"], "w", "id", 2, sort=False).orderBy("id").collect()
+    assert [r["part"] for r in got] == [0, 1, 1, 0, 0]
+
+
+def test_groups_need_not_divide_evenly(spark):
+    df = spark.createDataFrame([(u, 10 * u + j, 5) for u in range(7) for j in range(3)], "uid long, id long, w long")
+    got = B.partition_groups(df, [], "uid", "w", 3)
+    assert got.count() == 21 and got.groupBy("uid").agg(F.countDistinct("part").alias("c")).filter("c > 1").isEmpty()
+    with pytest.raises(Exception, match="cannot fill"):
+        B.partition_groups(df, [], "uid", "w", 8).collect()
 
 
 def test_groups_stay_together(spark):
