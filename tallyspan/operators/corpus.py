@@ -181,9 +181,10 @@ def shuffled_choice_rows(df: DataFrame, key: str, seed: int) -> DataFrame:
 
 
 def lettered_choice_prompt(question: Column, options: Column, subject: Column, style: str = "subject") -> Column:
-    """Question with options lettered from A (up to 16), in one of two styles."""
-    listed = lambda mark: F.array_join(
-        F.transform(F.slice(options, L(1), L(16)), lambda o, i: F.concat(_letter(i), L(mark), o, L("\n"))), ""
+    """Question with options lettered from A, in one of two styles; more options than letters are an error."""
+    many = F.raise_error(F.concat(F.size(options).cast("string"), L(" options, but only 26 letters"))).cast("string")
+    listed = lambda mark: F.when(F.size(options) > 26, many).otherwise(
+        F.array_join(F.transform(options, lambda o, i: F.concat(_letter(i), L(mark), o, L("\n"))), "")
     )
     if style == "subject":
         head = _filled(SUBJECT_INTRO, subject=subject)

@@ -154,8 +154,9 @@ def retry_prompts(history: DataFrame, form: str, limit: int, count) -> DataFrame
 
     ``feedback_only`` joins all feedback; ``attempt_and_feedback`` alternates attempts and feedback
     as chat messages. The oldest entries go until the prompt has at most ``limit`` tokens by
-    ``count`` (a column function that is additive over joined texts). An entry has a token or more,
-    so a frame of ``limit`` turns holds all that can fit.
+    ``count`` (a column function that is additive over joined texts). A turn sees the past turns whose
+    running token sum is at most ``limit`` behind its own, so a frame holds ``limit`` tokens and
+    whatever entries are empty.
     """
     if form not in ("feedback_only", "attempt_and_feedback"):
         raise ValueError(f"unknown form {form}")
@@ -166,16 +167,17 @@ def retry_prompts(history: DataFrame, form: str, limit: int, count) -> DataFrame
         fixed = fixed + wrap
     else:
         size = size + wrap + count(F.col("response"))
-    h = history.withColumn("__e", F.struct(size.cast("long").alias("n"), "response", "feedback"))
-    frame = Window.partitionBy("question_id").orderBy("turn").rowsBetween(-limit, -1)
-    h = h.withColumn("__past", F.collect_list("__e").over(frame)).withColumn("__room", F.lit(limit) - fixed)
-    start = F.struct(F.col("__room").cast("long").alias("room"), F.lit(0).alias("kept"))
-    fit = lambda a, e: F.struct(
-        (a["room"] - e["n"]).alias("room"), F.when(a["room"] - e["n"] >= 0, a["kept"] + 1).otherwise(a["kept"]).alias("kept")
-    )
-    # room only shrinks, so the entries that fit are the newest ones
-    h = h.withColumn("__kept", F.aggregate(F.reverse("__past"), start, fit)["kept"])
-    kept = F.slice("__past", F.size("__past") - F.col("__kept") + 1, F.col("__kept"))
+    by_turn = Window.partitionBy("question_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    h = history.withColumn("__n", size.cast("long")).withColumn("__room", F.lit(limit) - fixed)
+    h = h.withColumn("__before", F.coalesce(F.sum("__n").over(by_turn), F.lit(0).cast("long")))
+    h = h.withColumn("__turns", F.count(F.lit(1)).over(by_turn))
+    # a range of the running sum; turns of the same sum are told apart afterwards
+    frame = Window.partitionBy("question_id").orderBy("__before").rangeBetween(-limit, 0)
+    entry = F.struct("turn", F.col("__before").alias("before"), "response", "feedback")
+    h = h.withColumn("__near", F.collect_list(entry).over(frame))
+    fits = lambda e: (e["turn"] < F.col("turn")) & (F.col("__before") - e["before"] <= F.col("__room"))
+    h = h.withColumn("__fit", F.array_sort(F.filter("__near", fits))).withColumn("__kept", F.size("__fit"))
+    kept = F.col("__fit")
     said = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
     ask = F.array(said("user", F.col("question")))
     told = lambda text: F.concat(F.lit(RETRY_PREFIX), text, F.lit(RETRY_SUFFIX))
@@ -186,5 +188,5 @@ def retry_prompts(history: DataFrame, form: str, limit: int, count) -> DataFrame
         turns = F.transform(kept, lambda e: F.array(said("assistant", e["response"]), said("user", told(e["feedback"]))))
         many = F.concat(ask, F.flatten(turns))
     messages = F.when(F.col("__kept") == 0, ask).otherwise(many)
-    out = h.withColumn("messages", messages).withColumn("trimmed", F.size("__past") - F.col("__kept"))
-    return out.drop("__e", "__past", "__room", "__kept")
+    out = h.withColumn("messages", messages).withColumn("trimmed", (F.col("__turns") - F.col("__kept")).cast("int"))
+    return out.drop("__n", "__room", "__before", "__turns", "__near", "__fit", "__kept")

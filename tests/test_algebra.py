@@ -1,5 +1,7 @@
 """Batch algebra, filters, balancing and chats on small fixtures."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +10,7 @@ from tallyspan.operators import balance as B
 from tallyspan.operators import chat as H
 from tallyspan.operators import corpus as C
 from tallyspan.operators import filters as X
+from tallyspan.operators import joins as J
 
 
 def batch(spark, n=3):
@@ -151,6 +154,34 @@ def test_sft_loss_mask(spark):
     assert r["position_ids"] == [0, 1, 2, 3, 4, 5, 5, 5]
 
 
+def test_every_option_is_lettered(spark):
+    df = spark.createDataFrame([("q", [f"o{i}" for i in range(20)], "s")], "q string, o array<string>, s string")
+    prompt = lambda d: d.select(C.lettered_choice_prompt(F.col("q"), F.col("o"), F.col("s"))).first()[0]
+    assert "T. o19\n" in prompt(df) and "Q. o16\n" in prompt(df)
+    with pytest.raises(Exception, match="only 26 letters"):
+        prompt(df.withColumn("o", F.array_repeat(F.lit("x"), 27)))
+
+
+def test_retry_prompts_keep_blank_feedback_and_drop_the_oldest(spark):
+    rows = [("p", t, "why", f"r{t}", "" if t in (2, 3, 4) else f"f{t} is wrong") for t in range(1, 8)]
+    df = spark.createDataFrame(rows, "question_id string, turn int, question string, response string, feedback string")
+    got = {r["turn"]: r for r in J.retry_prompts(df, "feedback_only", 23, X.words).collect()}
+    tokens = lambda t: len(re.findall(r"\w+|[^\w\s]", t))
+    # the limit leaves room for few words of feedback; blank entries cost nothing and stay
+    for turn, row in got.items():
+        notes = [r[4] for r in rows if r[1] < turn]
+        room = 23 - tokens("why") - tokens(J.RETRY_PREFIX + J.RETRY_SUFFIX)
+        kept = []
+        for note in reversed(notes):
+            room -= tokens(note)
+            if room < 0:
+                break
+            kept.insert(0, note)
+        assert row["trimmed"] == len(notes) - len(kept), turn
+        if kept:
+            assert row["messages"][0]["content"] == "why\n\n" + J.RETRY_PREFIX + "\n\n".join(kept) + J.RETRY_SUFFIX
+
+
 def test_chat_errors(spark):
     df = spark.createDataFrame([([("robot", "hi")],)], "conversations array<struct<from:string,value:string>>")
     with pytest.raises(Exception, match="Unknown role"):
