@@ -76,13 +76,30 @@ def test_grade_answer(given, truth, ok):
         ("__import__('os')", "1", False),
     ],
 )
-def test_numbers_equal(given, truth, ok):
-    assert latex.numbers_equal(given, truth) is ok
+def test_numbers_equal(spark, given, truth, ok):
+    df = spark.createDataFrame([(given, truth)], "a string, b string")
+    assert df.select(A.numbers_equal(F.col("a"), F.col("b"))).first()[0] is ok
 
 
-def test_free_text():
-    assert latex.free_text_answer("The answer is 12") == (True, "12")
-    assert latex.free_text_answer("nothing here") == (False, "nothing here")
+def test_long_answers_are_compared_to_the_end(spark):
+    head = "x" * 1000
+    df = spark.createDataFrame([(head + "1", head + "2"), (head + "1", head + "1"), (None, "1")], "a string, b string")
+    assert [r[0] for r in df.select(A.numbers_equal(F.col("a"), F.col("b"))).collect()] == [False, True, None]
+
+
+@pytest.mark.parametrize(
+    ("text", "matched", "answer"),
+    [
+        ("The answer is 12", True, "12"),
+        ("nothing here", False, "nothing here"),
+        ("answer: first, but the answer is x = 7. Done now", True, "7"),
+        ("so 15 is the answer", True, "so 15"),
+        (r"we get \boxed{\frac{1}{2}} here", True, r"\frac{1}{2}"),
+        ("the answer is unknown", False, "unknown"),
+    ],
+)
+def test_free_text(spark, text, matched, answer):
+    assert tuple(one(spark, text, A.free_text_answer)) == (matched, answer)
 
 
 def test_tool_use_cuts_nested_objects():
@@ -114,10 +131,20 @@ def test_metric_keys_and_run_names(spark):
     assert one(spark, "plain", A.run_group_and_tags)["group"] is None
 
 
-def test_description():
-    assert latex.description_of("Do the thing well.\n## Examples 2:\nx\n") == "Do the thing well."
-    assert latex.description_of("Tiny\nInput\n1\n") == ""
-    assert latex.description_of("No section at all here") == "No section at all here"
+@pytest.mark.parametrize(
+    ("problem", "description"),
+    [
+        ("Do the thing well.\n## Examples 2:\nx\n", "Do the thing well."),
+        ("Tiny\nInput\n1\n", ""),
+        ("No section at all here", "No section at all here"),
+        ("Read the input and sum it.\n**Input Format**\nn\n", "Read the input and sum it."),
+        ("Add two numbers.\n---\n-----Examples-----\n1", "Add two numbers."),
+        ("Add two numbers. For example: 1 2\nmore", ""),
+        ("Add two numbers.\nInput - one line\n1", "Add two numbers."),
+    ],
+)
+def test_description(spark, problem, description):
+    assert one(spark, problem, A.description_of) == description
 
 
 def test_feedback_rendering(spark):
