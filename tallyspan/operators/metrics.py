@@ -145,7 +145,7 @@ def variables(rows: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def subset_sizes(n: Column) -> Column:
     """2, 4, 8, ... below n, then n; nothing for one response."""
-    powers = F.transform(F.sequence(F.lit(1), F.lit(40)), lambda j: F.pow(F.lit(2.0), j).cast("long"))
+    powers = F.transform(F.sequence(F.lit(1), F.greatest(F.ceil(F.log2(n)), F.lit(1)).cast("int")), lambda j: F.pow(F.lit(2.0), j).cast("long"))
     below = F.filter(powers, lambda v: v < n)
     return F.when(n > 1, F.concat(below, F.array(n.cast("long"))))
 

@@ -269,6 +269,7 @@ def render_feedback(
         F.concat(text("", "Expected"), F.array(_cut(F.col("expected"), max_chars)))
     )
     error = F.expr(f"substring(actual, {len(ERROR_PREFIX) + 1})")
+    # fixed values: the notes of a truncated and of an unreadable attempt
     cut_note = (
         "Truncated Attempt: Your previous response was too long and truncated because it reached the maximum "
         "response length. Try again with a shorter response."
@@ -328,6 +329,7 @@ def turn_verdicts(turns: DataFrame, truths: DataFrame) -> DataFrame:
     t = truths.join(said, "conv_id", "left")
     reward = A.hash_score(F.coalesce(F.col("__t"), F.lit("")), F.col("ground_truth"))
     done = reward == 1.0
+    # fixed values: the replies
     right = "Your response is correct!"
     wrong = "Your response is incorrect! You need to reflect on your answer and try again."
     return t.select("conv_id", reward.alias("reward"), done.alias("finished"), F.when(done, right).otherwise(wrong).alias("reply"))
