@@ -99,11 +99,12 @@ for _level, _threshold in (("token", 1.0537), ("sequence", 1.2)):
     )
 
 
-def rejection_sql():
-    bounds = O.parse_thresholds(OPTIONS, SPEC)
+def rejection_sql(options, spec):
+    """CTEs up to ``k``: every option's statistic and verdict per token; and the parsed bounds."""
+    bounds = O.parse_thresholds(options, spec)
     k = {"k1": "-lr", "k2": "0.5 * lr * lr", "k3": "exp(lr) - 1 - lr"}
     stats, keeps = [], []
-    for o in OPTIONS:
+    for o in options:
         level, _, kind = o.rpartition("_")
         v = k[kind]
         stats.append(
@@ -117,12 +118,13 @@ def rejection_sql():
         )
         low, high = bounds[o]
         keeps.append(f"(stat_{o} >= ln({low}) AND stat_{o} <= ln({high}))" if low else f"stat_{o} <= {high}")
-    return stats, keeps, bounds
+    kept = ", ".join(f"CAST({c} AS INTEGER) AS keep_{o}" for c, o in zip(keeps, options, strict=True))
+    ctes = f"""{STEPPED}, s AS (SELECT *, {', '.join(stats)} FROM t WINDOW u AS (PARTITION BY sample_id)),
+ k AS (SELECT *, {kept}, mask * CAST({' AND '.join(keeps)} AS INTEGER) AS kept FROM s)"""
+    return ctes, bounds
 
 
-_STATS, _KEEPS, _BOUNDS = rejection_sql()
-REJECTED = f"""{STEPPED}, s AS (SELECT *, {', '.join(_STATS)} FROM t WINDOW u AS (PARTITION BY sample_id)),
- k AS (SELECT *, {', '.join(f'CAST({c} AS INTEGER) AS keep_{o}' for c, o in zip(_KEEPS, OPTIONS, strict=True))}, mask * CAST({' AND '.join(_KEEPS)} AS INTEGER) AS kept FROM s)"""
+REJECTED, _ = rejection_sql(OPTIONS, SPEC)
 register(
     "rejection_mask",
     with_views(
@@ -136,11 +138,12 @@ register(
 )
 
 
-def rejection_metrics_sql():
+def rejection_metrics_sql(options, spec):
+    rejected, bounds = rejection_sql(options, spec)
     per = ["sum(mask) AS n", "sum(mask - kept) AS lost"]
     cells = []
-    for o in OPTIONS:
-        low, high = _BOUNDS[o]
+    for o in options:
+        low, high = bounds[o]
         hi, lo = (f"ln({high})", f"ln({low})") if low else (str(high), "0.0")
         s = f"stat_{o}"
         c = f"least(greatest({s}, {lo}), {hi})"
@@ -173,11 +176,11 @@ def rejection_metrics_sql():
         f"SELECT step, '{o}' AS option, '{m}' AS metric, round(CAST({e} AS DOUBLE), 6) AS value FROM p GROUP BY step" for o, m, e in cells
     )
     return with_views(
-        "loose_tokens rollouts", f"WITH {REJECTED}, p AS MATERIALIZED (SELECT step, sample_id, {', '.join(per)} FROM k GROUP BY 1, 2) {rows}"
+        "loose_tokens rollouts", f"WITH {rejected}, p AS MATERIALIZED (SELECT step, sample_id, {', '.join(per)} FROM k GROUP BY 1, 2) {rows}"
     )
 
 
-register("rejection_metrics", rejection_metrics_sql())(
+register("rejection_metrics", rejection_metrics_sql(OPTIONS, SPEC))(
     lambda spark, sf: O.rejection_metrics(stepped(spark, sf), OPTIONS, SPEC).select(
         "step", "option", "metric", r6("value").alias("value")
     )
@@ -192,23 +195,17 @@ register(
     "drift_metrics",
     with_views("loose_tokens rollouts", f"WITH {STEPPED}, {DRIFT} SELECT step, round(COLUMNS(* EXCLUDE (step)), 6) FROM g"),
 )(lambda spark, sf: rounded(O.drift_metrics(stepped(spark, sf)), ["step"]))
+CORRECTED = (["seq_mean_k1"], f"0.9_{1 / 0.9}")
+# many weights of these tables are 1.05 but for the last bit, so a threshold beside it is compared
 register(
     "correction_metrics",
-    with_views(
-        "loose_tokens rollouts",
-        f"""WITH {STEPPED}, {DRIFT}, u AS (UNPIVOT g ON COLUMNS(* EXCLUDE (step)) INTO NAME metric VALUE value),
- x AS (SELECT step, sample_id, sum(mask) AS n, CASE WHEN sum(mask) > 0 THEN sum(-lr * mask) / (sum(mask) + 1e-8) END AS q FROM t GROUP BY 1, 2)
- SELECT step, 'rollout_corr/' || metric AS metric, round(value, 6) AS value FROM u
- UNION ALL SELECT step, 'rollout_corr/rollout_rs_seq_mean_k1_seq_mean', round(avg(q), 6) FROM x GROUP BY 1
- UNION ALL SELECT step, 'rollout_corr/rollout_rs_seq_masked_fraction', round(avg(CASE WHEN n > 0 AND (q < ln(0.9) OR q > ln(1 / 0.9)) THEN 1.0 ELSE 0 END), 6) FROM x GROUP BY 1""",
-    ),
+    f"""WITH d AS ({with_views("loose_tokens rollouts", f"WITH {STEPPED}, {DRIFT} SELECT * FROM g")}),
+ w AS ({weight_metrics_sql("token", 1.0537)}), r AS ({rejection_metrics_sql(*CORRECTED)})
+ SELECT step, 'rollout_corr/' || metric AS metric, round(value, 6) AS value FROM (UNPIVOT d ON COLUMNS(* EXCLUDE (step)) INTO NAME metric VALUE value)
+ UNION ALL SELECT step, 'rollout_corr/rollout_' || metric, value FROM (UNPIVOT w ON COLUMNS(* EXCLUDE (step)) INTO NAME metric VALUE value)
+ UNION ALL SELECT step, 'rollout_corr/rollout_rs_' || CASE WHEN option = 'all' THEN '' ELSE option || '_' END || metric, value FROM r""",
 )(
-    lambda spark, sf: O.correction_metrics(stepped(spark, sf), "token", 1.05, ["seq_mean_k1"], f"0.9_{1 / 0.9}")
-    .filter(
-        ~F.col("metric").startswith("rollout_corr/rollout_is_")
-        & (~F.col("metric").startswith("rollout_corr/rollout_rs_") | F.col("metric").isin("rollout_corr/rollout_rs_seq_mean_k1_seq_mean", "rollout_corr/rollout_rs_seq_masked_fraction"))
-    )
-    .select("step", "metric", r6("value").alias("value"))
+    lambda spark, sf: O.correction_metrics(stepped(spark, sf), "token", 1.0537, *CORRECTED).select("step", "metric", r6("value").alias("value"))
 )
 register(
     "correct_rollouts",
