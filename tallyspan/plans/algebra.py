@@ -120,6 +120,14 @@ register("reorder_rows", ix("SELECT sample_id, n - 1 - idx AS idx FROM ix"))(
         lambda d: G.reorder(d, attach(d.select("idx"), [], n=F.count(F.lit(1))).select("idx", (F.col("n") - 1 - F.col("idx")).alias("new_idx")))
     )(indexed(spark, sf)).select("sample_id", "idx")
 )
+register("take_rows", ix("SELECT sample_id, 2 * idx + d AS idx FROM ix, (VALUES (0), (1)) v(d)"))(
+    lambda spark, sf: (
+        lambda d: G.take_rows(d, d.select("idx", F.explode(F.array(2 * F.col("idx"), 2 * F.col("idx") + 1)).alias("new_idx")))
+    )(indexed(spark, sf)).select("sample_id", "idx")
+)
+register("rows_of_request", with_views("rollouts", "SELECT sample_id, uid, score FROM rollouts WHERE uid = 7"))(
+    lambda spark, sf: X.by_request(V.rollouts(spark, sf), 7, "uid").select("sample_id", "uid", "score")
+)
 register("split_rows", ix("SELECT idx // 700 AS chunk, count(*) AS rows, min(sample_id) AS first FROM ix GROUP BY 1"))(
     lambda spark, sf: G.split_rows(indexed(spark, sf), 700).groupBy("chunk").agg(F.count(F.lit(1)).alias("rows"), F.min("sample_id").alias("first"))
 )

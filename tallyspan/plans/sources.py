@@ -1,6 +1,7 @@
 """Registered queries that write tables and read them back."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyspan import schemas
 from tallyspan.plans import register
@@ -48,10 +49,27 @@ def read_json_lines(spark, sf):
 def read_json_array(spark, sf):
     path = S.shared_folder(spark, "arrays")
     s = V.table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    S.as_json_array(s, ["nation"], "id").select("nation", "json").repartition("nation").write.partitionBy("nation").text(path)
-    rows = spark.read.option("wholetext", True).text(path)
-    items = F.from_json("value", "array<struct<id:bigint,name:string>>")
-    return rows.select("nation", F.inline(items))
+    S.as_json_array(s, ["nation"], "id").select("nation", "json").repartition("nation").write.option("maxRecordsPerFile", 1).partitionBy("nation").text(path)
+    return R.read_json_array(spark, path, T.StructType.fromDDL("id bigint, name string")).select("nation", "id", "name")
+
+
+@register(
+    "read_input_formats",
+    """SELECT f AS format, s_suppkey AS id, s_name AS name FROM supplier, (VALUES ('parquet'), ('jsonl'), ('json')) v(f)""",
+)
+def read_input_formats(spark, sf):
+    """The same rows through every branch of the reader."""
+    rows = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    schema = T.StructType.fromDDL("id bigint, name string")
+    found = []
+    for fmt in ("parquet", "jsonl", "json"):
+        path = S.shared_folder(spark, "formats-" + fmt) + "." + fmt
+        if fmt == "json":
+            S.as_json_array(rows.withColumn("all", F.lit(0)), ["all"], "id").select("json").write.option("maxRecordsPerFile", 1).text(path)
+        else:
+            rows.write.format("parquet" if fmt == "parquet" else "json").save(path)
+        found.append(R.read_input(spark, path, schema=None if fmt == "jsonl" else schema).select(F.lit(fmt).alias("format"), "id", "name"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @register(
