@@ -323,7 +323,7 @@ HYBRID = """p AS (SELECT r.sample_id, r.uid, r.step, avg(rollout_logp) FILTER (m
  FROM rollouts r LEFT JOIN loose_tokens t USING (sample_id) GROUP BY 1, 2, 3),
  sc AS (SELECT *, coalesce(exp(lp), 0) AS s FROM p),
  g AS (SELECT *, CASE WHEN count(*) OVER u = 1 THEN s / (1 + 1e-6) ELSE (s - avg(s) OVER u) / (stddev_samp(s) OVER u + 1e-6) END AS sa FROM sc WINDOW u AS (PARTITION BY uid)),
- d AS (SELECT t.sample_id, tag, mask, g.step, sa, CASE WHEN mask = 1 THEN exp(rollout_logp) - mp ELSE 0 END AS delta FROM loose_tokens t JOIN g USING (sample_id))"""
+ d AS MATERIALIZED (SELECT t.sample_id, tag, mask, g.step, sa, CASE WHEN mask = 1 THEN exp(rollout_logp) - mp ELSE 0 END AS delta FROM loose_tokens t JOIN g USING (sample_id))"""
 register(
     "adv_hybrid",
     with_views(
