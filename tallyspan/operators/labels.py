@@ -48,12 +48,9 @@ def with_tail(arr: Column) -> Column:
     return F.concat(arr, F.array(F.log(-F.expm1(s))))
 
 
-@F.pandas_udf(T.DoubleType())
-def entropy(arr: pd.Series) -> pd.Series:
-    if not len(arr):
-        return pd.Series([], dtype=float)
-    logp = _matrix(arr)
-    return pd.Series(-(np.exp(logp) * np.maximum(logp, -100.0)).sum(axis=1))
+def entropy(arr: Column) -> Column:
+    """Entropy of a log-prob array of any length; a log-prob below -100 counts as that."""
+    return -total(F.transform(arr, lambda x: F.exp(x) * F.greatest(x, F.lit(-100.0))))
 
 
 def kl(p: Column, q: Column) -> Column:
@@ -266,6 +263,12 @@ def _matrix(arr: pd.Series) -> np.ndarray:
     return np.stack(arr.to_numpy()).astype(float)
 
 
+def _common_size(*arrays: np.ndarray | None) -> int:
+    """Length of the arrays, 0 if one is missing or they differ."""
+    sizes = {0 if a is None else len(a) for a in arrays}
+    return sizes.pop() if len(sizes) == 1 else 0
+
+
 def _norm(logp: np.ndarray) -> np.ndarray:
     return logp - np.logaddexp.reduce(logp, axis=1, keepdims=True)
 
@@ -282,13 +285,21 @@ def clean_teacher(
 
     ``base_topk``, ``full_topk`` and ``answer_topk`` are raw log-probs of the prompt alone, with the
     demonstration and with the answer only. Adds ``beta``, ``clean_topk`` (tail appended, or
-    renormalised), ``cos_full_answer``, ``cos_clean_answer`` and the four entropies ``h_*``.
+    renormalised), ``cos_full_answer``, ``cos_clean_answer`` and the four entropies ``h_*``. Rows may
+    differ in their number of entries; a row whose arrays are null, empty or differ in length gets nulls.
     """
 
     @F.pandas_udf(_CLEAN)
     def run(base: pd.Series, full: pd.Series, answer: pd.Series) -> pd.DataFrame:
-        if not len(base):
-            return pd.DataFrame({f: [] for f in _CLEAN.names})
+        sizes = pd.Series([_common_size(*row) for row in zip(base, full, answer)], index=base.index, dtype=int)
+        none = sizes.index[sizes == 0]
+        parts = [pd.DataFrame({n: [None] * len(none) for n in _CLEAN.names}, index=none, dtype=object)]
+        for size in sorted(set(sizes) - {0}):
+            at = sizes == size
+            parts.append(block(base[at], full[at], answer[at]).set_index(sizes.index[at]).astype(object))
+        return pd.concat(parts).loc[base.index, _CLEAN.names]
+
+    def block(base: pd.Series, full: pd.Series, answer: pd.Series) -> pd.DataFrame:
         raw = [_matrix(x) for x in (base, full, answer)]
         cond = [_norm(x) for x in raw]
         weight = np.exp(cond[0])
