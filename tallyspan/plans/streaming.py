@@ -122,7 +122,7 @@ def rolled(d):
 
 register("version_roll_up", VERSIONS)(lambda spark, sf: rolled(S.version_roll_up(version_log(V.table(spark, sf, "events")))))
 register("version_roll_up_stream", VERSIONS)(
-    lambda spark, sf: rolled(S.run(S.version_roll_up(version_log(S.file_stream(spark, f"{sf}/events*.parquet"))), "complete"))
+    lambda spark, sf: rolled(S.run(S.version_roll_up(version_log(S.file_stream(spark, f"{sf}/events*.parquet"))), "update", ["version", "name"]))
 )
 register(
     "growing_dataset_stream",
@@ -163,6 +163,10 @@ for _form, _sql in WINDOW_SQL.items():
     )
     register(f"metric_windows_{_form}_stream", _sql)(
         lambda spark, sf, form=_form: seconds(
-            S.run(S.windowed_metrics(metric_events(S.file_stream(spark, f"{sf}/events*.parquet")), form), "complete")
+            S.run(
+                S.windowed_metrics(metric_events(S.file_stream(spark, f"{sf}/events*.parquet")), form),
+                "complete" if form == "session" else "update",
+                ["name", "start", "end"],
+            )
         )
     )

@@ -1,7 +1,9 @@
-"""Structured Streaming forms: the same results as the batch operators, from a stream of files.
+"""Structured Streaming forms of batch operators, from a stream of files.
 
 Every function takes a streaming DataFrame. ``run`` drains what is available into a shared folder
-and hands the result back as a table.
+and hands the result back as a table. The forms that follow events of a key one by one (counters,
+assembled batches, readiness) order the events inside a trigger; across triggers a key's events have
+to arrive in the order of ``seq``, as a log does. Then they give what the batch operators give.
 """
 
 from __future__ import annotations
@@ -24,12 +26,13 @@ def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> D
 
 
 def run(stream: DataFrame, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
-    """Drain the stream. "append" keeps all rows, "complete" the last result, "update" the last row of each key."""
+    """Drain the stream. "append" keeps all rows, "complete" the last result, "update" the last row of each
+    key. Every batch has a folder of its own, which a batch that is run again replaces."""
     spark = stream.sparkSession
     out, state = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
 
     def sink(df: DataFrame, batch: int) -> None:
-        df.withColumn("__batch", F.lit(batch)).write.mode("append").parquet(out)
+        df.write.mode("overwrite").parquet(f"{out}/__batch={batch}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", state).foreachBatch(sink).trigger(availableNow=True).start()
     query.awaitTermination()
@@ -120,7 +123,7 @@ def ready(arrivals: DataFrame, sample: str, tasks: dict[str, Sequence[str]]) ->
 
 
 def version_roll_up(log: DataFrame) -> DataFrame:
-    """Metric statistics per parameter version (complete mode); ``metrics.step_rule`` picks one of them."""
+    """Metric statistics per parameter version (update mode); ``metrics.step_rule`` picks one of them."""
     return log.groupBy("version", "name").agg(
         F.max_by("value", "seq").alias("last"), F.sum("value").alias("sum"), F.avg("value").alias("avg"), F.min("value").alias("min"), F.max("value").alias("max")
     )
@@ -139,7 +142,9 @@ WINDOWS: dict[str, Callable[[Column], Column]] = {
 
 
 def windowed_metrics(log: DataFrame, form: str, late: str = "1 hour") -> DataFrame:
-    """Count, sum and maximum per metric and time window; works on batch tables and on streams (complete mode)."""
+    """Count, sum and maximum per metric and time window; works on batch tables and on streams. In update
+    mode the watermark lets the state of past windows go and drops what comes later than ``late``;
+    sessions, which have no update mode, take append or complete mode."""
     w = WINDOWS[form](F.col("ts"))
     source = log.withWatermark("ts", late) if log.isStreaming else log
     d = source.groupBy("name", w.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.max("value").alias("top"))

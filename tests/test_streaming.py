@@ -37,3 +37,17 @@ def test_replay_matches_a_fifo(spark, block):
     kinds = [k for k, _ in fate.values()]
     assert (s["produced"], s["dropped"], s["consumed"]) == (len(kinds), kinds.count("dropped"), kinds.count("consumed"))
     assert kinds.count("dropped") > 0
+
+
+def test_streams_of_several_files_give_the_batch_result(spark, tmp_path):
+    from tallyspan.streaming import live as S
+
+    rows = [(f"n{i % 3}", float(i), i, i // 20) for i in range(120)]
+    log = spark.createDataFrame(rows, "name string, value double, seq long, version long")
+    for part in range(4):
+        log.filter(f"seq >= {30 * part} and seq < {30 * part + 30}").coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    stream = S.file_stream(spark, str(tmp_path / "log"))
+    got = S.run(S.version_roll_up(stream), "update", ["version", "name"]).collect()
+    key = lambda r: (r["version"], r["name"], r["last"], r["sum"], r["min"], r["max"])
+    assert sorted(map(key, got)) == sorted(map(key, S.version_roll_up(log).collect()))
+    assert S.run(stream).count() == 120
