@@ -34,7 +34,7 @@ PROJECTED, CONFIDENCE = 8, 0.99
 #: Vectors that the splits are fitted on, rows of a cell on average, queries of a block in a cell.
 SAMPLE, CELL, QUERIES = 16_384, 2_048, 2_048
 #: Candidates verified between two stopping tests.
-STEP = 64
+STEP = 128
 
 
 def chi_square_quantile(p: float, degrees: int) -> float:
@@ -114,13 +114,15 @@ class Cell:
     def __init__(self, vectors: np.ndarray, ids: list[list[int]], planes: np.ndarray, k: int, quantile: float):
         self.vectors, self.ids, self.k, self.quantile = vectors, ids, k, quantile
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
+        self.units = vectors / self.norms[:, None]
         self.planes = planes
-        self.projected = _units(vectors) @ planes if len(vectors) else np.zeros((0, planes.shape[1]))
+        self.projected = self.units @ planes if len(vectors) else np.zeros((0, planes.shape[1]))
 
     def search(self, query: np.ndarray, bound2: float) -> list[tuple[float, int]]:
         """At most k best of the cell as (score, id), best first; ``bound2`` is a squared distance
         that the k-th neighbour is known not to exceed."""
-        gap = self.projected - _units(query[None, :]) @ self.planes
+        unit = _units(query[None, :])
+        gap = self.projected - unit @ self.planes
         far2 = (gap * gap).sum(axis=1)
         order = np.flatnonzero(far2 <= self.quantile * bound2 + 1e-9)
         order = order[np.argsort(far2[order], kind="stable")]
@@ -129,6 +131,10 @@ class Cell:
             if far2[order[at]] > self.quantile * bound2 + 1e-9:
                 break  # the test: with the stated confidence nothing nearer is left
             some = order[at : at + STEP]
+            # a screen, then the exact measure for what may be among the best
+            some = some[self.units[some] @ unit[0] >= 1.0 - bound2 / 2 - 1e-9]
+            if not len(some):
+                continue
             scores = cosines(self.vectors[some], self.norms[some], query).tolist()
             best += [(s, i) for s, p in zip(scores, some) for i in self.ids[p]]
             best = sorted(best, key=lambda x: (-x[0], x[1]))[: self.k]
