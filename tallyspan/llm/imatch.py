@@ -19,6 +19,8 @@ Extra columns are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ BUCKET_BITS = 20
 #: Band of document frequency: at least this share and two documents, at most that share.
 LEAST_SHARE, MOST_SHARE = 3e-6, 0.05
 SUBSETS, MIN_TERMS = 32, 4
+#: What xxhash64 gives for nothing.
+SEED = 42
 #: Documents of neighbouring ids that look for their next document in one window.
 ID_BLOCK = 256
 
@@ -58,39 +62,53 @@ def lexicon(texts: DataFrame) -> DataFrame:
     return filled.agg(F.transform(listed, lambda x: x["bits"]).alias("lexicon"))
 
 
-def _residue(h: Column, level: Column) -> Column:
-    """Bits of the hash that do not choose its bucket."""
-    mask = F.pow(F.lit(2.0), level).cast("long") - 1
-    return F.shiftright(h, 24).bitwiseAND(mask)
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), lambda v: use(v))[0]
 
 
-def fingerprint(text: Column, band: Column) -> Column:
-    """``level:hash.hash...``, SUBSETS hashes of the level and as many of the next."""
-    every = terms(text)
+def _in_band(h: Column, band: Column) -> Column:
+    bucket = _bucket(h)
+    word = F.get(band, F.shiftright(bucket, 6).cast("int"))
+    return F.call_function("shiftright", word, bucket.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-    def chosen(every: Column) -> Column:
-        inside = F.filter(every, lambda h: F.get(band, F.shiftright(_bucket(h), 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))) != 0)
-        return F.transform(
-            F.array(inside),
-            lambda some: F.when(F.size(some) >= MIN_TERMS, some).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text))),
-        )[0]
 
-    def hashes(some: Column, level: Column) -> Column:
-        few = F.sort_array(F.filter(some, lambda h: _residue(h, level) < SUBSETS))
+def _hashes(some: Column, level: Column) -> Column:
+    """One hash for each of the level's subsets, or an empty string."""
 
-        def subset(few: Column, j: Column) -> Column:
-            part = F.filter(few, lambda h: _residue(h, level) == j)
-            return F.when(F.exists(few, lambda h: _residue(h, level) == j), F.lpad(F.lower(F.hex(F.shiftrightunsigned(F.xxhash64(part), 32))), 8, "0")).otherwise("")
+    def of(mask: Column) -> Column:
+        # the upper 40 bits of a term do not choose its bucket; their remainder is the subset and leads the key
+        upper = lambda h: F.shiftrightunsigned(h, 24)
+        few = F.filter(F.transform(some, upper), lambda u: u.bitwiseAND(mask) < SUBSETS)
+        return bound(F.sort_array(F.transform(few, lambda u: F.shiftleft(u.bitwiseAND(mask), 40).bitwiseOR(u))), each)
 
+    def each(keys: Column) -> Column:
         numbers = F.sequence(F.lit(0).cast("long"), F.lit(SUBSETS - 1).cast("long"))
-        return F.transform(F.array(few), lambda few: F.transform(numbers, lambda j: subset(few, j)))[0]
+        values = F.transform(numbers, lambda j: F.xxhash64(F.filter(keys, lambda k: F.shiftright(k, 40) == j)))
+        # the hash of no key is the seed
+        return F.transform(values, lambda v: F.when(v == SEED, "").otherwise(F.lpad(F.lower(F.hex(F.shiftrightunsigned(v, 32))), 8, "0")))
+
+    return bound(F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1, of)
 
-    def whole(some: Column) -> Column:
-        level = F.floor(F.log2(F.size(some).cast("double")))
-        return F.concat(level.cast("string"), F.lit(":"), F.array_join(F.concat(hashes(some, level), hashes(some, level + 1)), "."))
 
-    # one-element arrays bind a value to a name, so that it is computed once
-    return F.transform(F.transform(F.array(every), chosen), whole)[0]
+def fingerprint(text: Column, band: Column) -> Column:
+    """``level:hash.hash...``, SUBSETS hashes of the level and as many of the next."""
+
+    def chosen(every: Column) -> Column:
+        return bound(
+            F.filter(every, lambda h: _in_band(h, band)),
+            lambda some: F.when(F.size(some) >= MIN_TERMS, some).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text))),
+        )
+
+    def whole(some: Column) -> Column:
+        return bound(
+            F.floor(F.log2(F.size(some).cast("double"))).cast("int"),
+            lambda level: F.concat(
+                level.cast("string"), F.lit(":"), F.array_join(F.concat(_hashes(some, level), _hashes(some, level + 1)), ".")
+            ),
+        )
+
+    return bound(bound(terms(text), chosen), whole)
 
 
 def with_fingerprint(df: DataFrame, band: DataFrame, text_col: str, out: str) -> DataFrame:
