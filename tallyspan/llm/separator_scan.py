@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import in_batches, saved, shared_folder, utf8
+from tallyspan.llm.common import few_rows, in_batches, saved, shared_folder, utf8
 from tallyspan.llm.swap_packing import word_ids
 from tallyspan.spread import df_col
 
@@ -41,6 +41,7 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:
     """Write flat files of ``width``-byte ids; returns ``file, bytes, document, doc_id`` with the
     position of each document in its file."""
+    few_rows(docs.sparkSession)
     folder = f"{shared_folder(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
     store, path = _open(folder)
     store.create_dir(path, recursive=True)
@@ -115,4 +116,5 @@ def token_counts(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
     written = write_tokens(docs, tokenizer, end_id, id_col, text_col)
     files = written.groupBy("file").agg(F.first("bytes").alias("bytes"))
     counted = scan(files, end_id, block=block)
-    return counted.join(written.select("file", "document", "doc_id"), ["file", "document"]).select("doc_id", "n_tokens")
+    # file names shrink to little in a shuffle; a merge keeps them from being broadcast
+    return counted.join(written.select("file", "document", "doc_id").hint("merge"), ["file", "document"]).select("doc_id", "n_tokens")
