@@ -16,12 +16,22 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyspan.spread import durable
 
 #: Distinct words that a task remembers; the memory is emptied when it is full.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
+#: Rows that are Python objects at a time.
+ROWS = 2_048
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def few_rows(spark: SparkSession) -> None:
+    """Arrow batches of ROWS rows unless the session sets another number than Spark's own: texts are
+    long, and a batch is in memory several times, in the JVM and in Python."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(ROWS))
+
+
 def utf8(name: str) -> Column:
     """The text as UTF-8 bytes; a null text counts as empty."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("")).cast("binary")
@@ -29,13 +39,13 @@ def utf8(name: str) -> Column:
 
 def in_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """``mapInArrow`` with Python lists: fn gets the columns of a batch and returns those of the schema."""
+    few_rows(df.sparkSession)
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = fn(batch.to_pydict())
-            if out:
-                yield pa.RecordBatch.from_pydict(out, schema=arrow)
+            for at in range(0, batch.num_rows, ROWS):
+                yield pa.RecordBatch.from_pydict(fn(batch.slice(at, ROWS).to_pydict()), schema=arrow)
 
     return df.mapInArrow(run, schema)
 

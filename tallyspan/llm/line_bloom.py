@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import free_names, in_batches, saved, utf8
+from tallyspan.llm.common import few_rows, free_names, in_batches, saved, utf8
 from tallyspan.spread import attach, df_col
 
 MIN_CHARS = 10
@@ -156,6 +156,7 @@ def dedup_lines(
     smaller id holds too is gone. The key is the line without ASCII white space at both ends, A-Z
     lower-cased. ``power`` sets the filter's size (log2 of its bits) instead of the count of lines."""
     spark = docs.sparkSession
+    few_rows(spark)
     docs = docs.select(*[df_col(c) for c in docs.columns if c.lower() not in ("kept_text", "n_lines", "n_dropped")])
     if power is None:
         text = F.coalesce(df_col(text_col), F.lit(""))

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import utf8
+from tallyspan.llm.common import few_rows, utf8
 
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -142,6 +142,7 @@ def _spans(texts: pd.Series) -> pd.Series:
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", out: str = "spans") -> DataFrame:
     """``docs`` with an array of ``kind, start, end`` by start, then kind."""
+    few_rows(docs.sparkSession)
     return docs.withColumn(out, F.pandas_udf(_spans, SPANS)(utf8(text_col)))
 
 
