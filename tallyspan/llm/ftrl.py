@@ -17,19 +17,21 @@ through; one named like the result is replaced by it.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import WordHashes, in_batches, mixed, utf8
+from tallyspan.llm.common import ROWS, WordHashes, few_rows, mixed, utf8
 from tallyspan.spread import df_col, top_k
 
 POWER = 20
 #: Labelled documents that training sees at most.
 SAMPLE = 20_000
-EPOCHS, ALPHA, BETA, L1, L2 = 4, 3.0, 1.0, 6.0, 0.1
+EPOCHS, ALPHA, BETA, L1, L2 = 10, 3.0, 1.0, 6.0, 0.1
 _GAP = np.uint64(0x632BE59BD9B4E019)
 
 
@@ -69,27 +71,35 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     known = known.groupBy(df_col(id_col).cast("long").alias("doc_id")).agg(F.max(df_col(label_col).cast("int")).alias("label"))
     known = known.withColumn("turn", F.xxhash64("doc_id")).orderBy("turn", "doc_id").limit(sample)
     texts = docs.select(df_col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
-    chosen = texts.join(known, "doc_id")
+    chosen = texts.join(F.broadcast(known), "doc_id")  # at most ``sample`` rows of three numbers
     chosen = top_k(chosen, ["doc_id"], [F.col("text")], 1)  # a document that is there twice teaches once
     hashes = WordHashes()
 
-    def numbers(batch: dict[str, list]) -> dict[str, list]:
-        found = [feature_numbers(t, hashes).tolist() for t in batch["text"]]
-        return {"doc_id": batch["doc_id"], "turn": batch["turn"], "label": batch["label"], "features": found}
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
+                found = [feature_numbers(t, hashes) for t in batch.column("text").to_pylist()]
+                ends = np.cumsum([0, *map(len, found)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in known_columns), lists], [*known_columns, "features"])
 
-    rows = in_batches(chosen.select("doc_id", "turn", "label", "text"), numbers, "doc_id long, turn long, label int, features array<int>")
+    known_columns = ["doc_id", "turn", "label"]
+    rows = chosen.select(*known_columns, "text").mapInArrow(numbers, "doc_id long, turn long, label int, features array<int>")
 
     def fit(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("turn", "ascending"), ("doc_id", "ascending")])
-        y = table.column("label").to_numpy()
-        lists = table.column("features").combine_chunks()
-        flat, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
+        # the lists stay where Arrow has them; only their order is sorted
+        texts = [f.flatten().to_numpy() for f in table.column("features").chunks]
+        sizes = [f.value_lengths().to_numpy() for f in table.column("features").chunks]
+        place = [(c, int(e - n), int(e)) for c, ns in enumerate(sizes) for n, e in zip(ns, np.cumsum(ns))]
+        y, turn, ids = (table.column(c).to_numpy() for c in ("label", "turn", "doc_id"))
+        order = np.lexsort((ids, turn))
         model = Ftrl()
         if 0 < y.sum() < len(y):
-            starts = ends - lists.value_lengths().to_numpy()
             for _ in range(EPOCHS):
-                for a, b, label in zip(starts, ends, y):
-                    model.learn(np.concatenate([[0], flat[a:b]]), int(label))
+                for i in order.tolist():
+                    c, a, b = place[i]
+                    model.learn(np.concatenate([[0], texts[c][a:b]]), int(y[i]))
         w = model.weights(slice(None))
         kept = np.flatnonzero(w)
         return pa.table({"number": pa.array(kept, pa.int32()), "weight": pa.array(w[kept], pa.float64())})
@@ -125,5 +135,6 @@ def toxicity(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", out: str = "score"
 ) -> DataFrame:
     """``docs`` with ``score``, learned from the labelled rows that are not held out."""
+    few_rows(docs.sparkSession)
     teaching = labels.filter(~held_out(df_col(id_col)))
     return score(docs, train(docs, teaching, id_col, text_col, label_col), text_col, out)
