@@ -6,7 +6,7 @@ being a task's work whatever the size of the input. In a shard, pieces go longes
 fullest sequence that has room. Then a local search takes the emptiest sequence as the source and
 moves one of its pieces into a gap, exchanges one piece for a shorter one of another sequence, or
 two pieces for one, whenever the fuller side gets fuller; the sum of squared fills only grows, and a
-source that runs empty is gone.
+source that runs empty is gone. The search ends at the lower bound or after ``PASSES``.
 
 Defined results: a null text is an empty one and holds its end token alone; rows that share an id are
 packed each; a null id is kept as it is; no document, no sequence. Extra columns are not read.
@@ -14,7 +14,6 @@ packed each; a null id is kept as it is; no document, no sequence. Extra columns
 
 from __future__ import annotations
 
-import bisect
 import functools
 import re
 
@@ -25,13 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyspan.llm.common import CACHE_WORDS, in_batches, utf8
+from tallyspan.llm.common import in_batches, utf8
 from tallyspan.spread import df_col
 
+#: Stretches of text that a worker remembers the ids of.
+CACHE_STRETCHES = 400_000
 #: Documents of a shard, on average.
 SHARD = 20_000
-#: Swap and move attempts on one source sequence, and sources tried, per shard.
-ATTEMPTS, SOURCES = 64, 100
+#: The search in a shard: passes over its sequences, sources a pass, changes a source, pairs a source offers.
+PASSES, SOURCES, ATTEMPTS, OFFERS = 3, 60, 24, 32
 
 
 class WordIds:
@@ -79,14 +80,15 @@ class WordIds:
         return list(filter(None, _BLANK(" ", text).split(" ")))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
+        if len(self.known) > CACHE_STRETCHES:
             self.known.clear()
-        new: set[str] = set()
-        for text in texts:
-            new.update(self._cut(text))
-        if new := new - self.known.keys():
-            self._learn(new)
-        return [b"".join(map(self.known.__getitem__, self._cut(t))) for t in texts]
+        out = []
+        for at in range(0, len(texts), 512):
+            cut = [self._cut(t) for t in texts[at : at + 512]]
+            if new := set().union(*cut) - self.known.keys():
+                self._learn(new)
+            out += [b"".join(map(self.known.__getitem__, c)) for c in cut]
+        return out
 
 
 _LATIN_END = "\u0250"  # letters before it are composed and have plain lower-case forms
@@ -152,71 +154,67 @@ class Shard:
                 rooms |= 1 << left
 
     def improve(self) -> None:
-        """Empty the emptiest sequences by moves and swaps that raise the sum of squared fills."""
+        """Moves and swaps that raise the sum of squared fills, the emptiest sequences first, until a
+        pass over them finds none."""
         least = -(-int(self.len.sum()) // self.capacity)
-        given_up: set[int] = set()
-        used = sum(1 for b in self.bins if b)
-        for _ in range(SOURCES):
-            if used <= least:
-                return
-            open_bins = [b for b in range(len(self.bins)) if self.bins[b] and self.room[b] and b not in given_up]
-            if len(open_bins) < 2:
+        self.free = np.array(self.room, dtype=np.int64)
+        self.home = np.zeros(len(self.len), np.int64)
+        for b, items in enumerate(self.bins):
+            self.home[items] = b
+        for _ in range(PASSES):
+            changed = 0
+            open_bins = np.flatnonzero((self.free > 0) & (self.free < self.capacity))
+            for source in open_bins[np.argsort(-self.free[open_bins], kind="stable")][:SOURCES].tolist():
+                for _ in range(ATTEMPTS):
+                    if sum(1 for b in self.bins if b) <= least:
+                        return
+                    if not self.bins[source] or not (self._move(source) or self._swap(source)):
+                        break
+                    changed += 1
+            if not changed:
                 return
-            source = max(open_bins, key=lambda b: (self.room[b], -b))
-            if self._empty(source, [b for b in open_bins if b != source]):
-                used -= 1
-            else:
-                given_up.add(source)
-
-    def _empty(self, source: int, others: list[int]) -> bool:
-        for _ in range(ATTEMPTS):
-            if not self.bins[source]:
-                return True
-            if not (self._move(source, others) or self._swap(source, others)):
-                break
-        return not self.bins[source]
 
     def _shift(self, out: list[int], back: list[int], source: int, target: int) -> None:
-        for i in out:
-            self.bins[source].remove(i)
-            self.bins[target].append(i)
-        for i in back:
-            self.bins[target].remove(i)
-            self.bins[source].append(i)
-        gain = int(self.len[out].sum()) - int(self.len[back].sum() if back else 0)
-        self.room[source] += gain
-        self.room[target] -= gain
-
-    def _move(self, source: int, others: list[int]) -> bool:
+        for items, old, new in ((out, source, target), (back, target, source)):
+            for i in items:
+                self.bins[old].remove(i)
+                self.bins[new].append(i)
+                self.home[i] = new
+                self.free[old] += self.len[i]
+                self.free[new] -= self.len[i]
+
+    def _fuller(self, source: int) -> np.ndarray:
+        """Sequences that a gain makes the fuller side of the two still fuller."""
+        fuller = self.free <= self.free[source]
+        fuller[source] = False
+        return fuller
+
+    def _move(self, source: int) -> bool:
         """One piece into the tightest gap that takes it, the longest piece first."""
-        gaps = sorted((self.room[b], b) for b in others if self.room[b])
+        fuller = self._fuller(source)
         for i in sorted(self.bins[source], key=lambda i: -self.len[i]):
-            at = bisect.bisect_left(gaps, (int(self.len[i]), -1))
-            if at < len(gaps):
-                self._shift([i], [], source, gaps[at][1])
+            gap = np.where(fuller & (self.free >= self.len[i]), self.free, self.capacity + 1)
+            target = int(gap.argmin())
+            if gap[target] <= self.capacity:
+                self._shift([i], [], source, target)
                 return True
         return False
 
-    def _swap(self, source: int, others: list[int]) -> bool:
+    def _swap(self, source: int) -> bool:
         """One or two pieces of the source for one shorter piece elsewhere, with the largest gain."""
-        item = np.array([i for b in others for i in self.bins[b]], dtype=np.int64)
-        home = np.array([b for b in others for _ in self.bins[b]], dtype=np.int64)
-        if not len(item):
-            return False
-        size, room = self.len[item], np.array(self.room, dtype=np.int64)[home]
-        fuller = self.capacity - room >= self.capacity - self.room[source]
-        own = self.bins[source]
-        offers = [[i] for i in own] + [[i, j] for k, i in enumerate(own) for j in own[k + 1 :]][:256]
+        room = np.where(self._fuller(source), self.free, 0)[self.home]
+        own = sorted(self.bins[source], key=lambda i: -self.len[i])
+        offers = [[i] for i in own] + [[i, j] for k, i in enumerate(own) for j in own[k + 1 :]][:OFFERS]
         best, choice = 0, None
         for offer in offers:
-            gain = int(self.len[offer].sum()) - size
-            gain = np.where((gain > 0) & (gain <= room) & fuller, gain, 0)
+            gain = int(self.len[offer].sum()) - self.len
+            gain = np.where((gain > 0) & (gain <= room), gain, 0)
             at = int(gain.argmax())
             if gain[at] > best:
                 best, choice = int(gain[at]), (offer, at)
         if choice is None:
             return False
-        self._shift(choice[0], [int(item[choice[1]])], source, int(home[choice[1]]))
+        self._shift(choice[0], [choice[1]], source, int(self.home[choice[1]]))
         return True
 
 
