@@ -18,28 +18,33 @@ replaced by it.
 
 from __future__ import annotations
 
+import array
 import base64
 import functools
 import heapq
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyspan.llm.common import CACHE_WORDS, free_names, utf8
+from tallyspan.llm.common import few_rows, free_names, utf8
 from tallyspan.spread import df_col
 
 #: Pieces longer than this have a queue of their own and are not remembered.
 SHORT_BYTES = 64
+#: Pieces that a task remembers, texts whose new pieces share a queue.
+CACHE_PIECES, TOGETHER = 250_000, 2048
 _BITS = 64
 
 
+_LOOSE_MARK = re.compile(r"[\W_][,.]|^[,.]").search
+
+
 class Bitmap:
     """A set of ranks; ``first`` finds the smallest by find-first-set on three levels."""
 
@@ -70,24 +75,31 @@ class Bitmap:
                 self.top &= ~(1 << group)
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """A file of lines of base64 token and rank."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, map(bytes.strip, lines)))}
+
+
 class Bpe:
-    """Encoder and decoder for a file of ranks (lines of base64 token and rank) and a splitting pattern."""
+    """Encoder for a file of ranks (lines of base64 token and rank) and a splitting pattern."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, map(bytes.strip, lines)))}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.ranks = read_ranks(path)
         self.pieces = regex.compile(pattern).findall
-        # where white space is single blanks and line ends between other characters, and commas and full
-        # stops follow letters or digits, pieces end there
-        self.uneven = regex.compile(r"[^\S \n]|\s\s|^\s|\s\Z|(?:[^\p{L}\p{N}]|^)[,.]").search
+        # does the pattern end pieces where _chunks cuts?
         self.cuts = self.pieces("a b,\nc1. d") == ["a", " b", ",", "\n", "c", "1", ".", " d"]
         self.known: dict[str, bytes] = {}
         # every way to make a token of two tokens
-        pairs = [(self.ranks[t[:i]] << 32 | self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        pairs.sort()
-        self.pair_keys = np.array([k for k, _ in pairs], np.int64)
-        self.pair_ranks = np.array([r for _, r in pairs], np.int64)
+        get, keys, ranks = self.ranks.get, array.array("q"), array.array("i")
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                left, right = get(token[:i]), get(token[i:])
+                if left is not None and right is not None:
+                    keys.append(left << 32 | right)
+                    ranks.append(rank)
+        order = np.argsort(np.array(keys))
+        self.pair_keys, self.pair_ranks = np.array(keys)[order], np.array(ranks, np.int64)[order]
         self.byte_ids = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -143,14 +155,14 @@ class Bpe:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         data = np.frombuffer(b"".join(pieces), np.uint8)
         n = len(data)
-        owner = np.repeat(np.arange(len(pieces)), sizes)
+        owner = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
         ends = np.cumsum(sizes)
         symbol = self.byte_ids[data]
-        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
         after[ends - 1] = -1
         before[ends - sizes] = -1
-        current = np.full(n, -1, np.int64)  # rank of the pair that begins here
-        inner = np.flatnonzero(after >= 0)
+        current = np.full(n, -1, np.int32)  # rank of the pair that begins here
+        inner = np.flatnonzero(after >= 0).astype(np.int32)
         current[inner] = self._rank(symbol[inner], symbol[after[inner]])
         buckets: dict[int, list[np.ndarray]] = {}
         filled = Bitmap()
@@ -207,7 +219,7 @@ class Bpe:
         ranks, known, single = self.ranks, self.known, []
         split: dict[str, list[str]] = {}
         for chunk in chunks:
-            if (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
+            if self.cuts and (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
                 single.append(chunk)
             else:
                 split[chunk] = self.pieces(chunk)
@@ -225,31 +237,58 @@ class Bpe:
             known.update(zip(new, self.merge_all([p.encode("utf-8") for p in new])))
         known.update((c, b"".join(map(known.__getitem__, parts))) for c, parts in split.items())
 
-    def _chunks(self, text: str) -> list[str]:
-        """The text cut where pieces end anyway: before a blank or line end among other characters,
-        after a line end, and before a comma or full stop that follows a letter or digit."""
-        if not self.cuts or self.uneven(text) or "\0" in text:
+    def _even(self, text: str) -> bool:
+        """Is white space single blanks and line ends among other characters, and does every comma and
+        full stop follow a letter or digit? Then pieces end there."""
+        if not self.cuts or not text or text[0].isspace() or text[-1].isspace() or "\0" in text:
+            return False
+        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _LOOSE_MARK(text):
+            return False
+        return len(text.split()) == text.count(" ") + text.count("\n") + 1
+
+    def _chunks(self, text: str, even: bool) -> list[str]:
+        """The text cut before blanks, commas and full stops and around line ends, if that is even;
+        else its pieces."""
+        if not even:
             return self.pieces(text)
-        for mark in (" ", ",", "."):
-            text = text.replace(mark, "\0" + mark)
+        text = text.replace(" ", "\0 ").replace(",", "\0,").replace(".", "\0.")
         return list(filter(None, text.replace("\n", "\0\n\0").split("\0")))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new: set[str] = set()
-        for text in texts:
-            new.update(self._chunks(text))
-        if new := new - self.known.keys():
-            self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, self._chunks(t))) for t in texts]
-        for piece in [p for p in new if len(p) > SHORT_BYTES]:
-            del self.known[piece]
+        out: list[bytes] = []
+        for at in range(0, len(texts), TOGETHER):
+            if len(self.known) > CACHE_PIECES:
+                self.known.clear()
+            some, new = [(t, self._even(t)) for t in texts[at : at + TOGETHER]], set()
+            for text, even in some:
+                new.update(self._chunks(text, even))
+            new -= self.known.keys()
+            if new:
+                self._learn(new)
+            out += [b"".join(map(self.known.__getitem__, self._chunks(t, even))) for t, even in some]
+            for piece in [p for p in new if len(p) > SHORT_BYTES]:
+                del self.known[piece]
         return out
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+
+class Tokens:
+    """Decoder: the bytes of all tokens in one array."""
+
+    def __init__(self, path: str):
+        tokens = sorted((rank, token) for token, rank in read_ranks(path).items())
+        self.size = np.zeros(tokens[-1][0] + 1, np.int32)
+        self.size[[rank for rank, _ in tokens]] = [len(token) for _, token in tokens]
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(token for _, token in tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of all ids in turn."""
+        size = self.size[ids]
+        if len(ids) and not size.all():
+            raise ValueError("an id is no token")
+        begin = self.start[ids] - (np.cumsum(size) - size)
+        return self.data[np.repeat(begin, size) + np.arange(int(size.sum()))].tobytes()
 
 
 @functools.cache
@@ -258,32 +297,48 @@ def bpe(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of the text as ``array<int>``."""
-    docs = docs.select(*[df_col(c) for c in docs.columns if c.lower() != out.lower()])
-    (work,) = free_names(docs, "text_bytes")
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+@functools.cache
+def tokens(path: str) -> Tokens:
+    return Tokens(path)
+
+
+def _mapped(df: DataFrame, work: str, out: str, kind: T.DataType, columns: list[str], make: Callable[[pa.Array], pa.Array]) -> DataFrame:
+    """``columns`` of ``df``, and ``out`` made from the column ``work`` a few rows at a time."""
+    few_rows(df.sparkSession)
+    schema = T.StructType([*(df.schema[c] for c in columns), T.StructField(out, kind)])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t.decode("utf-8", "replace") for t in batch.column(work).to_pylist()]
-            ids = bpe(ranks, pattern).encode_all(texts)
-            ends = np.cumsum([0, *(len(x) // 4 for x in ids)])
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            columns = [*(batch.column(i) for i, name in enumerate(batch.schema.names) if name != work), column]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(at, TOGETHER)
+                made = [*(batch.column(c) for c in columns), make(batch.column(work))]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, arrow)], schema=arrow)
+
+    return df.select(*[df_col(c) for c in (*columns, work)]).mapInArrow(run, schema)
+
+
+def _kept(docs: DataFrame, columns: list[str] | None, out: str) -> list[str]:
+    return [c for c in (docs.columns if columns is None else columns) if c.lower() != out.lower()]
+
+
+def encode(docs: DataFrame, ranks: str, pattern: str, text_col: str = "text", out: str = "ids", columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its ``columns``) with the token ids of the text as ``array<int>``."""
+    (work,) = free_names(docs, "text_bytes")
+
+    def ids(texts: pa.Array) -> pa.Array:
+        coded = bpe(ranks, pattern).encode_all([t.decode("utf-8", "replace") for t in texts.to_pylist()])
+        ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(coded), "<i4")))
 
-    return docs.withColumn(work, utf8(text_col)).mapInArrow(run, schema)
+    return _mapped(docs.withColumn(work, utf8(text_col)), work, out, T.ArrayType(T.IntegerType()), _kept(docs, columns, out), ids)
 
 
-def decode(docs: DataFrame, ranks: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``docs`` with the bytes that the ids stand for."""
+def decode(docs: DataFrame, ranks: str, ids_col: str = "ids", out: str = "decoded", columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its ``columns``) with the bytes that the ids stand for; null ids give null."""
+    (work,) = free_names(docs, "ids_read")
 
-    @F.pandas_udf("binary")
-    def joined(ids: pd.Series) -> pd.Series:
-        decoder = bpe(ranks, pattern)
-        return pd.Series([None if x is None else decoder.decode(x.tolist()) for x in ids], dtype=object)
+    def joined(ids: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else tokens(ranks).decode(x.values.to_numpy()) for x in ids], pa.binary())
 
-    return docs.withColumn(out, joined(F.col(f"`{ids_col}`")))
+    return _mapped(docs.withColumn(work, df_col(ids_col)), work, out, T.BinaryType(), _kept(docs, columns, out), joined)

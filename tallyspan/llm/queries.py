@@ -99,8 +99,8 @@ def op9_secrets_scan(spark: SparkSession, sf: str) -> DataFrame:
 @register("op10_bpe_queue")
 def op10_bpe_queue(spark: SparkSession, sf: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe_queue.encode(_read(spark, sf, "documents").select("doc_id", "text"), ranks, pattern).drop("text")
-    out = bpe_queue.decode(coded, ranks, pattern)
+    coded = bpe_queue.encode(_read(spark, sf, "documents"), ranks, pattern, columns=["doc_id"])
+    out = bpe_queue.decode(coded, ranks)
     listed = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
     return out.select(
         "doc_id",

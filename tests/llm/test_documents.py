@@ -22,6 +22,8 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, spans string, kept_text string, ids string, text_hash string"
 
+SCHEMA_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+
 
 def vocabulary(rng, n=400):
     return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n)]
@@ -172,7 +174,6 @@ def test_fingerprint_query(spark, sf):
     df = Counter(b for t in texts for b in Counter(h & mask for h in brute_terms(t)).elements())
     n = len(texts)
     band = {b for b, c in df.items() if max(2, n * imatch.LEAST_SHARE) <= c <= max(2, n * imatch.MOST_SHARE)}
-    signed = lambda h: h - (1 << 64) if h >> 63 else h
 
     def fingerprint(text):
         terms = brute_terms(text)
@@ -182,10 +183,10 @@ def test_fingerprint_query(spark, sf):
         parts = []
         for at in (level, level + 1):
             for j in range(imatch.SUBSETS):
-                part = sorted(signed(h) for h in some if (signed(h) >> 24) & ((1 << at) - 1) == j)
+                part = sorted(j << 40 | h >> 24 for h in some if (h >> 24) & ((1 << at) - 1) == j)
                 value = 42
-                for h in part:
-                    value = xxhash.xxh64_intdigest((h & (2**64 - 1)).to_bytes(8, "little"), value)
+                for key in part:
+                    value = xxhash.xxh64_intdigest(key.to_bytes(8, "little"), value)
                 parts.append(f"{value >> 32:08x}" if part else "")
         return f"{level}:{'.'.join(parts)}"
 
@@ -437,7 +438,9 @@ def test_bpe_equals_the_library(library):
     texts += ["".join(rng.choice("abcdefgh") for _ in range(20_000))]
     ids = [np.frombuffer(x, "<i4").tolist() for x in coder.encode_all(texts)]
     assert ids == [library.encode_ordinary(t) for t in texts]
-    assert [coder.decode(x) for x in ids] == [t.encode() for t in texts]
+    assert [bpe_queue.tokens(RANKS).decode(np.array(x, np.int32)) for x in ids] == [t.encode() for t in texts]
+    with pytest.raises((ValueError, IndexError)):
+        bpe_queue.tokens(RANKS).decode(np.array([50_256]))
     # one queue for many pieces and a queue for each give the same
     pieces = [w.encode() for w in {"".join(rng.choice("aeinorst") for _ in range(rng.randint(2, 40))) for _ in range(300)} if w.encode() not in coder.ranks]
     assert [np.frombuffer(x, "<i4").tolist() for x in coder.merge_all(pieces)] == [coder.merge(p) for p in pieces]
@@ -454,7 +457,8 @@ def test_bpe_query(spark, sf, library):
 
 def test_bpe_edge_rows(spark):
     coded = bpe_queue.encode(frame(spark, EDGE), RANKS, public_tokenizers.PATTERN)
-    got = bpe_queue.decode(coded, RANKS, public_tokenizers.PATTERN).orderBy("doc_id").collect()
+    assert coded.columns == [*(c for c in SCHEMA_NAMES if c != "ids"), "ids"]
+    got = bpe_queue.decode(coded, RANKS).orderBy("doc_id").collect()
     assert [bytes(r["decoded"]).decode() for r in got] == [t or "" for t in EDGE]
     assert bpe_queue.encode(frame(spark, []), RANKS, public_tokenizers.PATTERN).count() == 0
 
