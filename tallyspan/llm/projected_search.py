@@ -186,14 +186,16 @@ def nearest(
     wanted = asked.select("vector").distinct().join(placed.select("cell", "vector", "point"), "vector")
 
     def bound(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        """The squared distance of the k-th neighbour in the home cell."""
-        found = {"point": [], "bound2": []}
+        """The best of the home cell, and the squared distance of the k-th."""
+        found = {"point": [], "bound2": [], "best": []}
         cell = Cell(_matrix(right.column("vector")), right.column("ids").to_pylist(), planes, keep, quantile)
         for point, query in zip(left.column("point").to_pylist(), _matrix(left.column("vector"))):
             best = cell.search(query, 4.0)
             found["point"].append(point)
             found["bound2"].append(max(2.0 - 2.0 * best[-1][0], 0.0) if len(best) == keep else 4.0)
-        return pa.table(found, schema=pa.schema([("point", pa.int64()), ("bound2", pa.float64())]))
+            found["best"].append([{"vec_id": i, "score": s} for s, i in best])
+        one = pa.struct([("vec_id", pa.int64()), ("score", pa.float64())])
+        return pa.table(found, schema=pa.schema([("point", pa.int64()), ("bound2", pa.float64()), ("best", pa.list_(one))]))
 
     def in_blocks(asked_rows: DataFrame, fn, schema: str) -> DataFrame:
         """Cogroup queries and points of a cell, the queries dealt over blocks of bounded size."""
@@ -204,7 +206,7 @@ def nearest(
         left, right = (df.drop("blocks").select(*[F.col(c).alias(c) for c in df.columns if c != "blocks"]) for df in (dealt, copies))
         return left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInArrow(fn, schema)
 
-    bounds = in_blocks(wanted, bound, "point long, bound2 double")
+    bounds = saved(in_blocks(wanted, bound, "point long, bound2 double, best array<struct<vec_id:bigint,score:double>>"))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for every cell that the query's radius reaches."""
@@ -217,7 +219,7 @@ def nearest(
             cell = pa.array(np.concatenate(reached).astype(np.int32))
             yield pa.RecordBatch.from_arrays([cell, *(c.take(take) for c in batch.columns)], ["cell", *batch.schema.names])
 
-    probes = wanted.select("vector", "point").join(bounds, "point").select("point", "bound2", "vector")
+    probes = wanted.select("vector", "point").join(bounds.drop("best"), "point").select("point", "bound2", "vector")
     probes = probes.mapInArrow(spread, f"cell int, point long, bound2 double, vector {kind}")
 
     def look(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -232,6 +234,8 @@ def nearest(
         return pa.table(found, schema=pa.schema([("point", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
     found = in_blocks(probes, look, "point long, vec_id long, score double")
+    # what the first search has found stays, even where the second one's radius leaves it out
+    found = found.unionByName(bounds.select("point", F.inline("best"))).dropDuplicates(["point", "vec_id"])
     by_score = [F.col("score").desc(), F.col("vec_id")]
     best = found.withColumn("nth", F.row_number().over(Window.partitionBy("point").orderBy(*by_score))).filter(F.col("nth") <= keep)
     best = best.groupBy("point").agg(F.array_sort(F.collect_list(F.struct("nth", "vec_id", "score"))).alias("best"))
