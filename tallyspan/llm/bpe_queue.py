@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import array
 import base64
-import functools
 import heapq
 import re
 from collections.abc import Callable, Iterator
@@ -32,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyspan.llm.common import few_rows, free_names, utf8
+from tallyspan.llm.common import few_rows, free_names, remembered, utf8
 from tallyspan.spread import df_col
 
 #: Pieces longer than this have a queue of their own and are not remembered.
@@ -291,15 +290,21 @@ class Tokens:
         return self.data[np.repeat(begin, size) + np.arange(int(size.sum()))].tobytes()
 
 
-@functools.cache
+def _kept_table(key: tuple, make: Callable[[], object]) -> object:
+    """Tables of a worker process: one may encode in a task and decode in the next."""
+    tables = remembered("bpe", dict)
+    if key not in tables:
+        tables[key] = make()
+    return tables[key]
+
+
 def bpe(path: str, pattern: str) -> Bpe:
     """One table of ranks per worker process."""
-    return Bpe(path, pattern)
+    return _kept_table((path, pattern), lambda: Bpe(path, pattern))
 
 
-@functools.cache
 def tokens(path: str) -> Tokens:
-    return Tokens(path)
+    return _kept_table((path,), lambda: Tokens(path))
 
 
 def _mapped(df: DataFrame, work: str, out: str, kind: T.DataType, columns: list[str], make: Callable[[pa.Array], pa.Array]) -> DataFrame:

@@ -24,6 +24,24 @@ _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+_REMEMBERED: dict[str, object] = {}
+
+
+def remembered(key: str, make: Callable[[], object]) -> object:
+    """An object that a worker process keeps for its next tasks. It keeps one: a worker that turns to
+    another operator lets go what the last one has gathered."""
+    if key not in _REMEMBERED:
+        forget()
+        _REMEMBERED[key] = make()
+    return _REMEMBERED[key]
+
+
+def forget() -> None:
+    """Let go what other operators have left in this worker process."""
+    _REMEMBERED.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def few_rows(spark: SparkSession) -> None:
     """Arrow batches of ROWS rows unless the session sets another number than Spark's own: texts are
     long, and a batch is in memory several times, in the JVM and in Python."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import ROWS, WordHashes, few_rows, mixed, utf8
+from tallyspan.llm.common import ROWS, WordHashes, few_rows, forget, mixed, utf8
 from tallyspan.spread import df_col, top_k
 
 POWER = 20
@@ -76,6 +76,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     hashes = WordHashes()
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
@@ -88,6 +89,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     rows = chosen.select(*known_columns, "text").mapInArrow(numbers, "doc_id long, turn long, label int, features array<int>")
 
     def fit(table: pa.Table) -> pa.Table:
+        forget()
         # the lists stay where Arrow has them; only their order is sorted
         texts = [f.flatten().to_numpy() for f in table.column("features").chunks]
         sizes = [f.value_lengths().to_numpy() for f in table.column("features").chunks]
@@ -117,6 +119,7 @@ def score(docs: DataFrame, model: DataFrame, text_col: str = "text", out: str =
 
     @F.pandas_udf("double")
     def probability(texts: pd.Series) -> pd.Series:
+        forget()
         w = weights.value
         if w is None:
             return pd.Series(0.0, index=texts.index)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import WordHashes, in_batches, mixed, saved, utf8, word_windows
+from tallyspan.llm.common import WordHashes, forget, in_batches, mixed, saved, utf8, word_windows
 from tallyspan.spread import durable
 
 BUCKETS, MANTISSA, BAND = 160, 10, 5
@@ -131,6 +131,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
     hashes = WordHashes()
 
     def sign(batch: dict[str, list]) -> dict[str, list]:
+        forget()
         out = {"doc_id": batch["doc_id"], "text_hash": batch["text_hash"], "n_shingles": [], "digest": [], "keys": []}
         for text in batch["text"]:
             s = shingle_set(text, shingle, hashes)
@@ -196,6 +197,7 @@ def near_duplicates(
     met = meet.filter(F.col("hub") != F.col("rep")).unionByName(own_hub).join(texts, ["rep", "text_hash"])
 
     def confirm(table: pa.Table) -> pa.Table:
+        forget()
         rows = table.to_pydict()
         seen = {}
         for rep, text, own in zip(rows["rep"], rows["text"], rows["own"]):

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import few_rows, free_names, in_batches, saved, utf8
+from tallyspan.llm.common import few_rows, forget, free_names, in_batches, saved, utf8
 from tallyspan.spread import attach, df_col
 
 MIN_CHARS = 10
@@ -94,6 +94,7 @@ def twice_filter(texts: DataFrame, power: int, min_chars: int) -> np.ndarray:
     schema = "slice int, part int, once binary, twice binary"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         once, twice, seen = Bits(power), Bits(power), False
         for batch in batches:
             keys: list[bytes] = []
@@ -168,6 +169,7 @@ def dedup_lines(
         return Bits(power, twice.value).has(_hashes(keys))
 
     def find(batch: dict[str, list]) -> dict[str, list]:
+        forget()
         out = {"doc_id": [], "key": [], "lines": []}
         for doc_id, text in zip(batch["doc_id"], batch["text"]):
             places: dict[bytes, list[int]] = {}

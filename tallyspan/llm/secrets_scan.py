@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import few_rows, utf8
+from tallyspan.llm.common import few_rows, forget, utf8
 
 ASSIGN_MIN, ACCESS_MIN, HEX_MIN = 6, 20, 24
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -136,6 +136,7 @@ SPANS = "array<struct<kind:string,start:bigint,end:bigint>>"
 
 
 def _spans(texts: pd.Series) -> pd.Series:
+    forget()
     found = [in_code_points(t, find_secrets(t)) for t in texts]
     return pd.Series([[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in spans] for spans in found], dtype=object)
 

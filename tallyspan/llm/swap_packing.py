@@ -14,7 +14,6 @@ packed each; a null id is kept as it is; no document, no sequence. Extra columns
 
 from __future__ import annotations
 
-import functools
 import re
 
 import numpy as np
@@ -24,11 +23,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tallyspan.llm.common import in_batches, utf8
+from tallyspan.llm.common import in_batches, remembered, utf8
 from tallyspan.spread import df_col
 
 #: Stretches of text that a worker remembers the ids of.
-CACHE_STRETCHES = 400_000
+CACHE_STRETCHES = 200_000
 #: Documents of a shard, on average.
 SHARD = 20_000
 #: The search in a shard: passes over its sequences, sources a pass, changes a source, pairs a source offers.
@@ -97,10 +96,9 @@ _PLAIN = re.compile("[^\0-\u012f\u0131-\u024f]|[^0-9A-Za-z\u00c0-\u00d6\u00d8-\u
 _BLANK = re.compile(r"[\t\n\r]").sub
 
 
-@functools.cache
 def word_ids(path: str) -> WordIds:
     """One tokenizer per worker process."""
-    return WordIds(path)
+    return remembered(f"words {path}", lambda: WordIds(path))
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = 0) -> DataFrame:
