@@ -1,0 +1,132 @@
+"""Majority votes over seeded draws, for groups that fit in one array (small helpers inside Arrow UDFs)."""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Slots, or votes of a draw by class, that are worked on together.
+CHUNK = 8_192
+_TURNS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+_SINES = [int(abs(np.sin(i + 1.0)) * 2**32) for i in range(64)]
+_START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+@lru_cache(maxsize=64)
+def _endings(k: int, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes ``draw:slot`` of the slots 1 ... k of the draws first ... last - 1, and their lengths."""
+    texts = np.array([b"%d:%d" % (draw, slot) for draw in range(first, last) for slot in range(1, k + 1)])
+    return texts.view(np.uint8).reshape(len(texts), -1), np.char.str_len(texts)
+
+
+def _md5_heads(start: bytes, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """First 48 bits of the md5 of ``start`` followed by each of ``ends``."""
+    width = ends.shape[1]
+    if len(start) + width > 55:
+        whole = [hashlib.md5(start + e[:n].tobytes()).digest()[:6] for e, n in zip(ends, lengths)]
+        return np.array([int.from_bytes(h, "big") for h in whole], np.int64)
+    block = np.zeros((len(ends), 64), np.uint8)
+    block[:, : len(start)] = np.frombuffer(start, np.uint8)
+    block[:, len(start) : len(start) + width] = ends
+    total = lengths + len(start)
+    block[np.arange(len(ends)), total] = 0x80
+    block[:, 56], block[:, 57] = (total * 8) & 255, (total * 8) >> 8
+    words = np.ascontiguousarray(block.view("<u4").T)
+    a, b, c, d = (np.full(len(ends), v, np.uint32) for v in _START)
+    for i in range(64):
+        turn = i // 16
+        if turn == 0:
+            f, g = d ^ (b & (c ^ d)), i
+        elif turn == 1:
+            f, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+        elif turn == 2:
+            f, g = b ^ c ^ d, (3 * i + 5) % 16
+        else:
+            f, g = c ^ (b | ~d), 7 * i % 16
+        f += a
+        f += words[g]
+        f += np.uint32(_SINES[i])
+        by = _TURNS[turn][i % 4]
+        low = f >> np.uint32(32 - by)
+        f <<= np.uint32(by)
+        f |= low
+        f += b
+        a, b, c, d = d, f, b, c
+    a += np.uint32(_START[0])
+    b += np.uint32(_START[1])
+    return (a.byteswap().astype(np.int64) << 16) | (b.byteswap() >> np.uint32(16)).astype(np.int64)
+
+
+def _wins(start: bytes, codes: np.ndarray, k: int, draws: int) -> np.ndarray:
+    """How often each member of a group gives the value of the vote over k drawn members."""
+    n, classes = len(codes), int(codes.max()) + 1
+    won = np.zeros(n, np.int64)
+    step = max(1, CHUNK // max(k, classes))
+    for first in range(1, draws + 1, step):
+        last = min(first + step, draws + 1)
+        u = _md5_heads(start, *_endings(k, first, last)) / float(16**12)
+        drawn = np.floor(u * n).astype(np.int64)
+        row = np.repeat(np.arange(last - first), k)
+        slot = np.tile(np.arange(k), last - first)
+        cell = row * classes + codes[drawn]
+        count = np.bincount(cell, minlength=(last - first) * classes)
+        early = np.zeros(len(count), np.int64)
+        early[cell[::-1]] = slot[::-1]  # of equal cells the last assignment stays: the first slot
+        score = np.where(count > 0, count * k - early, 0).reshape(-1, classes)
+        best = score.argmax(axis=1) + np.arange(last - first) * classes
+        won += np.bincount(drawn.reshape(-1, k)[np.arange(last - first), early[best]], minlength=n)
+    return won
+
+
+def _moments(won: np.ndarray, val: np.ndarray, known: np.ndarray) -> tuple[float | None, float | None]:
+    """Mean and population std of the known values by how often they won."""
+    some = known & (won > 0)
+    if not some.any():
+        return None, None
+    w, v = won[some], val[some]
+    mean = float((w * v).sum() / w.sum())
+    return mean, float(np.sqrt((w * (v - mean) ** 2).sum() / w.sum()))
+
+
+def sizes(n: int) -> list[int]:
+    """4, 8, ... below n, then n; nothing for two responses and less."""
+    return [] if n < 3 else [*(1 << j for j in range(2, n.bit_length()) if 1 << j < n), n]
+
+
+def voted(keys: list[str], schema: pa.Schema, draws: int, seed: int) -> Callable[[Iterator], Iterator]:
+    """For ``mapInArrow``: rows of ``keys``, ``text`` (the hashed id) and the members as lists ``var, pred,
+    val`` in their order, by var first, become one row per var and k with ``n, k, m, s``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column("var")).to_numpy(zero_copy_only=False))
+            var, pred, val = (batch.column(c).flatten() for c in ("var", "pred", "val"))
+            var = var.dictionary_encode()
+            of_var = var.indices.to_numpy(zero_copy_only=False)
+            of_pred = pred.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            known, value = val.is_valid().to_numpy(zero_copy_only=False), val.fill_null(0.0).to_numpy(zero_copy_only=False)
+            out: dict[str, list] = {c: [] for c in ("at", "var", "n", "k", "m", "s")}
+            for at, (text, a, b) in enumerate(zip(batch.column("text").to_pylist(), [0, *ends[:-1]], ends)):
+                done: dict[tuple[bytes, int], np.ndarray] = {}
+                cuts = [a, *(a + 1 + np.flatnonzero(np.diff(of_var[a:b]))), b]
+                for x, y in zip(cuts, cuts[1:]):
+                    codes = np.unique(of_pred[x:y], return_inverse=True)[1].reshape(-1)
+                    same = codes.tobytes()
+                    for k in sizes(int(y - x)):
+                        if (same, k) not in done:  # the numbers drawn do not depend on the var
+                            done[same, k] = _wins(b"%d:%s:%d:" % (seed, text.encode(), k), codes, k, draws)
+                        m, s = _moments(done[same, k], value[x:y], known[x:y])
+                        for c, v in (("at", at), ("var", of_var[x]), ("n", y - x), ("k", k), ("m", m), ("s", s)):
+                            out[c].append(v)
+            at = pa.array(out["at"], pa.int64())
+            columns = {c: batch.column(c).take(at) for c in keys} | {"var": var.dictionary.take(pa.array(out["var"], pa.int64()))}
+            columns |= {"n": pa.array(out["n"], pa.int64()), "k": pa.array(out["k"], pa.int64())}
+            columns |= {c: pa.array(out[c], pa.float64()) for c in ("m", "s")}
+            yield pa.RecordBatch.from_arrays([columns[c].cast(schema.field(c).type) for c in schema.names], schema=schema)
+
+    return run

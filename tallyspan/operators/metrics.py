@@ -6,9 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from tallyspan.functions.votes import voted
 from tallyspan.operators.masked import masked
-from tallyspan.spread import affine_scan, attach, hash_uniform, quantiles, ranked
+from tallyspan.spread import SCAN_BLOCK, affine_scan, attach, hot_groups, hash_uniform, quantiles, ranked
 
 # ---- reduction of logged metrics ---------------------------------------------------------
 
@@ -199,21 +202,61 @@ def best_of_metrics(vars_df: DataFrame) -> DataFrame:
     return g.select(*keys, "n", F.inline(cells))
 
 
-def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
+def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42, array_rows: int = SCAN_BLOCK) -> DataFrame:
     """Mean and population std of the majority-vote value over ``draws`` subsets of each size k.
 
     A subset takes k responses with replacement by seeded md5 numbers. The vote goes to the most
     frequent ``pred``, among equals to the one drawn first; its value is that of its first draw.
     For k = 2 the first draw always wins, so the exact mean and std of the group are used.
+
+    A prompt of at most ``array_rows`` rows votes inside one array, so that its draws and slots
+    never become rows; the draws of a larger one are dealt over the cluster, slot by slot.
     """
     keys = ["data_source", "uid", "var"]
-    r = ranked(vars_df, keys, ["sample_id"], "__i").withColumn("__i", F.col("__i") - 1)
     sizes = vars_df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.avg("val").alias("m"), F.stddev_pop("val").alias("s")
     )
     sizes = sizes.select(*keys, "n", "m", "s", F.explode(subset_sizes(F.col("n"))).alias("k"))
     exact = sizes.filter(F.col("k") == 2).select(*keys, "n", "k", "m", "s")
-    plan = sizes.filter(F.col("k") > 2).select(*keys, "n", "k")
+    voters = vars_df.dropna(subset=keys)
+    large = hot_groups(voters, keys[:2], array_rows)
+    if large.isEmpty():
+        sampled = _votes_in_arrays(voters, draws, seed)
+    else:
+        rest = voters.join(F.broadcast(large), keys[:2], "left_anti")
+        sampled = _votes_in_arrays(rest, draws, seed).unionByName(
+            _votes_by_slot(voters.join(F.broadcast(large), keys[:2], "left_semi"), draws, seed)
+        )
+    name = F.concat(F.lit("maj@"), F.col("k").cast("string"))
+    cells = F.array(
+        F.struct(F.concat(name, F.lit("/mean")).alias("metric"), F.col("m").alias("value")),
+        F.struct(F.concat(name, F.lit("/std")).alias("metric"), F.col("s").alias("value")),
+    )
+    return exact.unionByName(sampled).select(*keys, "n", F.inline(cells))
+
+
+def _votes_in_arrays(voters: DataFrame, draws: int, seed: int) -> DataFrame:
+    """``n, k, m, s`` of the drawn votes of prompts that fit in one array."""
+    keys = ["data_source", "uid"]
+    kinds = {f.name: f.dataType for f in voters.schema.fields}
+    rows = voters.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("var", "sample_id", "pred", "val"))).alias("rows"))
+    rows = rows.filter(F.size("rows") > 2)
+    lists = [F.col(f"rows.{c}").alias(c) for c in ("var", "pred", "val")]
+    schema = T.StructType(
+        [T.StructField(c, kinds[c]) for c in (*keys, "var")]
+        + [T.StructField(c, T.LongType()) for c in ("n", "k")]
+        + [T.StructField(c, T.DoubleType()) for c in ("m", "s")]
+    )
+    packed_rows = rows.select(*keys, F.col("uid").cast("string").alias("text"), *lists)
+    return packed_rows.mapInArrow(voted(keys, to_arrow_schema(schema), draws, seed), schema)
+
+
+def _votes_by_slot(voters: DataFrame, draws: int, seed: int) -> DataFrame:
+    """The same for prompts of any size; every slot of a draw becomes a row."""
+    keys = ["data_source", "uid", "var"]
+    r = ranked(voters, keys, ["sample_id"], "__i").withColumn("__i", F.col("__i") - 1)
+    plan = voters.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    plan = plan.select(*keys, "n", F.explode(subset_sizes(F.col("n"))).alias("k")).filter(F.col("k") > 2)
     # draws first, slots second: a large group is dealt over its draws before its slots are made
     plan = plan.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
     plan = plan.withColumn("slot", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))))
@@ -226,13 +269,7 @@ def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42) -> D
     won = votes.groupBy(*keys, "n", "k", "draw").agg(
         F.max(F.struct("c", (-F.col("first.slot")).alias("early"), F.col("first.val").alias("val"))).alias("w")
     )
-    sampled = won.groupBy(*keys, "n", "k").agg(F.avg("w.val").alias("m"), F.stddev_pop("w.val").alias("s"))
-    name = F.concat(F.lit("maj@"), F.col("k").cast("string"))
-    cells = F.array(
-        F.struct(F.concat(name, F.lit("/mean")).alias("metric"), F.col("m").alias("value")),
-        F.struct(F.concat(name, F.lit("/std")).alias("metric"), F.col("s").alias("value")),
-    )
-    return exact.unionByName(sampled).select(*keys, "n", F.inline(cells))
+    return won.groupBy(*keys, "n", "k").agg(F.avg("w.val").alias("m"), F.stddev_pop("w.val").alias("s"))
 
 
 def majority_of_all(rows: DataFrame, val: str) -> DataFrame:

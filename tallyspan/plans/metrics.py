@@ -130,7 +130,7 @@ register(
         "data_source", "var", "metric", F.round("value", 5).alias("value")
     )
 )
-DRAWS = 5
+DRAWS = 1000
 register(
     "validation_majority",
     with_views(

@@ -1,11 +1,17 @@
 """Metric rules by name, votes, closed forms, off-policy edges."""
 
+import hashlib
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tallyspan.operators import metrics as M
 from tallyspan.operators import offpolicy as O
+from tallyspan.plans import metrics
 
 
 def test_reduction_is_a_substring_rule(spark):
@@ -46,6 +52,37 @@ def test_majority_vote(spark):
     assert got == {1: ("A", 0.9), 2: ("B", 0.1)}
 
 
+def drawn_votes(uid, members, k, draws=1000):
+    """Mean and std of the values of the votes, draw by draw; ``members`` are (pred, val) by sample id."""
+    values = []
+    for draw in range(1, draws + 1):
+        heads = [hashlib.md5(f"42:{uid}:{k}:{draw}:{slot}".encode()).hexdigest()[:12] for slot in range(1, k + 1)]
+        drawn = [members[math.floor(int(h, 16) / 16.0**12 * len(members))] for h in heads]
+        count = Counter(p for p, _ in drawn)
+        values.append(next(v for p, v in drawn if count[p] == max(count.values())))
+    return np.mean(values), np.std(values)
+
+
+@pytest.mark.parametrize("array_rows", [2, 1000])
+def test_majority_draws_in_arrays_and_by_slot(spark, array_rows):
+    groups = {"a": [("x", 1.0), ("y", 2.0), ("x", 4.0), (None, 8.0), ("z", 16.0)], "b" * 60: [("x", 1.0), ("y", 5.0), ("z", 7.0)]}
+    rows = [("s", u, i, p, var, v * f) for u, g in groups.items() for i, (p, v) in enumerate(g) for var, f in (("acc", 1), ("score", -3))]
+    df = spark.createDataFrame(rows, "data_source string, uid string, sample_id long, pred string, var string, val double")
+    got = {(r["uid"], r["var"], r["metric"]): r["value"] for r in M.majority_metrics(df, array_rows=array_rows).collect()}
+    for uid, members, sizes in (("a", groups["a"], (4, 5)), ("b" * 60, groups["b" * 60], (3,))):
+        for k in sizes:
+            mean, std = drawn_votes(uid, members, k)
+            assert got[uid, "acc", f"maj@{k}/mean"] == pytest.approx(mean)
+            assert got[uid, "score", f"maj@{k}/std"] == pytest.approx(3 * std)
+    assert len(got) == 2 * 2 * (3 + 2)
+
+
+def test_majority_query_makes_all_draws(spark, sf):
+    whole = M.over_prompts(M.majority_metrics(metrics.validation_vars(spark, sf), draws=1000)).collect()
+    got = {tuple(r)[:3]: r["value"] for r in entry.queries()["validation_majority"](spark, sf).collect()}
+    assert got == {tuple(r)[:3]: pytest.approx(r["value"], abs=2e-6) for r in whole}
+
+
 def test_singleton_has_no_spread(spark):
     df = spark.createDataFrame([("s", 1, 1, "p", "acc", 0.5)], "data_source string, uid long, sample_id long, pred string, var string, val double")
     assert [r["metric"] for r in M.mean_metrics(df).collect()] == ["mean@1"]
