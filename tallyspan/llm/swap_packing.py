@@ -3,10 +3,10 @@
 Documents become token ids and are cut only where they are longer than a sequence. A full piece is a
 sequence of its own; the rest are dealt at random over shards of about ``SHARD`` documents, a shard
 being a task's work whatever the size of the input. In a shard, pieces go longest first into the
-fullest sequence that has room. Then a local search takes the emptiest sequence as the source and
-moves one of its pieces into a gap, exchanges one piece for a shorter one of another sequence, or
-two pieces for one, whenever the fuller side gets fuller; the sum of squared fills only grows, and a
-source that runs empty is gone. The search ends at the lower bound or after ``PASSES``.
+fullest sequence that has room. Then a local search takes every open sequence as the source, the
+emptiest first, and moves one or two of its pieces into a gap, exchanges one piece for a shorter one
+of another sequence, or two pieces for one, whenever the sum of squared fills grows; a source that
+runs empty is gone. The search ends at the lower bound or when a pass over all finds nothing.
 
 Defined results: a null text is an empty one and holds its end token alone; rows that share an id are
 packed each; a null id is kept as it is; no document, no sequence. Extra columns are not read.
@@ -30,8 +30,6 @@ from tallyspan.spread import df_col
 CACHE_STRETCHES = 200_000
 #: Documents of a shard, on average.
 SHARD = 20_000
-#: The search in a shard: passes over its sequences, sources a pass, changes a source, pairs a source offers.
-PASSES, SOURCES, ATTEMPTS, OFFERS = 3, 60, 24, 32
 
 
 class WordIds:
@@ -152,24 +150,28 @@ class Shard:
                 rooms |= 1 << left
 
     def improve(self) -> None:
-        """Moves and swaps that raise the sum of squared fills, the emptiest sequences first, until a
-        pass over them finds none."""
+        """Moves and swaps that raise the sum of squared fills, from every open sequence, the emptiest
+        first, until a pass over them finds none or the lower bound is reached. The sum is an integer
+        that only grows, so the passes end."""
         least = -(-int(self.len.sum()) // self.capacity)
         self.free = np.array(self.room, dtype=np.int64)
         self.home = np.zeros(len(self.len), np.int64)
         for b, items in enumerate(self.bins):
             self.home[items] = b
-        for _ in range(PASSES):
-            changed = 0
+        by_length = np.argsort(self.len, kind="stable")
+        changed = True
+        while changed:
+            changed = False
             open_bins = np.flatnonzero((self.free > 0) & (self.free < self.capacity))
-            for source in open_bins[np.argsort(-self.free[open_bins], kind="stable")][:SOURCES].tolist():
-                for _ in range(ATTEMPTS):
-                    if sum(1 for b in self.bins if b) <= least:
-                        return
-                    if not self.bins[source] or not (self._move(source) or self._swap(source)):
-                        break
-                    changed += 1
-            if not changed:
+            # a full sequence is never a target again; a gap stands before the pieces, as one of no length
+            inside = by_length[self.free[self.home[by_length]] > 0]
+            self.item = np.concatenate([np.full(len(open_bins), -1), inside])
+            self.size = np.concatenate([np.zeros(len(open_bins), np.int64), self.len[inside]])
+            self.gap_of = open_bins
+            for source in open_bins[np.argsort(-self.free[open_bins], kind="stable")].tolist():
+                while len(self.bins) - self.bins.count([]) > least and self.bins[source] and (self._move(source) or self._swap(source)):
+                    changed = True
+            if len(self.bins) - self.bins.count([]) <= least:
                 return
 
     def _shift(self, out: list[int], back: list[int], source: int, target: int) -> None:
@@ -181,17 +183,12 @@ class Shard:
                 self.free[old] += self.len[i]
                 self.free[new] -= self.len[i]
 
-    def _fuller(self, source: int) -> np.ndarray:
-        """Sequences that a gain makes the fuller side of the two still fuller."""
-        fuller = self.free <= self.free[source]
-        fuller[source] = False
-        return fuller
-
     def _move(self, source: int) -> bool:
-        """One piece into the tightest gap that takes it, the longest piece first."""
-        fuller = self._fuller(source)
+        """One piece into the tightest gap that takes it with a gain, the longest piece first."""
         for i in sorted(self.bins[source], key=lambda i: -self.len[i]):
-            gap = np.where(fuller & (self.free >= self.len[i]), self.free, self.capacity + 1)
+            fits = (self.free >= self.len[i]) & (self.free < self.free[source] + self.len[i]) & (self.free < self.capacity)
+            fits[source] = False
+            gap = np.where(fits, self.free, self.capacity + 1)
             target = int(gap.argmin())
             if gap[target] <= self.capacity:
                 self._shift([i], [], source, target)
@@ -199,20 +196,30 @@ class Shard:
         return False
 
     def _swap(self, source: int) -> bool:
-        """One or two pieces of the source for one shorter piece elsewhere, with the largest gain."""
-        room = np.where(self._fuller(source), self.free, 0)[self.home]
+        """One or two pieces of the source for one shorter piece elsewhere, or two for a gap, with the
+        largest step. A step of g into a sequence with r free tokens gains if g <= r < free + g."""
+        where = np.concatenate([self.gap_of, self.home[self.item[len(self.gap_of) :]]])
+        room = self.free[where]
+        # of a piece and its sequence's room together: an offer of n tokens gains from n to n + free - 1
+        reach = np.where((where == source) | (room >= self.capacity), -1, self.size + room)
         own = sorted(self.bins[source], key=lambda i: -self.len[i])
-        offers = [[i] for i in own] + [[i, j] for k, i in enumerate(own) for j in own[k + 1 :]][:OFFERS]
-        best, choice = 0, None
-        for offer in offers:
-            gain = int(self.len[offer].sum()) - self.len
-            gain = np.where((gain > 0) & (gain <= room), gain, 0)
-            at = int(gain.argmax())
-            if gain[at] > best:
-                best, choice = int(gain[at]), (offer, at)
+        offers = {int(self.len[i]): [i] for i in reversed(own)}
+        for k, i in enumerate(own):
+            for j in own[k + 1 :]:
+                offers.setdefault(int(self.len[i] + self.len[j]), [i, j])
+        best, choice, free = 0, None, int(self.free[source])
+        for total in sorted(offers, reverse=True):
+            if total <= best:
+                break
+            near = reach[: np.searchsorted(self.size, total - best)]
+            hit = (near >= total) & (near < total + free)
+            at = int(hit.argmax()) if len(hit) else 0
+            if len(hit) and hit[at]:
+                best, choice = total - int(self.size[at]), (offers[total], at)
         if choice is None:
             return False
-        self._shift(choice[0], [choice[1]], source, int(self.home[choice[1]]))
+        out, at = choice
+        self._shift(out, [int(self.item[at])] if self.item[at] >= 0 else [], source, int(where[at]))
         return True
 
 

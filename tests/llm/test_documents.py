@@ -1,6 +1,7 @@
 """The document operators against brute force, and their edge rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -335,6 +336,29 @@ def test_swaps_empty_a_sequence_that_best_fit_leaves():
     assert saved > 0
 
 
+def test_search_ends_only_where_no_change_gains():
+    rng = np.random.default_rng(7)
+    capacity, searched = 100, 0
+    for n in (40, 150, 900):
+        lengths = rng.integers(26, 52, n)
+        shard = swap_packing.Shard(lengths, capacity)
+        shard.fit()
+        shard.improve()
+        assert sorted(i for b in shard.bins for i in b) == list(range(n))
+        bins = [b for b in shard.bins if b]
+        fills = [int(lengths[b].sum()) for b in bins]
+        assert max(fills) <= capacity
+        if len(bins) == -(-int(lengths.sum()) // capacity):
+            continue
+        searched += 1
+        for s, source in enumerate(bins):
+            offers = {int(lengths[list(o)].sum()) for k in (1, 2) for o in itertools.combinations(source, k)}
+            for t, target in enumerate(bins):
+                steps = {o - x for o in offers for x in (0, *lengths[target].tolist())} if t != s else ()
+                assert not any(0 < g <= capacity - fills[t] and fills[t] + g > fills[s] for g in steps)
+    assert searched > 1
+
+
 @pytest.mark.parametrize("block", [2, 14, 1000, 1 << 20])
 def test_token_counts_at_any_block_size(spark, block):
     texts = [*EDGE, *ODD[:5], *family_texts()[:20]]
