@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspan.llm import bpe_queue, ftrl, hyperminhash, imatch, line_bloom, projected_search, secrets_scan, separator_scan, swap_packing, url_templates
+from tallyspan.llm import (
+    block_mixing,
+    bpe_queue,
+    ftrl,
+    hyperminhash,
+    imatch,
+    line_bloom,
+    periodic_runs,
+    projected_search,
+    secrets_scan,
+    separator_scan,
+    spelling_groups,
+    swap_packing,
+    url_templates,
+)
 from tallyspan.plans import register
 
 
@@ -108,3 +124,65 @@ def op10_bpe_queue(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@register("op11_block_mixing")
+def op11_block_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    out = block_mixing.taken_words(block_mixing.mix(_read(spark, sf, "documents")))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _with_planted_period(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: in every tenth document, by hash, the words from a on repeat the p words there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\x09-\\x0D]+"), lambda w: w != "")
+    planted = F.when(h % 10 == 0, words)
+    rows = docs.select("doc_id", "text", planted.alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    a = F.when(n > 0, F.col("g") % n).cast("int")
+    rows = rows.select("*", n.alias("n"), a.alias("a"))
+    p = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    rows = rows.withColumn("p", p)
+    # a slice's length stays within the list
+    period = F.slice("words", F.col("a") + 1, F.least(F.col("p"), F.col("n") - F.col("a")))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), F.col("n") - F.col("a"))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    out = periodic_runs.periodic_runs(_with_planted_period(_read(spark, sf, "documents")))
+    long_first = lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))
+    best = F.array_min(F.transform("runs", long_first))
+    written = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    out = out.withColumn("best", best)
+    return out.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.less") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(written, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def _one_code_point_less(doc_id: int | None, words: list[str]) -> list[str]:
+    """Each word as it counts in a document: 1 in 97, by hash, loses a code point."""
+    out, before = [], zlib.crc32(f"{doc_id}:".encode())
+    for word in words:
+        h = zlib.crc32(word.encode(), before)
+        if h % 97 == 0 and doc_id is not None:
+            at = h % len(word)
+            word = word[:at] + word[at + 1 :]
+        out.append(word)
+    return out
+
+
+@register("op13_spelling_groups")
+def op13_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
+    counts = spelling_groups.word_counts(_read(spark, sf, "documents"), alter=_one_code_point_less)
+    return spelling_groups.spelling_groups(counts).select("word", "form", "root", "n", "n_near", "form_n")
