@@ -228,27 +228,35 @@ register(
 )
 register(
     "grade_answer",
-    f"""WITH {ANSWERS} SELECT sample_id, n = truth AS units, n = truth AS tuple, false AS bracket FROM a""",
+    f"""WITH {ANSWERS} SELECT sample_id, n = truth AS units, n = truth AS tuple, n = truth AND status <> 'P' AS bracket,
+ truth = c OR c = n AS ratio, status <> 'O' AS words, CAST(c AS BIGINT) = CAST(letter = guess AS BIGINT) + CAST(truth AS BIGINT) AS decimal FROM a""",
 )(
     lambda spark, sf: answers(spark, sf).select(
         "sample_id",
         A.grade_answer(text("n", "=.0 hours"), F.col("truth")).alias("units"),
         A.grade_answer(text("=(", "comma", "=, 5)"), F.concat(L("("), F.col("truth"), L(",5)"))).alias("tuple"),
-        A.grade_answer(text("=[", "n", "=, 5)"), F.concat(L("("), F.col("truth"), L(",5)"))).alias("bracket"),
+        A.grade_answer(
+            F.concat(F.when(F.col("status") == "P", "[").otherwise("("), F.col("n"), L(", 5)")), F.concat(L("("), F.col("truth"), L(",5)"))
+        ).alias("bracket"),
+        # ratios count as written
+        A.grade_answer(text("=\\frac{", "c", "=}{3}"), F.concat(F.col("truth"), L("/3"))).alias("ratio"),
+        A.grade_answer(F.concat(L("\\text{"), F.when(F.col("status") == "O", "no").otherwise("The Answer"), L("}")), L("the answer")).alias("words"),
+        A.grade_answer(F.col("c").cast("double").cast("string"), (F.col("truth").cast("long") + (F.col("letter") == F.col("guess")).cast("long")).cast("string")).alias("decimal"),
     )
 )
 register(
     "numbers_equal",
-    f"""WITH {ANSWERS}, x AS (SELECT sample_id, CAST(n AS DOUBLE) AS x, CAST(truth AS DOUBLE) AS y FROM a),
+    f"""WITH {ANSWERS}, x AS (SELECT *, CAST(n AS DOUBLE) AS x, CAST(truth AS DOUBLE) AS y FROM a),
  e AS (SELECT *, list_reduce([y / 100, y, y * 100].list_transform(lambda t: abs(t - x) <= 1e-4 * greatest(abs(t), abs(x))), lambda p, q: p OR q) AS num FROM x)
- SELECT sample_id, num, num AS percent, num AS interval, num AS based FROM e""",
+ SELECT sample_id, num, status = 'F' OR n = c AS percent, num AND status <> 'P' AS interval, n = truth AS based, letter = guess AS pi FROM e""",
 )(
     lambda spark, sf: answers(spark, sf).select(
         "sample_id",
         A.numbers_equal(F.col("comma"), F.col("truth")).alias("num"),
-        A.numbers_equal(text("n", "=%"), F.col("truth")).alias("percent"),
-        A.numbers_equal(text("=Interval.open(", "n", "=, 3)"), F.concat(L("("), F.col("truth"), L(",3)"))).alias("interval"),
-        A.numbers_equal(text("n", "=_8"), F.col("truth")).alias("based"),
+        A.numbers_equal(text("n", "=%"), F.concat(F.when(F.col("status") == "F", F.col("n")).when(F.col("n") == F.col("c"), F.col("n")).otherwise("x"), L(".0"))).alias("percent"),
+        A.numbers_equal(text("=Interval.open(", "n", "=, 3)"), F.concat(F.when(F.col("status") == "P", "[").otherwise("("), F.col("truth"), L(",3)"))).alias("interval"),
+        A.numbers_equal(text("n", "=_8"), F.col("truth"), percent=False, tolerance=0.0).alias("based"),
+        A.numbers_equal(L("2\\pi"), F.when(F.col("letter") == F.col("guess"), "6.28319").otherwise("6.2")).alias("pi"),
     )
 )
 register(

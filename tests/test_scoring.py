@@ -34,31 +34,112 @@ def test_boxes():
     assert latex.last_box_lenient(r"\fbox{3}") is None
 
 
-@pytest.mark.parametrize(
-    ("a", "b", "same"),
-    [
-        (r"\tfrac12", r"\frac{1}{2}", True),
-        ("1/2", r"\dfrac{1}{2}", True),
-        ("0.5", r"\frac{1}{2}", True),
-        (r"k=5\text{ cm}", "5", True),
-        (r"\sqrt3", r"\sqrt{3}", True),
-        (".5\\%", "0.5", True),
-        ("1/02", r"\frac{1}{2}", False),
-        (r"\frac", r"\frac", True),
-        (None, None, True),
-        (None, "1", False),
-    ],
-)
-def test_same_math(a, b, same):
-    assert latex.same_math(a, b) is same
-
-
-@pytest.mark.parametrize(
-    ("given", "truth", "ok"),
-    [("3,000 cm", "3000", True), ("2.0", "2", True), ("1/2", "2/4", False), ("(1, 2)", "(1,2)", True), ("[1,2]", "(1,2)", False), ("x", "2", False)],
-)
-def test_grade_answer(given, truth, ok):
-    assert latex.grade_answer(given, truth) is ok
+def pairs(spark, rows, fn):
+    """fn over pairs of texts, in the order of ``rows``"""
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a string, b string")
+    return [r[1] for r in sorted(df.select("i", fn(F.col("a"), F.col("b"))).collect())]
+
+
+SAME_MATH = [
+    (r"\tfrac12", r"\frac{1}{2}", True),
+    ("1/2", r"\dfrac{1}{2}", True),
+    ("0.5", r"\frac{1}{2}", True),
+    (r"k=5\text{ cm}", "5", True),
+    ("kk=5", "5", True),
+    ("kkk=5", "5", False),
+    ("a=b=5", "5", False),
+    (r"\sqrt3", r"\sqrt{3}", True),
+    (r"\sqrt\sqrt3", r"\sqrt\sqrt{3}", False),
+    (r"2\sqrt", r"2\sqrt", True),
+    (".5\\%", "0.5", True),
+    ("{.25} .5", "{0.25}0.5", True),
+    ("1.5", "10.5", False),
+    ("1/02", r"\frac{1}{2}", False),
+    ("-3/4", r"\frac{-3}{4}", True),
+    (r"\frac", r"\frac", True),
+    (r"\frac\frac12 3", r"\frac\frac123", False),
+    (r"\frac1", r"\frac 1", True),
+    (r"\frac1{23}", r"\frac{1}{23}", True),
+    (r"\frac123", r"\frac{1}{2}3", True),
+    (r"\left(3,\! 4\right)", "(3,4)", True),
+    (r"90^\circ", "90^{\\circ}", True),
+    (r"\\frac12\$", r"\frac{1}{2}", True),
+    (r"5\text{ m}\text{ s}", "5", False),
+    ("", "", True),
+    (None, None, True),
+    (None, "1", False),
+    ("1", None, False),
+]
+
+
+def test_same_math(spark):
+    got = pairs(spark, [(a, b) for a, b, _ in SAME_MATH], A.same_math)
+    assert dict(zip(SAME_MATH, got)) == {case: case[2] for case in SAME_MATH}
+
+
+GRADED = [
+    ("3,000 cm", "3000", True),
+    ("2.0", "2", True),
+    ("2.5", "2", False),
+    ("2.50", "2.5", True),
+    ("1/2", "2/4", False),
+    ("1/2", "1/2", True),
+    ("(1, 2)", "(1,2)", True),
+    ("[1,2]", "(1,2)", False),
+    ("(1, 2]", "(1,2)", False),
+    ("(1,2,3)", "(1,2)", False),
+    ("(1,000, 2)", "(1000,2)", True),
+    ("x", "2", False),
+    ("X", "x", True),
+    ("", "2", False),
+    ("2", "", False),
+    ("", "", True),
+    (r"\text{yes}", "Yes", True),
+    (r" \text{ 5 } ", "5", True),
+    ("5million", "5*10^6", True),
+    ("5 feet^2", "5", True),
+    ("60 degrees", r"60^\circ", True),
+    ("{7}", "7", True),
+    (r"50\%", "50", True),
+    ("3 or 4", "3 , 4", True),
+    (r"2\pi", "2pi", True),
+    (r"7\frac{3}{4}", "7 3/4", True),
+    ("- 3", "-3", True),
+    (r"\sqrt{2}", "sqrt(2)", True),
+    ("2.0000000001", "2", True),
+    ("1e3", "1000", True),
+    ("99999999999999999999", "100000000000000000000", True),
+    (None, "1", False),
+    ("1", None, False),
+]
+
+
+def test_grade_answer(spark):
+    got = pairs(spark, [(a, b) for a, b, _ in GRADED], A.grade_answer)
+    assert dict(zip(GRADED, got)) == {case: case[2] for case in GRADED}
+
+
+FINAL = [
+    ("x = 5", "5"),
+    ("$5$ dollars", "5"),
+    ("so $3$ or $4$", "3"),
+    (r"\frac12", r"\frac{1}{2}"),
+    (r"\frac{1}{2}", r"\frac{1}{2}"),
+    (r"\sqrt2", r"\sqrt{2}"),
+    (r"\textbf{(\text{B})}", "(B)"),
+    (r"\boxed{\frac{a}{b}}", r"\frac{a}{b}"),
+    ("1,234", "1234"),
+    ("1,2,x", "1,2,x"),
+    (",", ","),
+    ("an apple", "apple"),
+    (r"12\text{m}", "12"),
+]
+
+
+def test_final_answers(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(FINAL)], "i int, t string")
+    got = [r[1] for r in sorted(df.select("i", A.normalise_final(F.col("t"))).collect())]
+    assert dict(zip((t for t, _ in FINAL), got)) == dict(FINAL)
 
 
 @pytest.mark.parametrize(
@@ -102,11 +183,31 @@ def test_free_text(spark, text, matched, answer):
     assert tuple(one(spark, text, A.free_text_answer)) == (matched, answer)
 
 
-def test_tool_use_cuts_nested_objects():
+def used(spark, solution, truth):
+    df = spark.createDataFrame([(solution, truth)], "a string, b string")
+    return df.select(A.tool_use(F.col("a"), F.col("b")).alias("s")).select("s.*").first()
+
+
+def test_tool_use_cuts_nested_objects(spark):
     text = 'Action: a\nAction Input: {"x": {"y": 1}}'
-    got = latex.tool_use(text, '[{"Action": "a", "Action_Input": "{}"}]')
+    got = used(spark, text, '[{"Action": "a", "Action_Input": "{}"}]')
     assert got["score"] == 1.0 and got["nested_cut"]
-    assert latex.tool_use(text, "not json")["feedback"] == "Failed to parse ground truth JSON"
+    assert used(spark, text, "not json")["feedback"] == "Failed to parse ground truth JSON"
+    assert used(spark, None, "[]")["score"] is None
+
+
+def test_tool_use_compares_bags_and_merged_inputs(spark):
+    text = 'Action: b\nAction Input: {"x": 1, "y": "q"}\nAction: a\nAction Input: {"x": 2, "z": [1, {"k": null}]}\nAction: b\nAction Input: bad {'
+    right = '[{"Action": "a", "Action_Input": {"z": [1, {"k": null}], "x": 2}}, {"Action": "b", "Action_Input": "{\\"y\\": \\"q\\"}"}, {"Action": "b", "Action_Input": "{"}]'
+    # an inner object ends the block early, so the second block is not read
+    got = used(spark, text, right)
+    assert (got["score"], got["nested_cut"], got["incorrect_format"]) == (0.0, True, 0)
+    assert got["feedback"] == """Action inputs mismatch: predicted {'x': 1, 'y': 'q'}, expected {'x': 2, 'z': [1,{"k":null}], 'y': 'q'}"""
+    flat = text.replace('[1, {"k": null}]', "true")
+    got = used(spark, flat, right.replace('[1, {"k": null}]', "true"))
+    assert (got["score"], got["feedback"], got["pred"]) == (1.0, "", "Actions: ['b', 'a', 'b'], Inputs: {'x': 2, 'y': 'q', 'z': True}")
+    got = used(spark, "no action", '[{"Action": "a", "Action_Input": "{}"}]')
+    assert (got["score"], got["incorrect_format"], got["feedback"]) == (0.0, 1, "Actions mismatch: predicted [], expected ['a']")
 
 
 def test_letters(spark):
