@@ -40,7 +40,7 @@ BLOCK = 64
 #: Slots of an output shard.
 SHARD_SLOTS = 1 << 16
 #: Documents of a bucket, the unit in which a source is laid out, on average.
-BUCKET = 20_000
+BUCKET = 1_000
 #: No source is taken more often than this.
 EPOCHS = 3
 #: Shards whose counts are summed together.
@@ -265,7 +265,8 @@ def mix(
     plan = Plan(names, sizes, [r["rows"] for r in found], capped_targets(sizes, weigh, epochs), block, seed)
     documents = saved(laid_out(sized, plan, bucket))
     slots = slots_of(shard_counts(spark, plan, shard_slots), plan)
-    spans = slots.join(blocks_of(documents, block), ["rank", "block"])
+    # both sides grow with the input: neither is for a broadcast
+    spans = slots.hint("merge").join(blocks_of(documents, block), ["rank", "block"])
     taken = F.least(F.col("offset") + F.col("length"), F.col("limit")) - F.col("offset")
     spans = spans.withColumn("length", taken).filter(F.col("length") > 0)
     return Mix(documents, spans.select("shard", "place", "rank", "epoch", "block", "offset", "doc_id", "at", "start", "length"), plan)
@@ -279,5 +280,5 @@ def taken_words(result: Mix) -> DataFrame:
     # a document with words is known by its source and first word
     taken = result.spans.groupBy("rank", "at").agg(F.sum("length").alias("taken")).withColumnsRenamed({"rank": "taken_rank", "at": "taken_at"})
     same = (F.col("rank") == F.col("taken_rank")) & (F.col("at") == F.col("taken_at")) & (F.col("size") > 0)
-    out = result.documents.join(taken, same, "left").join(F.broadcast(sources), "rank")
+    out = result.documents.join(taken.hint("merge"), same, "left").join(F.broadcast(sources), "rank")
     return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
