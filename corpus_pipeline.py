@@ -75,8 +75,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their place in a sequence."""
     parts = swap_packing.pieces(docs, TOKENIZER)
-    parts = parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return swap_packing.pack(parts, docs.count())
+    return swap_packing.pack(parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

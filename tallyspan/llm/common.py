@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -38,8 +39,25 @@ def remembered(key: str, make: Callable[[], object]) -> object:
 
 def forget() -> None:
     """Let go what other operators have left in this worker process."""
-    _REMEMBERED.clear()
+    if _REMEMBERED:
+        _REMEMBERED.clear()
+        release()
+
+
+def release() -> None:
+    """Give free memory back to the system: a worker waits for its next task without it."""
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def released(parts: Iterator) -> Iterator:
+    """The parts, and ``release`` when the last one is out."""
+    try:
+        yield from parts
+    finally:
+        release()
 
 
 def few_rows(spark: SparkSession) -> None:
@@ -65,7 +83,7 @@ def in_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
             for at in range(0, batch.num_rows, ROWS):
                 yield pa.RecordBatch.from_pydict(fn(batch.slice(at, ROWS).to_pydict()), schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def shared_folder(spark: SparkSession) -> str:

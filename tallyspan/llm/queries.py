@@ -91,10 +91,8 @@ def op6_ftrl(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("op7_swap_packing")
 def op7_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _read(spark, sf, "documents")
-    parts = swap_packing.pieces(docs, WORDS)
-    parts = parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return swap_packing.pack(parts, docs.count())
+    parts = swap_packing.pieces(_read(spark, sf, "documents"), WORDS)
+    return swap_packing.pack(parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
 @register("op8_hyperminhash")
