@@ -1,55 +1,66 @@
 """Document fingerprints by I-Match, in column expressions only.
 
-A text's terms are its runs of letters and digits in lower case. Document frequencies are counted
-over all texts in ``2**BUCKET_BITS`` hash buckets; buckets whose share of the documents lies in the
-chosen band are the lexicon, a bit set of fixed size (128 KB) which every task gets. The lexicon is
-split at random into subsets: at level l, subset j holds the terms whose hash has the remainder j
-modulo 2**l. A text with m lexicon terms is fingerprinted by the first ``SUBSETS`` subsets at the
-levels floor(log2(m)) and the one above, where a subset holds about one of its terms: the terms of
-each subset are sorted and hashed. An empty subset has no hash.
+A text's terms are its runs of letters and digits in lower case, as md5 digests. Document frequencies
+are counted over all texts in ``2**BUCKET_BITS`` hash buckets; buckets whose share of the documents lies
+in the chosen band are the lexicon, a bit set of fixed size (128 KB) which every task gets.
 
-Likeness of two fingerprints: of the subsets (at levels that both have) that are not empty in both,
-the share with equal hashes. Equal fingerprints are alike by 1, those without a common level by 0.
+The lexicon is thinned at random into a fixed set of subsets, the same for every text: the whole lexicon,
+and for each of ``FAMILIES`` independent draws those that keep 7/8, 3/4, 1/2, 1/4 ... 1/1024 of it. In
+each subset all terms that a text has are sorted and hashed; a subset without a term of the text has no
+hash. The large subsets are I-Match's own, which agree for texts that hardly differ; the small ones still
+agree when more has changed.
+
+Likeness of two fingerprints: the subsets of a draw mostly lie in each other, so that a further one with
+equal hashes stands for half the difference; with k equal and not empty ones a draw's likeness is
+1 - 1 / 2**k, and the draws are averaged. Equal fingerprints are alike by 1, texts without a common term by 0.
+
+Texts are shuffled once, by blocks of ids, where the next document is the next row; the last row of a
+block takes the first document of the next block, one row a block, from a small table.
 
 Defined results: a null text is an empty one; a text with fewer than ``MIN_TERMS`` lexicon terms uses
-all its terms, one without terms is a term as a whole; rows without id have no next document and
-stay unedited; rows that share an id follow one another by text; a single document is its own next.
-Extra columns are not read.
+all its terms, one without terms is a term as a whole; of very long texts all terms count; rows without
+id have no next document and stay unedited; rows that share an id follow one another by their texts'
+checksums; a single document is its own next. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan.functions.values import bound
 from tallyspan.llm.common import free_names
 from tallyspan.spread import dense_index, df_col
 
 BUCKET_BITS = 20
 #: Band of document frequency: at least this share and two documents, at most that share.
 LEAST_SHARE, MOST_SHARE = 3e-6, 0.05
-SUBSETS, MIN_TERMS = 32, 4
-#: What xxhash64 gives for nothing.
-SEED = 42
-#: Documents of neighbouring ids that look for their next document in one window.
-ID_BLOCK = 256
+FAMILIES, MIN_TERMS = 4, 4
+#: Subsets of a family: what they keep, as bounds of three hexadecimal digits.
+LARGE = [">= '200'", ">= '400'", "< '800'", "< '400'"]
+SMALL = [f"< '{4096 >> level:03x}'" for level in range(3, 11)]
+#: Digits of a term: three for each family, then those of its bucket.
+DIGITS = 3 * FAMILIES
+#: First digits of the md5 digest of nothing.
+NOTHING = "d41d8cd9"
+#: Ids of a block, in which documents look for their next one.
+ID_BLOCK = 1_024
+SPLIT = r"[^\p{L}\p{N}]+"
 
 
 def terms(text: Column) -> Column:
-    """Distinct term hashes of a text."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    """Distinct terms of a text, as digests."""
+    words = F.filter(F.split(F.lower(text), SPLIT), lambda w: w != "")
+    return F.transform(F.array_distinct(words), lambda w: F.left(F.md5(w), F.lit(DIGITS + 5)))
 
 
-def _bucket(h: Column) -> Column:
-    return h.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1))
+def _bucket(term: Column) -> Column:
+    return F.conv(F.right(term, F.lit(5)), 16, 10).cast("long")
 
 
 def lexicon(texts: DataFrame) -> DataFrame:
     """One row ``lexicon``: the bit set of the buckets in the band, 64 bits a number, over ``texts(text)``."""
-    spread = texts.select(F.explode(terms(F.col("text"))).alias("h")).select(_bucket(F.col("h")).alias("bucket"))
+    spread = texts.select(F.explode(terms(F.col("text"))).alias("term")).select(_bucket(F.col("term")).alias("bucket"))
     counted = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     total = texts.agg(F.count(F.lit(1))).scalar()
     banded = counted.filter((F.col("n") >= F.greatest(F.lit(2), total * LEAST_SHARE)) & (F.col("n") <= F.greatest(F.lit(2), total * MOST_SHARE)))
@@ -62,53 +73,46 @@ def lexicon(texts: DataFrame) -> DataFrame:
     return filled.agg(F.transform(listed, lambda x: x["bits"]).alias("lexicon"))
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, however often it is used."""
-    return F.transform(F.array(value), lambda v: use(v))[0]
+def _in_band(term: Column, band: Column) -> Column:
+    def bit(bucket: Column) -> Column:
+        word = F.get(band, F.shiftright(bucket, 6).cast("int"))
+        return F.call_function("shiftright", word, bucket.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return bound(_bucket(term), bit)
 
 
-def _in_band(h: Column, band: Column) -> Column:
-    bucket = _bucket(h)
-    word = F.get(band, F.shiftright(bucket, 6).cast("int"))
-    return F.call_function("shiftright", word, bucket.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1)) == 1
+def _hash(some: Column) -> Column:
+    """Eight digits, or nothing for no term."""
+    return F.replace(F.left(F.md5(F.array_join(some, "")), F.lit(8)), F.lit(NOTHING), F.lit(""))
 
 
-def _hashes(some: Column, level: Column) -> Column:
-    """One hash for each of the level's subsets, or an empty string."""
+def _kept(some: Column, family: int, rule: str) -> Column:
+    compare, limit = rule.split(" ")
+    limit = F.lit(limit.strip("'"))
+    digits = lambda t: F.substring(t, 3 * family + 1, 3)
+    return F.filter(some, (lambda t: digits(t) < limit) if compare == "<" else (lambda t: digits(t) >= limit))
 
-    def of(mask: Column) -> Column:
-        # the upper 40 bits of a term do not choose its bucket; their remainder is the subset and leads the key
-        upper = lambda h: F.shiftrightunsigned(h, 24)
-        few = F.filter(F.transform(some, upper), lambda u: u.bitwiseAND(mask) < SUBSETS)
-        return bound(F.sort_array(F.transform(few, lambda u: F.shiftleft(u.bitwiseAND(mask), 40).bitwiseOR(u))), each)
 
-    def each(keys: Column) -> Column:
-        numbers = F.sequence(F.lit(0).cast("long"), F.lit(SUBSETS - 1).cast("long"))
-        values = F.transform(numbers, lambda j: F.xxhash64(F.filter(keys, lambda k: F.shiftright(k, 40) == j)))
-        # the hash of no key is the seed
-        return F.transform(values, lambda v: F.when(v == SEED, "").otherwise(F.lpad(F.lower(F.hex(F.shiftrightunsigned(v, 32))), 8, "0")))
+def _subset_hashes(sorted_terms: Column) -> Column:
+    def of_family(family: int) -> Column:
+        large = F.array(*[_hash(_kept(sorted_terms, family, rule)) for rule in LARGE])
+        # the small subsets lie in each other: they are cut from the largest of them
+        small = lambda some: F.array(_hash(some), *[_hash(_kept(some, family, rule)) for rule in SMALL[1:]])
+        return F.concat(large, bound(_kept(sorted_terms, family, SMALL[0]), small))
 
-    return bound(F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1, of)
+    return F.concat(F.array(_hash(sorted_terms)), *[of_family(f) for f in range(FAMILIES)])
 
 
 def fingerprint(text: Column, band: Column) -> Column:
-    """``level:hash.hash...``, SUBSETS hashes of the level and as many of the next."""
+    """The hashes of all subsets, with dots between them."""
 
     def chosen(every: Column) -> Column:
         return bound(
-            F.filter(every, lambda h: _in_band(h, band)),
-            lambda some: F.when(F.size(some) >= MIN_TERMS, some).when(F.size(every) > 0, every).otherwise(F.array(F.xxhash64(text))),
-        )
-
-    def whole(some: Column) -> Column:
-        return bound(
-            F.floor(F.log2(F.size(some).cast("double"))).cast("int"),
-            lambda level: F.concat(
-                level.cast("string"), F.lit(":"), F.array_join(F.concat(_hashes(some, level), _hashes(some, level + 1)), ".")
-            ),
+            F.filter(every, lambda t: _in_band(t, band)),
+            lambda some: F.when(F.size(some) >= MIN_TERMS, some).when(F.size(every) > 0, every).otherwise(F.array(F.left(F.md5(text), F.lit(DIGITS + 5)))),
         )
 
-    return bound(bound(terms(text), chosen), whole)
+    return F.array_join(bound(F.sort_array(bound(terms(text), chosen)), _subset_hashes), ".")
 
 
 def with_fingerprint(df: DataFrame, band: DataFrame, text_col: str, out: str) -> DataFrame:
@@ -120,36 +124,24 @@ def with_fingerprint(df: DataFrame, band: DataFrame, text_col: str, out: str) ->
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal hashes among the subsets that are not empty in both fingerprints."""
-    level = lambda f: F.substring_index(f, ":", 1).cast("int")
-    parts = lambda f: F.split(F.substring_index(f, ":", -1), r"\.")
-    lower, upper = (lambda f: F.slice(parts(f), 1, SUBSETS)), (lambda f: F.slice(parts(f), SUBSETS + 1, SUBSETS))
-    gap = level(b) - level(a)
-    one = F.when(gap == 0, parts(a)).when(gap == 1, upper(a)).when(gap == -1, lower(a))
-    other = F.when(gap == 0, parts(b)).when(gap == 1, lower(b)).when(gap == -1, upper(b))
-    # 2: equal, 1: different, 0: both empty
-    kinds = F.zip_with(one, other, lambda x, y: F.when(x != y, 1).when(x != "", 2).otherwise(0))
-    equal, either = F.size(F.filter(kinds, lambda k: k == 2)), F.size(F.filter(kinds, lambda k: k > 0))
-    return F.when(a == b, 1.0).when(F.abs(gap) > 1, 0.0).when(either == 0, 0.0).otherwise(equal / either)
-
-
-def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
-    """``docs`` with ``next``, a struct of ``columns`` of the document that follows by id; the first
-    follows the last. Neighbours meet in blocks of ids; the last of a block meets the first of the
-    next block that has documents."""
-    block = F.floor(df_col(id_col).cast("long") / ID_BLOCK)
-    rows = docs.filter(df_col(id_col).isNotNull()).withColumn("block", block)
-    order = Window.partitionBy("block").orderBy(id_col, *columns)
-    follow = F.lead(F.struct(*columns)).over(order)
-    seen = rows.withColumn("next", follow).withColumn("nth", F.row_number().over(order))
-    blocks = dense_index(rows.select("block").distinct(), ["block"], "at")
-    count = blocks.agg(F.count(F.lit(1))).scalar()
-    after = blocks.select(F.col("block").alias("next_block"), F.pmod(F.col("at") - 1, count).alias("at"))
-    after = blocks.join(after, "at").select("block", "next_block")
-    first = seen.filter(F.col("nth") == 1).select(F.col("block").alias("next_block"), F.struct(*columns).alias("next"))
-    inner = seen.filter(F.col("next").isNotNull()).select(*[df_col(c) for c in docs.columns], "next")
-    edge = seen.filter(F.col("next").isNull()).drop("next").join(after, "block").join(first, "next_block")
-    return inner.unionByName(edge.select(*[df_col(c) for c in docs.columns], "next"))
+    """How far the families agree: with k equal subsets that are not empty, a family's distance is 1 / 2**k."""
+    alike = F.zip_with(F.split(a, r"\."), F.split(b, r"\."), lambda x, y: (x == y) & (x != ""))
+    size = len(LARGE + SMALL)
+
+    def agreed(alike: Column) -> Column:
+        equal = [F.size(F.filter(F.slice(alike, 2 + size * f, size), lambda x: x)) for f in range(FAMILIES)]
+        return sum(1.0 - F.pow(F.lit(0.5), k) for k in equal) / FAMILIES
+
+    return F.when(a == b, 1.0).otherwise(bound(alike, agreed))
+
+
+def _next_blocks(rows: DataFrame) -> DataFrame:
+    """``block, next_id, next_key``: the first document of the next block that has any, for each block."""
+    firsts = rows.groupBy("block").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    firsts = dense_index(firsts.select("block", "first.doc_id", "first.key"), ["block"], "at")
+    count = firsts.agg(F.count(F.lit(1))).scalar()
+    before = firsts.select(F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), F.pmod(F.col("at") - 1, count).alias("at"))
+    return firsts.select("block", "at").join(before, "at").drop("at")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,15 +149,25 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     every text, and the text whose last quarter is replaced by the beginning of the next document."""
     texts = docs.select(df_col(id_col).cast("long").alias("doc_id"), F.coalesce(df_col(text_col), F.lit("")).alias("text"))
     band = lexicon(texts.select("text"))
-    marked = with_fingerprint(texts, band, "text", "fingerprint")
-    named = with_next(marked, "doc_id", ["text", "fingerprint"])
-    alone = marked.filter(F.col("doc_id").isNull()).withColumn("next", F.lit(None).cast(dict(named.dtypes)["next"]))
-    both = named.unionByName(alone).withColumn("n_chars", F.length("text").cast("long"))
+    named = texts.filter(F.col("doc_id").isNotNull())
+    named = named.withColumn("key", F.xxhash64("text")).withColumn("block", F.floor(F.col("doc_id") / ID_BLOCK))
+    marked = with_fingerprint(named, band, "text", "fingerprint")
+    follow = F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("block").orderBy("doc_id", "key"))
+    # one row a block: the size of this table decides while the query runs how it is joined
+    edge = _next_blocks(named.select("block", "doc_id", "key"))
+    edge = named.drop("block").join(edge, (F.col("doc_id") == F.col("next_id")) & (F.col("key") == F.col("next_key")))
+    edge = edge.groupBy("block").agg(F.any_value("text").alias("next_text"))
+    edge = with_fingerprint(edge, band, "next_text", "next_fingerprint")
+    edge = edge.select("block", F.struct(F.col("next_text").alias("text"), F.col("next_fingerprint").alias("fingerprint")).alias("first"))
+    seen = marked.withColumn("next", follow).join(edge, "block", "left")
+    seen = seen.select("doc_id", "text", "fingerprint", F.coalesce("next", "first").alias("next"))
+    alone = with_fingerprint(texts.filter(F.col("doc_id").isNull()), band, "text", "fingerprint")
+    both = seen.unionByName(alone.withColumn("next", F.lit(None).cast(dict(seen.dtypes)["next"])))
+    both = both.withColumn("n_chars", F.length("text").cast("long"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.left("text", F.col("n_chars").cast("int") - quarter), F.left(F.col("next.text"), quarter))
-    both = both.withColumn("edited", F.coalesce(edited, F.col("text")))
+    both = both.select("doc_id", "text", "n_chars", "fingerprint", F.coalesce(edited, F.col("text")).alias("edited"), F.col("next.fingerprint").alias("next"))
     both = with_fingerprint(both, band, "edited", "edited_fingerprint")
-    near_next = F.coalesce(likeness(F.col("fingerprint"), F.col("next.fingerprint")), F.lit(0.0))
     return both.select(
         "doc_id",
         "text",
@@ -174,5 +176,39 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "edited",
         "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        near_next.alias("near_next"),
+        F.coalesce(likeness(F.col("fingerprint"), F.col("next")), F.lit(0.0)).alias("near_next"),
     )
+
+
+def oracle() -> str:
+    """The digest columns over ``documents`` in DuckDB's SQL."""
+
+    def hashed(some: str) -> str:
+        return f"replace(left(md5(array_to_string({some}, '')), 8), '{NOTHING}', '')"
+
+    rules = [(f, rule) for f in range(FAMILIES) for rule in LARGE + SMALL]
+    hashes = [hashed("ts")] + [hashed(f"list_filter(ts, lambda t: substr(t, {3 * f + 1}, 3) {rule})") for f, rule in rules]
+    size = len(LARGE + SMALL)
+
+    def share(a: str, b: str) -> str:
+        pairs = f"list_zip(string_split({a}, '.'), string_split({b}, '.'))"
+        equal = [f"len(list_filter(list_slice({pairs}, {2 + size * f}, {1 + size * (f + 1)}), lambda p: p[1] = p[2] AND p[1] <> ''))" for f in range(FAMILIES)]
+        return f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE ({' + '.join(f'1.0::DOUBLE - power(0.5::DOUBLE, {k})' for k in equal)}) / {FAMILIES} END"
+
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+ n AS (SELECT doc_id, text, length(text) AS n_chars, coalesce(lead(text) OVER w, first_value(text) OVER w) AS nt FROM d WINDOW w AS (ORDER BY doc_id)),
+ x AS (SELECT doc_id, 'own' AS kind, text AS body FROM n UNION ALL
+  SELECT doc_id, 'edited', left(text, n_chars - n_chars // 4) || left(nt, n_chars // 4) FROM n),
+ w AS (SELECT doc_id, kind, body, list_transform(list_distinct(list_filter(regexp_split_to_array(lower(body), '{SPLIT}'), lambda v: v <> '')),
+  lambda v: left(md5(v), {DIGITS + 5})) AS every FROM x),
+ b AS (SELECT bucket FROM (SELECT right(t, 5) AS bucket, count(*) AS n FROM (SELECT unnest(every) AS t FROM w WHERE kind = 'own') GROUP BY 1),
+  (SELECT count(*) AS total FROM d) WHERE n >= greatest(2, total * {LEAST_SHARE}::DOUBLE) AND n <= greatest(2, total * {MOST_SHARE}::DOUBLE)),
+ u AS (SELECT doc_id, kind, unnest(every) AS t FROM w),
+ s AS (SELECT doc_id, kind, list(t) AS inside FROM u WHERE right(t, 5) IN (SELECT bucket FROM b) GROUP BY ALL),
+ c AS (SELECT w.doc_id, w.kind, w.body, list_sort(CASE WHEN len(coalesce(inside, [])) >= {MIN_TERMS} THEN inside WHEN len(every) > 0 THEN every
+  ELSE [left(md5(body), {DIGITS + 5})] END) AS ts FROM w LEFT JOIN s USING (doc_id, kind)),
+ f AS (SELECT doc_id, kind, body, array_to_string([{", ".join(hashes)}], '.') AS fp FROM c),
+ g AS (SELECT o.doc_id, o.fp AS fingerprint, e.fp AS edited_fingerprint, sha256(e.body) AS edited_sha256, length(o.body) AS n_chars
+  FROM f o JOIN f e USING (doc_id) WHERE o.kind = 'own' AND e.kind = 'edited'),
+ h AS (SELECT *, coalesce(lead(fingerprint) OVER w, first_value(fingerprint) OVER w) AS nf FROM g WINDOW w AS (ORDER BY doc_id))
+ SELECT doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, {share("fingerprint", "edited_fingerprint")} AS near_edited, {share("fingerprint", "nf")} AS near_next FROM h"""

@@ -41,7 +41,7 @@ def op1_url_templates(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
-@register("op2_imatch")
+@register("op2_imatch", imatch.oracle())
 def op2_imatch(spark: SparkSession, sf: str) -> DataFrame:
     out = imatch.edited_fingerprints(_read(spark, sf, "documents"))
     digest = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")

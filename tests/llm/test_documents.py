@@ -163,7 +163,28 @@ def test_near_duplicate_query_on_the_table(spark, sf):
 
 
 def brute_terms(text):
-    return {xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\W_]+", text.lower())}
+    return {hashlib.md5(w.encode()).hexdigest()[:17] for w in re.findall(r"[^\W_]+", text.lower())}
+
+
+def brute_fingerprint(text, band):
+    """Hashes of the whole lexicon and of every thinned one."""
+    every = brute_terms(text)
+    inside = {t for t in every if t[12:] in band}
+    some = sorted(inside if len(inside) >= imatch.MIN_TERMS else every or {hashlib.md5(text.encode()).hexdigest()[:17]})
+    digest = lambda part: hashlib.md5("".join(part).encode()).hexdigest()[:8] if part else ""
+    out = [digest(some)]
+    for f in range(4):
+        share = {t: int(t[3 * f : 3 * f + 3], 16) / 4096 for t in some}
+        out += [digest([t for t in some if share[t] >= 1 / 8]), digest([t for t in some if share[t] >= 1 / 4])]
+        out += [digest([t for t in some if share[t] < 1 / 2**level]) for level in range(1, 11)]
+    return ".".join(out)
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    same = [x == y and x != "" for x, y in zip(a.split("."), b.split("."))]
+    return sum(1 - 0.5 ** sum(same[1 + 12 * f : 13 + 12 * f]) for f in range(4)) / 4
 
 
 def test_fingerprint_query(spark, sf):
@@ -171,25 +192,10 @@ def test_fingerprint_query(spark, sf):
     got = {r["doc_id"]: r for r in entry.queries()["op2_imatch"](spark, sf).collect()}
     ids = sorted(docs)
     texts = [docs[i] or "" for i in ids]
-    mask = (1 << imatch.BUCKET_BITS) - 1
-    df = Counter(b for t in texts for b in Counter(h & mask for h in brute_terms(t)).elements())
+    df = Counter(t[12:] for text in texts for t in brute_terms(text))
     n = len(texts)
     band = {b for b, c in df.items() if max(2, n * imatch.LEAST_SHARE) <= c <= max(2, n * imatch.MOST_SHARE)}
-
-    def fingerprint(text):
-        terms = brute_terms(text)
-        inside = {h for h in terms if h & mask in band}
-        some = inside if len(inside) >= imatch.MIN_TERMS else terms or {xxhash.xxh64_intdigest(text.encode(), 42)}
-        level = len(some).bit_length() - 1
-        parts = []
-        for at in (level, level + 1):
-            for j in range(imatch.SUBSETS):
-                part = sorted(j << 40 | h >> 24 for h in some if (h >> 24) & ((1 << at) - 1) == j)
-                value = 42
-                for key in part:
-                    value = xxhash.xxh64_intdigest(key.to_bytes(8, "little"), value)
-                parts.append(f"{value >> 32:08x}" if part else "")
-        return f"{level}:{'.'.join(parts)}"
+    fingerprint = lambda text: brute_fingerprint(text, band)
 
     for k, i in enumerate(ids):
         text, follow = texts[k], texts[(k + 1) % n]
@@ -200,7 +206,8 @@ def test_fingerprint_query(spark, sf):
         assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         assert row["fingerprint"] == fingerprint(text)
         assert row["edited_fingerprint"] == fingerprint(edited)
-        assert 0 <= row["near_next"] <= 1 and 0 <= row["near_edited"] <= 1
+        assert row["near_edited"] == brute_likeness(fingerprint(text), fingerprint(edited))
+        assert row["near_next"] == brute_likeness(fingerprint(text), fingerprint(follow))
     assert np.mean([r["near_edited"] for r in got.values()]) > 0.3
     assert np.mean([r["near_next"] for r in got.values()]) < 0.1
 
@@ -218,6 +225,11 @@ def test_fingerprint_edge_rows(spark):
     text = EDGE[4]
     assert follow[1_000_000_000_000]["edited"] == text[: len(text) - 1] + EDGE[5][0]
     assert imatch.edited_fingerprints(frame(spark, [])).count() == 0
+    # rows of one id follow one another
+    got = imatch.edited_fingerprints(frame(spark, ["ab cd", "ab cd", "xy"], [1, 1, 2])).collect()
+    assert sorted((r["doc_id"], r["edited"]) for r in got) == [(1, "ab ca"), (1, "ab cx"), (2, "xy")]
+    far = imatch.edited_fingerprints(frame(spark, ["ab cd", "x" * 50_000 + " y", "zz zz"], [1, 5_000_000, 7_000_000])).collect()
+    assert sorted(r["edited"][-3:] for r in far) == [" cx", " za", " zz"]
     (only,) = imatch.edited_fingerprints(frame(spark, ["abcd efgh"])).collect()
     assert only["edited"] == "abcd efab" and only["near_next"] == 1.0
 
@@ -321,6 +333,26 @@ def test_packing_edge_rows(spark):
     assert swap_packing.pack_documents(frame(spark, []), WORDS).count() == 0
 
 
+def test_missing_and_repeated_ids_and_long_texts_are_spread_over_shards(spark):
+    ids = [None] * 200 + [7] * 200
+    got = swap_packing.pack_documents(frame(spark, ["a b c"] * 400, ids), WORDS, capacity=16, shard=20).collect()
+    by_shard = Counter((r["doc_id"], r["sequence_id"] >> 40) for r in got)
+    assert len(got) == 400 and len(by_shard) > 30 and max(by_shard.values()) < 40
+    # pieces that fill a sequence are none of a shard's work
+    got = swap_packing.pack_documents(frame(spark, ["a " * 5_000]), WORDS, capacity=8, shard=1).collect()
+    check_packing(got, [(0, 5_001)], 8)
+    assert len({r["sequence_id"] for r in got}) == 626
+
+
+def test_what_is_remembered_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(swap_packing, "CACHE_BYTES", 4_000)
+    words = swap_packing.WordIds(WORDS)
+    texts = [" ".join(f"w{i * k % 997}x common" for i in range(20)) for k in range(1, 200)]
+    for text in texts:
+        assert [np.frombuffer(x, "<u4").tolist() for x in words.encode_all([text])] == library_ids([text])
+    assert len(words.known) + len(words.older) < 60 and "common" in words.known
+
+
 def test_swaps_empty_a_sequence_that_best_fit_leaves():
     rng = np.random.default_rng(4)
     saved = 0
