@@ -1,158 +1,157 @@
 """Exact top-k retrieval: dense by inner product, lexical by BM25, and the text given to a model.
 
-The corpus is read once per slice of queries. A slice is small and of checked size, so it travels
-as a broadcast; each task keeps k hits per query, and only those are shuffled.
+Dense: queries and vectors are dealt into blocks, every block of queries meets every block of vectors
+by the pair of block numbers, and a pair hands on k hits per query. Lexical: queries meet an inverted
+index word by word; documents that cannot reach a query's k-th score are never paired with it. Nothing
+passes through the driver and no job runs before the result is asked for.
 """
 
 from __future__ import annotations
 
-import math
-import re
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspan.functions.values import bound
 from tallyspan.spread import packed, ranked, top_k
 
-# queries per pass over the corpus
-SLICE = 2_048
+#: Rows of a block: a pair of blocks is one task's product of two matrices.
+QUERY_BLOCK, VECTOR_BLOCK = 512, 8_192
 
 
-def _slices(queries: DataFrame, key: str, size: int) -> list[DataFrame]:
-    """The queries cut by key hash into parts of about ``size`` rows."""
-    n = max(1, math.ceil(queries.count() / size))
-    if n == 1:
-        return [queries]
-    return [queries.filter(F.pmod(F.xxhash64(key), F.lit(n)) == i) for i in range(n)]
+def _blocks(df: DataFrame, size: int) -> Column:
+    """The number of blocks that ``df`` fills, at least one; counted when the query runs."""
+    return df.agg(F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).alias("n")).scalar()
 
 
-class _Best:
-    """The k best (score, id) per query, over all batches of a task; equal scores go to the lower id."""
+def _matrix(table: pa.Table, column: str) -> np.ndarray:
+    values = table.column(column).combine_chunks()
+    return values.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(values), -1)
 
-    def __init__(self, queries: int, k: int):
-        self.k = k
-        self.scores = [np.empty(0)] * queries
-        self.ids = [np.empty(0, dtype=np.int64)] * queries
 
-    def add(self, q: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        s, i = np.concatenate([self.scores[q], scores]), np.concatenate([self.ids[q], ids])
-        if len(s) > 4 * self.k:
-            floor = np.partition(s, len(s) - self.k)[len(s) - self.k]
-            keep = s >= floor
-            s, i = s[keep], i[keep]
-        order = np.lexsort((i, -s))[: self.k]
-        self.scores[q], self.ids[q] = s[order], i[order]
+def _best_of_block(k: int):
+    """The k largest inner products of every query of one block with the vectors of another."""
 
-    def rows(self, names: Sequence) -> pd.DataFrame:
-        counts = [len(s) for s in self.scores]
-        return pd.DataFrame(
-            {"query_id": np.repeat(np.asarray(names), counts), "doc_id": np.concatenate(self.ids), "score": np.concatenate(self.scores)}
-        )
+    def best(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        names = queries.column("query_id").to_numpy()
+        vectors = vectors.sort_by("doc_id")  # of equal scores the lower id comes first
+        ids, n = vectors.column("doc_id").to_numpy(), vectors.num_rows
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if n and len(names):
+            scores = np.round(_matrix(queries, "embedding") @ _matrix(vectors, "embedding").T, 9)
+            least = np.partition(scores, n - k, axis=1)[:, n - k] if n > k else np.full(len(names), -np.inf)
+            query, at = np.nonzero(scores >= least[:, None])
+            order = np.lexsort((at, -scores[query, at], query))
+            query, at = query[order], at[order]
+            starts = np.searchsorted(query, np.arange(len(names)))
+            keep = np.arange(len(query)) - starts[query] < k
+            query, at = query[keep], at[keep]
+            found = [names[query], ids[at], scores[query, at]]
+        return pa.table([pa.array(c) for c in found], names=["query_id", "doc_id", "score"])
 
+    return best
 
-def _merged(parts: list[DataFrame], k: int) -> DataFrame:
-    result = parts[0]
-    for p in parts[1:]:
-        result = result.unionByName(p)
-    return top_k(result, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")
 
-
-def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int, size: int = SLICE) -> DataFrame:
+def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK) -> DataFrame:
     """``query_id, doc_id, score, rank`` of the k largest inner products.
 
     ``vectors``: ``doc_id long, embedding``; ``queries``: ``query_id long, embedding``. Scores are
-    rounded to 9 digits so that copies tie.
+    rounded to 9 digits so that copies tie. A row without vector has no hits.
     """
-    context = vectors.sparkSession.sparkContext
-
-    def scan(block) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names, matrix = block.value
-            best = _Best(len(names), k)
-            for pdf in batches:
-                if len(pdf):
-                    scores = np.round(np.stack(pdf["embedding"].to_numpy()).astype(float) @ matrix.T, 9)
-                    ids = pdf["doc_id"].to_numpy()
-                    for q in range(len(names)):
-                        best.add(q, scores[:, q], ids)
-            yield best.rows(names)
-
-        return vectors.select("doc_id", "embedding").mapInPandas(run, "query_id long, doc_id long, score double")
-
-    parts = []
-    for part in _slices(queries, "query_id", size):
-        rows = part.select("query_id", "embedding").collect()  # one slice
-        if rows:
-            matrix = np.array([r["embedding"] for r in rows], dtype=float)
-            parts.append(scan(context.broadcast(([r["query_id"] for r in rows], matrix))))
-    if not parts:
-        return vectors.limit(0).selectExpr("doc_id AS query_id", "doc_id", "0D AS score", "1 AS rank")
-    return _merged(parts, k)
+    asked, held = queries.filter(F.col("embedding").isNotNull()), vectors.filter(F.col("embedding").isNotNull())
+    many, parts = _blocks(asked, query_block), _blocks(held, vector_block)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    left = asked.select("query_id", "embedding", F.pmod(F.xxhash64("query_id"), many).alias("qb"), every(parts).alias("vb"))
+    right = held.select("doc_id", "embedding", F.pmod(F.xxhash64("doc_id"), parts).alias("vb"), every(many).alias("qb"))
+    pairs = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb"))
+    hits = pairs.applyInArrow(_best_of_block(k), "query_id long, doc_id long, score double")
+    return top_k(hits, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")
 
 
 WORD = r"[a-z0-9]+"
+#: Postings of a query's strongest words that are scored first, for a lower bound of its k-th score.
+PROBE = 20_000
+#: Score differences below this are rounding.
+_SLACK = 1e-6
+
+
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
+
+
+def inverted_index(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``word, doc_id, tf, length``: every word of every document once. Words are counted inside the
+    document's row, so nothing is shuffled. Write it as a table to search it often."""
+
+    def counted(words: Column) -> Column:
+        n = F.size(words)
+        first = F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
 
+        def runs(at: Column) -> Column:
+            ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(n))
+            return F.zip_with(at, ends, lambda a, e: F.struct(F.get(words, a).alias("word"), (e - a).alias("tf"), n.alias("length")))
 
-def bm25_top_k(
-    docs: DataFrame, queries: DataFrame, k: int, k1: float = 0.9, b: float = 0.4, size: int = 256, text: str = "text"
+        return bound(first, runs)
+
+    rows = docs.select("doc_id", F.sort_array(words_of(F.col(text))).alias("w")).filter(F.size("w") > 0)
+    return rows.select("doc_id", F.explode(bound(F.col("w"), counted)).alias("p")).select("p.word", "doc_id", "p.tf", "p.length")
+
+
+def collection_totals(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row: ``n`` documents, ``average`` words of one."""
+    words = F.sum(F.size(words_of(F.coalesce(F.col(text), F.lit("")))))
+    return docs.agg(F.count(F.lit(1)).alias("n"), (F.coalesce(words, F.lit(0)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("average"))
+
+
+def bm25_search(
+    index: DataFrame, totals: DataFrame, queries: DataFrame, k: int, k1: float = 0.9, b: float = 0.4, text: str = "text", probe: int = PROBE
 ) -> DataFrame:
-    """``query_id, doc_id, score, rank`` of the k best BM25 scores above 0; a query may have fewer hits.
+    """``query_id, doc_id, score, rank`` of the k best BM25 scores above 0 in an ``inverted_index`` with its
+    ``collection_totals``; a query may have fewer hits.
 
     idf = ln(1 + (N - df + 0.5) / (df + 0.5)); the term part is tf (k1 + 1) / (tf + k1 (1 - b + b dl / avgdl)).
+
+    A word's largest term part times its weight bounds what it can add to a score. The strongest words of a
+    query, about ``probe`` postings, give scores whose k-th is a floor. Weak words whose bounds sum to
+    less than the floor cannot carry a document: only documents with another word of the query are paired
+    with it, and of those only the ones that can still reach the floor look up their weak words.
     """
-    context = docs.sparkSession.sparkContext
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
-    totals = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(tokens)).alias("len")).first()
-    n, average = totals["n"], (totals["len"] or 0) / max(totals["n"], 1)
-
-    def scan(block) -> DataFrame:
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            names, vocab, weights = block.value
-            best, word = _Best(len(names), k), re.compile(WORD)
-            for pdf in batches:
-                scores = np.zeros((len(pdf), len(names)))
-                for row, body in enumerate(pdf["text"]):
-                    found = word.findall(body.lower())
-                    counts = [(vocab[w], c) for w, c in Counter(found).items() if w in vocab]
-                    if not counts:
-                        continue
-                    terms, tf = (np.array(x) for x in zip(*counts, strict=True))
-                    part = tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(found) / average))
-                    scores[row] = np.round(part @ weights[terms], 9)
-                ids = pdf["doc_id"].to_numpy()
-                for q in np.flatnonzero(scores.any(axis=0)):
-                    hit = scores[:, q] > 0
-                    best.add(q, scores[hit, q], ids[hit])
-            yield best.rows(names)
-
-        return docs.select("doc_id", F.col(text).alias("text")).filter(F.col("text").isNotNull()).mapInPandas(
-            run, "query_id long, doc_id long, score double"
-        )
-
-    parts = []
-    for part in _slices(queries, "query_id", size):
-        asked = part.select("query_id", tokens.alias("w")).collect()  # one slice
-        vocab = {w: i for i, w in enumerate(sorted({w for r in asked for w in r["w"]}))}
-        if not vocab:
-            continue
-        words = docs.select(F.explode(F.array_distinct(tokens)).alias("w"))
-        # document frequencies of the words of one slice
-        seen = words.join(F.broadcast(part.select(F.explode(tokens).alias("w")).distinct()), "w").groupBy("w").count().collect()
-        idf = np.zeros(len(vocab))
-        for r in seen:
-            idf[vocab[r["w"]]] = math.log(1 + (n - r["count"] + 0.5) / (r["count"] + 0.5))
-        weights = np.zeros((len(vocab), len(asked)))
-        for q, r in enumerate(asked):
-            for w, c in Counter(r["w"]).items():
-                weights[vocab[w], q] = c * idf[vocab[w]]
-        parts.append(scan(context.broadcast(([r["query_id"] for r in asked], vocab, weights))))
-    if not parts:
-        return docs.limit(0).selectExpr("doc_id AS query_id", "doc_id", "0D AS score", "1 AS rank")
-    return _merged(parts, k)
+    whole = totals.agg(F.struct(F.max("n").alias("n"), F.max("average").alias("average")).alias("t")).scalar()
+    n, average = whole["n"], whole["average"]
+    terms = queries.select("query_id", F.explode(words_of(F.col(text))).alias("word")).groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("times"))
+    part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / average))
+    postings = index.join(terms.select("word").distinct(), "word", "left_semi").select("word", "doc_id", part.alias("part"))
+    words = postings.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("part").alias("most"))
+    weight = F.col("times") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    terms = terms.join(words, "word").select("query_id", "word", "df", weight.alias("weight"), (weight * F.col("most")).alias("most"))
+    own = Window.partitionBy("query_id")  # a query's words
+    before = own.orderBy(F.desc("most"), "word").rowsBetween(Window.unboundedPreceding, -1)
+    up_to = own.orderBy("most", F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
+    terms = terms.withColumn("seen", F.coalesce(F.sum("df").over(before), F.lit(0))).withColumn("weak", F.sum("most").over(up_to))
+
+    def scores(of: DataFrame, *more: str) -> DataFrame:
+        carried = [F.max(c).alias(c) for c in more]
+        return of.join(postings, "word").groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"), *carried)
+
+    first = scores(terms.filter(F.col("seen") < max(probe, k)))
+    floor = top_k(first, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank").filter(F.col("rank") == k)
+    terms = terms.join(floor.select("query_id", (F.col("score") - _SLACK).alias("floor")), "query_id", "left").fillna({"floor": 0.0})
+    strong = F.col("weak") >= F.col("floor")
+    rest = F.max(F.when(~strong, F.col("weak")).otherwise(0.0)).over(own)
+    terms = terms.withColumn("strong", strong).withColumn("rest", rest)
+    paired = scores(terms.filter("strong"), "rest", "floor").filter(F.col("score") + F.col("rest") >= F.col("floor"))
+    asked = paired.select("query_id", "doc_id").join(terms.filter("NOT strong").select("query_id", "word", "weight"), "query_id")
+    added = asked.join(postings, ["word", "doc_id"]).select("query_id", "doc_id", (F.col("weight") * F.col("part")).alias("score"))
+    summed = paired.select("query_id", "doc_id", "score").unionByName(added).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
+    return top_k(summed.filter(F.col("score") > 0), ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")
+
+
+def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int, k1: float = 0.9, b: float = 0.4, text: str = "text", probe: int = PROBE) -> DataFrame:
+    """``bm25_search`` over an index made on the way."""
+    return bm25_search(inverted_index(docs, text), collection_totals(docs, text), queries, k, k1, b, text, probe)
 
 
 def pooled(tokens: DataFrame, keys: Sequence[str], vector: str, mask: str | None = None, how: str = "mean") -> DataFrame:
