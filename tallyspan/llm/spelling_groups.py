@@ -36,6 +36,8 @@ from tallyspan.spread import attach, df_col
 MIN_CHARS, MIN_COUNT = 5, 3
 #: Words of a list at most.
 LIST = 16_384
+#: Rows of lists that a task scans, on average.
+TASK_ROWS = 65_536
 #: Distinct words that a task counts before it hands them on.
 COUNTED = 200_000
 RUNS = "[A-Za-zÀ-ÿ]+"
@@ -188,7 +190,9 @@ def near_pairs(words: DataFrame, limit: int = LIST) -> DataFrame:
 
     listed = lists_of(words, limit).select(*names)
     key = F.when(F.col("last"), F.reverse("word")).otherwise(F.col("word"))
-    sorted_lists = listed.withColumn("key", key).repartition("list").sortWithinPartitions("list", "key").select(*names)
+    # scanning takes far longer than its bytes suggest: a task's share is counted in words
+    parts = max(1, -(-4 * words.count() // TASK_ROWS))
+    sorted_lists = listed.withColumn("key", key).repartition(parts, "list").sortWithinPartitions("list", "key").select(*names)
     return sorted_lists.mapInArrow(scan, "word string, n long, near string, near_n long")
 
 
