@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspan.functions import answers as A
+from tallyspan.functions import timed
 from tallyspan.operators.metrics import ERROR_PREFIX, INCORRECT_FORMAT, TIMEOUT
 from tallyspan.spread import ranked, top_k
 
@@ -124,36 +125,99 @@ def load_score_function(path: str, name: str, **fixed) -> Callable:
     return lambda *args, **kwargs: fn(*args, **{**kwargs, **fixed})
 
 
-def user_scores(fn: Callable):
+def _scored(got) -> tuple:
+    """``score, extras, error`` of what a user function returns: a number or a dict with ``score``."""
+    if isinstance(got, dict):
+        return float(got["score"]), {str(k): str(v) for k, v in got.items() if k != "score"}, None
+    return float(got), {}, None
+
+
+def _lost(reason: str) -> tuple:
+    return 0.0, {}, reason
+
+
+def _caught(e: Exception) -> tuple:
+    return _lost(f"{type(e).__name__}: {e}")
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["score", "extras", "error"])
+
+
+def user_scores(fn: Callable, timeout: float | None = None, helpers: int = 4):
     """Column function of ``fn(data_source, solution, truth, extra)``, which returns a number or a
-    dict with ``score``. An exception gives score 0 and its text in ``error``."""
+    dict with ``score``. An exception gives score 0 and its text in ``error``.
+
+    With ``timeout``, in seconds, the calls run in helper processes of the task; one that takes longer,
+    or ends its process, is ended and gives score 0 and the reason.
+    """
 
     def one(source, text, truth, extra) -> tuple:
         try:
-            got = fn(source, text, truth, extra)
-            if isinstance(got, dict):
-                rest = {str(k): str(v) for k, v in got.items() if k != "score"}
-                return float(got["score"]), rest, None
-            return float(got), {}, None
+            return _scored(fn(source, text, truth, extra))
         except Exception as e:  # noqa: BLE001
-            return 0.0, {}, f"{type(e).__name__}: {e}"
+            return _caught(e)
 
     @F.pandas_udf(USER_SCORE)
     def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for source, text, truth, extra in parts:
-            rows = [one(*r) for r in zip(source, text, truth, extra, strict=True)]
-            yield pd.DataFrame(rows, columns=["score", "extras", "error"])
+        if timeout is None:
+            for part in parts:
+                yield _frame([one(*r) for r in zip(*part, strict=True)])
+            return
+        with timed.helpers(one, _lost, timeout, helpers) as pool:
+            for part in parts:
+                yield _frame(pool.run(list(zip(*part, strict=True))))
 
     return run
 
 
-def batch_scores(fn: Callable):
-    """Column function of ``fn(sources, solutions, truths)`` over whole Arrow batches of columns."""
+#: Parts that a batch is cut into when it fails.
+BATCH_PARTS = 16
+
+
+def batch_scores(fn: Callable, timeout: float | None = None, helpers: int = 4):
+    """Column function of ``fn(sources, solutions, truths)`` over whole Arrow batches of columns, which
+    returns a number or a dict with ``score`` for each row.
+
+    A batch that fails, takes longer than ``timeout`` seconds, or ends its process is cut into parts that are
+    tried on their own, down to the rows that are to blame: these get score 0 and the reason.
+    """
 
-    @F.pandas_udf(T.DoubleType())
-    def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for source, text, truth in parts:
-            yield pd.Series(fn(list(source), list(text), list(truth)), dtype=float)
+    def call(*columns) -> list[tuple] | str:
+        try:
+            got = [_scored(x) for x in fn(*map(list, columns))]
+        except Exception as e:  # noqa: BLE001
+            return f"{type(e).__name__}: {e}"
+        if len(got) != len(columns[0]):
+            return f"ValueError: {len(got)} scores for {len(columns[0])} rows"
+        return got
+
+    def tried(ask: Callable[[list], list], part: tuple[pd.Series, ...]) -> pd.DataFrame:
+        columns = [list(c) for c in part]
+        results: list = [None] * len(columns[0])
+        todo = [range(len(results))] if results else []
+        while todo:
+            late = []
+            for rows, got in zip(todo, ask([tuple(c[rows.start : rows.stop] for c in columns) for rows in todo])):
+                if not isinstance(got, str):
+                    results[rows.start : rows.stop] = got
+                elif len(rows) == 1:
+                    results[rows.start] = _lost(got)
+                else:
+                    step = -(-len(rows) // BATCH_PARTS)
+                    late += [rows[at : at + step] for at in range(0, len(rows), step)]
+            todo = late
+        return _frame(results)
+
+    @F.pandas_udf(USER_SCORE)
+    def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        if timeout is None:
+            for part in parts:
+                yield tried(lambda batches: [call(*b) for b in batches], part)
+            return
+        with timed.helpers(call, str, timeout, helpers, portion=1) as pool:
+            for part in parts:
+                yield tried(pool.run, part)
 
     return run
 

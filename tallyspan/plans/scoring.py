@@ -431,16 +431,59 @@ register(
     .withColumn("s", S.user_scores(_user)(F.col("data_source"), F.col("response"), F.col("ground_truth"), F.col("status")))
     .select("sample_id", "s.score", "s.error")
 )
+def _batch(sources, texts, truths):
+    if any(t.endswith("77") for t in truths):
+        raise ValueError("no rule for 77")
+    return [2 * len(t) for t in truths]
+
+
 register(
     "score_batch_function",
-    f"""WITH {ANSWERS} SELECT sample_id, CAST(length(truth) * 2 AS DOUBLE) AS score FROM a""",
+    f"""WITH {ANSWERS} SELECT sample_id, CAST(CASE WHEN truth LIKE '%77' THEN 0 ELSE length(truth) * 2 END AS DOUBLE) AS score,
+ CASE WHEN truth LIKE '%77' THEN 'ValueError: no rule for 77' END AS error FROM a""",
 )(
-    lambda spark, sf: mixed(spark, sf).select(
-        "sample_id",
-        S.batch_scores(lambda sources, texts, truths: [2 * len(t) for t in truths])(
-            F.col("data_source"), F.col("response"), F.col("ground_truth")
-        ).alias("score"),
-    )
+    lambda spark, sf: mixed(spark, sf)
+    .withColumn("s", S.batch_scores(_batch)(F.col("data_source"), F.col("response"), F.col("ground_truth")))
+    .select("sample_id", "s.score", "s.error")
+)
+
+
+def _patient(source, text, truth, extra):
+    """A good score; a few answers make the scorer hang, die or raise."""
+    import os
+    import time
+
+    if truth.endswith("1234"):
+        time.sleep(3600)
+    if truth.endswith("4321"):
+        os._exit(3)
+    if extra == "P":
+        raise ValueError("no rule")
+    return {"score": len(truth), "kind": extra}
+
+
+def _patient_batch(sources, texts, truths):
+    return [_patient(s, x, t, "F")["score"] for s, x, t in zip(sources, texts, truths)]
+
+
+register(
+    "score_with_timeout",
+    f"""WITH {ANSWERS} SELECT sample_id, CASE WHEN truth LIKE '%1234' THEN 'timeout after 2 s' WHEN truth LIKE '%4321' THEN 'the scorer''s process ended'
+ WHEN status = 'P' THEN 'ValueError: no rule' END AS error, CAST(CASE WHEN truth LIKE '%1234' OR truth LIKE '%4321' OR status = 'P' THEN 0 ELSE length(truth) END AS DOUBLE) AS score,
+ CASE WHEN truth NOT LIKE '%1234' AND truth NOT LIKE '%4321' AND status <> 'P' THEN status END AS kind FROM a""",
+)(
+    lambda spark, sf: mixed(spark, sf)
+    .withColumn("s", S.user_scores(_patient, timeout=2)(F.col("data_source"), F.col("response"), F.col("ground_truth"), F.col("status")))
+    .select("sample_id", "s.score", "s.error", F.col("s.extras")["kind"].alias("kind"))
+)
+register(
+    "score_batch_with_timeout",
+    f"""WITH {ANSWERS} SELECT sample_id, CASE WHEN truth LIKE '%1234' THEN 'timeout after 2 s' WHEN truth LIKE '%4321' THEN 'the scorer''s process ended' END AS error,
+ CAST(CASE WHEN truth LIKE '%1234' OR truth LIKE '%4321' THEN 0 ELSE length(truth) END AS DOUBLE) AS score FROM a""",
+)(
+    lambda spark, sf: mixed(spark, sf)
+    .withColumn("s", S.batch_scores(_patient_batch, timeout=2)(F.col("data_source"), F.col("response"), F.col("ground_truth")))
+    .select("sample_id", "s.score", "s.error")
 )
 register(
     "reward_managers",

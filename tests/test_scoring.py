@@ -268,3 +268,52 @@ def test_unknown_source_is_told(spark):
     got = {r["data_source"]: r for r in S.score_by_source(df).collect()}
     assert got["nowhere"]["score"] is None and "nowhere" in got["nowhere"]["feedback"]
     assert got["aime_x"]["score"] == 1.0
+
+
+def moody(source, text, truth, extra):
+    """A scorer that answers, raises, hangs or dies by what it is given."""
+    import os
+    import time
+
+    if text == "hang":
+        time.sleep(600)
+    if text == "die":
+        os._exit(1)
+    if text == "raise":
+        raise KeyError(truth)
+    return {"score": len(truth), "seen": source}
+
+
+def responses(spark, texts):
+    rows = [(i, "s", t, "x" * (i % 5)) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "id long, source string, text string, truth string").coalesce(1)
+
+
+def test_a_scorer_has_its_time(spark):
+    texts = ["fine", "hang", "raise", "die", "fine"] + ["fine"] * 100 + ["hang", "fine"]
+    score = S.user_scores(moody, timeout=1)(F.col("source"), F.col("text"), F.col("truth"), F.lit(None).cast("string"))
+    got = sorted(responses(spark, texts).select("id", score.alias("s")).select("id", "s.*").collect())
+    reason = {"hang": "timeout after 1 s", "raise": "KeyError: 'xx'", "die": "the scorer's process ended", "fine": None}
+    assert [r["error"] for r in got] == [reason[t] for t in texts]
+    assert [r["score"] for r in got] == [len("x" * (i % 5)) if t == "fine" else 0.0 for i, t in enumerate(texts)]
+    assert all(r["extras"] == ({"seen": "s"} if t == "fine" else {}) for r, t in zip(got, texts))
+
+
+@pytest.mark.parametrize("timeout", [None, 1])
+def test_a_bad_row_does_not_fail_its_batch(spark, timeout):
+    def scorer(sources, texts, truths):
+        return [moody(s, x, t, None)["score"] for s, x, t in zip(sources, texts, truths)]
+
+    texts = ["fine"] * 70 + ["raise"] + ["fine"] * 30 + (["die", "hang"] if timeout else []) + ["fine"]
+    score = S.batch_scores(scorer, timeout)(F.col("source"), F.col("text"), F.col("truth"))
+    got = sorted(responses(spark, texts).select("id", score.alias("s")).select("id", "s.*").collect())
+    reason = {"hang": "timeout after 1 s", "raise": "KeyError: ''", "die": "the scorer's process ended", "fine": None}
+    assert [r["error"] for r in got] == [reason[t] for t in texts]
+    assert [r["score"] for r in got] == [len("x" * (i % 5)) if t == "fine" else 0.0 for i, t in enumerate(texts)]
+
+
+def test_a_batch_scorer_that_miscounts_is_told(spark):
+    score = S.batch_scores(lambda sources, texts, truths: [1.0] * 3)(F.col("source"), F.col("text"), F.col("truth"))
+    got = responses(spark, ["a"]).select(score.alias("s")).select("s.*").first()
+    assert (got["score"], got["error"]) == (0.0, "ValueError: 3 scores for 1 rows")
+    assert responses(spark, []).select(score.alias("s")).count() == 0
