@@ -270,18 +270,22 @@ def test_unknown_source_is_told(spark):
     assert got["aime_x"]["score"] == 1.0
 
 
-def moody(source, text, truth, extra):
+def moody_scorer():
     """A scorer that answers, raises, hangs or dies by what it is given."""
-    import os
-    import time
 
-    if text == "hang":
-        time.sleep(600)
-    if text == "die":
-        os._exit(1)
-    if text == "raise":
-        raise KeyError(truth)
-    return {"score": len(truth), "seen": source}
+    def moody(source, text, truth, extra):
+        import os
+        import time
+
+        if text == "hang":
+            time.sleep(600)
+        if text == "die":
+            os._exit(1)
+        if text == "raise":
+            raise KeyError(truth)
+        return {"score": len(truth), "seen": source}
+
+    return moody
 
 
 def responses(spark, texts):
@@ -291,7 +295,7 @@ def responses(spark, texts):
 
 def test_a_scorer_has_its_time(spark):
     texts = ["fine", "hang", "raise", "die", "fine"] + ["fine"] * 100 + ["hang", "fine"]
-    score = S.user_scores(moody, timeout=1)(F.col("source"), F.col("text"), F.col("truth"), F.lit(None).cast("string"))
+    score = S.user_scores(moody_scorer(), timeout=1)(F.col("source"), F.col("text"), F.col("truth"), F.lit(None).cast("string"))
     got = sorted(responses(spark, texts).select("id", score.alias("s")).select("id", "s.*").collect())
     reason = {"hang": "timeout after 1 s", "raise": "KeyError: 'xx'", "die": "the scorer's process ended", "fine": None}
     assert [r["error"] for r in got] == [reason[t] for t in texts]
@@ -301,6 +305,8 @@ def test_a_scorer_has_its_time(spark):
 
 @pytest.mark.parametrize("timeout", [None, 1])
 def test_a_bad_row_does_not_fail_its_batch(spark, timeout):
+    moody = moody_scorer()
+
     def scorer(sources, texts, truths):
         return [moody(s, x, t, None)["score"] for s, x, t in zip(sources, texts, truths)]
 
