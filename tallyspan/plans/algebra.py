@@ -419,12 +419,42 @@ register("workload", with_views("rollouts loose_tokens", f"WITH {SIZED} SELECT s
 # rows dealt by descending work over 8 parts per step, in SQL
 DEALT = f"""{SIZED}, dr AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY -work, sample_id) - 1 AS z FROM sz),
  dealt AS (SELECT *, CAST(CASE WHEN (z // 8) % 2 = 0 THEN z % 8 ELSE 7 - z % 8 END AS INTEGER) AS part FROM dr)"""
+register("partition_by_differencing")(
+    lambda spark, sf: B.partition_by_merging(sized(spark, sf), ["step"], "work", "sample_id", 8).select("step", "sample_id", "part", "work")
+)
+register("partition_equal_size")(
+    lambda spark, sf: B.partition_by_merging(sized(spark, sf), [], "work", "sample_id", 4, equal_size=True).select("sample_id", "part", "work")
+)
+register("partition_greedy")(
+    lambda spark, sf: B.partition_by_merging(sized(spark, sf), ["step"], "work", "sample_id", 8, rule="least_sum").select("step", "sample_id", "part", "work")
+)
+
+
+def part_spread(df):
+    sums = df.groupBy("step", "part").agg(F.sum("work").alias("s"), F.count(F.lit(1)).alias("n"))
+    return sums.groupBy("step").agg((F.max("s") - F.min("s")).alias("spread"), (F.max("n") - F.min("n")).alias("uneven"), F.count(F.lit(1)).alias("parts"))
+
+
+@register(
+    "partition_spread",
+    with_views(
+        "rollouts loose_tokens",
+        f"""WITH {DEALT}, p AS (SELECT step, part, sum(work) AS s, count(*) AS n FROM dealt GROUP BY 1, 2)
+ SELECT step, CAST(max(s) - min(s) AS BIGINT) AS serpentine, true AS no_larger, CAST(max(n) - min(n) AS BIGINT) AS uneven, 8::BIGINT AS parts, CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(s) AS BIGINT) AS work FROM p GROUP BY 1""",
+    ),
+)
+def partition_spread(spark, sf):
+    """Largest differencing against the serpentine: spreads of the sums, and what no partition may change."""
+    rows = sized(spark, sf)
+    dealt = part_spread(B.partition_batches(rows, ["step"], "work", "sample_id", 8)).select("step", F.col("spread").alias("serpentine"))
+    merged = B.partition_by_merging(rows, ["step"], "work", "sample_id", 8)
+    whole = merged.groupBy("step").agg(F.count(F.lit(1)).alias("row_count"), F.sum("work").alias("work"))
+    found = part_spread(merged).join(dealt, "step").join(whole, "step")
+    return found.select("step", "serpentine", (F.col("spread") <= F.col("serpentine")).alias("no_larger"), "uneven", "parts", "row_count", "work")
+
+
 register(
-    "partition_by_differencing",
-    with_views("rollouts loose_tokens", f"WITH {DEALT} SELECT step, sample_id, part, work FROM dealt"),
-)(lambda spark, sf: B.partition_batches(sized(spark, sf), ["step"], "work", "sample_id", 8).select("step", "sample_id", "part", "work"))
-register(
-    "partition_equal_size",
+    "partition_serpentine_equal",
     with_views(
         "rollouts loose_tokens",
         f"""WITH {SIZED}, r AS (SELECT *, row_number() OVER (ORDER BY -work, sample_id) - 1 AS z FROM sz)
@@ -432,7 +462,7 @@ register(
     ),
 )(lambda spark, sf: B.partition_batches(sized(spark, sf), [], "work", "sample_id", 4, equal_size=True).select("sample_id", "part", "work"))
 register(
-    "partition_greedy",
+    "partition_serpentine_input_order",
     with_views(
         "rollouts loose_tokens",
         f"""WITH {SIZED}, r AS (SELECT *, row_number() OVER (PARTITION BY step ORDER BY sample_id) - 1 AS z FROM sz)

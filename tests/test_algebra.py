@@ -114,6 +114,55 @@ def test_partition_errors_at_every_size(spark, n):
     assert len(sizes) == n
 
 
+def differencing_spread(works, k):
+    """Largest differencing on lists, state by state."""
+    works = sorted(works, reverse=True)
+    works += [0] * (-len(works) % k)
+    states = [works[i : i + k] for i in range(0, len(works), k)]
+    while len(states) > 1:
+        states.sort(key=lambda s: (s[-1] - s[0], -s[0]))
+        a, b, *rest = states
+        states = [*rest, sorted((x + y for x, y in zip(a, reversed(b))), reverse=True)]
+    return states[0]
+
+
+@pytest.mark.parametrize(("n", "k"), [(8, 8), (13, 4), (300, 7), (1000, 2)])
+def test_differencing_merges_the_least_level_states(spark, n, k):
+    works = [(i * i * 37) % 1009 + i for i in range(n)]  # no equal spreads
+    df = spark.createDataFrame([(0, i, w) for i, w in enumerate(works)], "b int, id long, w long")
+    rows = B.partition_by_merging(df, ["b"], "w", "id", k).groupBy("part").agg(F.count("*").alias("n"), F.sum("w").alias("s")).collect()
+    sums = [r["s"] for r in sorted(rows)]
+    assert sums == differencing_spread(works, k) and [r["part"] for r in sorted(rows)] == list(range(k))
+    assert max(r["n"] for r in rows) - min(r["n"] for r in rows) <= 1
+
+
+@pytest.mark.parametrize("rule", ["differencing", "least_sum"])
+def test_merging_blocks_in_levels_keeps_parts_level(spark, monkeypatch, rule):
+    monkeypatch.setattr(B, "BLOCK_STATES", 2)
+    rows = [(b, (b or 0) * 10_000 + i, (i * 7919) % 501 + 1) for b, n in ((None, 3), (1, 900), (2, 64), (3, 5)) for i in range(n)]
+    df = spark.createDataFrame([r for r in rows], "b int, id long, w long")
+    got = B.partition_by_merging(df, ["b"], "w", "id", 3, rule=rule)
+    assert got.columns == ["b", "id", "w", "part"]
+    kept = got.collect()
+    assert sorted((r["id"], r["w"]) for r in kept) == sorted((i, w) for _, i, w in rows)
+    for b in (None, 1, 2, 3):
+        sums = [sum(r["w"] for r in kept if r["b"] == b and r["part"] == p) for p in range(3)]
+        assert all(sums) and max(sums) - min(sums) <= 501
+        if rule == "differencing" and b == 1:
+            dealt = B.partition_batches(df.filter("b = 1"), ["b"], "w", "id", 3).groupBy("part").agg(F.sum("w").alias("s")).collect()
+            assert max(sums) - min(sums) <= max(r["s"] for r in dealt) - min(r["s"] for r in dealt)
+
+
+def test_merging_checks_its_parts(spark):
+    df = spark.range(10).select(F.lit(0).alias("b"), F.col("id"), (F.col("id") + 1).alias("w"))
+    with pytest.raises(Exception, match="cannot fill"):
+        B.partition_by_merging(df, ["b"], "w", "id", 11).collect()
+    with pytest.raises(Exception, match="equal parts"):
+        B.partition_by_merging(df, [], "w", "id", 4, equal_size=True).collect()
+    assert B.partition_by_merging(df.limit(0), ["b"], "w", "id", 2).count() == 0
+    assert {r["count"] for r in B.partition_by_merging(df, [], "w", "id", 5, equal_size=True).groupBy("part").count().collect()} == {2}
+
+
 def test_unsorted_rows_are_dealt_in_input_order(spark):
     df = spark.createDataFrame([(0, i, 9 - i) for i in range(5)], "b int, id long, w long")
     got = B.partition_batches(df, ["b"], "w", "id", 2, sort=False).orderBy("id").collect()
