@@ -341,9 +341,10 @@ register(
     "adv_hybrid_normalised",
     with_views(
         "rollouts loose_tokens",
-        f"""WITH {HYBRID}, w AS (SELECT step, avg(delta) AS m, greatest(stddev_pop(delta), any_value(f)) AS sd
- FROM d JOIN (SELECT step, 1 / sqrt(count(*)) AS f FROM rollouts GROUP BY 1) USING (step) WHERE mask = 1 GROUP BY 1)
- SELECT sample_id, tag, round((0.4 * sa + 0.6 * (delta - m) / sd) * mask, 6) AS adv FROM d JOIN w USING (step)""",
+        f"""WITH {HYBRID.replace(" MATERIALIZED", "")}, f AS (SELECT step, 1 / sqrt(count(*)) AS f FROM rollouts GROUP BY 1),
+ v AS (SELECT sample_id, tag, mask, sa, delta, f, CASE WHEN mask = 1 THEN delta END AS live, step FROM d JOIN f USING (step)),
+ w AS (SELECT *, avg(live) OVER (PARTITION BY step) AS m, greatest(stddev_pop(live) OVER (PARTITION BY step), f) AS sd FROM v)
+ SELECT sample_id, tag, round((0.4 * sa + 0.6 * (delta - m) / sd) * mask, 6) AS adv FROM w""",
     ),
 )(
     lambda spark, sf: A.hybrid_sentence_token(
