@@ -68,8 +68,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by their kind in brackets."""
-    found = secrets_scan.scan_secrets(_wrapped(docs))
-    return _unwrapped(found, docs.columns, secrets_scan.redact(F.col("text"), F.col("spans")), F.size("spans") > 0)
+    found = secrets_scan.scan_and_redact(_wrapped(docs))
+    return _unwrapped(found, docs.columns, F.col("found.text"), F.size("found.spans") > 0)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

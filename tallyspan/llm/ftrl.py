@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import ROWS, WordHashes, few_rows, forget, mixed, utf8
+from tallyspan.llm.common import ROWS, WordHashes, few_rows, forget, mixed, release, released, utf8
 from tallyspan.spread import df_col, top_k
 
 POWER = 20
@@ -103,6 +103,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
                     c, a, b = place[i]
                     model.learn(np.concatenate([[0], texts[c][a:b]]), int(y[i]))
         w = model.weights(slice(None))
+        del texts, place
+        release()
         kept = np.flatnonzero(w)
         return pa.table({"number": pa.array(kept, pa.int32()), "weight": pa.array(w[kept], pa.float64())})
 
@@ -118,13 +120,18 @@ def score(docs: DataFrame, model: DataFrame, text_col: str = "text", out: str =
     hashes = WordHashes()
 
     @F.pandas_udf("double")
-    def probability(texts: pd.Series) -> pd.Series:
+    def probability(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         forget()
         w = weights.value
-        if w is None:
-            return pd.Series(0.0, index=texts.index)
-        total = np.array([w[feature_numbers(t, hashes)].sum() for t in texts]) + w[0]
-        return pd.Series(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
+
+        def of(texts: pd.Series) -> pd.Series:
+            if w is None:
+                return pd.Series(0.0, index=texts.index)
+            total = np.array([w[feature_numbers(t, hashes)].sum() for t in texts]) + w[0]
+            return pd.Series(1.0 / (1.0 + np.exp(-np.clip(total, -35, 35))))
+
+        yield from released(map(of, parts))
+        hashes.clear()
 
     return docs.withColumn(out, probability(utf8(text_col)))
 

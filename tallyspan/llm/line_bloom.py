@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import few_rows, forget, free_names, in_batches, saved, utf8
+from tallyspan.llm.common import few_rows, forget, free_names, in_batches, released, saved, utf8
 from tallyspan.spread import attach, df_col
 
 MIN_CHARS = 10
@@ -141,7 +141,7 @@ def twice_filter(texts: DataFrame, power: int, min_chars: int) -> np.ndarray:
             }
         )
 
-    filters = texts.mapInArrow(build, schema).groupBy("slice", "part").applyInArrow(merge, schema)
+    filters = texts.mapInArrow(lambda batches: released(build(batches)), schema).groupBy("slice", "part").applyInArrow(merge, schema)
     merged = filters.groupBy("slice").applyInArrow(merge, schema).select("slice", "twice")
     data = np.zeros((slices, width), np.uint8)
     # at most 2**MAX_BITS bits, whatever the input
@@ -185,8 +185,7 @@ def dedup_lines(
                     out["lines"].append(places[key])
         return out
 
-    @F.pandas_udf("boolean")
-    def touched(texts: pd.Series) -> pd.Series:
+    def touches(texts: pd.Series) -> pd.Series:
         keys, ends = [], []
         for text in texts:
             keys.extend(document_keys(text, min_chars))
@@ -195,6 +194,10 @@ def dedup_lines(
         ends = np.array(ends, dtype=np.int64)
         return pd.Series(before[ends] > before[np.concatenate([[0], ends[:-1]]).astype(np.int64)] if len(ends) else [], dtype=bool)
 
+    @F.pandas_udf("boolean")
+    def touched(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from released(map(touches, parts))
+
     @F.pandas_udf("string")
     def without(texts: pd.Series, dropped: pd.Series) -> pd.Series:
         kept = []
