@@ -131,23 +131,38 @@ register(
     )
 )
 DRAWS = 1000
+# The chain of binomials over the three classes of this table, by their distribution functions. Numbers in
+# [0, 1) come from md5 digests: 0 settles ties and picks the member, 1 and 2 are the counts of two classes.
+CHAIN = f"""cl AS (SELECT data_source, uid, var, pred, count(*) AS c FROM vars GROUP BY ALL),
+ li AS (SELECT data_source, uid, var, list(c ORDER BY pred) AS cs, list(pred ORDER BY pred) AS ps, CAST(sum(c) AS BIGINT) AS n FROM cl GROUP BY 1, 2, 3),
+ sh AS (SELECT DISTINCT data_source, uid, cs, n FROM li WHERE n > 2),
+ sk AS (SELECT *, unnest(list_distinct(list_append(list_filter(list_transform(range(2, 41), lambda j: CAST(power(2, j) AS BIGINT)), lambda x: x < n), n))) AS k FROM sh),
+ dr AS (SELECT *, md5(concat_ws(':', '42', uid, k, draw, 0)) AS h FROM (SELECT *, unnest(range(1, {DRAWS} + 1)) AS draw FROM sk)),
+ un AS (SELECT data_source, uid, cs, n, k, draw, {", ".join(f"CAST(('0x' || substr(h, {at}, 10)) AS BIGINT) / 1099511627776.0::DOUBLE AS {u}" for u, at in (("u0", 1), ("u1", 11), ("u2", 21)))} FROM dr),
+ pr AS (SELECT DISTINCT cs[i] AS c, n - coalesce(list_sum(cs[1:i - 1]), 0) AS o, k FROM (SELECT cs, n, k, unnest(range(1, len(cs))) AS i FROM sk)),
+ tr AS (SELECT DISTINCT r, c, o FROM (SELECT c, o, unnest(range(0, k + 1)) AS r FROM pr)),
+ pm AS (SELECT r, c, o, j, exp(lgamma(r + 1) - lgamma(j + 1) - lgamma(r - j + 1)) * power(c / o, j) * power(1 - c / o, r - j) AS p FROM (SELECT *, unnest(range(0, r + 1)) AS j FROM tr)),
+ cu AS (SELECT r, c, o, j, sum(p) OVER w - p AS lo, CASE WHEN j = r THEN 2 ELSE sum(p) OVER w END AS hi FROM pm WINDOW w AS (PARTITION BY r, c, o ORDER BY j)),
+ x1 AS (SELECT un.*, coalesce(j, k) AS x1 FROM un LEFT JOIN cu ON len(cs) > 1 AND r = k AND c = cs[1] AND o = n AND u1 >= lo AND u1 < hi),
+ x2 AS (SELECT x1.*, CASE WHEN len(cs) = 3 THEN j WHEN len(cs) = 2 THEN k - x1.x1 END AS x2 FROM x1 LEFT JOIN cu ON len(cs) = 3 AND r = k - x1.x1 AND c = cs[2] AND o = n - cs[1] AND u2 >= lo AND u2 < hi),
+ xs AS (SELECT *, list_filter([x1, x2, CASE WHEN len(cs) = 3 THEN k - x1 - x2 END], lambda x: x IS NOT NULL) AS xs FROM x2),
+ tp AS (SELECT *, list_filter(range(1, len(xs) + 1), lambda i: xs[i] = list_max(xs)) AS top FROM xs),
+ wi AS (SELECT *, top[1 + CAST(floor(u0 * len(top)) AS BIGINT)] AS win, u0 * len(top) - floor(u0 * len(top)) AS rest FROM tp),
+ wn AS (SELECT data_source, uid, cs, k, win, least(CAST(floor(rest * cs[win]) AS BIGINT), cs[win] - 1) AS member, count(*) AS w FROM wi GROUP BY ALL),
+ me AS (SELECT *, row_number() OVER (PARTITION BY data_source, uid, var, pred ORDER BY sample_id) - 1 AS member FROM vars),
+ vo AS (SELECT me.data_source, me.uid, me.var, k, w, val FROM wn JOIN li ON li.data_source = wn.data_source AND li.uid = wn.uid AND li.cs = wn.cs
+  JOIN me ON me.data_source = li.data_source AND me.uid = li.uid AND me.var = li.var AND me.pred = li.ps[win] AND me.member = wn.member),
+ mo AS (SELECT data_source, uid, var, k, sum(w * val) / sum(w) AS m, sqrt(greatest(sum(w * val * val) / sum(w) - power(sum(w * val) / sum(w), 2), 0)) AS s FROM vo GROUP BY 1, 2, 3, 4)"""
 register(
     "validation_majority",
     with_views(
         "rollouts",
-        f"""WITH {VARS}, r AS (SELECT *, row_number() OVER (PARTITION BY data_source, uid, var ORDER BY sample_id) - 1 AS i FROM vars),
- g AS (SELECT data_source, uid, var, count(*) AS n, avg(val) AS m, stddev_pop(val) AS s FROM vars GROUP BY 1, 2, 3),
- z AS (SELECT *, unnest(list_distinct(list_append(list_filter(list_transform(range(1, 41), lambda j: CAST(power(2, j) AS BIGINT)), lambda x: x < n), n))) AS k FROM g WHERE n > 1),
- p AS (SELECT data_source, uid, var, n, k, draw, unnest(range(1, k + 1)) AS slot FROM (SELECT *, unnest(range(1, {DRAWS} + 1)) AS draw FROM z WHERE k > 2)),
- h AS (SELECT *, CAST(floor(CAST(('0x' || substring(md5(concat_ws(':', '42', uid, k, draw, slot)), 1, 12)) AS BIGINT) / 281474976710656.0 * n) AS BIGINT) AS i FROM p),
- d AS (SELECT h.*, r.val, r.pred FROM h JOIN r USING (data_source, uid, var, i)),
- v AS (SELECT data_source, uid, var, k, draw, pred, count(*) AS c, min(slot) AS slot, arg_min(val, slot) AS val FROM d GROUP BY ALL),
- w AS (SELECT data_source, uid, var, k, draw, arg_max(val, c * 100000 - slot) AS val FROM v GROUP BY ALL),
- a AS (SELECT data_source, uid, var, k, avg(val) AS m, stddev_pop(val) AS s FROM w GROUP BY ALL UNION ALL SELECT data_source, uid, var, k, m, s FROM z WHERE k = 2),
+        f"""WITH {VARS}, {CHAIN}, g AS (SELECT data_source, uid, var, count(*) AS n, avg(val) AS m, stddev_pop(val) AS s FROM vars GROUP BY 1, 2, 3),
+ a AS (SELECT data_source, uid, var, k, m, s FROM mo UNION ALL SELECT data_source, uid, var, 2, m, s FROM g WHERE n > 1),
  c AS (SELECT data_source, var, 'maj@' || k || '/mean' AS metric, m AS v FROM a UNION ALL SELECT data_source, var, 'maj@' || k || '/std', s FROM a)
- SELECT data_source, var, metric, round(avg(v), 6) AS value FROM c GROUP BY 1, 2, 3""",
+ SELECT data_source, var, metric, round(CAST(sum(CAST(v AS DECIMAL(38, 12))) AS DOUBLE) / count(v), 6) AS value FROM c GROUP BY 1, 2, 3""",
     ),
-)(lambda spark, sf: rolled(M.over_prompts(M.majority_metrics(validation_vars(spark, sf), DRAWS))))
+)(lambda spark, sf: rolled(M.over_prompts(M.majority_metrics(validation_vars(spark, sf), DRAWS), digits=12)))
 register(
     "majority_of_all",
     with_views(

@@ -1,7 +1,6 @@
 """Metric rules by name, votes, closed forms, off-policy edges."""
 
-import hashlib
-import math
+import itertools
 from collections import Counter
 
 import numpy as np
@@ -9,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tallyspan.functions import draws
 from tallyspan.operators import metrics as M
 from tallyspan.operators import offpolicy as O
 from tallyspan.plans import metrics
@@ -52,33 +52,45 @@ def test_majority_vote(spark):
     assert got == {1: ("A", 0.9), 2: ("B", 0.1)}
 
 
-def drawn_votes(uid, members, k, draws=1000):
-    """Mean and std of the values of the votes, draw by draw; ``members`` are (pred, val) by sample id."""
+def vote_law(members, k):
+    """Mean and std of the value of a vote, over all ways to draw k of the members in order."""
     values = []
-    for draw in range(1, draws + 1):
-        heads = [hashlib.md5(f"42:{uid}:{k}:{draw}:{slot}".encode()).hexdigest()[:12] for slot in range(1, k + 1)]
-        drawn = [members[math.floor(int(h, 16) / 16.0**12 * len(members))] for h in heads]
+    for drawn in itertools.product(members, repeat=k):
         count = Counter(p for p, _ in drawn)
         values.append(next(v for p, v in drawn if count[p] == max(count.values())))
     return np.mean(values), np.std(values)
 
 
-@pytest.mark.parametrize("array_rows", [2, 1000])
-def test_majority_draws_in_arrays_and_by_slot(spark, array_rows):
-    groups = {"a": [("x", 1.0), ("y", 2.0), ("x", 4.0), (None, 8.0), ("z", 16.0)], "b" * 60: [("x", 1.0), ("y", 5.0), ("z", 7.0)]}
+def test_majority_draws_follow_the_law_of_votes(spark):
+    groups = {"a": [("x", 1.0), ("y", 2.0), ("x", 4.0), (None, 8.0), ("z", 16.0)], "b" * 60: [("x", 1.0), ("y", 5.0), ("z", 7.0)], "c": [("x", 3.0), ("x", 4.0), ("x", 8.0)]}
     rows = [("s", u, i, p, var, v * f) for u, g in groups.items() for i, (p, v) in enumerate(g) for var, f in (("acc", 1), ("score", -3))]
     df = spark.createDataFrame(rows, "data_source string, uid string, sample_id long, pred string, var string, val double")
-    got = {(r["uid"], r["var"], r["metric"]): r["value"] for r in M.majority_metrics(df, array_rows=array_rows).collect()}
-    for uid, members, sizes in (("a", groups["a"], (4, 5)), ("b" * 60, groups["b" * 60], (3,))):
+    got = {(r["uid"], r["var"], r["metric"]): r["value"] for r in M.majority_metrics(df, draws=20_000).collect()}
+    for uid, sizes in (("a", (4, 5)), ("b" * 60, (3,)), ("c", (3,))):
         for k in sizes:
-            mean, std = drawn_votes(uid, members, k)
-            assert got[uid, "acc", f"maj@{k}/mean"] == pytest.approx(mean)
-            assert got[uid, "score", f"maj@{k}/std"] == pytest.approx(3 * std)
-    assert len(got) == 2 * 2 * (3 + 2)
+            mean, std = vote_law(groups[uid], k)
+            assert got[uid, "acc", f"maj@{k}/mean"] == pytest.approx(mean, abs=5 * std / 20_000**0.5 + 1e-9)
+            assert got[uid, "acc", f"maj@{k}/std"] == pytest.approx(std, rel=0.05, abs=1e-9)
+            # the variables of a prompt are drawn together
+            assert got[uid, "score", f"maj@{k}/mean"] == pytest.approx(-3 * got[uid, "acc", f"maj@{k}/mean"])
+    assert len(got) == 2 * 2 * (3 + 2 + 2)
+
+
+def test_votes_of_a_large_prompt_cost_its_classes():
+    """A million responses in four classes: the counts of a draw are binomial, whatever k is."""
+    counts, k = [400_000, 300_000, 299_000, 1_000], 1_000_000
+    winner, member = draws.votes("x", counts, k, 1, 2_001)
+    assert (winner == 0).all() and 0 <= member.min() and member.max() < 400_000 and member.std() > 100_000
+    close, _ = draws.votes("y", [500_000, 500_000], k, 1, 2_001)
+    assert abs(close.mean() - 0.5) < 0.06
+    x = draws.binomials(np.full(4_000, k), 300_000, k, (np.arange(4_000) + 0.5) / 4_000)
+    assert abs(x.mean() - 300_000) < 5 and abs(x.std() - (k * 0.3 * 0.7) ** 0.5) < 5
+    small = draws.binomials(np.full(8, 3), 1, 2, (np.arange(8) + 0.5) / 8)
+    assert small.tolist() == [0, 1, 1, 1, 2, 2, 2, 3]
 
 
 def test_majority_query_makes_all_draws(spark, sf):
-    whole = M.over_prompts(M.majority_metrics(metrics.validation_vars(spark, sf), draws=1000)).collect()
+    whole = M.over_prompts(M.majority_metrics(metrics.validation_vars(spark, sf))).collect()
     got = {tuple(r)[:3]: r["value"] for r in entry.queries()["validation_majority"](spark, sf).collect()}
     assert got == {tuple(r)[:3]: pytest.approx(r["value"], abs=2e-6) for r in whole}
 
