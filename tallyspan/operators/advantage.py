@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.masked import masked, masked_average, whiten
-from tallyspan.spread import affine_scan, attach, attach_table, has_long_groups, ranked, top_k
+from tallyspan.spread import affine_scan, attach, attach_table, durable, ranked, top_k
 
 EPS = 1e-6
 ESTIMATORS: dict[str, Callable] = {}
@@ -99,7 +99,7 @@ def grpo_passk(df: DataFrame, normalise: bool = True, eps: float = EPS, singleto
         (F.max("score") - F.min("score")).alias("__gap"),
     )
     sizes = df.groupBy("uid").agg(F.count("score").alias("__n"), F.stddev_samp("score").alias("__std"))
-    joined = attach_table(df, ["uid"], sizes.join(gaps, "uid"), "__n", ["__n", "__std", "__best", "__gap"])
+    joined = attach_table(df, ["uid"], sizes.join(gaps, "uid"), ["__n", "__std", "__best", "__gap"])
     lead = F.col("__gap") / (F.col("__std") + eps) if normalise else F.col("__gap")
     alone = F.lit(None).cast("double")
     if singleton == "error":
@@ -111,7 +111,7 @@ def grpo_passk(df: DataFrame, normalise: bool = True, eps: float = EPS, singleto
 @estimator("reinforce_plus_plus_baseline")
 def reinforce_baseline(df: DataFrame, batch: Sequence[str] = ("step",), weight: str = "n_valid") -> DataFrame:
     """score - group mean, whitened over the valid tokens of the batch (``weight`` tokens per response)."""
-    d = _with_group(df).withColumn("__d", F.col("score") - _centre())
+    d = durable(_with_group(df).withColumn("__d", F.col("score") - _centre()))
     w = F.col(weight)
     d = attach(d, list(batch), __w=F.sum(w), __wm=F.sum(F.col("__d") * w) / (F.sum(w) + 1e-8))
     off = F.col("__d") - F.col("__wm")
@@ -185,7 +185,7 @@ def reinforce_plus_plus(tokens: DataFrame, gamma: float = 1.0, batch: Sequence[s
     """Discounted return whose carry is dropped after a masked token, whitened over the batch."""
     r, m = F.col("reward"), F.col("mask")
     done = affine_scan(tokens, ["sample_id"], "pos", {"__z": (m * gamma, m * r, True)})
-    done = done.withColumn("ret", r + F.col("__z__x") * gamma).drop("__z", "__z__x")
+    done = durable(done.withColumn("ret", r + F.col("__z__x") * gamma).drop("__z", "__z__x"))
     done = whiten(done, list(batch), "ret", "mask", "adv")
     return done.withColumn("adv", F.col("adv") * m)
 
@@ -197,12 +197,13 @@ def gae(tokens: DataFrame, gamma: float = 1.0, lam: float = 1.0, batch: Sequence
     ``ret`` = advantage + value before whitening; ``adv`` is whitened by the masked statistics.
     """
     m, v = F.col("mask"), F.col("value")
-    paged = has_long_groups(tokens, ["sample_id"])
-    nxt = affine_scan(tokens, ["sample_id"], "pos", {"__v": (1 - m, m * v, True)}, paged=paged)
-    delta = F.col("reward") + F.col("__v__x") * gamma - v
-    nxt = nxt.withColumn("__d", delta).drop("__v", "__v__x")
-    raw = affine_scan(nxt, ["sample_id"], "pos", {"__adv": (m * (gamma * lam) + (1 - m), m * F.col("__d"), True)}, paged=paged)
-    raw = raw.withColumn("ret", F.col("__adv") + v)
+    # the advantage adds up reward + gamma * value of the next valid token - value
+    scans = {
+        "__v": (1 - m, m * v, True),
+        "__adv": (m * (gamma * lam) + (1 - m), m * (F.col("reward") - v), True, (m * gamma, "__v")),
+    }
+    raw = affine_scan(tokens, ["sample_id"], "pos", scans).drop("__v", "__v__x")
+    raw = durable(raw.withColumn("ret", F.col("__adv") + v))
     return _done(whiten(raw, list(batch), "__adv", "mask", "adv"))
 
 
@@ -257,9 +258,8 @@ def optimal_token_baseline_multi_turn(
     t = returns_to_go(tokens, extra={"__w": (F.lit(1.0), _energy(weight) * m, False)})
     valid = ranked(t.filter(m != 0), ["sample_id"], ["pos"], "__v").join(uids.select("sample_id", "uid"), "sample_id")
     lengths = valid.groupBy("sample_id", "uid").agg(F.count(F.lit(1)).alias("n_valid"))
-    # group sizes count responses, the size that decides broadcasting counts tokens
-    sizes = lengths.groupBy("uid").agg(F.count(F.lit(1)).alias("__n"), F.sum("n_valid").alias("__rows"))
-    valid = attach_table(valid, ["uid"], sizes, "__rows", ["__n"])
+    sizes = lengths.groupBy("uid").agg(F.count(F.lit(1)).alias("__n"))
+    valid = attach_table(valid, ["uid"], sizes, ["__n"])
     valid = attach(valid, ["uid", "__v"], __base=F.sum(F.col("ret") * F.col("__w")) / (F.sum("__w") + eps))
     base = F.when(F.col("__n") == 1, F.lit(0.0)).otherwise(F.col("__base"))
     if zero_tail:
@@ -295,18 +295,16 @@ def teacher_guided(
     t = tokens.withColumn("__e", eff)
     r, e = F.col("reward"), F.col("__e")
     inside = masked(r, e)
-    per_response = t.groupBy("uid", "sample_id").agg(F.sum("__e").alias("__k"), F.count(F.lit(1)).alias("__c"))
-    sizes = per_response.groupBy("uid").agg(
-        F.count(F.when(F.col("__k") > 0, 1)).alias("__resp"), F.sum("__c").alias("__rows")
-    )
-    t = attach(t, ["uid"], __mean=F.avg(inside), __std=F.stddev_pop(inside))
-    t = attach_table(t, ["uid"], sizes, "__rows", ["__resp"])
+    saved = t = durable(t)
+    live = F.countDistinct(F.when(F.col("__e") > 0, F.col("sample_id")))
+    t = attach(t, ["uid"], __mean=F.avg(inside), __std=F.stddev_pop(inside), __resp=live)
     source = r
     if gae_value is not None:
-        paged = has_long_groups(tokens, ["sample_id"])
-        t = affine_scan(t, ["sample_id"], "pos", {"__v": (F.lit(0.0), F.col(gae_value), True)}, paged=paged)
-        t = t.withColumn("__d", r + F.col("__v__x") * gamma * e - F.col(gae_value) * e)
-        t = affine_scan(t, ["sample_id"], "pos", {"__g": (e * (gamma * lam), e * F.col("__d"), True)}, paged=paged)
+        scans = {
+            "__v": (F.lit(0.0), F.col(gae_value), True),
+            "__g": (e * (gamma * lam), e * (r - F.col(gae_value) * e), True, (e * e * gamma, "__v")),
+        }
+        t = affine_scan(t, ["sample_id"], "pos", scans)
         source = F.col("__g")
     adv = source - F.col("__mean")
     if normalise:
@@ -325,7 +323,7 @@ def teacher_guided(
         adv = F.greatest(F.least(adv, F.lit(clip)), F.lit(-clip))
     t = t.withColumn("adv", adv)
     if safety_thresh:
-        t = attach(t, list(batch), __level=F.avg(inside))
+        t = attach(t, list(batch), of=saved, __level=F.avg(inside))
         limit = F.lit(float(safety_thresh))
         if safety_thresh > 0:
             limit = F.when(F.col("__level") < 0, F.lit(-10.0 * safety_thresh)).otherwise(limit)
@@ -380,12 +378,11 @@ def hybrid_sentence_token(
     if normalise_delta:
         n = responses.groupBy(*batch).agg(F.count(F.lit(1)).alias("__n"))
         text = str(std_floor).lower()
+        t = durable(t)
         t = attach(
             t, list(batch), __k=F.sum("mask"), __dm=F.avg(masked(F.col("delta"), m)), __ds=F.stddev_pop(masked(F.col("delta"), m))
         )
-        sizes = tokens.select("sample_id").join(responses.select("sample_id", *batch), "sample_id")
-        sizes = sizes.groupBy(*batch).agg(F.count(F.lit(1)).alias("__rows")).join(n, list(batch))
-        t = attach_table(t, list(batch), sizes, "__rows", ["__n"])
+        t = attach_table(t, list(batch), n, ["__n"])
         if text == "auto":
             floor = 1.0 / F.sqrt("__n")
         else:
@@ -398,17 +395,17 @@ def hybrid_sentence_token(
 def kl_penalised_reward(tokens: DataFrame, kl: Column, beta: float, batch: Sequence[str] = ("step",)) -> DataFrame:
     """``reward_kl`` = reward - beta * kl * mask and ``batch_kl``, the mean over responses of their mean kl."""
     t = tokens.withColumn("__kl", kl * F.col("mask"))
-    per = t.groupBy(*batch, "sample_id").agg(masked_average(F.col("__kl"), F.col("mask")).alias("__mk"), F.count(F.lit(1)).alias("__c"))
-    level = per.groupBy(*batch).agg(F.avg("__mk").alias("batch_kl"), F.sum("__c").alias("__rows"))
-    t = attach_table(t, list(batch), level, "__rows", ["batch_kl"])
+    per = t.groupBy(*batch, "sample_id").agg(masked_average(F.col("__kl"), F.col("mask")).alias("__mk"))
+    level = per.groupBy(*batch).agg(F.avg("__mk").alias("batch_kl"))
+    t = attach_table(t, list(batch), level, ["batch_kl"])
     return _done(t.withColumn("reward_kl", F.col("reward") - F.col("__kl") * beta))
 
 
 def place_on_last_valid(tokens: DataFrame, scores: DataFrame, score: str = "score", out: str = "token_score") -> DataFrame:
     """The response score on its last valid token (position = mask sum), 0 elsewhere."""
-    n = tokens.groupBy("sample_id").agg(F.sum("mask").alias("__n"), F.count(F.lit(1)).alias("__rows"))
+    n = tokens.groupBy("sample_id").agg(F.sum("mask").alias("__n"))
     ends = n.join(scores.select("sample_id", F.col(score).alias("__s")), "sample_id")
-    t = attach_table(tokens, ["sample_id"], ends, "__rows", ["__n", "__s"])
+    t = attach_table(tokens, ["sample_id"], ends, ["__n", "__s"])
     return _done(t.withColumn(out, F.when(F.col("pos") == F.col("__n"), F.col("__s")).otherwise(F.lit(0.0))))
 
 

@@ -32,9 +32,8 @@ def demonstrations(
     offers = two.groupBy("uid").agg(
         pick(1, "sample_id").alias("__id1"), pick(1, "response").alias("__t1"), pick(2, "sample_id").alias("__id2"), pick(2, "response").alias("__t2")
     )
-    sizes = responses.groupBy("uid").agg(F.count(F.lit(1)).alias("__n"))
     names = ["__id1", "__t1", "__id2", "__t2"]
-    r = attach_table(responses, ["uid"], offers.join(sizes, "uid"), "__n", names)
+    r = attach_table(responses, ["uid"], offers, names)
     me = F.col("sample_id")
     other = (F.col("__id1") == me) if exclude_self else F.lit(False)
     demo_id = F.when(other, F.col("__id2")).otherwise(F.col("__id1"))
@@ -50,9 +49,8 @@ def demonstrations(
 
 def greedy_baseline(responses: DataFrame, greedy: DataFrame) -> DataFrame:
     """Attach the reward of the greedy response of each prompt (``uid, reward``) as ``baseline``."""
-    sizes = responses.groupBy("uid").agg(F.count(F.lit(1)).alias("__n"))
     base = greedy.groupBy("uid").agg(F.sum("reward").alias("baseline"))
-    return attach_table(responses, ["uid"], sizes.join(base, "uid"), "__n", ["baseline"])
+    return attach_table(responses, ["uid"], base, ["baseline"])
 
 
 def mine_pairs(responses: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def importance_weights(
         raise ValueError(f"unknown level {level}")
     keys = [*batch, "sample_id"] if normalise else ["sample_id"]
     per = tokens.groupBy(*keys).agg(
-        F.coalesce(F.sum(masked(log_ratio(), m)), F.lit(0.0)).alias("__lr"), F.sum(m).alias("__n"), F.count(F.lit(1)).alias("__rows")
+        F.coalesce(F.sum(masked(log_ratio(), m)), F.lit(0.0)).alias("__lr"), F.sum(m).alias("__n")
     )
     per = per.withColumn("__raw", F.exp(clamp(F.col("__lr"), -BOUND, BOUND)))
     per = per.withColumn("__w", F.least(F.col("__raw"), F.lit(float(threshold))))
@@ -87,7 +87,7 @@ def importance_weights(
         share = F.when(F.col("__n") > 0, F.col("__w") * F.col("__n") / (F.col("__n") + TINY))
         per = attach(per, batch, __wm=F.avg(share))
         per = per.withColumn("__w", F.when(F.col("__wm") > 1e-8, F.col("__w") / F.col("__wm")).otherwise(F.col("__w")))
-    t = attach_table(tokens, keys, per, "__rows", ["__raw", "__w"])
+    t = attach_table(tokens, keys, per, ["__raw", "__w"])
     return t.withColumn(raw, F.col("__raw") * m).withColumn(out, F.col("__w") * m).drop("__raw", "__w")
 
 

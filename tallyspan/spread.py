@@ -2,8 +2,9 @@
 
 Four shapes cover everything the operators need:
 
-``attach``       group statistics next to each member (partial aggregation, then a join whose
-                 hot keys are broadcast and whose cold keys are shuffled);
+``attach``       group statistics next to each member (partial aggregation, then a join; where
+                 few groups make it small, the adaptive planner broadcasts it, else it splits the
+                 partitions of hot keys);
 ``ranked``       1, 2, 3 ... inside each group in a total order;
 ``dense_index``  0, 1, 2 ... over a whole table in a total order;
 ``affine_scan``  running recurrences along a group, block by block.
@@ -28,8 +29,8 @@ from pyspark.sql import types as T
 HOT_ROWS = 1_000_000
 # Rows of one group that may sit in one array during a scan.
 SCAN_BLOCK = 16_384
-# Hot rows are dealt over this many sub-keys in a shuffle.
-HOT_SALTS = 4_096
+# Levels at which the blocks of a group are themselves scanned: SCAN_BLOCK ** (1 + SCAN_LEVELS) rows fit.
+SCAN_LEVELS = 2
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -53,54 +54,29 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -
     return condition
 
 
-def _hashable(field: T.StructField) -> bool:
-    return "map<" not in field.dataType.simpleString() and "variant" not in field.dataType.simpleString()
-
-
-def row_hash(df: DataFrame) -> Column:
-    """A value hash of the row: the same in every attempt of a task, unlike a generated id."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if _hashable(f)])
-
-
-def attach(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, **aggs: Column) -> DataFrame:
+def attach(df: DataFrame, keys: Sequence[str], of: DataFrame | None = None, **aggs: Column) -> DataFrame:
     """Add the group aggregates ``aggs`` of ``keys`` to every row.
 
-    The aggregates are computed with map-side partials. Groups above ``hot_rows`` rows (at most
-    N / hot_rows of them) reach their members by broadcast; the other groups by a shuffle join
-    in which the members of hot groups are dealt over salts, so that no partition grows with a
-    single key.
+    The aggregates are computed with map-side partials, over ``df`` or, if they need fewer columns,
+    over ``of``, the same rows at an earlier step, so that what came since is not computed twice.
     """
-    keys = list(keys)
+    keys, source = list(keys), df if of is None else of
     if not keys:
         # one value for the whole table: a scalar subquery
-        whole = df.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("__whole")).scalar()
+        whole = source.agg(F.struct(*[c.alias(n) for n, c in aggs.items()]).alias("__whole")).scalar()
         wide = df.withColumn("__whole", whole)
         return wide.select(*[df_col(c) for c in df.columns], *[F.col(f"__whole.{n}").alias(n) for n in aggs])
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__attach_n"), *[c.alias(n) for n, c in aggs.items()])
-    return attach_table(df, keys, stats, "__attach_n", list(aggs), hot_rows)
+    stats = source.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    return attach_table(df, keys, stats, list(aggs))
 
 
-def attach_table(
-    df: DataFrame, keys: Sequence[str], stats: DataFrame, size: str, columns: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left join ``stats`` (one row per key, ``size`` = rows of ``df`` under that key) to ``df``."""
+def attach_table(df: DataFrame, keys: Sequence[str], stats: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Left join ``stats`` (one row per key) to ``df``; null keys meet. Adaptive execution broadcasts a small
+    ``stats`` by its real size and splits the partitions of hot keys of ``df`` otherwise."""
     keys, columns = list(keys), list(columns)
-    renamed = stats.select(
-        *[F.col(k).alias("__k_" + k) for k in keys],
-        F.struct(*[F.col(c) for c in columns]).alias("__sp_v"),
-        F.col(size).alias("__attach_size"),
-    )
-    hot = renamed.filter(F.col("__attach_size") > hot_rows).select(
-        *["__k_" + k for k in keys], F.col("__sp_v").alias("__sp_hot")
-    )
-    hot = hot.withColumnsRenamed({"__k_" + k: "__h_" + k for k in keys})
-    cold = renamed.filter(F.col("__attach_size") <= hot_rows).withColumn("__sp_csalt", F.lit(0))
-    salt = F.when(F.col("__sp_hot").isNotNull(), F.pmod(F.col("__sp_rh"), F.lit(HOT_SALTS)) + 1).otherwise(0).cast("int")
-    base = df.withColumn("__sp_rh", row_hash(df))
-    dealt = base.join(F.broadcast(hot), _same(base, hot, keys, "__h_"), "left").withColumn("__sp_salt", salt)
-    joined = dealt.join(cold, _same(dealt, cold, keys, "__k_") & (dealt["__sp_salt"] == cold["__sp_csalt"]), "left")
-    picked = F.coalesce(F.col("__sp_hot"), F.col("__sp_v"))
-    return joined.select(*[df_col(c) for c in df.columns], *[picked[c].alias(c) for c in columns])
+    renamed = stats.select(*[F.col(k).alias("__k_" + k) for k in keys], F.struct(*[F.col(c) for c in columns]).alias("__sp_v"))
+    joined = df.join(renamed, _same(df, renamed, keys, "__k_"), "left")
+    return joined.select(*[df_col(c) for c in df.columns], *[F.col("__sp_v")[c].alias(c) for c in columns])
 
 
 def df_col(name: str) -> Column:
@@ -160,7 +136,7 @@ def ranked(
     cold_rows = windowed(df.join(F.broadcast(marked), _same(df, marked, keys, "__h_"), "left_anti"))
     hot_rows_df = df.join(F.broadcast(marked), _same(df, marked, keys, "__h_"), "left_semi")
     indexed = dense_index(hot_rows_df, keys + order, "__idx")
-    indexed = attach(indexed, keys, hot_rows, __start=F.min("__idx"))
+    indexed = attach(indexed, keys, __start=F.min("__idx"))
     hot_ranked = indexed.withColumn(out, F.col("__idx") - F.col("__start") + 1).drop("__idx", "__start")
     return cold_rows.unionByName(hot_ranked)
 
@@ -203,9 +179,6 @@ def packed(
     )
 
 
-_SCAN_OUT = T.StructType([T.StructField("y", T.ArrayType(T.DoubleType())), T.StructField("g", T.ArrayType(T.DoubleType()))])
-
-
 def _segment_scan(a: np.ndarray, b: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """y[i] = b[i] + a[i] * y[i+1] inside consecutive segments, by doubling."""
     a, y = a.copy(), b.copy()
@@ -219,136 +192,132 @@ def _segment_scan(a: np.ndarray, b: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return y
 
 
-def _scan_arrays(a_col: pd.Series, b_col: pd.Series, reverse: bool) -> pd.DataFrame:
-    lens = np.array([len(x) for x in a_col], dtype=np.int64)
-    filled = lens > 0
-    if not filled.any():
-        return pd.DataFrame({"y": [[] for _ in lens], "g": [[] for _ in lens]})
-    turn = 1 if reverse else -1
-    a = np.concatenate([np.asarray(x, dtype=float)[::turn] for x in a_col])
-    b = np.concatenate([np.asarray(x, dtype=float)[::turn] for x in b_col])
-    sizes = lens[filled]
-    last = np.cumsum(sizes) - 1
-    y = _segment_scan(a, b, sizes)
-    carry = np.zeros_like(a)
-    carry[last] = a[last]
-    g = _segment_scan(a, carry, sizes)
-    cuts = np.cumsum(lens)[:-1]
-    return pd.DataFrame(
-        {"y": [p[::turn] for p in np.split(y, cuts)], "g": [p[::turn] for p in np.split(g, cuts)]}
-    )
-
-
-@F.pandas_udf(_SCAN_OUT)
-def _scan_reverse(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return _scan_arrays(a, b, True)
-
-
-@F.pandas_udf(_SCAN_OUT)
-def _scan_forward(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    return _scan_arrays(a, b, False)
+#: A scan without its columns: which way it goes, and the number of the scan that its b depends on.
+_Shape = tuple[bool, int | None]
+
+
+def _scan_all(shapes: Sequence[_Shape], parts: Sequence[list[np.ndarray]], carries: Sequence[np.ndarray], lens: np.ndarray, free: bool = False) -> list[np.ndarray]:
+    """y of every scan over segments, each against its own direction reversed; ``parts``: a, b and, for a
+    dependent scan, d. ``free`` leaves b out, so that only the carries have an effect."""
+    last = np.cumsum(lens) - 1
+    out: list[np.ndarray] = []
+    for (_, other), part, carry in zip(shapes, parts, carries):
+        a, b = part[0], np.zeros_like(part[1]) if free else part[1].copy()
+        if other is not None:
+            beside = np.empty_like(b)
+            beside[:-1] = out[other][1:]
+            beside[last] = carries[other]
+            b += part[2] * beside
+        b[last] += a[last] * carry
+        out.append(_segment_scan(a, b, lens))
+    return out
+
+
+def _scan_input(shapes: Sequence[_Shape], columns: Sequence[pd.Series]) -> tuple[list[list[np.ndarray]], np.ndarray]:
+    lens, parts, at = columns[0].map(len).to_numpy(np.int64), [], 0
+    for reverse, other in shapes:
+        some = columns[at : at + (2 if other is None else 3)]
+        at += len(some)
+        turn = 1 if reverse else -1
+        parts.append([np.concatenate([np.asarray(x, dtype=float)[::turn] for x in c]) for c in some])
+    return parts, lens
+
+
+def _scanned(shapes: list[_Shape]):
+    """Column function: y of every scan, from the lists of coefficients and then the carries."""
+    fields = [T.StructField(f"y{i}", T.ArrayType(T.DoubleType())) for i in range(len(shapes))]
+
+    @F.pandas_udf(T.StructType(fields))
+    def run(*columns: pd.Series) -> pd.DataFrame:
+        parts, lens = _scan_input(shapes, columns)
+        carries = [c.to_numpy(float) for c in columns[len(columns) - len(shapes) :]]
+        cuts = np.cumsum(lens)[:-1]
+        found = _scan_all(shapes, parts, carries, lens)
+        return pd.DataFrame({f"y{i}": [p[:: 1 if shapes[i][0] else -1] for p in np.split(y, cuts)] for i, y in enumerate(found)})
+
+    return run
+
+
+def _summarised(shapes: list[_Shape]):
+    """Column function: what a block hands on, as ``b<i>`` without carries, ``a<i>`` per unit of its own carry
+    and ``d<i>`` per unit of the carry of the scan it depends on."""
+    fields = [T.StructField(f"{c}{i}", T.DoubleType()) for i in range(len(shapes)) for c in "abd"]
+
+    @F.pandas_udf(T.StructType(fields))
+    def run(*columns: pd.Series) -> pd.DataFrame:
+        parts, lens = _scan_input(shapes, columns)
+        first = np.cumsum(lens) - lens
+        none = [np.zeros(len(lens)) for _ in shapes]
+        out = {f"b{i}": y[first] for i, y in enumerate(_scan_all(shapes, parts, none, lens))}
+        for i in range(len(shapes)):
+            unit = _scan_all(shapes, parts, [np.ones(len(lens)) if j == i else z for j, z in enumerate(none)], lens, free=True)
+            out[f"a{i}"] = unit[i][first]
+            for j, (_, other) in enumerate(shapes):
+                if other == i:
+                    out[f"d{j}"] = unit[j][first]
+        return pd.DataFrame({f.name: out.get(f.name, 0.0) for f in fields})
+
+    return run
 
 
 def has_long_groups(df: DataFrame, keys: Sequence[str], rows: int = SCAN_BLOCK) -> bool:
     return not hot_groups(df, keys, rows).isEmpty()
 
 
-def _field(rows: Column, *path: str) -> Column:
-    def pick(row: Column) -> Column:
-        for name in path:
-            row = row[name]
-        return row
-
-    return F.transform(rows, pick)
-
-
-def _carried(scan: Column, carry: Column) -> Column:
-    return F.zip_with(scan["y"], scan["g"], lambda y, g: y + g * carry)
+def _field(rows: Column, name: str) -> Column:
+    return F.transform(rows, lambda row: row[name])
 
 
 def affine_scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    pos: str,
-    scans: dict[str, tuple[Column, Column, bool]],
-    block: int = SCAN_BLOCK,
-    paged: bool | None = None,
+    df: DataFrame, keys: Sequence[str], pos: str, scans: dict[str, tuple], block: int = SCAN_BLOCK, levels: int = SCAN_LEVELS, save: bool = True
 ) -> DataFrame:
     """Add ``name`` for each ``name: (a, b, reverse)``: y[t] = b[t] + a[t] * y[next], where next is
-    t + 1 for a reverse scan and t - 1 otherwise, and ``name__x`` = y[next] (0 beyond the end).
-
-    Each block of a group is scanned on its own (Arrow); the block results, one row per block,
-    are scanned in turn, and their carries are added back. ``paged`` says whether some group is
-    longer than a block (``has_long_groups``); if not, the second pass is left out.
+    t + 1 for a reverse scan and t - 1 otherwise, and ``name__x`` = y[next] (0 beyond the end). With a
+    fourth entry ``(d, other)`` the scan adds d[t] * other[next] to b[t], for an earlier scan of the same
+    direction.
+
+    A group is cut into blocks, written once. What a block hands on is again such a recurrence, over the
+    blocks, and is scanned in the same way, block of blocks by block, at every size of a group; then each
+    block is scanned with the carry that reaches it, all scans in one pass. ``save`` and ``levels`` are for
+    that recursion.
     """
-    keys = list(keys)
-    if paged is None:
-        paged = has_long_groups(df, keys, block)
-    coeffs = {n: (f"__a_{n}", f"__b_{n}") for n in scans}
-    prepared = df.select(
-        *[df_col(c) for c in df.columns],
-        *[c for n, (a, b, _) in scans.items() for c in (a.cast("double").alias(coeffs[n][0]), b.cast("double").alias(coeffs[n][1]))],
-    )
+    keys, names = list(keys), list(scans)
+    shapes: list[_Shape] = [(s[2], names.index(s[3][1]) if len(s) > 3 else None) for s in scans.values()]
+    coefficients = {f"__{c}_{n}": column for n, s in scans.items() for c, column in zip("abd", [s[0], s[1], *([s[3][0]] if len(s) > 3 else [])])}
+    prepared = df.select(*[df_col(c) for c in df.columns], *[c.cast("double").alias(n) for n, c in coefficients.items()])
     carried = [c for c in prepared.columns if c not in keys and c != pos]
     blocks = packed(prepared, keys, pos, carried, "__rows", block)
-    for name, (_, _, reverse) in scans.items():
-        a, b = (_field(F.col("__rows"), f) for f in coeffs[name])
-        blocks = blocks.withColumn("__s_" + name, (_scan_reverse if reverse else _scan_forward)(a, b))
-    if not paged:
-        return _unpacked(blocks, df.columns, keys, scans)
-    # carries: only groups with a second page have any; the blocks are read three times
-    blocks = durable(blocks)
-    long_groups = blocks.filter(F.col("page") == 1).select(*keys)
-    first, last = (lambda c: F.element_at(c, 1)), (lambda c: F.element_at(c, -1))
-    heads = blocks.join(long_groups, keys, "left_semi").select(
-        *keys,
-        "page",
-        *[
-            F.struct(
-                (first if scans[n][2] else last)(F.col(f"__s_{n}.g")).alias("a"),
-                (first if scans[n][2] else last)(F.col(f"__s_{n}.y")).alias("b"),
-            ).alias(n)
-            for n in scans
-        ],
-    )
-    lists = heads.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("page", *scans))).alias("__h"))
-    for name, (_, _, reverse) in scans.items():
-        a, b = (_field(F.col("__h"), name, f) for f in ("a", "b"))
-        lists = lists.withColumn("__c_" + name, (_scan_reverse if reverse else _scan_forward)(a, b)["y"])
-    shifted = []
-    for name, (_, _, reverse) in scans.items():
-        col, size = F.col("__c_" + name), F.size("__h")
-        zero = F.array(F.lit(0.0))
-        shifted.append(
-            (F.concat(F.slice(col, F.lit(2), size - 1), zero) if reverse else F.concat(zero, F.slice(col, F.lit(1), size - 1))).alias(name)
-        )
-    carries = (
-        lists.select(*keys, F.transform("__h", lambda r: r["page"]).alias("page"), *shifted)
-        .select(*keys, F.explode(F.arrays_zip("page", *scans)).alias("__z"))
-        .select(*keys, "__z.page", *[F.col(f"__z.{n}").alias("__carry_" + n) for n in scans])
-    )
-    joined = blocks.join(carries, [*keys, "page"], "left")
-    return _unpacked(joined, df.columns, keys, scans)
-
-
-def _unpacked(blocks: DataFrame, columns: Sequence[str], keys: Sequence[str], scans: dict) -> DataFrame:
-    """Blocks back to rows, with the scan values and the values of the neighbour."""
-    parts, paged = ["__rows"], any(c.startswith("__carry_") for c in blocks.columns)
-    size = F.size("__rows")
-    for name, (_, _, reverse) in scans.items():
-        scan = F.col("__s_" + name)
-        carry = F.coalesce(F.col("__carry_" + name), F.lit(0.0)) if paged else F.lit(0.0)
-        y = _carried(scan, carry) if paged else scan["y"]
-        blocks = blocks.withColumn("__y_" + name, y)
-        y, edge = F.col("__y_" + name), F.array(carry)
-        x = F.concat(F.slice(y, F.lit(2), size - 1), edge) if reverse else F.concat(edge, F.slice(y, F.lit(1), size - 1))
-        blocks = blocks.withColumn("__x_" + name, x)
-        parts += ["__y_" + name, "__x_" + name]
+    blocks = durable(blocks) if save else blocks
+    lists = [_field(F.col("__rows"), n) for n in coefficients]
+    zero = F.lit(0.0)
+    if levels:
+        # only full blocks hand anything on, and only to or from further pages
+        handing = blocks.filter((F.col("page") > 0) | (F.size("__rows") == block))
+        summary = handing.select(*keys, (F.col("page") + 1).alias("__at"), _summarised(shapes)(*lists).alias("__s")).select(*keys, "__at", "__s.*")
+        chained = {
+            n: (F.col(f"a{i}"), F.col(f"b{i}"), reverse, *([] if other is None else [(F.col(f"d{i}"), names[other])]))
+            for i, (n, (reverse, other)) in enumerate(zip(names, shapes))
+        }
+        handed = affine_scan(summary, keys, "__at", chained, block, levels - 1, save=False)
+        handed = handed.select(*[F.col(k).alias("__k_" + k) for k in keys], (F.col("__at") - 1).alias("__page"), *[F.col(n + "__x").alias("__carry_" + n) for n in names])
+        blocks = blocks.join(handed, _same(blocks, handed, keys, "__k_") & (F.col("page") == F.col("__page")), "left")
+        carries = [F.coalesce(F.col("__carry_" + n), zero) for n in names]
+    else:
+        # SCAN_BLOCK ** (1 + SCAN_LEVELS) rows and more in one group
+        lists = [F.when(F.col("page") > 0, F.raise_error(F.lit("a group has too many rows to scan"))).otherwise(c) for c in lists]
+        carries = [zero] * len(names)
+    blocks = blocks.select(*keys, "__rows", *[c.alias(f"__c_{n}") for n, c in zip(names, carries)], _scanned(shapes)(*lists, *carries).alias("__y"))
+    size, parts = F.size("__rows"), ["__rows"]
+    for i, (n, (reverse, _)) in enumerate(zip(names, shapes)):
+        y, edge = F.col("__y")[f"y{i}"], F.array(F.col(f"__c_{n}"))
+        beside = F.concat(F.slice(y, F.lit(2), size - 1), edge) if reverse else F.concat(edge, F.slice(y, F.lit(1), size - 1))
+        blocks = blocks.withColumn("__y_" + n, y).withColumn("__x_" + n, beside)
+        parts += ["__y_" + n, "__x_" + n]
     flat = blocks.select(*keys, F.explode(F.arrays_zip(*parts)).alias("__z"))
     return flat.select(
-        *[df_col(c) if c in keys else F.col(f"__z.__rows.`{c}`").alias(c) for c in columns],
-        *[F.col(f"__z.__y_{n}").alias(n) for n in scans],
-        *[F.col(f"__z.__x_{n}").alias(n + "__x") for n in scans],
+        *[df_col(c) if c in keys else F.col(f"__z.__rows.`{c}`").alias(c) for c in df.columns],
+        *[F.col(f"__z.__y_{n}").alias(n) for n in names],
+        *[F.col(f"__z.__x_{n}").alias(n + "__x") for n in names],
     )
 
 

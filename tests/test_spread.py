@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspan import spread as S
@@ -18,23 +19,42 @@ def skewed(spark, n=400):
     return spark.createDataFrame(rows, "id long, k long, tie double, v double")
 
 
-def test_attach_same_with_and_without_hot_groups(spark):
+def test_attach_gives_every_row_its_group(spark):
     df = skewed(spark)
     aggs = dict(n=F.count("v"), total=F.sum("v"), top=F.max_by("id", "v"))
-    cold = S.attach(df, ["k"], **aggs)
-    hot = S.attach(df, ["k"], hot_rows=20, **aggs)
-    key = lambda r: r["id"]
-    a, b = sorted(cold.collect(), key=key), sorted(hot.collect(), key=key)
-    assert len(a) == 400 and [r["n"] for r in a] == [r["n"] for r in b]
-    assert [r["top"] for r in a] == [r["top"] for r in b]
-    sizes = {r["k"]: r["count"] for r in df.groupBy("k").count().collect()}
-    assert all(r["n"] == sizes[r["k"]] for r in b)
-
-
-def test_hot_rows_are_dealt_over_many_shuffle_keys(spark):
-    df = skewed(spark, 2000).withColumn("rh", S.row_hash(skewed(spark, 2000)))
-    salts = df.filter("k = 0").select(F.pmod("rh", F.lit(S.HOT_SALTS))).distinct().count()
-    assert salts > 500
+    own = sorted(S.attach(df, ["k"], **aggs).collect())
+    early = sorted(S.attach(df.withColumn("later", F.col("v") * 2), ["k"], of=df, **aggs).drop("later").collect())
+    assert len(own) == 400 and own == early
+    rows = {}
+    for r in own:
+        rows.setdefault(r["k"], []).append(r)
+    for group in rows.values():  # the null key too
+        assert {r["n"] for r in group} == {len(group)}
+        assert {r["top"] for r in group} == {max(group, key=lambda r: r["v"])["id"]}
+
+
+def test_attach_splits_the_partition_of_a_hot_key(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 40_000, numPartitions=8).select("id", F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"))
+        got = S.attach(rows, ["k"], n=F.count("id"))
+        assert got.filter("k = 0").select("n").distinct().collect()[0][0] == 26_667
+        got.write.format("noop").mode("overwrite").save()
+        kept = S.attach(rows, ["k"], n=F.count("id"))
+        kept.collect()
+        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_ranked_hot_group(spark):
@@ -69,7 +89,7 @@ def test_affine_scan_blocks_match_a_loop(spark):
         want[key] = naive_scan(a, b, True), naive_scan(a, b, False)
     df = spark.createDataFrame(rows, "k long, pos long, a double, b double, tag string")
     scans = {"up": (F.col("a"), F.col("b"), True), "down": (F.col("a"), F.col("b"), False)}
-    for block in (5, 100):
+    for block in (5, 4, 100):  # one page, or pages of pages
         got = S.affine_scan(df, ["k"], "pos", scans, block=block).collect()
         assert len(got) == len(rows)
         for r in got:
@@ -80,6 +100,31 @@ def test_affine_scan_blocks_match_a_loop(spark):
             np.testing.assert_allclose([r["down"], r["down__x"]], [down[0][i], down[1][i]], atol=1e-12)
 
 
+def test_dependent_scans_carry_each_other_through_blocks(spark):
+    rng = np.random.default_rng(2)
+    rows, want = [], {}
+    for key, n in ((1, 30), (None, 61), (3, 4)):
+        a, b, c, d = (rng.uniform(-1, 1, n) for _ in range(4))
+        rows += [(key, i + 1, float(a[i]), float(b[i]), float(c[i]), float(d[i])) for i in range(n)]
+        for reverse in (True, False):
+            first, beside = naive_scan(a, b, reverse)
+            want[key, reverse] = first, naive_scan(c, a + d * np.array(beside), reverse)
+    df = spark.createDataFrame(rows, "k long, pos long, a double, b double, c double, d double")
+    for reverse in (True, False):
+        scans = {"one": (F.col("a"), F.col("b"), reverse), "two": (F.col("c"), F.col("a"), reverse, (F.col("d"), "one"))}
+        for block in (4, 1000):
+            for r in S.affine_scan(df, ["k"], "pos", scans, block=block).collect():
+                one, (two, beside) = want[r["k"], reverse]
+                i = r["pos"] - 1
+                np.testing.assert_allclose([r["one"], r["two"], r["two__x"]], [one[i], two[i], beside[i]], atol=1e-12)
+
+
+def test_scan_of_more_blocks_than_its_levels_hold_is_told(spark):
+    df = spark.range(1, 30).select(F.lit(1).alias("k"), F.col("id").alias("pos"))
+    with pytest.raises(Exception, match="too many rows to scan"):
+        S.affine_scan(df, ["k"], "pos", {"y": (F.lit(1.0), F.lit(1.0), True)}, block=3).collect()
+
+
 def test_packed_pages_hold_every_row(spark):
     df = S.ranked(skewed(spark), ["k"], ["id"], "p")
     pages = S.packed(df, ["k"], "p", ["id"], "rows", block=16)
