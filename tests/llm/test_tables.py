@@ -44,22 +44,71 @@ def test_rules_and_parts(spark):
     assert judged(spark, []).count() == 0
 
 
+def templates(spark, urls, rules):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = url_templates.judge(pages, rules=rules).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(len(urls)))
+    return {r["url"]: r for r in got}
+
+
 def test_templates_generalise_merge_and_reject(spark):
     rules = (url_templates.Rule("block", "s.com", "/ads/"), url_templates.Rule("allow", "s.com", "/news/"))
     urls = [f"http://s.com/ads/{i}" for i in range(40)] + [f"http://s.com/news/{i}" for i in range(40)]
     urls += [f"http://s.com/blog/{i}" for i in range(40)] + [f"http://s.com/docs/{i}/a/b/c" for i in range(40)] + ["http://s.com/one-off"] * 2
     # a mirror whose first path segment has no slash behind it: no rule, but the template of the rejected branch
     urls += ["http://s.com/ads"] * 3
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    got = {r["url"]: r for r in url_templates.judge(pages, rules=rules).collect()}
-    assert got["http://s.com/docs/4/a/b/c"]["template"].endswith("/**")
-    assert got["http://s.com/blog/3"]["template"].startswith("/{blog|docs}/*")
+    got = templates(spark, urls, rules)
+    # what differs only below a variable segment is told apart, as deep as there are pages
+    assert got["http://s.com/docs/4/a/b/c"]["template"] == "/{blog+1}/*/a/b/c"
+    assert got["http://s.com/blog/3"]["template"] == "/{blog+1}/*"
     assert got["http://s.com/ads/1"]["template"] == "/ads/*" and got["http://s.com/news/1"]["template"] == "/news/*"
     assert got["http://s.com/one-off"]["template"] == "/*" and got["http://s.com/one-off"]["verdict"] == "allow"
     assert got["http://s.com/ads/1"]["purity"] == 41 / 42 and got["http://s.com/news/1"]["purity"] == 1 / 42
     assert got["http://s.com/blog/3"]["verdict"] == "allow"
 
 
+def test_branches_without_labels_are_not_judged_by_others(spark):
+    """A host whose only labels are blocked pages: its other sections stay allowed."""
+    rules = (url_templates.Rule("block", "s.com", "/de/"),)
+    got = templates(spark, [f"http://s.com/{lang}/{lang}{i}" for lang in ("de", "en", "fr", "es") for i in range(25)], rules)
+    assert {r["verdict"] for u, r in got.items() if "/de/" in u} == {"block"}
+    assert {r["verdict"] for u, r in got.items() if "/de/" not in u} == {"allow"}
+    assert got["http://s.com/en/en1"]["template"] == "/{en+2}/*"
+    few = (*rules, url_templates.Rule("block", "s.com", "/en/1"), url_templates.Rule("block", "s.com", "/en/20"))
+    got = templates(spark, [f"http://s.com/{lang}/{i}" for lang in ("de", "en", "fr") for i in (1, 20, 30, 40)], few)
+    assert got["http://s.com/en/30"]["template"] == "/en/*" and got["http://s.com/en/30"]["verdict"] == "allow"
+
+
+def test_even_sections_are_branches_however_many(spark):
+    rules = tuple(url_templates.Rule("block" if k == 7 else "allow", "s.com", f"/s{k}/") for k in range(10))
+    urls = [f"http://s.com/s{k}/p{k}-{i}" for k in range(30) for i in range(30)]
+    got = templates(spark, urls, rules)
+    assert {r["template"] for u, r in got.items() if "/s7/" in u} == {"/s7/*"}
+    assert {r["template"] for u, r in got.items() if "/s3/" in u} == {"/{s0+8}/*"}
+    assert {r["template"] for u, r in got.items() if "/s23/" in u} == {"/{s10+19}/*"}
+    assert sum(r["verdict"] == "block" for r in got.values()) == 30
+
+
+def test_thin_nodes_escapes_and_deep_paths(spark):
+    rules = (url_templates.Rule("block", "s.com", "/deep/a/b/c/d/e/x/"),)
+    urls = [f"http://s.com/{i // 2 if i < 60 else i}" for i in range(200)] + ["http://s.com/7"] * 2  # one id with four pages
+    urls += [f"http://t.com/{name}/{i}" for name in ("*", "{a}", "%2A") for i in range(4)]
+    urls += [f"http://s.com/deep/a/b/c/d/e/{kind}/{i}" for kind in "xy" for i in range(9)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["url"]: r for r in url_templates.judge(pages, rules=rules).collect()}
+    assert got["http://s.com/7"]["template"] == "/*" and got["http://s.com/150"]["template"] == "/*"
+    assert {got[f"http://t.com/{name}/1"]["template"] for name in ("*", "{a}", "%2A")} == {"/{%252A+2}/{0+3}"}
+    assert got["http://s.com/deep/a/b/c/d/e/x/1"]["template"] == "/deep/a/b/c/d/e/x/*"
+    assert got["http://s.com/deep/a/b/c/d/e/y/1"]["verdict"] == "allow" and got["http://s.com/deep/a/b/c/d/e/x/1"]["verdict"] == "block"
+    # repeated rows have one result
+    assert len({(r["template"], r["purity"]) for r in url_templates.judge(pages).filter("url = 'http://s.com/7'").collect()}) == 1
+
+
+def test_few_pages_without_labels_are_blocked_on_the_table(spark):
+    got = entry.queries()["op1_url_templates"](spark, "/root/testdata/sf0.01").filter("rule IS NULL AND (host = 'example.com' OR host LIKE '%.example.com')").collect()
+    assert len(got) > 20 and sum(r["verdict"] == "block" for r in got) < 0.1 * len(got)
+
+
 def test_a_template_of_blocked_pages_rejects_pages_without_rule(spark):
     rules = (url_templates.Rule("block", "s.com", "/x/1"),)
     pages = spark.createDataFrame([(i, f"http://s.com/x/{i}") for i in range(1000, 2000)] + [(0, "http://s.com/x/2")], "page_id long, url string")
