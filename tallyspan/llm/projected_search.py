@@ -9,12 +9,14 @@ projected distance and are verified on the original vectors in small steps, unti
 test says that a nearer one would have come already with probability ``CONFIDENCE``.
 
 Equal vectors are one point with their k + 1 smallest ids, so one vector that is a third of all rows
-costs one point. Queries that reach one cell are dealt over blocks.
+costs one point. Queries that reach one cell are dealt over blocks, and the points of a cell, which
+grows with the table, over parts.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do rows without id or those whose length differs from that of the smallest id's vector; an
 id that is there twice counts once, with its least vector; ties go to the smaller id; with fewer
-candidates than k all are returned. Other columns are not read.
+candidates than k all are returned; any finite doubles are compared, however large or small. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from tallyspan.spread import df_col
 PROJECTED, CONFIDENCE = 8, 0.99
 #: Vectors that the splits are fitted on, rows of a cell on average, queries of a block in a cell.
 SAMPLE, CELL, QUERIES = 16_384, 2_048, 2_048
+#: Points of a cell that are searched in one task; a larger cell is searched in parts.
+POINTS = 65_536
 #: Candidates verified between two stopping tests.
 STEP = 128
 
@@ -99,7 +103,16 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component near 1: cosines stay the same to the last
+    bit, and no square is too large or too small for a double."""
+    _, power = np.frexp(np.abs(vectors).max(axis=-1, keepdims=True, initial=0.0))
+    half = power // 2  # the power itself may be out of range
+    return np.ldexp(np.ldexp(vectors, -half), half - power)
+
+
 def _units(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
     return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
 
 
@@ -112,15 +125,16 @@ class Cell:
     """The points of one cell, ready to be searched."""
 
     def __init__(self, vectors: np.ndarray, ids: list[list[int]], planes: np.ndarray, k: int, quantile: float):
-        self.vectors, self.ids, self.k, self.quantile = vectors, ids, k, quantile
-        self.norms = np.sqrt((vectors * vectors).sum(axis=1))
-        self.units = vectors / self.norms[:, None]
+        self.vectors, self.ids, self.k, self.quantile = scaled(vectors), ids, k, quantile
+        self.norms = np.sqrt((self.vectors * self.vectors).sum(axis=1))
+        self.units = self.vectors / self.norms[:, None]
         self.planes = planes
         self.projected = self.units @ planes if len(vectors) else np.zeros((0, planes.shape[1]))
 
     def search(self, query: np.ndarray, bound2: float) -> list[tuple[float, int]]:
         """At most k best of the cell as (score, id), best first; ``bound2`` is a squared distance
         that the k-th neighbour is known not to exceed."""
+        query = scaled(query)
         unit = _units(query[None, :])
         gap = self.projected - unit @ self.planes
         far2 = (gap * gap).sum(axis=1)
@@ -197,16 +211,23 @@ def nearest(
         one = pa.struct([("vec_id", pa.int64()), ("score", pa.float64())])
         return pa.table(found, schema=pa.schema([("point", pa.int64()), ("bound2", pa.float64()), ("best", pa.list_(one))]))
 
+    # a cell of the fitted tree grows with the table: its points are dealt over parts of bounded size
+    parts = saved(placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / POINTS).cast("int").alias("parts")))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
     def in_blocks(asked_rows: DataFrame, fn, schema: str) -> DataFrame:
-        """Cogroup queries and points of a cell, the queries dealt over blocks of bounded size."""
-        blocks = asked_rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("blocks"))
-        dealt = asked_rows.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
-        copies = placed.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        """Cogroup queries and points of a cell, both dealt over blocks of bounded size; every block of
+        queries meets every part of the points."""
+        blocks = asked_rows.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("blocks")).join(parts, "cell")
+        dealt = asked_rows.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")).withColumn("part", numbers("parts"))
+        copies = placed.join(blocks, "cell").withColumn("part", F.pmod(F.xxhash64("point"), F.col("parts")).cast("int")).withColumn("block", numbers("blocks"))
         # both sides stem from the same table: new names for the same columns
-        left, right = (df.drop("blocks").select(*[F.col(c).alias(c) for c in df.columns if c != "blocks"]) for df in (dealt, copies))
-        return left.groupBy("cell", "block").cogroup(right.groupBy("cell", "block")).applyInArrow(fn, schema)
+        left, right = (df.select(*[F.col(c).alias(c) for c in df.columns if c not in ("blocks", "parts")]) for df in (dealt, copies))
+        return left.groupBy("cell", "block", "part").cogroup(right.groupBy("cell", "block", "part")).applyInArrow(fn, schema)
 
-    bounds = saved(in_blocks(wanted, bound, "point long, bound2 double, best array<struct<vec_id:bigint,score:double>>"))
+    bounds = in_blocks(wanted, bound, "point long, bound2 double, best array<struct<vec_id:bigint,score:double>>")
+    # the k-th of any part bounds the k-th of the cell
+    bounds = saved(bounds.groupBy("point").agg(F.min("bound2").alias("bound2"), F.flatten(F.collect_list("best")).alias("best")))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for every cell that the query's radius reaches."""

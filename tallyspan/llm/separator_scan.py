@@ -11,8 +11,9 @@ documents, and the tokens since the last separator are added to its first.
 tasks that ended well are in the table it returns, so a lost executor leaves nothing that is read.
 
 Defined results: a null text is an empty one, with no token before its separator; rows that share an
-id are counted each; an empty file has no document; tokens after the last separator are a document
-that is marked as not closed.
+id are counted each, rows without id too; very long texts are many blocks; an empty file has no
+document; tokens after the last separator are a document that is marked as not closed. Ids have the
+width that the vocabulary needs, and one that does not fit is an error. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,30 +24,58 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspan.llm.common import few_rows, in_batches, saved, shared_folder, utf8
-from tallyspan.llm.swap_packing import word_ids
+from tallyspan.llm.common import in_batches, released, saved, shared_folder
+from tallyspan.llm.swap_packing import BATCH_BYTES, text_batches, word_ids
 from tallyspan.spread import df_col
 
 #: Bytes of a block.
 BLOCK = 1 << 20
 
 
+def _with_host(uri: str) -> str:
+    """``file:/x``, as Hadoop writes it, is ``file:///x``."""
+    scheme, colon, rest = uri.partition(":")
+    return f"{scheme}://{rest}" if colon and rest.startswith("/") and not rest.startswith("//") else uri
+
+
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+    return fs.FileSystem.from_uri(_with_host(uri))
+
+
+def full_uri(spark: SparkSession, folder: str) -> str:
+    """The folder with scheme and host as Spark's own file systems know it: one without a scheme lies in the
+    cluster's default file system, not on the machine that happens to read it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return _with_host(hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(hadoop).toString())
+
+
+def id_width(tokenizer: str, end_id: int) -> int:
+    """Bytes that every id of the vocabulary and the end fit in: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    most = max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1)
+    return 2 if most < 1 << 16 else 4
+
+
+def packed_ids(ids: np.ndarray, width: int) -> bytes:
+    """Little-endian ids of ``width`` bytes; an error where one does not fit."""
+    if len(ids) and int(ids.max()) >> (8 * width):
+        raise ValueError(f"id {int(ids.max())} does not fit in {width} bytes")
+    return ids.astype(f"<u{width}").tobytes()
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", width: int = 2) -> DataFrame:
-    """Write flat files of ``width``-byte ids; returns ``file, bytes, document, doc_id`` with the
-    position of each document in its file."""
-    few_rows(docs.sparkSession)
-    folder = f"{shared_folder(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", width: int | None = None) -> DataFrame:
+    """Write flat files of ids, ``width`` bytes each (by default as many as the vocabulary needs); returns
+    ``file, bytes, document, doc_id`` with the position of each document in its file."""
+    spark = docs.sparkSession
+    folder = full_uri(spark, f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}")
     store, path = _open(folder)
     store.create_dir(path, recursive=True)
-    kind = f"<u{width}"
-    end = np.array([end_id], kind).tobytes()
+    width = id_width(tokenizer, end_id) if width is None else width
+    end = packed_ids(np.array([end_id], np.int64), width)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         uri = f"{folder}/{uuid.uuid4().hex}.bin"  # another name in each attempt of a task
@@ -54,10 +83,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
         size = 0
         store, path = _open(uri)
         with store.open_output_stream(path) as out:
-            for batch in batches:
-                texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
-                for ids in word_ids(tokenizer).encode_all(texts):
-                    data = np.frombuffer(ids, "<u4").astype(kind).tobytes() + end
+            for batch in text_batches(batches, BATCH_BYTES):
+                ids, counts = word_ids(tokenizer).encode(batch.column("text"))
+                for part in np.split(ids, np.cumsum(counts)[:-1]):
+                    data = packed_ids(part, width) + end
                     out.write(data)
                     size += len(data)
                 doc_ids += batch.column("doc_id").to_pylist()
@@ -69,8 +98,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "do
             {"file": pa.array([uri] * n), "bytes": pa.array([size] * n, pa.int64()), "document": pa.array(range(n), pa.int64()), "doc_id": pa.array(doc_ids, pa.int64())}
         )
 
-    rows = docs.select(df_col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
-    return saved(rows.mapInArrow(write, "file string, bytes long, document long, doc_id long"))
+    rows = docs.select(df_col(id_col).cast("long").alias("doc_id"), F.coalesce(df_col(text_col).cast("string"), F.lit("")).alias("text"))
+    return saved(rows.mapInArrow(lambda batches: released(write(batches)), "file string, bytes long, document long, doc_id long"))
 
 
 def scan(files: DataFrame, end_id: int, width: int = 2, block: int = BLOCK) -> DataFrame:
@@ -113,8 +142,9 @@ def scan(files: DataFrame, end_id: int, width: int = 2, block: int = BLOCK) -> D
 
 def token_counts(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``doc_id, n_tokens``: documents written as token files, and counted from those alone."""
-    written = write_tokens(docs, tokenizer, end_id, id_col, text_col)
+    width = id_width(tokenizer, end_id)
+    written = write_tokens(docs, tokenizer, end_id, id_col, text_col, width)
     files = written.groupBy("file").agg(F.first("bytes").alias("bytes"))
-    counted = scan(files, end_id, block=block)
+    counted = scan(files, end_id, width, block)
     # file names shrink to little in a shuffle; a merge keeps them from being broadcast
     return counted.join(written.select("file", "document", "doc_id").hint("merge"), ["file", "document"]).select("doc_id", "n_tokens")

@@ -163,19 +163,19 @@ def test_near_duplicate_query_on_the_table(spark, sf):
 
 
 def brute_terms(text):
-    return {hashlib.md5(w.encode()).hexdigest()[:17] for w in re.findall(r"[^\W_]+", text.lower())}
+    return {hashlib.md5(w.encode()).hexdigest()[:14] for w in re.findall(r"[^\W_]+", text.lower())}
 
 
 def brute_fingerprint(text, band):
     """Hashes of the whole lexicon and of every thinned one."""
     every = brute_terms(text)
-    inside = {t for t in every if t[12:] in band}
-    some = sorted(inside if len(inside) >= imatch.MIN_TERMS else every or {hashlib.md5(text.encode()).hexdigest()[:17]})
+    inside = {t for t in every if t[9:] in band}
+    some = sorted(inside if len(inside) >= imatch.MIN_TERMS else every or {hashlib.md5(text.encode()).hexdigest()[:14]})
     digest = lambda part: hashlib.md5("".join(part).encode()).hexdigest()[:8] if part else ""
     out = [digest(some)]
-    for f in range(4):
+    for f in range(3):
         share = {t: int(t[3 * f : 3 * f + 3], 16) / 4096 for t in some}
-        out += [digest([t for t in some if share[t] >= 1 / 8]), digest([t for t in some if share[t] >= 1 / 4])]
+        out.append(digest([t for t in some if share[t] >= 1 / 8]))
         out += [digest([t for t in some if share[t] < 1 / 2**level]) for level in range(1, 11)]
     return ".".join(out)
 
@@ -184,7 +184,7 @@ def brute_likeness(a, b):
     if a == b:
         return 1.0
     same = [x == y and x != "" for x, y in zip(a.split("."), b.split("."))]
-    return sum(1 - 0.5 ** sum(same[1 + 12 * f : 13 + 12 * f]) for f in range(4)) / 4
+    return sum(1 - 0.5 ** sum(same[1 + 11 * f : 12 + 11 * f]) for f in range(3)) / 3
 
 
 def test_fingerprint_query(spark, sf):
@@ -192,7 +192,7 @@ def test_fingerprint_query(spark, sf):
     got = {r["doc_id"]: r for r in entry.queries()["op2_imatch"](spark, sf).collect()}
     ids = sorted(docs)
     texts = [docs[i] or "" for i in ids]
-    df = Counter(t[12:] for text in texts for t in brute_terms(text))
+    df = Counter(t[9:] for text in texts for t in brute_terms(text))
     n = len(texts)
     band = {b for b, c in df.items() if max(2, n * imatch.LEAST_SHARE) <= c <= max(2, n * imatch.MOST_SHARE)}
     fingerprint = lambda text: brute_fingerprint(text, band)
@@ -421,6 +421,24 @@ def test_token_count_query_and_empty_table(spark, sf):
     assert separator_scan.token_counts(frame(spark, []), WORDS, 49_407).count() == 0
 
 
+def test_token_files_of_odd_rows_widths_and_folders(spark, tmp_path):
+    texts, ids = [None, "a b", "a b", "c " * 30_000, ""], [None, 5, 5, None, 7]
+    got = separator_scan.token_counts(frame(spark, texts, ids), WORDS, 49_407, block=1000).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 0), (5, 2), (5, 2), (None, 30_000), (7, 0)], key=str)
+    # an end beyond 16 bits makes all ids four bytes wide
+    assert separator_scan.id_width(WORDS, 49_407) == 2 and separator_scan.id_width(WORDS, 70_000) == 4
+    got = separator_scan.token_counts(frame(spark, texts, ids), WORDS, 70_000, block=1000).collect()
+    assert sorted(r["n_tokens"] for r in got) == [0, 0, 2, 2, 30_000]
+    with pytest.raises(ValueError, match="70000 does not fit"):
+        separator_scan.packed_ids(np.array([1, 70_000]), 2)
+    assert np.frombuffer(separator_scan.packed_ids(np.array([1, 70_000]), 4), "<u4").tolist() == [1, 70_000]
+    # Hadoop's way to write a folder, and one without scheme
+    assert separator_scan.full_uri(spark, str(tmp_path)) == separator_scan.full_uri(spark, f"file:{tmp_path}") == f"file://{tmp_path}"
+    (tmp_path / "x.bin").write_bytes(np.array([3, 4, 9], "<u2").tobytes())
+    rows = spark.createDataFrame([(f"file:{tmp_path}/x.bin", 6)], "file string, bytes long")
+    assert [(r["n_tokens"], r["closed"]) for r in separator_scan.scan(rows, 9).collect()] == [(2, True)]
+
+
 # secrets
 
 

@@ -160,8 +160,35 @@ def test_search_query_recall(spark, sf):
     assert all(abs(found[q][i] - s) < 1e-12 for q in want for i, s in exact[q].items() if i in found[q])
 
 
+def test_search_of_large_and_tiny_doubles(spark):
+    base = [[1.0, 1.0], [1.0, 0.5], [0.0, 1.0], [-1.0, 3.0]]
+    powers = [1e200, 1e-200, 1e307, 5e-324, 1.0]
+    rows = [(i + 1, [x * p for x in v]) for i, (v, p) in enumerate((v, p) for v in base for p in powers[:3] + powers[4:])]
+    rows += [(50, [1e200, 1e200]), (100, [1e-200, 1e-200]), (60, [5e-324, 5e-324])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = projected_search.nearest(table, table.filter(F.col("vec_id") % 50 == 0), 20).collect()
+
+    def cosine(u, v):
+        u, v = ([x / max(map(abs, w)) for x in w] for w in (u, v))
+        return sum(x * y for x, y in zip(u, v)) / math.sqrt(sum(x * x for x in u) * sum(y * y for y in v))
+
+    for q in (50, 100):
+        mine = {r["vec_id"]: r["score"] for r in got if r["query_id"] == q}
+        assert len(mine) == len(rows) - 1
+        assert mine == {i: pytest.approx(cosine(dict(rows)[q], v), abs=1e-12) for i, v in rows if i != q}
+
+
+def test_scaling_does_not_change_a_bit_of_a_score():
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((50, 16)) * np.exp(rng.uniform(-20, 20, (50, 1)))
+    plain = projected_search.cosines(vectors, np.sqrt((vectors * vectors).sum(axis=1)), vectors[0])
+    cell = projected_search.Cell(vectors, [[i] for i in range(50)], np.zeros((16, 8)), 50, 1e9)
+    assert {i: s for s, i in cell.search(vectors[0], 4.0)} == dict(enumerate(plain.tolist()))
+
+
 def test_search_of_clusters_with_many_cells_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(projected_search, "CELL", 64)
+    monkeypatch.setattr(projected_search, "POINTS", 40)
     monkeypatch.setattr(projected_search, "QUERIES", 3)
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((12, 24))
