@@ -5,7 +5,7 @@ are counted over all texts in ``2**BUCKET_BITS`` hash buckets; buckets whose sha
 in the chosen band are the lexicon, a bit set of fixed size (128 KB) which every task gets.
 
 The lexicon is thinned at random into a fixed set of subsets, the same for every text: the whole lexicon,
-and for each of ``FAMILIES`` independent draws those that keep 7/8, 3/4, 1/2, 1/4 ... 1/1024 of it. In
+and for each of ``FAMILIES`` independent draws those that keep 7/8, 1/2, 1/4, 1/8 ... 1/1024 of it. In
 each subset all terms that a text has are sorted and hashed; a subset without a term of the text has no
 hash. The large subsets are I-Match's own, which agree for texts that hardly differ; the small ones still
 agree when more has changed.
@@ -35,9 +35,9 @@ from tallyspan.spread import dense_index, df_col
 BUCKET_BITS = 20
 #: Band of document frequency: at least this share and two documents, at most that share.
 LEAST_SHARE, MOST_SHARE = 3e-6, 0.05
-FAMILIES, MIN_TERMS = 4, 4
+FAMILIES, MIN_TERMS = 3, 4
 #: Subsets of a family: what they keep, as bounds of three hexadecimal digits.
-LARGE = [">= '200'", ">= '400'", "< '800'", "< '400'"]
+LARGE = [">= '200'", "< '800'", "< '400'"]
 SMALL = [f"< '{4096 >> level:03x}'" for level in range(3, 11)]
 #: Digits of a term: three for each family, then those of its bucket.
 DIGITS = 3 * FAMILIES
@@ -45,6 +45,8 @@ DIGITS = 3 * FAMILIES
 NOTHING = "d41d8cd9"
 #: Ids of a block, in which documents look for their next one.
 ID_BLOCK = 1_024
+#: Blocks of which the first documents' ids are broadcast (24 MB).
+SENT_BLOCKS = 1_000_000
 SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -89,7 +91,8 @@ def _hash(some: Column) -> Column:
 def _kept(some: Column, family: int, rule: str) -> Column:
     compare, limit = rule.split(" ")
     limit = F.lit(limit.strip("'"))
-    digits = lambda t: F.substring(t, 3 * family + 1, 3)
+    # the first digits decide how terms compare as a whole
+    digits = lambda t: F.substring(t, 3 * family + 1, 3) if family else t
     return F.filter(some, (lambda t: digits(t) < limit) if compare == "<" else (lambda t: digits(t) >= limit))
 
 
@@ -135,13 +138,18 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(bound(alike, agreed))
 
 
-def _next_blocks(rows: DataFrame) -> DataFrame:
-    """``block, next_id, next_key``: the first document of the next block that has any, for each block."""
-    firsts = rows.groupBy("block").agg(F.min(F.struct("doc_id", "key")).alias("first"))
+def _first_of_next(named: DataFrame) -> DataFrame:
+    """``block, text``: the text of the first document of the next block that has any, for each block."""
+    firsts = named.select("block", "doc_id", "key").groupBy("block").agg(F.min(F.struct("doc_id", "key")).alias("first"))
     firsts = dense_index(firsts.select("block", "first.doc_id", "first.key"), ["block"], "at")
-    count = firsts.agg(F.count(F.lit(1))).scalar()
-    before = firsts.select(F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), F.pmod(F.col("at") - 1, count).alias("at"))
-    return firsts.select("block", "at").join(before, "at").drop("at")
+    many = firsts.count()
+    before = firsts.select(F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), F.pmod(F.col("at") - 1, F.lit(max(many, 1))).alias("at"))
+    edge = firsts.select("block", "at").join(before, "at").drop("at")
+    # one row of three numbers for each block with documents: sent to all tasks up to a number, else joined
+    edge = F.broadcast(edge) if many <= SENT_BLOCKS else edge
+    same = (F.col("doc_id") == F.col("next_id")) & (F.col("key") == F.col("next_key"))
+    found = named.select("doc_id", "key", "text").join(edge, same)
+    return found.groupBy("block").agg(F.any_value("text").alias("text"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,14 +159,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     band = lexicon(texts.select("text"))
     named = texts.filter(F.col("doc_id").isNotNull())
     named = named.withColumn("key", F.xxhash64("text")).withColumn("block", F.floor(F.col("doc_id") / ID_BLOCK))
-    marked = with_fingerprint(named, band, "text", "fingerprint")
-    follow = F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("block").orderBy("doc_id", "key"))
-    # one row a block: the size of this table decides while the query runs how it is joined
-    edge = _next_blocks(named.select("block", "doc_id", "key"))
-    edge = named.drop("block").join(edge, (F.col("doc_id") == F.col("next_id")) & (F.col("key") == F.col("next_key")))
-    edge = edge.groupBy("block").agg(F.any_value("text").alias("next_text"))
+    edge = _first_of_next(named).withColumnRenamed("text", "next_text")
     edge = with_fingerprint(edge, band, "next_text", "next_fingerprint")
     edge = edge.select("block", F.struct(F.col("next_text").alias("text"), F.col("next_fingerprint").alias("fingerprint")).alias("first"))
+    # texts meet by block before they are fingerprinted, and stay where they are for the window
+    marked = with_fingerprint(named.repartition("block").sortWithinPartitions("block", "doc_id", "key"), band, "text", "fingerprint")
+    follow = F.lead(F.struct("text", "fingerprint")).over(Window.partitionBy("block").orderBy("doc_id", "key"))
     seen = marked.withColumn("next", follow).join(edge, "block", "left")
     seen = seen.select("doc_id", "text", "fingerprint", F.coalesce("next", "first").alias("next"))
     alone = with_fingerprint(texts.filter(F.col("doc_id").isNull()), band, "text", "fingerprint")
