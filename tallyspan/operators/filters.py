@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.spread import affine_scan, attach, dense_index, hash_order, hash_uniform, ranked
+from tallyspan.spread import affine_scan, attach, dense_index, durable, hash_order, hash_uniform, ranked
 
 
 def words(text: Column) -> Column:
@@ -78,14 +80,69 @@ def varied_groups(df: DataFrame, group: str, metric: str, keep_singletons: bool
     return d.filter(keep).drop("__hi", "__lo", "__n")
 
 
+#: Levels of a threshold search, and hexadecimal digits of a level: 4,096 buckets each.
+DIGIT_LEVELS, DIGITS = 3, 3
+
+
+def _threshold(codes: DataFrame, count: Column | int) -> Column:
+    """The code (a text of hexadecimal digits, column ``code``) under which fewer than ``count`` rows lie while
+    those up to it are as many: ``struct<code, rest>``, ``rest`` being how many rows of that very code are
+    among the first ``count``. Found level by level from histograms of 4,096 buckets, while the query runs."""
+    found = F.struct(F.lit("").alias("code"), F.lit(count).cast("long").alias("rest"))
+    for level in range(1, DIGIT_LEVELS + 1):
+        digits = F.left("code", F.lit(level * DIGITS))
+        inside = codes.withColumn("__t", found).filter(F.left("code", F.lit((level - 1) * DIGITS)) == F.col("__t.code"))
+        bucket = inside.groupBy(digits.alias("code")).agg(F.count(F.lit(1)).alias("n"), F.first("__t.rest").alias("rest"))
+        # at most 4,096 rows
+        up_to = F.sum("n").over(Window.orderBy("code").rowsBetween(Window.unboundedPreceding, 0))
+        bucket = bucket.withColumn("up_to", up_to).filter(F.col("up_to") >= F.col("rest"))
+        first = F.min(F.struct("code", (F.col("rest") - F.col("up_to") + F.col("n")).alias("rest")))
+        # all rows and more: no bucket reaches the count
+        found = F.coalesce(bucket.agg(first.alias("t")).scalar(), F.struct(F.lit("g").alias("code"), F.lit(0).cast("long").alias("rest")))
+    return found
+
+
+def _among_first(df: DataFrame, code: Column, order: Sequence[str], count: Column | int, out: str) -> DataFrame:
+    """Add ``out``: is the row among the first ``count`` by ``code`` (as many hexadecimal digits as the search
+    looks at, or more) and ``order``? Only rows that share the threshold's digits are sorted."""
+    d = df.withColumn("__code", code)
+    wide = DIGIT_LEVELS * DIGITS
+    d = d.withColumn("__at", _threshold(d.select(F.col("__code").alias("code")), count)).withColumn("__d", F.left("__code", F.lit(wide)))
+    tied = F.col("__d") == F.col("__at.code")
+    edge = ranked(d.filter(tied), ["__d"], ["__code", *order], "__p")
+    edge = edge.withColumn(out, F.col("__p") <= F.col("__at.rest")).drop("__p")
+    rest = d.filter(~tied).withColumn(out, F.col("__d") < F.col("__at.code"))
+    return rest.unionByName(edge).drop("__code", "__at", "__d")
+
+
+def _order_number(kind: str, value: Column) -> Column:
+    """A double that never falls where the values of a column rise: numbers, times, or the first bytes of texts."""
+    if kind in ("string", "binary"):
+        first = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(first, 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(value).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    number = value.cast("double")
+    # least and greatest pass over nulls
+    return F.when(F.isnan(number), 8e307).when(number.isNotNull(), F.greatest(F.least(number, F.lit(8e307)), F.lit(-8e307)))
+
+
 def first_rows(df: DataFrame, order: Sequence[str], count: int) -> DataFrame:
-    return dense_index(df, order, "__i").filter(F.col("__i") < count).drop("__i")
+    """The first ``count`` rows by ``order``, for any count: a threshold on the place of the first column
+    between its ends, then a filter. Rows that share that place with the threshold are sorted."""
+    number = _order_number(dict(df.dtypes)[order[0]], F.col(order[0]))
+    ends = df.agg(F.struct(F.min(number).alias("low"), F.max(number).alias("high")).alias("e")).scalar()
+    share = (number - ends["low"]) / F.greatest(ends["high"] - ends["low"], F.lit(1e-300))
+    place = F.floor(share * float(16 ** (DIGIT_LEVELS * DIGITS) - 1)).cast("long")
+    code = F.lpad(F.lower(F.hex(F.coalesce(place, F.lit(0).cast("long")))), DIGIT_LEVELS * DIGITS, "0")
+    return _among_first(df, code, list(order), count, "__in").filter("__in").drop("__in")
 
 
 def random_rows(df: DataFrame, key: str, count: int, seed: int) -> DataFrame:
-    """``count`` rows without replacement in seeded hash order, for any count: no driver-side top n."""
-    d = df.withColumn("__h", hash_order(seed, key))
-    return dense_index(d, ["__h", key], "__i").filter(F.col("__i") < count).drop("__h", "__i")
+    """``count`` rows without replacement in seeded hash order, for any count: a threshold on the hash, then a filter."""
+    return _among_first(df, hash_order(seed, key), [key], count, "__in").filter("__in").drop("__in")
 
 
 def hash_split(df: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
@@ -95,10 +152,9 @@ def hash_split(df: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
 
 def exact_split(df: DataFrame, key: str, ratio: float, seed: int) -> DataFrame:
     """As ``hash_split`` with exactly ceil(ratio * n) test rows."""
-    d = dense_index(df.withColumn("__h", hash_order(seed, key)), ["__h", key], "__i")
-    d = attach(d, [], __n=F.count(F.lit(1)))
-    test = F.col("__i") < F.ceil(F.col("__n") * ratio)
-    return d.withColumn("split", F.when(test, "test").otherwise("train")).drop("__h", "__i", "__n")
+    many = df.agg(F.ceil(F.count(F.lit(1)) * ratio).cast("long").alias("n")).scalar()
+    d = _among_first(df, hash_order(seed, key), [key], many, "__in")
+    return d.withColumn("split", F.when(F.col("__in"), "test").otherwise("train")).drop("__in")
 
 
 def halve_tests(df: DataFrame, key: str, inputs: str, outputs: str, seed: int, share: float = 0.5) -> DataFrame:
@@ -136,14 +192,39 @@ WEIGHTS = {
 }
 
 
+def _last_before(batches: Iterator[pa.RecordBatch], keys: Sequence[str], rows: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """Of a partition in order: every draw with the columns ``rows`` of the last interval before it (null if the
+    partition has none yet), and last the partition's own last interval, without a draw."""
+    held, names = None, [*keys, "__part", "draw", *rows]
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        interval = batch.column("draw").is_null().to_numpy(zero_copy_only=False)
+        before = batch.slice(0, 1) if held is None else held
+        whole = pa.Table.from_batches([before, batch]).combine_chunks()
+        at = np.where(interval, np.arange(1, batch.num_rows + 1), -1 if held is None else 0)
+        at = np.maximum.accumulate(at)
+        drawn = np.flatnonzero(~interval)
+        source = pa.array(at[drawn], mask=at[drawn] < 0)
+        columns = [batch.column(c).take(pa.array(drawn)) for c in [*keys, "__part", "draw"]]
+        columns += [whole.column(c).take(source).combine_chunks() for c in rows]
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+        if interval.any():
+            held = batch.slice(int(np.flatnonzero(interval)[-1]), 1)
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([held.column(c) for c in names], names=names)
+
+
 def resample(
     df: DataFrame, batch: Sequence[str], row_key: str, score: str, method: str = "pow", power: float = 2.0, seed: int = 0
 ) -> DataFrame:
     """As many draws with replacement as a batch has rows, by score weights; ``draw`` numbers them.
 
-    Weights get a floor of 1e-8. Each row owns an interval of the cumulated weights. Draws and
-    intervals meet in an equi-join on buckets of the unit range, as many as the batch has rows; a
-    row with much weight appears in all buckets its interval covers.
+    Weights get a floor of 1e-8. Each row owns an interval of the cumulated weights. Intervals and draws
+    are sorted together by where they begin, over ranges of that order, and a draw takes the last
+    interval before it; the last interval of a range goes on to the ranges behind it. So a row of half the
+    weight is one row, whatever is drawn from it.
     """
     if method not in WEIGHTS:
         raise ValueError(f"unknown weights {method}")
@@ -151,18 +232,29 @@ def resample(
     d = attach(df, batch, __hi=F.max(score), __lo=F.min(score), __n=F.count(F.lit(1)))
     weight = WEIGHTS[method](F.col(score), F.col("__hi"), F.col("__lo"), power) + 1e-8
     d = ranked(d.withColumn("__w", weight), batch, [row_key], "__r")
-    d = attach(d, batch, __total=F.sum("__w"))
     d = affine_scan(d, batch, "__r", {"__cum": (F.lit(1.0), F.col("__w"), False)})
-    last = F.col("__r") == F.col("__n")
-    high = F.when(last, F.lit(1.0)).otherwise(F.col("__cum") / F.col("__total"))
-    d = d.withColumn("__to", high).withColumn("__from", F.col("__cum__x") / F.col("__total"))
-    n = F.col("__n")
-    bucket = lambda c: F.least(F.floor(c * n), n - 1).cast("long")
-    rows = d.withColumn("__b", F.explode(F.sequence(bucket(F.col("__from")), bucket(F.col("__to")))))
-    draws = d.select(*batch, F.col("__r").alias("draw"), hash_uniform(seed, *batch, "__r").alias("__u"), "__n")
-    draws = draws.select(*batch, "draw", "__u", bucket(F.col("__u")).alias("__b"))
-    hit = (F.col("__u") >= F.col("__from")) & (F.col("__u") < F.col("__to"))
-    return rows.join(draws, [*batch, "__b"]).filter(hit).select(*df.columns, "draw")
+    d = durable(d.select(*df.columns, "__r", "__w", "__cum__x"))
+    d = attach(d, batch, __total=F.sum("__w"))
+    rows = [c for c in df.columns if c not in batch]
+    start = F.col("__cum__x") / F.col("__total")
+    intervals = d.select(*batch, start.alias("__at"), F.lit(None).cast("long").alias("draw"), F.col("__r"), *rows)
+    draws = d.select(*batch, hash_uniform(seed, *batch, "__r").alias("__at"), F.col("__r").cast("long").alias("draw"), F.lit(None).cast("long").alias("__r"))
+    both = intervals.unionByName(draws, allowMissingColumns=True)
+    order = [*[F.col(c) for c in batch], F.col("__at"), F.col("draw").asc_nulls_first(), F.col("__r")]
+    # one table: what a range hands on must come from the same ranges
+    ranges = both.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id().cast("long"))
+    ranges = ranges.select(*batch, "__part", "draw", *rows)
+    fields = ", ".join(f"`{c}` {t}" for c, t in ranges.dtypes)
+    found = durable(ranges.mapInArrow(lambda parts: _last_before(parts, batch, rows), fields))
+    row = F.struct(*rows)
+    # one row for each range that has an interval
+    lasts = found.filter(F.col("draw").isNull()).select("__part", row.alias("__row"))
+    parts = found.select("__part").distinct().join(lasts, "__part", "left")
+    carried = F.last("__row", ignorenulls=True).over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.select("__part", carried.alias("__carried"))
+    drawn = found.filter(F.col("draw").isNotNull()).join(F.broadcast(parts), "__part")
+    missing = F.col(row_key).isNull()
+    return drawn.select(*[F.when(missing, F.col("__carried")[c]).otherwise(F.col(c)).alias(c) if c in rows else F.col(c) for c in df.columns], "draw")
 
 
 def whole_batches(indexed: DataFrame, size: int, drop_last: bool = True) -> DataFrame:
