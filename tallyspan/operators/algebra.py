@@ -7,13 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.spread import attach, dense_index, hash_order, packed, ranked
+from tallyspan.functions.values import bound
+from tallyspan.spread import affine_scan, attach, dense_index, hash_order, packed, ranked
 
 
 def with_index(df: DataFrame, order: Sequence[str], out: str = "idx") -> DataFrame:
@@ -248,19 +247,48 @@ def drop_padding(arr: Column, mask: Column) -> Column:
 
 
 def restore_padding(values: Column, mask: Column, pad: float, kind: str = "bigint") -> Column:
-    """Values back on the places where the mask is 1, ``pad`` elsewhere; linear in the row length."""
-
-    @F.pandas_udf(f"array<{kind}>")
-    def place(v: pd.Series, m: pd.Series) -> pd.Series:
-        def one(row, where):
-            where = np.asarray(where) != 0
-            out = np.full(len(where), pad, dtype=np.asarray(row).dtype if len(row) else None)
-            out[where] = row
-            return out
-
-        return pd.Series([None if a is None or b is None else one(a, b) for a, b in zip(v, m, strict=True)])
-
-    return place(values, mask)
+    """Values back on the places where the mask is 1, ``pad`` elsewhere. The places of both are listed, paired
+    with their values and put in order; null values or a null mask give null."""
+    places = F.sequence(F.lit(0), F.size(mask) - 1)
+
+    def paired(at: Column) -> Column:
+        held = F.filter(at, lambda i: F.get(mask, i) != 0)
+        free = F.filter(at, lambda i: F.get(mask, i) == 0)
+        entry = lambda i, v: F.struct(i.alias("i"), v.cast(kind).alias("v"))
+        both = F.concat(F.zip_with(held, values, entry), F.transform(free, lambda i: entry(i, F.lit(pad))))
+        return F.transform(F.array_sort(both), lambda e: e["v"])
+
+    none = F.array().cast(f"array<{kind}>")
+    return F.when(values.isNotNull() & (F.size(mask) > 0), bound(places, paired)).when(values.isNotNull() & (F.size(mask) == 0), none)
+
+
+def jagged(rows: DataFrame, keys: Sequence[str], order: str, col: str, block: int = 16_384) -> DataFrame:
+    """Arrays of different lengths as one ragged column: ``keys, page, order`` (the ids of a page's rows),
+    ``values`` (their entries, one array after the other), ``offsets`` (where each array starts, and the end)
+    and ``known`` (false for a null array). A page holds ``block`` rows of a key at most."""
+    keys = list(keys)
+    sized = rows.select(*keys, order, col, F.greatest(F.size(col), F.lit(0)).alias("__len"))
+    placed = affine_scan(ranked(sized, keys, [order], "__p"), keys, "__p", {"__end": (F.lit(1.0), F.col("__len"), False)}, block)
+    placed = placed.withColumn("__end", F.col("__end").cast("long"))
+    pages = packed(placed, keys, "__p", [order, col, "__len", "__end"], "__rows", block)
+    first = F.col("__rows")[0]
+    ends = F.transform("__rows", lambda r: r["__end"] - first["__end"] + first["__len"])
+    return pages.select(
+        *keys,
+        "page",
+        F.transform("__rows", _picker(order)).alias(order),
+        F.flatten(F.transform("__rows", lambda r: F.coalesce(r[col], F.array()))).alias("values"),
+        F.concat(F.array(F.lit(0).cast("long")), ends).alias("offsets"),
+        F.transform("__rows", lambda r: r[col].isNotNull()).alias("known"),
+    )
+
+
+def from_jagged(pages: DataFrame, keys: Sequence[str], order: str, col: str) -> DataFrame:
+    """The rows of a ragged column again: ``keys, order, col``."""
+    ids = pages.select(*keys, "values", "offsets", "known", F.posexplode(order).alias("__i", order))
+    start = F.get("offsets", F.col("__i"))
+    part = F.slice("values", (start + 1).cast("int"), (F.get("offsets", F.col("__i") + 1) - start).cast("int"))
+    return ids.select(*keys, order, F.when(F.get("known", F.col("__i")), part).alias(col))
 
 
 def response_window(padded: Column, response_length: Column) -> Column:

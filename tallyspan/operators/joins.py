@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.functions.answers import answer_letter, without_thinking
-from tallyspan.spread import attach, attach_table, hash_order, ranked, top_k
+from tallyspan.spread import affine_scan, attach, attach_table, hash_order, ranked, top_k
 
 
 def demonstrations(
@@ -152,9 +152,12 @@ def retry_prompts(history: DataFrame, form: str, limit: int, count) -> DataFrame
 
     ``feedback_only`` joins all feedback; ``attempt_and_feedback`` alternates attempts and feedback
     as chat messages. The oldest entries go until the prompt has at most ``limit`` tokens by
-    ``count`` (a column function that is additive over joined texts). A turn sees the past turns whose
-    running token sum is at most ``limit`` behind its own, so a frame holds ``limit`` tokens and
-    whatever entries are empty.
+    ``count`` (a column function that is additive over joined texts).
+
+    Token sums run along a question in blocks. A turn keeps the past turns that begin at most its room
+    before it on that scale; both sides carry the number of their stretch of ``limit`` tokens, so that a
+    turn meets two stretches in an equi-join, however many turns the question has. Texts are fetched for
+    kept turns alone.
     """
     if form not in ("feedback_only", "attempt_and_feedback"):
         raise ValueError(f"unknown form {form}")
@@ -165,26 +168,28 @@ def retry_prompts(history: DataFrame, form: str, limit: int, count) -> DataFrame
         fixed = fixed + wrap
     else:
         size = size + wrap + count(F.col("response"))
-    by_turn = Window.partitionBy("question_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    h = history.withColumn("__n", size.cast("long")).withColumn("__room", F.lit(limit) - fixed)
-    h = h.withColumn("__before", F.coalesce(F.sum("__n").over(by_turn), F.lit(0).cast("long")))
-    h = h.withColumn("__turns", F.count(F.lit(1)).over(by_turn))
-    # a range of the running sum; turns of the same sum are told apart afterwards
-    frame = Window.partitionBy("question_id").orderBy("__before").rangeBetween(-limit, 0)
-    entry = F.struct("turn", F.col("__before").alias("before"), "response", "feedback")
-    h = h.withColumn("__near", F.collect_list(entry).over(frame))
-    fits = lambda e: (e["turn"] < F.col("turn")) & (F.col("__before") - e["before"] <= F.col("__room"))
-    h = h.withColumn("__fit", F.array_sort(F.filter("__near", fits))).withColumn("__kept", F.size("__fit"))
-    kept = F.col("__fit")
+    sized = history.select("question_id", "turn", size.cast("long").alias("__n"), (F.lit(limit) - fixed).cast("long").alias("__room"))
+    placed = affine_scan(ranked(sized, ["question_id"], ["turn"], "__pos"), ["question_id"], "__pos", {"__sum": (F.lit(1.0), F.col("__n"), False)})
+    begin = F.coalesce(F.col("__sum__x"), F.lit(0.0)).cast("long")
+    placed = placed.select("question_id", "turn", "__room", (F.col("__pos") - 1).alias("__turns"), begin.alias("__begin"))
+    stretch = F.floor(F.col("__begin") / max(limit, 1))
+    past = placed.select("question_id", F.col("turn").alias("__past"), F.col("__begin").alias("__past_begin"), stretch.alias("__stretch"))
+    now = placed.select("question_id", "turn", "__room", "__begin", F.explode(F.array(stretch - 1, stretch)).alias("__stretch"))
+    near = now.join(past, ["question_id", "__stretch"]).filter((F.col("__past") < F.col("turn")) & (F.col("__begin") - F.col("__past_begin") <= F.col("__room")))
+    texts = history.select("question_id", F.col("turn").alias("__past"), "response", "feedback")
+    kept = near.select("question_id", "turn", "__past").join(texts, ["question_id", "__past"])
+    kept = kept.groupBy("question_id", "turn").agg(F.array_sort(F.collect_list(F.struct("__past", "response", "feedback"))).alias("__kept"))
+    h = history.join(kept, ["question_id", "turn"], "left").join(placed.select("question_id", "turn", "__turns"), ["question_id", "turn"])
+    none = F.col("__kept").isNull()
     said = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
     ask = F.array(said("user", F.col("question")))
     told = lambda text: F.concat(F.lit(RETRY_PREFIX), text, F.lit(RETRY_SUFFIX))
     if form == "feedback_only":
-        notes = F.array_join(F.transform(kept, lambda e: e["feedback"]), "\n\n")
+        notes = F.array_join(F.transform("__kept", lambda e: e["feedback"]), "\n\n")
         many = F.array(said("user", F.concat(F.col("question"), F.lit("\n\n"), told(notes))))
     else:
-        turns = F.transform(kept, lambda e: F.array(said("assistant", e["response"]), said("user", told(e["feedback"]))))
+        turns = F.transform("__kept", lambda e: F.array(said("assistant", e["response"]), said("user", told(e["feedback"]))))
         many = F.concat(ask, F.flatten(turns))
-    messages = F.when(F.col("__kept") == 0, ask).otherwise(many)
-    out = h.withColumn("messages", messages).withColumn("trimmed", (F.col("__turns") - F.col("__kept")).cast("int"))
-    return out.drop("__n", "__room", "__before", "__turns", "__near", "__fit", "__kept")
+    trimmed = F.col("__turns") - F.when(none, 0).otherwise(F.size("__kept"))
+    out = h.withColumn("messages", F.when(none, ask).otherwise(many)).withColumn("trimmed", trimmed.cast("int"))
+    return out.select(*history.columns, "messages", "trimmed")

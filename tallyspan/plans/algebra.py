@@ -218,6 +218,42 @@ register(
         joined_tags(G.restore_padding(F.col("vals"), F.col("mask"), 0)).alias("padded"),
     )
 )
+
+
+def ragged(spark, sf):
+    """Token lists of a batch; some are missing, some empty."""
+    gone = F.col("sample_id") % 7 == 0
+    tags = F.when(~gone, F.when(F.col("sample_id") % 5 == 0, F.slice("tags", 1, 0)).otherwise(F.col("tags")))
+    return token_lists(spark, sf).select((F.col("sample_id") % 16).alias("batch"), "sample_id", tags.alias("tags"))
+
+
+RAGGED = f"{LISTS}, rg AS (SELECT sample_id % 16 AS batch, sample_id, CASE WHEN sample_id % 7 = 0 THEN NULL WHEN sample_id % 5 = 0 THEN [] ELSE tags END AS tags FROM l)"
+register(
+    "collate_jagged",
+    with_views(
+        "tokens",
+        f"""WITH {RAGGED}, o AS (SELECT *, CAST(sum(len(coalesce(tags, []))) OVER (PARTITION BY batch ORDER BY sample_id) AS BIGINT) AS e FROM rg)
+ SELECT batch, 0::BIGINT AS page, count(*) AS row_count, md5(string_agg(array_to_string(tags, ','), ',' ORDER BY sample_id) FILTER (len(tags) > 0)) AS values_md5,
+ md5('0,' || string_agg(e, ',' ORDER BY sample_id)) AS offsets_md5, count(tags) AS known FROM o GROUP BY 1""",
+    ),
+)(
+    lambda spark, sf: G.jagged(ragged(spark, sf), ["batch"], "sample_id", "tags").select(
+        "batch",
+        "page",
+        F.size("sample_id").cast("long").alias("row_count"),
+        F.md5(joined_tags(F.col("values"))).alias("values_md5"),
+        F.md5(joined_tags(F.col("offsets"))).alias("offsets_md5"),
+        F.size(F.filter("known", lambda k: k)).cast("long").alias("known"),
+    )
+)
+register(
+    "jagged_round_trip",
+    with_views("tokens", f"WITH {RAGGED} SELECT batch, sample_id, tags IS NULL AS missing, array_to_string(tags, ',') AS tags FROM rg"),
+)(
+    lambda spark, sf: G.from_jagged(G.jagged(ragged(spark, sf), ["batch"], "sample_id", "tags"), ["batch"], "sample_id", "tags").select(
+        "batch", "sample_id", F.col("tags").isNull().alias("missing"), F.when(F.col("tags").isNotNull(), joined_tags(F.col("tags"))).alias("tags")
+    )
+)
 register(
     "response_window",
     with_views("tokens", f"WITH {LISTS} SELECT sample_id, array_to_string(tags[len(tags) - 2:len(tags) - 1], ',') AS response FROM l WHERE len(tags) > 2"),

@@ -1,5 +1,6 @@
 """Batch algebra, filters, balancing and chats on small fixtures."""
 
+import random
 import re
 
 import pytest
@@ -240,3 +241,56 @@ def test_chat_errors(spark):
         media.select(H.media_parts(F.col("t"), F.lit(2), F.lit(0))).collect()
     with pytest.raises(ValueError, match="missing columns"):
         C.unpaired_rows(media)
+
+
+@pytest.mark.parametrize("block", [3, 16_384])
+def test_jagged_columns_go_there_and_back(spark, block):
+    rows = [(k, i, [None, [], [i], list(range(i % 7))][i % 4]) for k, n in ((1, 20), (None, 9), (2, 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, i long, v array<long>")
+    pages = G.jagged(df, ["k"], "i", "v", block)
+    got = pages.collect()
+    assert max(len(r["i"]) for r in got) <= block
+    for r in got:
+        assert len(r["offsets"]) == len(r["i"]) + 1 and r["offsets"][0] == 0 and r["offsets"][-1] == len(r["values"])
+        assert [r["values"][a:b] if known else None for a, b, known in zip(r["offsets"], r["offsets"][1:], r["known"])] == [
+            next(v for k, i, v in rows if (k, i) == (r["k"], x)) for x in r["i"]
+        ]
+    back = G.from_jagged(pages, ["k"], "i", "v").collect()
+    assert sorted(map(tuple, back), key=str) == sorted(rows, key=str)
+    assert G.jagged(df.limit(0), ["k"], "i", "v").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("values", "mask", "want"),
+    [([5, 6], [0, 1, 1, 0], [9, 5, 6, 9]), ([], [0, 0], [9, 9]), ([], [], []), ([7], [1], [7]), (None, [1], None), ([7], None, None), (list(range(500)), [1, 0] * 500, [x for i in range(500) for x in (i, 9)])],
+)
+def test_padding_comes_back(spark, values, mask, want):
+    df = spark.createDataFrame([(values, mask)], "v array<long>, m array<int>")
+    assert df.select(G.restore_padding(F.col("v"), F.col("m"), 9)).first()[0] == want
+
+
+def kept_turns(turns, limit, fixed):
+    """Past turns of each turn by popping the oldest until the prompt fits."""
+    out = []
+    for t in range(len(turns)):
+        past = list(range(t))
+        while past and fixed + sum(turns[s] for s in past) > limit:
+            past.pop(0)
+        out.append(past)
+    return out
+
+
+@pytest.mark.parametrize("limit", [0, 12, 40])
+def test_retry_prompts_keep_the_latest_turns_that_fit(spark, limit):
+    rng = random.Random(limit)
+    sizes = {q: [rng.choice([0, 1, 2, 5, 30]) for _ in range(n)] for q, n in ((1, 60), (2, 1), (3, 7))}
+    rows = [(q, t, "what is it", f"r{t}", " ".join([f"f{t}"] * n)) for q, ns in sizes.items() for t, n in enumerate(ns)]
+    history = spark.createDataFrame(rows, "question_id int, turn int, question string, response string, feedback string")
+    count = lambda c: F.size(F.filter(F.split(c, " "), lambda w: w.rlike("^f[0-9]+$")))  # noqa: E731  feedback words alone count
+    got = {(r["question_id"], r["turn"]): r for r in J.retry_prompts(history, "attempt_and_feedback", limit, count).collect()}
+    assert len(got) == len(rows)
+    for q, ns in sizes.items():
+        for t, past in enumerate(kept_turns(ns, limit, 0)):
+            r = got[q, t]
+            assert [m["content"] for m in r["messages"] if m["role"] == "assistant"] == [f"r{s}" for s in past]
+            assert r["trimmed"] == t - len(past) and r["messages"][0]["content"] == "what is it"
