@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tallyspan.operators import algebra as G
 from tallyspan.operators import balance as B
 from tallyspan.operators import filters as X
+from tallyspan.operators import hooks as K
 from tallyspan.plans import register
 from tallyspan.plans.advantage import RESPONSES_SQL, r6, responses
 from tallyspan.sources import views as V
@@ -587,3 +588,70 @@ register(
 def restore_order(spark, sf):
     d = B.serpentine(indexed(spark, sf).withColumn("work", F.col("uid")), ["step"], "work", "sample_id", F.lit(8))
     return B.restore(d, "idx").select("sample_id", "idx")
+
+
+# ---- hooks -------------------------------------------------------------------------------
+
+
+@K.hook("dataset", "customers")
+def customers(spark, sf_dir):
+    """Prompts made by user code: customers with their nation as the group."""
+    return V.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("prompt_id"), F.col("c_nationkey").alias("nation"), F.col("c_name").alias("prompt"))
+
+
+def prompts(spark, sf):
+    return K.build_dataset(spark, "customers", needs=("prompt_id", "prompt"), sf_dir=sf)
+
+
+def scored(spark, sf):
+    """Results of a batch: the logged responses of its prompts."""
+    log = V.rollouts(spark, sf).select("uid", F.col("acc").alias("score"))
+    return lambda batch: batch.join(log, batch["prompt_id"] == log["uid"]).drop("uid")
+
+
+register("dataset_hook", "SELECT c_nationkey AS nation, count(*) AS prompts, md5(string_agg(c_name, ',' ORDER BY c_custkey)) AS names FROM customer GROUP BY 1")(
+    lambda spark, sf: prompts(spark, sf)
+    .groupBy("nation")
+    .agg(F.count(F.lit(1)).alias("prompts"), F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("prompt_id", "prompt"))), lambda x: x["prompt"]), ",")).alias("names"))
+)
+
+
+def curriculum_sql(batches, size, generated):
+    """Batch by batch, as a reader would do it by hand."""
+    steps = ["r0 AS (SELECT c_custkey AS prompt_id, c_nationkey AS nation FROM customer)", "s0 AS (SELECT NULL::INTEGER AS nation, 0.0::DOUBLE AS total, 0 AS n WHERE false)"]
+    for b in range(batches):
+        steps += [
+            f"""o{b} AS (SELECT r.prompt_id, r.nation, row_number() OVER (ORDER BY coalesce(s.total / s.n, 0.5), r.prompt_id) AS nth FROM r{b} r LEFT JOIN s{b} s ON r.nation = s.nation)""",
+            f"b{b} AS (SELECT prompt_id, nation FROM o{b} WHERE nth <= {size})",
+            f"g{b} AS (SELECT b.nation, r.prompt_id, r.acc FROM b{b} b JOIN (SELECT uid AS prompt_id, acc FROM rollouts) r USING (prompt_id))",
+            f"""s{b + 1} AS (SELECT nation, sum(total) AS total, sum(n) AS n FROM (SELECT * FROM s{b} UNION ALL SELECT nation, CAST(sum(acc) AS DOUBLE), count(*) FROM g{b} GROUP BY 1) GROUP BY 1)""",
+            f"r{b + 1} AS (SELECT prompt_id, nation FROM r{b} WHERE prompt_id NOT IN (SELECT prompt_id FROM b{b})"
+            + (f" UNION ALL SELECT DISTINCT prompt_id + {b + 1}000000000, nation FROM g{b} WHERE acc = 0)" if generated else ")"),
+        ]
+    drawn = " UNION ALL ".join(f"SELECT {b} AS batch, prompt_id, nation FROM b{b}" for b in range(batches))
+    return f"WITH {', '.join(steps)} {drawn}"
+
+
+register("sampler_hook", with_views("rollouts", curriculum_sql(4, 40, False)))(
+    lambda spark, sf: K.epoch(prompts(spark, sf), "prompt_id", K.find("sampler", "hardest_group")("nation"), scored(spark, sf), 40, 4).select("batch", "prompt_id", "nation")
+)
+
+
+@K.hook("generator", "failed_again")
+def failed_again(rows, results, key, number):
+    """A new prompt for each that a response has failed."""
+    return results.filter("score = 0").select(*rows.columns).distinct().withColumn(key, F.col(key) + F.lit(number * 1_000_000_000).cast("long"))
+
+
+register("generator_hook", with_views("rollouts", curriculum_sql(4, 40, True)))(
+    lambda spark, sf: K.epoch(
+        prompts(spark, sf),
+        "prompt_id",
+        K.find("sampler", "hardest_group")("nation"),
+        scored(spark, sf),
+        40,
+        4,
+        K.find("generator", "failed_again"),
+        keep=lambda new: X.drop_overlong(new, F.length("prompt"), 1000),
+    ).select("batch", "prompt_id", "nation")
+)
