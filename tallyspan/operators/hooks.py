@@ -107,7 +107,7 @@ class HardestGroup(Sampler):
         return rows.select(self.group).limit(0).select(self.group, F.lit(0.0).alias("total"), F.lit(0).cast("long").alias("n"))
 
     def prioritised(self, rows: DataFrame, key: str, state: DataFrame | None) -> DataFrame:
-        level = state.select(F.col(self.group).alias("__g"), (F.col("total") / F.col("n")).alias("__level"))
+        level = state.select(F.col(self.group).alias("__g"), F.try_divide("total", "n").alias("__level"))
         seen = rows.join(level, F.col(self.group).eqNullSafe(F.col("__g")), "left")
         return seen.withColumn("priority", F.coalesce("__level", F.lit(float(self.unseen)))).drop("__g", "__level")
 
