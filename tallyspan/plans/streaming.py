@@ -88,7 +88,7 @@ register("assembled_batches", ASSEMBLED)(
     lambda spark, sf: Q.assemble(log(spark, sf).filter("op > 0").select("queue", "seq"), ["queue"], "seq", 4, 16)
 )
 register("assembled_batches_stream", ASSEMBLED)(
-    lambda spark, sf: S.run(S.assembled(as_queue_log(S.file_stream(spark, f"{sf}/events*.parquet")).filter("op > 0").select("queue", "seq"), "queue", "seq", 64))
+    lambda spark, sf: S.assembled(as_queue_log(S.file_stream(spark, f"{sf}/events*.parquet")).filter("op > 0").select("queue", "seq"), "queue", "seq", 64)
 )
 TASKS = {"reward": ["view", "click"], "train": ["view", "click", "purchase"], "log": ["signup"]}
 
@@ -122,7 +122,7 @@ def rolled(d):
 
 register("version_roll_up", VERSIONS)(lambda spark, sf: rolled(S.version_roll_up(version_log(V.table(spark, sf, "events")))))
 register("version_roll_up_stream", VERSIONS)(
-    lambda spark, sf: rolled(S.run(S.version_roll_up(version_log(S.file_stream(spark, f"{sf}/events*.parquet"))), "update", ["version", "name"]))
+    lambda spark, sf: rolled(S.version_roll_up(version_log(S.file_stream(spark, f"{sf}/events*.parquet"))))
 )
 register(
     "growing_dataset_stream",
@@ -162,11 +162,5 @@ for _form, _sql in WINDOW_SQL.items():
         lambda spark, sf, form=_form: seconds(S.windowed_metrics(metric_events(V.table(spark, sf, "events")), form))
     )
     register(f"metric_windows_{_form}_stream", _sql)(
-        lambda spark, sf, form=_form: seconds(
-            S.run(
-                S.windowed_metrics(metric_events(S.file_stream(spark, f"{sf}/events*.parquet")), form),
-                "complete" if form == "session" else "update",
-                ["name", "start", "end"],
-            )
-        )
+        lambda spark, sf, form=_form: seconds(S.windowed_metrics(metric_events(S.file_stream(spark, f"{sf}/events*.parquet")), form))
     )

@@ -1,9 +1,13 @@
 """Structured Streaming forms of batch operators, from a stream of files.
 
 Every function takes a streaming DataFrame. ``run`` drains what is available into a shared folder
-and hands the result back as a table. The forms that follow events of a key one by one (counters,
-assembled batches, readiness) order the events inside a trigger; across triggers a key's events have
-to arrive in the order of ``seq``, as a log does. Then they give what the batch operators give.
+and hands the result back as a table. ``drain`` does so for operators that keep nothing in the memory of
+executors: what a trigger adds, partial aggregates say, is written to a folder of that trigger, which a
+trigger that is run again replaces, and a reader puts the parts together. Rows may then come in any
+order and in any number of files; what comes later than a watermark allows goes to a table of its own.
+
+Readiness and queue counters follow the events of a key one by one and keep a state; a key's events have
+to arrive in the order of ``seq`` from trigger to trigger, as a log does.
 """
 
 from __future__ import annotations
@@ -11,12 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyspan.operators.filters import drop_overlong
 from tallyspan.sources.sinks import shared_folder
+from tallyspan.spread import attach_table, ranked
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -81,23 +86,54 @@ def queue_counters(events: DataFrame, queue: str, capacity: int) -> DataFrame:
     )
 
 
+#: What a trigger makes of its rows, its number and a reader of earlier triggers' tables: tables by name.
+Step = Callable[[DataFrame, int, Callable[[str], DataFrame]], dict[str, DataFrame]]
+
+
+def drain(stream: DataFrame, step: Step) -> dict[str, DataFrame]:
+    """The tables that ``step`` makes, all triggers together, with their number in ``__batch``."""
+    spark = stream.sparkSession
+    out, state = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
+
+    def earlier(batch: int) -> Callable[[str], DataFrame]:
+        return lambda name: spark.read.parquet(f"{out}/{name}").filter(F.col("__batch") < batch)
+
+    def sink(df: DataFrame, batch: int) -> None:
+        for name, part in step(df, batch, earlier(batch)).items():
+            part.write.mode("overwrite").parquet(f"{out}/{name}/__batch={batch}")
+
+    # empty tables of trigger -1, so that there is always something to read
+    empty = spark.createDataFrame([], stream.schema)
+    shapes = step(empty, -1, lambda name: empty)
+    for name, part in shapes.items():
+        part.limit(0).write.parquet(f"{out}/{name}/__batch=-1")
+    query = stream.writeStream.option("checkpointLocation", state).foreachBatch(sink).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return {name: spark.read.parquet(f"{out}/{name}") for name in shapes}
+
+
 def assembled(samples: DataFrame, queue: str, order: str, size: int) -> DataFrame:
-    """Batches of ``size`` samples as they fill up: ``train_batch, slot`` per sample; the rest waits in the state."""
+    """Batches of ``size`` samples as they fill up: ``train_batch, slot`` per sample; the rest waits.
 
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting, done = state.get if state.exists else ([], 0)
-        ids = [*waiting, *(int(x) for x in _ordered(parts, order)[order])]
-        full = len(ids) // size * size
-        state.update((ids[full:], done + full // size))
-        slots = range(full)
-        yield pd.DataFrame(
-            {queue: [key[0]] * full, order: ids[:full], "train_batch": [done + i // size for i in slots], "slot": [i % size for i in slots]}
-        )
+    A trigger numbers its samples after those of the triggers before it, of which only the counts are read;
+    a queue with most samples is ranked by many tasks.
+    """
 
-    kind = samples.schema[queue].dataType.simpleString()
-    return samples.groupBy(queue).applyInPandasWithState(
-        step, f"`{queue}` {kind}, `{order}` long, train_batch long, slot long", "waiting array<long>, done long", "append", GroupStateTimeout.NoTimeout
-    )
+    def step(df: DataFrame, batch: int, earlier: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+        if batch < 0:
+            before = df.select(F.col(queue).alias("__q"), F.lit(0).cast("long").alias("__n"))
+        else:
+            before = earlier("counts").groupBy(F.col(queue).alias("__q")).agg(F.sum("n").alias("__n"))
+        placed = ranked(df.select(queue, order), [queue], [order], "__p")
+        placed = placed.join(before, F.col(queue).eqNullSafe(F.col("__q")), "left")
+        at = F.coalesce("__n", F.lit(0)) + F.col("__p") - 1
+        counts = df.groupBy(queue).agg(F.count(F.lit(1)).alias("n"))
+        return {"samples": placed.select(queue, order, at.cast("long").alias("at")), "counts": counts}
+
+    tables = drain(samples, step)
+    full = tables["counts"].groupBy(queue).agg((F.floor(F.sum("n") / size) * size).alias("__full"))
+    placed = attach_table(tables["samples"].drop("__batch"), [queue], full, ["__full"]).filter(F.col("at") < F.col("__full"))
+    return placed.select(queue, order, F.floor(F.col("at") / size).alias("train_batch"), (F.col("at") % size).alias("slot"))
 
 
 def ready(arrivals: DataFrame, sample: str, tasks: dict[str, Sequence[str]]) -> DataFrame:
@@ -122,11 +158,22 @@ def ready(arrivals: DataFrame, sample: str, tasks: dict[str, Sequence[str]]) ->
     )
 
 
+def _version_parts(log: DataFrame) -> DataFrame:
+    last = F.max(F.struct("seq", "value")).alias("last")
+    return log.groupBy("version", "name").agg(last, F.sum("value").alias("sum"), F.count("value").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"))
+
+
+def _versions_of(parts: DataFrame) -> DataFrame:
+    merged = parts.groupBy("version", "name").agg(F.max("last").alias("last"), F.sum("sum").alias("sum"), F.sum("n").alias("n"), F.min("min").alias("min"), F.max("max").alias("max"))
+    return merged.select("version", "name", F.col("last.value").alias("last"), "sum", F.try_divide("sum", "n").alias("avg"), "min", "max")
+
+
 def version_roll_up(log: DataFrame) -> DataFrame:
-    """Metric statistics per parameter version (update mode); ``metrics.step_rule`` picks one of them."""
-    return log.groupBy("version", "name").agg(
-        F.max_by("value", "seq").alias("last"), F.sum("value").alias("sum"), F.avg("value").alias("avg"), F.min("value").alias("min"), F.max("value").alias("max")
-    )
+    """Metric statistics per parameter version, of a table or a stream; ``metrics.step_rule`` picks one of
+    them. A stream writes the parts of each trigger; no version is kept in memory."""
+    if not log.isStreaming:
+        return _versions_of(_version_parts(log))
+    return _versions_of(drain(log, lambda df, batch, earlier: {"parts": _version_parts(df)})["parts"])
 
 
 def growing_dataset(rows: DataFrame, length: Column, limit: int) -> DataFrame:
@@ -141,11 +188,57 @@ WINDOWS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def windowed_metrics(log: DataFrame, form: str, late: str = "1 hour") -> DataFrame:
-    """Count, sum and maximum per metric and time window; works on batch tables and on streams. In update
-    mode the watermark lets the state of past windows go and drops what comes later than ``late``;
-    sessions, which have no update mode, take append or complete mode."""
-    w = WINDOWS[form](F.col("ts"))
-    source = log.withWatermark("ts", late) if log.isStreaming else log
-    d = source.groupBy("name", w.alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.max("value").alias("top"))
+def _window_parts(log: DataFrame, form: str) -> DataFrame:
+    d = log.groupBy("name", WINDOWS[form](F.col("ts")).alias("w")).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"), F.max("value").alias("top"))
     return d.select("name", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n", "total", "top")
+
+
+def _windows_of(parts: DataFrame, form: str) -> DataFrame:
+    keys = ["name", "start", "end"]
+    if form == "session":
+        # parts of one session overlap; there is at most one part for each stretch between two pauses of a trigger
+        order = Window.partitionBy("name").orderBy("start", "end")
+        reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        parts = parts.withColumn("__new", (reach.isNull() | (F.col("start") >= reach)).cast("int"))
+        parts = parts.withColumn("__session", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        parts = parts.groupBy("name", "__session").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("top").alias("top"))
+        return parts.drop("__session")
+    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("top").alias("top"))
+
+
+def windows_and_late(log: DataFrame, form: str, late: str = "1 hour") -> tuple[DataFrame, DataFrame]:
+    """Of a stream ``name, value, ts``: the windows of the rows that come in time, and the late rows.
+
+    A row is late if all its windows had ended when its trigger began, by the latest time seen before that
+    less ``late``. Windows are kept as parts by trigger; late rows are kept whole, with the trigger that
+    brought them.
+    """
+    last_end = {"tumbling": "6 hours", "sliding": "6 hours", "session": "30 minutes"}[form]
+
+    def step(df: DataFrame, batch: int, earlier: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+        seen = None if batch < 0 else earlier("seen").agg(F.max("top_ts")).first()[0]  # one row a trigger
+        if seen is None:
+            gone = F.lit(False)
+        else:
+            limit = F.lit(seen) - F.expr(f"INTERVAL {late}")
+            # a row's latest window begins at the last step at or before it
+            begin = F.col("ts") if form == "session" else F.window("ts", "6 hours" if form == "tumbling" else "2 hours")["start"]
+            gone = begin + F.expr(f"INTERVAL {last_end}") <= limit
+        marked = df.select("name", "value", "ts").withColumn("__gone", gone)
+        return {
+            "parts": _window_parts(marked.filter(~F.col("__gone")), form),
+            "late": marked.filter("__gone").drop("__gone"),
+            "seen": df.agg(F.max("ts").alias("top_ts")),
+        }
+
+    tables = drain(log, step)
+    return _windows_of(tables["parts"].drop("__batch"), form), tables["late"].withColumnRenamed("__batch", "trigger")
+
+
+def windowed_metrics(log: DataFrame, form: str, late: str = "1 hour") -> DataFrame:
+    """Count, sum and maximum per metric and time window; works on tables and on streams. Of a stream, the
+    late rows (see ``windows_and_late``) are added to their windows in the end, so that none is lost."""
+    if not log.isStreaming:
+        return _window_parts(log, form)
+    in_time, behind = windows_and_late(log, form, late)
+    return _windows_of(in_time.unionByName(_window_parts(behind, form)), form)
