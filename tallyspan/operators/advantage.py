@@ -236,13 +236,13 @@ def optimal_token_baseline(
     m = F.col("mask")
     t = returns_to_go(tokens, extra={"__w": (F.lit(1.0), _energy(weight) * m, False)})
     groups = attach(responses.select("sample_id", "uid"), ["uid"], __n=F.count(F.lit(1)))
-    t = t.join(groups, "sample_id")
+    t = durable(t.join(groups, "sample_id"))
     weighted = F.col("__w") * m
     t = attach(t, ["uid", "pos"], __base=F.sum(F.col("ret") * weighted) / (F.sum(weighted) + eps))
     base = F.when(F.col("__n") == 1, F.lit(0.0)).otherwise(F.col("__base"))
     if zero_tail:
         lengths = responses.select("sample_id", "uid").join(
-            tokens.groupBy("sample_id").agg(F.sum("mask").alias("n_valid")), "sample_id", "left"
+            t.groupBy("sample_id").agg(F.sum("mask").alias("n_valid")), "sample_id", "left"
         ).fillna({"n_valid": 0})
         t = t.join(_longest_alone(lengths), "sample_id", "left")
         base = F.when(F.col("pos") > F.col("__second"), F.lit(0.0)).otherwise(base)
@@ -255,12 +255,13 @@ def optimal_token_baseline_multi_turn(
 ) -> DataFrame:
     """As above on the index among valid tokens; responses without a valid token are left out."""
     m = F.col("mask")
-    t = returns_to_go(tokens, extra={"__w": (F.lit(1.0), _energy(weight) * m, False)})
-    valid = ranked(t.filter(m != 0), ["sample_id"], ["pos"], "__v").join(uids.select("sample_id", "uid"), "sample_id")
+    t = durable(returns_to_go(tokens, extra={"__w": (F.lit(1.0), _energy(weight) * m, False)}))
+    valid = durable(ranked(t.filter(m != 0), ["sample_id"], ["pos"], "__v").join(uids.select("sample_id", "uid"), "sample_id"))
     lengths = valid.groupBy("sample_id", "uid").agg(F.count(F.lit(1)).alias("n_valid"))
     sizes = lengths.groupBy("uid").agg(F.count(F.lit(1)).alias("__n"))
+    early = valid
     valid = attach_table(valid, ["uid"], sizes, ["__n"])
-    valid = attach(valid, ["uid", "__v"], __base=F.sum(F.col("ret") * F.col("__w")) / (F.sum("__w") + eps))
+    valid = attach(valid, ["uid", "__v"], of=early, __base=F.sum(F.col("ret") * F.col("__w")) / (F.sum("__w") + eps))
     base = F.when(F.col("__n") == 1, F.lit(0.0)).otherwise(F.col("__base"))
     if zero_tail:
         valid = valid.join(_longest_alone(lengths), "sample_id", "left")

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyspan.operators import metrics as M
+from tallyspan.operators import reports as R
 from tallyspan.plans import register
 from tallyspan.plans.advantage import RESPONSES_SQL, r6, responses
 from tallyspan.plans.offpolicy import rounded
@@ -468,6 +469,47 @@ register(
 )(lambda spark, sf: M.experiment_ranking(points(spark, sf), "view"))
 
 
+#: Event types as logged metrics, so that some cells of every kind of section have values.
+REPORTED = {
+    "val-core/events/acc/mean@16": "view",
+    "val-core/events/acc/best@16/mean": "purchase",
+    "actor/entropy": "click",
+    "critic/rewards/mean": "signup",
+    "global_seqlen/mean": "error",
+    "rollout_corr/rollout_ppl": "view",
+}
+
+
+def reported(spark, sf):
+    names = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(e).alias("event")) for k, e in REPORTED.items()])
+    p = points(spark, sf).withColumnRenamed("key", "name").withColumn("n", F.explode(names))
+    # one experiment has no entropy
+    kept = (F.col("name") == F.col("n.event")) & ~((F.col("experiment") == "run-1") & (F.col("n.key") == "actor/entropy"))
+    return p.filter(kept).select("experiment", F.col("n.key").alias("key"), "step", "value")
+
+
+def report_sql():
+    """Every section by itself, from the sections' cells."""
+    stats = {"final": "final", "best": "best", "lowest": "lowest"}
+    cell = lambda c: f"max({stats[c.stat]}) FILTER (event = '{REPORTED[c.key]}'" + (" AND experiment <> 'run-1')" if c.key == "actor/entropy" else ")") if c.key in REPORTED else "NULL::DOUBLE"
+    made = {"gap": "best_of - mean", "consistency_pct": "CASE WHEN best_of > 0 THEN mean / best_of * 100 WHEN mean IS NOT NULL AND best_of IS NOT NULL THEN 0 END", "drop": "highest - lowest"}
+    parts = []
+    for number, (title, cells) in enumerate([*R.sections("events"), ("Ranking", R.ranking_cells("events"))], 1):
+        base = ", ".join(f'{cell(c)} AS "{c.name}"' for c in cells if c.key)
+        order = "-coalesce(mean_best, 0), experiment" if title == "Ranking" else "experiment"
+        table = f"(SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS line FROM (SELECT experiment, {base} FROM ev GROUP BY 1))"
+        for place, c in enumerate(cells):
+            column = f'"{c.name}"'
+            value = column if c.key else made[c.name]
+            parts.append(f"SELECT {number} AS section, '{title}' AS title, line, experiment, {place} AS place, '{c.name}' AS name, round({value}, 6) AS value FROM {table}")
+    return f"WITH {POINTS}, ev AS (SELECT experiment, key AS event, final, best, lowest FROM st) " + " UNION ALL ".join(parts)
+
+
+register("experiment_report", with_views("metric_log", report_sql()))(
+    lambda spark, sf: R.experiment_report(reported(spark, sf), "events").select("section", "title", "line", "experiment", "place", "name", r6("value").alias("value"))
+)
+
+
 def kl_steps(spark, sf):
     return V.metric_log(spark, sf).groupBy("worker", "step").agg(
         (F.avg("value") / 500.0).alias("kl"), F.count(F.lit(1)).alias("n_steps")

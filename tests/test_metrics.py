@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 from tallyspan.functions import draws
 from tallyspan.operators import metrics as M
 from tallyspan.operators import offpolicy as O
+from tallyspan.operators import reports as R
 from tallyspan.plans import metrics
 
 
@@ -154,3 +155,19 @@ def test_best_steps_need_strict_improvement(spark):
     assert [r["is_best"] for r in M.best_steps(df, ["run"]).orderBy("step").collect()] == [True, False, False]
     aux = M.best_steps(df, ["run"], explicit="val-aux/x/mean@4").orderBy("step").collect()
     assert [r["is_best"] for r in aux] == [True, False, True]
+
+
+def test_report_has_all_sections_and_says_what_is_missing(spark):
+    mean, best = "val-core/x/acc/mean@16", "val-core/x/acc/best@16/mean"
+    rows = [("b", mean, 1, 0.25), ("b", mean, 2, 0.2), ("b", best, 1, 0.5), ("a", "actor/entropy", 1, 2.0), ("a", "actor/entropy", 2, 0.5), ("a", "global_seqlen/mean", 1, 99.6)]
+    points = spark.createDataFrame(rows, "experiment string, key string, step long, value double")
+    report = R.experiment_report(points, "x")
+    got = {(r["title"], r["experiment"], r["name"]): (r["value"], r["text"]) for r in report.collect()}
+    assert len({r[0] for r in got}) == 16
+    assert got["Accuracy", "b", "mean_best"] == (0.25, "0.2500") and got["Accuracy", "b", "mean_final"] == (0.2, "0.2000")
+    assert got["Consistency", "b", "gap"] == (0.25, "0.2500") and got["Consistency", "b", "consistency_pct"] == (50.0, "50.0")
+    assert got["Consistency", "a", "gap"] == (None, "N/A") and got["Entropy", "a", "drop"] == (1.5, "1.5000")
+    assert got["Response length", "a", "best"] == (99.6, "100")
+    assert [(r["line"], r["experiment"]) for r in report.filter("title = 'Ranking' AND place = 0").orderBy("line").collect()] == [(1, "b"), (2, "a")]
+    lines = [r["text"] for r in R.report_lines(report).filter("section = 2").orderBy("line").collect()]
+    assert lines == ["## 2. Consistency", "| experiment | mean | best_of | gap | consistency_pct |", "| a | N/A | N/A | N/A | N/A |", "| b | 0.2500 | 0.5000 | 0.2500 | 50.0 |"]
