@@ -95,7 +95,23 @@ def op7_swap_packing(spark: SparkSession, sf: str) -> DataFrame:
     return swap_packing.pack(parts.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
-@register("op8_hyperminhash")
+@register(
+    "op8_hyperminhash",
+    r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+    SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS shingles FROM d
+), u AS (SELECT doc_id, unnest(shingles) AS x FROM s),
+n AS (SELECT doc_id, len(shingles) AS n FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n o ON o.doc_id = a JOIN n t ON t.doc_id = b WHERE 100 * c >= 85 * (o.n + t.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(id, other) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM r JOIN e ON r.other = e.a)
+SELECT id AS doc_id, any_value(n)::BIGINT AS n_shingles, min(other) AS component_id, id = min(other) AS kept FROM r JOIN n ON n.doc_id = id GROUP BY id
+""",
+)
 def op8_hyperminhash(spark: SparkSession, sf: str) -> DataFrame:
     out = hyperminhash.near_duplicates(_read(spark, sf, "documents"), shingle=3, percent=85)
     return out.select("doc_id", "n_shingles", "component_id", "kept")

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -237,6 +238,41 @@ def test_fingerprint_edge_rows(spark):
 # toxicity
 
 
+def test_learning_is_ftrl_proximal_coordinate_by_coordinate():
+    """Against the rule itself: weights from z and n, then z and n from the gradient, one number at a time."""
+    rng = random.Random(6)
+    rows = [(sorted(rng.sample(range(1, 60), rng.randint(1, 12))), rng.randint(0, 1)) for _ in range(300)]
+    model, z, n = ftrl.Ftrl(), defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        l1 = 0.0 if i == 0 else ftrl.L1
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((ftrl.BETA + math.sqrt(n[i])) / ftrl.ALPHA + ftrl.L2)
+
+    for numbers, label in rows * 2:
+        at = [0, *numbers]
+        w = {i: weight(i) for i in at}
+        g = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()))))) - label
+        for i in at:
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / ftrl.ALPHA
+            z[i] += g - sigma * w[i]
+            n[i] += g * g
+        model.learn(np.array(at), label)
+    np.testing.assert_allclose(model.weights(np.arange(60)), [weight(i) for i in range(60)], rtol=1e-9, atol=1e-12)
+    assert 0 < sum(weight(i) == 0 for i in range(1, 60)) < 59
+
+
+def test_held_out_labels_of_the_table(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = [(r["score"] >= 0.5, labels[r["doc_id"]] == 1) for r in entry.queries()["op6_ftrl"](spark, sf).collect() if r["held_out"] and r["doc_id"] in labels]
+    right = sum(p == t for p, t in got)
+    assert len(got) > 50 and right >= 0.9 * len(got)
+    # no false alarms worth the name, and toxic documents are found
+    assert sum(p and not t for p, t in got) <= 0.03 * len(got) and sum(p and t for p, t in got) >= 0.3 * sum(t for _, t in got)
+
+
 def toxic_frame(spark, n=600):
     rng = random.Random(2)
     words, bad = vocabulary(rng), ["vilest", "rotter", "swine"]
