@@ -165,7 +165,41 @@ def _with_planted_period(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
 
 
-@register("op12_periodic_runs")
+# CRC-32 in SQL: the table of its 256 steps, and the checksum of a text's bytes by that table
+CRC_TABLE = """tab AS (SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+    ORDER BY i) AS steps FROM range(256) r(i))"""
+
+
+def crc_sql(text: str) -> str:
+    code = f"hex({text})"
+    read = f"list_transform(range(1, length({code}) // 2 + 1), lambda i: ('0x' || substr({code}, 2 * i - 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {read}), lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
+@register(
+    "op12_periodic_runs",
+    rf"""
+WITH {CRC_TABLE}, d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {crc_sql("doc_id::VARCHAR")} AS h FROM documents, tab
+), a AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (
+    SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) END]) ELSE w END AS w FROM a
+), u AS (SELECT doc_id, n, unnest(w) AS x, unnest(range(n)) AS i FROM p),
+-- words that equal the one q words before them; stretches of such words, q more words long, are runs
+e AS (SELECT r.doc_id, r.i, r.i - l.i AS q FROM u r JOIN u l ON r.doc_id = l.doc_id AND r.x = l.x AND l.i < r.i AND 4 * (r.i - l.i) <= r.n),
+g AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM e),
+s AS (SELECT doc_id, q, min(i) - q AS start, count(*) + q AS length FROM g GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY 1, 2, 3),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) AS nth FROM r),
+t AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS written FROM r GROUP BY 1),
+o AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+c AS (SELECT u.doc_id, string_agg(x, ' ' ORDER BY u.i) AS collapsed FROM u LEFT JOIN o ON o.doc_id = u.doc_id AND o.i = u.i WHERE o.i IS NULL GROUP BY 1)
+SELECT p.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.start::BIGINT AS start, b.length::BIGINT AS length, b.period::BIGINT AS period,
+    (1000 * b.length // b.period)::BIGINT AS exponent_milli, sha256(coalesce(written, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM p LEFT JOIN t USING (doc_id) LEFT JOIN (SELECT * FROM b WHERE nth = 1) b USING (doc_id) LEFT JOIN c USING (doc_id)
+""",
+)
 def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
     out = periodic_runs.periodic_runs(_with_planted_period(_read(spark, sf, "documents")))
     long_first = lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))
@@ -196,7 +230,31 @@ def _one_code_point_less(doc_id: int | None, words: list[str]) -> list[str]:
     return out
 
 
-@register("op13_spelling_groups")
+@register(
+    "op13_spelling_groups",
+    f"""
+WITH RECURSIVE {CRC_TABLE}, f AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY 1, 2
+), h AS (SELECT w, n, {crc_sql("doc_id || ':' || w")} AS h FROM f, tab),
+m AS (SELECT CASE WHEN h % 97 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, n FROM h),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM m GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+-- what is left of a word without its i-th code point
+x AS (SELECT word, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+e AS (
+    SELECT a.word, b.word AS near FROM x a JOIN x b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT x.word, v.word FROM x JOIN v ON v.word = x.rest
+    UNION SELECT v.word, x.word FROM x JOIN v ON v.word = x.rest
+), k AS (SELECT e.word, e.near, v.n AS near_n, row_number() OVER (PARTITION BY e.word ORDER BY v.n DESC, e.near) AS nth, count(*) OVER (PARTITION BY e.word) AS n_near FROM e JOIN v ON v.word = e.near),
+w AS (
+    SELECT v.word, v.n, coalesce(k.n_near, 0)::BIGINT AS n_near, CASE WHEN k.near_n >= 2 * v.n THEN k.near END AS form, CASE WHEN k.near_n >= 2 * v.n THEN k.near_n END AS form_n
+    FROM v LEFT JOIN k ON k.word = v.word AND k.nth = 1
+), t(word, goal) AS (SELECT word, form FROM w WHERE form IS NOT NULL UNION ALL SELECT t.word, w.form FROM t JOIN w ON w.word = t.goal WHERE w.form IS NOT NULL),
+-- counts double from form to form: the last one is the most frequent
+z AS (SELECT t.word, arg_max(t.goal, w.n) AS root FROM t JOIN w ON w.word = t.goal GROUP BY 1)
+SELECT w.word, w.form, coalesce(z.root, w.word) AS root, w.n, w.n_near, w.form_n FROM w LEFT JOIN z ON z.word = w.word
+""",
+)
 def op13_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
     counts = spelling_groups.word_counts(_read(spark, sf, "documents"), alter=_one_code_point_less)
     return spelling_groups.spelling_groups(counts).select("word", "form", "root", "n", "n_near", "form_n")
