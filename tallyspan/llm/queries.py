@@ -35,6 +35,17 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 WORDS_END = 49_407
 
 
+# CRC-32 in SQL: the table of its 256 steps, and the checksum of a text's bytes by that table
+CRC_TABLE = """tab AS (SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
+    ORDER BY i) AS steps FROM range(256) r(i))"""
+
+
+def crc_sql(text: str) -> str:
+    code = f"hex({text})"
+    read = f"list_transform(range(1, length({code}) // 2 + 1), lambda i: ('0x' || substr({code}, 2 * i - 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {read}), lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295)"
+
+
 @register("op1_url_templates", url_templates.oracle())
 def op1_url_templates(spark: SparkSession, sf: str) -> DataFrame:
     out = url_templates.judge(_read(spark, sf, "pages").select("page_id", "url"))
@@ -117,7 +128,45 @@ def op8_hyperminhash(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@register("op9_secrets_scan")
+def spans_sql(kind: str, order: int, pattern: str, keep: str) -> str:
+    """The spans of one kind of secret: matches, placed by the lengths of what lies between them."""
+    pattern = pattern.replace("'", "''")
+    return f"""{kind}_l AS (
+    SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gaps FROM d WHERE regexp_matches(t, '{pattern}')
+), {kind}_m AS (
+    SELECT doc_id, unnest(ms) AS m, unnest(range(len(ms))) AS i, unnest(list_transform(gaps[:len(ms)], lambda g: length(g))) AS before,
+        unnest(list_transform(gaps[2:len(ms) + 1], lambda g: left(g, 1))) AS after FROM {kind}_l
+), {kind}_p AS (
+    SELECT doc_id, m, after, sum(before + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS start FROM {kind}_m
+), {kind} AS (SELECT doc_id, '{kind}' AS kind, {order} AS o, start, start + length(m) AS stop FROM {kind}_p, tab WHERE {keep})"""
+
+
+ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+CHECKED = "length(m) = {n} AND NOT regexp_matches(after, '[0-9A-Za-z]') AND " + crc_sql("substr(m, {at}, 30)") + (
+    " = list_reduce(list_prepend(0::BIGINT, list_transform(range(30, 36), lambda j: instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', substr(m, {at} + j, 1)) - 1)),"
+    " lambda a, b: a * 62 + b)"
+)
+LUHN = """length(m) = 16 AND substr(m, 1, 1) IN ('3', '4', '5', '6') AND list_sum(list_transform(range(16), lambda j:
+    CASE WHEN j % 2 = 0 THEN substr(m, 16 - j, 1)::INT ELSE 2 * substr(m, 16 - j, 1)::INT - CASE WHEN substr(m, 16 - j, 1)::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+
+
+@register(
+    "op9_secrets_scan",
+    f"""
+WITH {CRC_TABLE}, d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{spans_sql("assign", 0, ASSIGN, f"length(regexp_extract(m, '{ASSIGN.replace(chr(39), chr(39) * 2)}', 1)) >= 6")},
+{spans_sql("access", 1, "AKIA[A-Z0-9]{16,}", "true")},
+{spans_sql("hex", 2, "[0-9a-f]{24,}", "true")},
+{spans_sql("github", 3, "gh[pousr]_[0-9A-Za-z]{36}", CHECKED.format(n=40, at=5))},
+{spans_sql("npm", 4, "npm_[0-9A-Za-z]{36}", CHECKED.format(n=40, at=5))},
+{spans_sql("card", 5, "[0-9]{16,}", LUHN)},
+s AS (SELECT * FROM assign UNION ALL SELECT * FROM access UNION ALL SELECT * FROM hex UNION ALL SELECT * FROM github UNION ALL SELECT * FROM npm UNION ALL SELECT * FROM card),
+w AS (SELECT doc_id, o, start, kind || ':' || start::BIGINT || ':' || stop::BIGINT AS span FROM s)
+SELECT d.doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access, count(*) FILTER (o = 2) AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY start, o) FILTER (o < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, o), '') AS spans
+FROM d LEFT JOIN w ON w.doc_id = d.doc_id GROUP BY d.doc_id
+""",
+)
 def op9_secrets_scan(spark: SparkSession, sf: str) -> DataFrame:
     out = secrets_scan.scan_secrets(_read(spark, sf, "documents"))
     base = secrets_scan.of_kinds(F.col("spans"), "assign", "access", "hex")
@@ -165,17 +214,6 @@ def _with_planted_period(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.when(F.col("n") > 0, text).otherwise(F.col("text")).alias("text"))
 
 
-# CRC-32 in SQL: the table of its 256 steps, and the checksum of a text's bytes by that table
-CRC_TABLE = """tab AS (SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)
-    ORDER BY i) AS steps FROM range(256) r(i))"""
-
-
-def crc_sql(text: str) -> str:
-    code = f"hex({text})"
-    read = f"list_transform(range(1, length({code}) // 2 + 1), lambda i: ('0x' || substr({code}, 2 * i - 1, 2))::BIGINT)"
-    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {read}), lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295)"
-
-
 @register(
     "op12_periodic_runs",
     rf"""
