@@ -25,6 +25,42 @@ SAMPLE = [
     "rollout_dump_round_trip",
     "queue_staleness",
     "sample_readiness_stream",
+    # one or two of every operator family that was rewritten
+    "adv_remax",
+    "adv_optimal_token_baseline_multi_turn",
+    "adv_teacher_guided_gae",
+    "adv_hybrid_normalised",
+    "adv_reinforce_baseline",
+    "kl_controller_trace",
+    "importance_weights_sequence",
+    "experiment_report",
+    "experiment_ranking",
+    "grade_answer",
+    "numbers_equal",
+    "normalise_maths",
+    "score_maths",
+    "score_answer_line",
+    "score_tool_use",
+    "score_batch_function",
+    "first_rows",
+    "random_rows",
+    "exact_split",
+    "padding_round_trip",
+    "collate_jagged",
+    "jagged_round_trip",
+    "partition_spread",
+    "partition_serpentine_equal",
+    "micro_batches",
+    "dataset_hook",
+    "sampler_hook",
+    "retry_prompts_feedback_only",
+    "retry_prompts_attempt_and_feedback",
+    "dense_top_k",
+    "passages_text",
+    "assembled_batches_stream",
+    "version_roll_up_stream",
+    "metric_windows_sliding_stream",
+    "metric_windows_session_stream",
 ]
 
 
