@@ -148,7 +148,7 @@ def _entries(text: Column) -> Column:
     value = without_separators(text)
     listed = F.rlike(value, F.lit(r"(?s)^[()\[\]][^()\[\]]+[()\[\]]\z"))
     inner = F.substr(value, F.lit(2), F.length(value) - 2)
-    return F.when(text == "", F.array().cast("array<string>")).when(listed, F.transform(F.split(inner, ","), F.trim)).otherwise(F.array(value))
+    return F.when(text == "", F.array().cast("array<string>")).when(listed, F.transform(F.split(inner, ","), lambda p: F.trim(p))).otherwise(F.array(value))
 
 
 def _alike(a: Column, b: Column) -> Column:

@@ -89,6 +89,9 @@ GRADED = [
     ("(1, 2]", "(1,2)", False),
     ("(1,2,3)", "(1,2)", False),
     ("(1,000, 2)", "(1000,2)", True),
+    ("(5,300, 5)", "(53,5)", False),
+    ("(0, 11)", "(0,11)", True),
+    ("( 100 , 11 )", "(100,11)", True),
     ("x", "2", False),
     ("X", "x", True),
     ("", "2", False),
