@@ -524,6 +524,23 @@ def truncation_severity(pairs: DataFrame, keys: Sequence[str], max_length: int)
     )
 
 
+# ---- staleness ---------------------------------------------------------------------------
+
+
+def staleness(samples: DataFrame, made: str, used: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Of logged samples with the parameter version that made them and the one that trained on them: per ``used``
+    version how many were consumed, how many of them were stale (at least one version old), the oldest one's
+    age, and the stale ones up to there. Samples that were not used are not counted."""
+    keys, age = list(keys), F.col(used) - F.col(made)
+    consumed = samples.filter(F.col(used).isNotNull() & F.col(made).isNotNull())
+    per = consumed.groupBy(*keys, used).agg(
+        F.count(F.lit(1)).alias("consumed"), F.count_if(age >= 1).alias("stale"), F.max(age).cast("long").alias("oldest")
+    )
+    # one row a version
+    placed = affine_scan(ranked(per, keys, [used], "__p"), keys, "__p", {"__sum": (F.lit(1.0), F.col("stale"), False)})
+    return placed.select(*keys, used, "consumed", "stale", "oldest", F.col("__sum").cast("long").alias("stale_total"))
+
+
 # ---- runs --------------------------------------------------------------------------------
 
 

@@ -414,6 +414,20 @@ register(
 )
 
 
+@register(
+    "version_staleness",
+    """WITH s AS (SELECT o_orderpriority AS trainer, CAST(12 * year(o_orderdate) + month(o_orderdate) AS BIGINT) AS made, CAST(12 * year(l_shipdate) + month(l_shipdate) AS BIGINT) AS used FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+ v AS (SELECT trainer, used, count(*) AS consumed, count(*) FILTER (used - made >= 1) AS stale, max(used - made) AS oldest FROM s GROUP BY 1, 2)
+ SELECT *, CAST(sum(stale) OVER (PARTITION BY trainer ORDER BY used) AS BIGINT) AS stale_total FROM v""",
+)
+def version_staleness(spark, sf):
+    """Line items as samples: the month of the order is the version that made one, that of the shipment the one that used it."""
+    month = lambda d: (12 * F.year(d) + F.month(d)).cast("long")
+    lines = V.table(spark, sf, "lineitem").join(V.table(spark, sf, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    samples = lines.select(F.col("o_orderpriority").alias("trainer"), month("o_orderdate").alias("made"), month("l_shipdate").alias("used"))
+    return M.staleness(samples, "made", "used", ["trainer"])
+
+
 def points(spark, sf):
     """Workers as experiments: the daily sum of each event type is a metric value."""
     return V.metric_log(spark, sf).groupBy(

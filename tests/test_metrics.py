@@ -171,3 +171,11 @@ def test_report_has_all_sections_and_says_what_is_missing(spark):
     assert [(r["line"], r["experiment"]) for r in report.filter("title = 'Ranking' AND place = 0").orderBy("line").collect()] == [(1, "b"), (2, "a")]
     lines = [r["text"] for r in R.report_lines(report).filter("section = 2").orderBy("line").collect()]
     assert lines == ["## 2. Consistency", "| experiment | mean | best_of | gap | consistency_pct |", "| a | N/A | N/A | N/A | N/A |", "| b | 0.2500 | 0.5000 | 0.2500 | 50.0 |"]
+
+
+def test_staleness_counts_versions_of_logged_samples(spark):
+    rows = [("a", 1, 1), ("a", 1, 2), ("a", 0, 2), ("a", 2, 2), ("a", 3, 5), ("b", 7, 7), ("a", None, 2), ("a", 4, None)]
+    df = spark.createDataFrame(rows, "q string, made long, used long")
+    got = sorted(map(tuple, M.staleness(df, "made", "used", ["q"]).collect()))
+    assert got == [("a", 1, 1, 0, 0, 0), ("a", 2, 3, 2, 2, 2), ("a", 5, 1, 1, 2, 3), ("b", 7, 1, 0, 0, 0)]
+    assert M.staleness(df.limit(0), "made", "used").count() == 0
