@@ -48,8 +48,22 @@ def _binomial(trials: int, hits: int, of: int) -> tuple[int, np.ndarray]:
     return low, total / total[-1]
 
 
+@lru_cache(maxsize=4096)
+def _binomial_rows(most: int, hits: int, of: int) -> np.ndarray:
+    """The distribution functions for 0 .. ``most`` trials, a row each."""
+    rows = np.full((most + 1, most + 1), 2.0)
+    for n in range(most + 1):
+        low, total = _binomial(n, hits, of)
+        rows[n, :low] = 0.0
+        rows[n, low : low + len(total) - 1] = total[:-1]
+    return rows
+
+
 def binomials(trials: np.ndarray, hits: int, of: int, u: np.ndarray) -> np.ndarray:
     """The smallest count whose distribution function exceeds ``u``, for each number of trials."""
+    most = int(trials.max(initial=0))
+    if most <= BESIDES:  # whole distributions are short: all trials at once
+        return (_binomial_rows(most, hits, of)[trials] <= u[:, None]).sum(axis=1)
     out = np.zeros(len(trials), np.int64)
     for n in np.unique(trials).tolist():
         some = trials == n

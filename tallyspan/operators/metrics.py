@@ -203,7 +203,7 @@ def best_of_metrics(vars_df: DataFrame) -> DataFrame:
 
 
 #: Draws of a subset size that are made together.
-DRAW_CHUNK = 500
+DRAW_CHUNK = 1_000
 
 
 def _won(shapes: DataFrame, draws: int, seed: int) -> DataFrame:
@@ -214,17 +214,19 @@ def _won(shapes: DataFrame, draws: int, seed: int) -> DataFrame:
     tasks = shapes.withColumn("k", F.explode(subset_sizes(n))).filter(F.col("k") > 2).select("*", steps)
     names = ["data_source", "uid", "counts", "k"]
     tasks = tasks.withColumn("text", F.concat_ws(":", F.lit(str(seed)), F.col("uid").cast("string"), F.col("k").cast("string")))
-    spread = tasks.repartition(F.col("text"), F.col("first"))
+    # little data but much work: as many tasks as a shuffle has, whatever their size in bytes
+    spread = tasks.repartition(int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text", "first")
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*[batch.column(c).to_pylist() for c in ("text", "counts", "k", "first")])
             at, found = [], []
             for i, (text, counts, k, first) in enumerate(rows):
-                pairs = np.stack(votes(text, counts, k, first, min(first + DRAW_CHUNK, draws + 1)), axis=1)
-                pairs, won = np.unique(pairs, axis=0, return_counts=True)
+                winner, member = votes(text, counts, k, first, min(first + DRAW_CHUNK, draws + 1))
+                width = max(counts)
+                pairs, won = np.unique(winner * width + member, return_counts=True)
                 at.append(np.full(len(pairs), i))
-                found.append(np.column_stack([pairs, won]))
+                found.append(np.column_stack([pairs // width, pairs % width, won]))
             if found:
                 at, found = pa.array(np.concatenate(at)), np.concatenate(found)
                 columns = [batch.column(c).take(at) for c in names] + [pa.array(found[:, 0] + 1), *[pa.array(found[:, i]) for i in (1, 2)]]

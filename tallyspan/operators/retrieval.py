@@ -3,7 +3,8 @@
 Dense: queries and vectors are dealt into blocks, every block of queries meets every block of vectors
 by the pair of block numbers, and a pair hands on k hits per query. Lexical: queries meet an inverted
 index word by word; documents that cannot reach a query's k-th score are never paired with it. Nothing
-passes through the driver and no job runs before the result is asked for.
+passes through the driver; the index and the queries' words, which are read several times, are written
+first.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.values import bound
-from tallyspan.spread import packed, ranked, top_k
+from tallyspan.spread import durable, packed, ranked, top_k
 
 #: Rows of a block: a pair of blocks is one task's product of two matrices.
 QUERY_BLOCK, VECTOR_BLOCK = 512, 8_192
@@ -73,7 +74,9 @@ def dense_top_k(vectors: DataFrame, queries: DataFrame, k: int, query_block: int
 
 WORD = r"[a-z0-9]+"
 #: Postings of a query's strongest words that are scored first, for a lower bound of its k-th score.
-PROBE = 20_000
+PROBE = 2_000
+#: Parts that the documents of a word are dealt over.
+SALTS = 16
 #: Score differences below this are rounding.
 _SLACK = 1e-6
 
@@ -82,6 +85,10 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
 
+def _salt() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+
+
 def inverted_index(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word, doc_id, tf, length``: every word of every document once. Words are counted inside the
     document's row, so nothing is shuffled. Write it as a table to search it often."""
@@ -117,41 +124,45 @@ def bm25_search(
     A word's largest term part times its weight bounds what it can add to a score. The strongest words of a
     query, about ``probe`` postings, give scores whose k-th is a floor. Weak words whose bounds sum to
     less than the floor cannot carry a document: only documents with another word of the query are paired
-    with it, and of those only the ones that can still reach the floor look up their weak words.
+    with it, and of those only the ones that can still reach the floor look up their weak words. The
+    documents of a word are dealt over ``SALTS`` parts, and a query's words go to each of them.
     """
     whole = totals.agg(F.struct(F.max("n").alias("n"), F.max("average").alias("average")).alias("t")).scalar()
     n, average = whole["n"], whole["average"]
     terms = queries.select("query_id", F.explode(words_of(F.col(text))).alias("word")).groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("times"))
     part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / average))
-    postings = index.join(terms.select("word").distinct(), "word", "left_semi").select("word", "doc_id", part.alias("part"))
+    postings = index.join(terms.select("word").distinct(), "word", "left_semi").select("word", "doc_id", part.alias("part"), _salt().alias("salt"))
     words = postings.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("part").alias("most"))
     weight = F.col("times") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = terms.join(words, "word").select("query_id", "word", "df", weight.alias("weight"), (weight * F.col("most")).alias("most"))
     own = Window.partitionBy("query_id")  # a query's words
     before = own.orderBy(F.desc("most"), "word").rowsBetween(Window.unboundedPreceding, -1)
     up_to = own.orderBy("most", F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
-    terms = terms.withColumn("seen", F.coalesce(F.sum("df").over(before), F.lit(0))).withColumn("weak", F.sum("most").over(up_to))
+    # the queries' words, with what the index knows of them, are used five times below
+    terms = durable(terms.withColumn("seen", F.coalesce(F.sum("df").over(before), F.lit(0))).withColumn("weak", F.sum("most").over(up_to)))
 
     def scores(of: DataFrame, *more: str) -> DataFrame:
         carried = [F.max(c).alias(c) for c in more]
-        return of.join(postings, "word").groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"), *carried)
+        dealt = of.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return dealt.join(postings, ["word", "salt"]).groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"), *carried)
 
     first = scores(terms.filter(F.col("seen") < max(probe, k)))
     floor = top_k(first, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank").filter(F.col("rank") == k)
     terms = terms.join(floor.select("query_id", (F.col("score") - _SLACK).alias("floor")), "query_id", "left").fillna({"floor": 0.0})
     strong = F.col("weak") >= F.col("floor")
     rest = F.max(F.when(~strong, F.col("weak")).otherwise(0.0)).over(own)
-    terms = terms.withColumn("strong", strong).withColumn("rest", rest)
+    terms = durable(terms.withColumn("strong", strong).withColumn("rest", rest))
     paired = scores(terms.filter("strong"), "rest", "floor").filter(F.col("score") + F.col("rest") >= F.col("floor"))
     asked = paired.select("query_id", "doc_id").join(terms.filter("NOT strong").select("query_id", "word", "weight"), "query_id")
-    added = asked.join(postings, ["word", "doc_id"]).select("query_id", "doc_id", (F.col("weight") * F.col("part")).alias("score"))
+    added = asked.withColumn("salt", _salt()).join(postings, ["word", "salt", "doc_id"]).select("query_id", "doc_id", (F.col("weight") * F.col("part")).alias("score"))
     summed = paired.select("query_id", "doc_id", "score").unionByName(added).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
     return top_k(summed.filter(F.col("score") > 0), ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")
 
 
 def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int, k1: float = 0.9, b: float = 0.4, text: str = "text", probe: int = PROBE) -> DataFrame:
-    """``bm25_search`` over an index made on the way."""
-    return bm25_search(inverted_index(docs, text), collection_totals(docs, text), queries, k, k1, b, text, probe)
+    """``bm25_search`` over an index that is written first, as any index is."""
+    index, totals = durable(inverted_index(docs, text)), durable(collection_totals(docs, text))
+    return bm25_search(index, totals, queries, k, k1, b, text, probe)
 
 
 def pooled(tokens: DataFrame, keys: Sequence[str], vector: str, mask: str | None = None, how: str = "mean") -> DataFrame:
