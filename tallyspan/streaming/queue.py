@@ -187,7 +187,8 @@ def stalls(
 def idle_ratios(stalled: DataFrame, queue: Sequence[str], seconds: str = "seconds") -> DataFrame:
     """Per version that paused: ``active`` time up to the first pause, ``total`` time to the next version, idle ratio.
 
-    The last version has no end and is left out.
+    The last version has no end and is left out. A version that ends in the second it began has the ratio of
+    floating point numbers: NaN, or an infinity where its first pause bears another second.
     """
     queue = list(queue)
     per = stalled.groupBy(*queue, "version").agg(
@@ -196,7 +197,9 @@ def idle_ratios(stalled: DataFrame, queue: Sequence[str], seconds: str = "second
     ends = per.select(*queue, (F.col("version") - 1).alias("version"), F.col("start").alias("end"))
     d = per.join(ends, [*queue, "version"]).filter("p IS NOT NULL")
     active, total = F.col("p.s") - F.col("start"), F.col("end") - F.col("start")
-    return d.select(*queue, "version", active.alias("active"), total.alias("total"), (1 - active / total).alias("idle_ratio"))
+    endless = F.when(active == 0, F.lit(float("nan"))).when(active > 0, F.lit(float("inf"))).otherwise(F.lit(float("-inf")))
+    share = F.when((total == 0) & active.isNotNull(), endless).otherwise(F.try_divide(active, total))
+    return d.select(*queue, "version", active.alias("active"), total.alias("total"), (1 - share).alias("idle_ratio"))
 
 
 def assemble(samples: DataFrame, queue: Sequence[str], order: str, require_batches: int, mini_batch: int) -> DataFrame:

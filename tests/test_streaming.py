@@ -120,3 +120,15 @@ def test_batches_are_assembled_across_triggers(spark, tmp_path):
     assert got == sorted(want, key=str)
     nothing = S.file_stream(spark, str(tmp_path / "part*")).filter("seq < 0")
     assert S.assembled(nothing, "q", "seq", 16).count() == 0
+
+
+def test_version_without_duration_has_a_ratio(spark):
+    """Versions that begin and end in one second: 1 - 0 / 0, 1 - 2 / 0 and 1 - -2 / 0, as in SQL, and no error."""
+    rows = [("a", 0, 1, 5.0, True), ("a", 1, 2, 5.0, True), ("a", 2, 3, 9.0, False), ("a", 2, 4, 10.0, True), ("a", 3, 5, 13.0, False)]
+    rows += [("b", 0, 1, 5.0, False), ("b", 0, 2, 7.0, True), ("b", 1, 3, 5.0, False), ("b", 1, 4, 3.0, True), ("b", 2, 5, 5.0, False)]
+    log = spark.createDataFrame(rows, "q string, version long, pos long, seconds double, paused boolean")
+    got = {(r["q"], r["version"]): (r["active"], r["total"], str(r["idle_ratio"])) for r in Q.idle_ratios(log, ["q"]).collect()}
+    assert got == {
+        ("a", 0): (0.0, 0.0, "nan"), ("a", 1): (0.0, 4.0, "1.0"), ("a", 2): (1.0, 4.0, "0.75"),
+        ("b", 0): (2.0, 0.0, "-inf"), ("b", 1): (-2.0, 0.0, "inf"),
+    }
