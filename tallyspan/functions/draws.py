@@ -1,6 +1,8 @@
-"""Seeded majority votes over class counts (a small helper inside ``mapInArrow``).
+"""Seeded majority votes (small helpers inside ``mapInArrow``).
 
-A vote takes k responses with replacement. How often each class is drawn follows a chain of binomials,
+``Ballots`` draws the k responses of every vote, slot by slot, for prompts that fit in one array.
+
+``votes`` gives votes of the same law from class counts alone. A vote takes k responses with replacement. How often each class is drawn follows a chain of binomials,
 class after class; among the classes drawn most often each is equally likely to be the one drawn first,
 and the response drawn first in a class is any of its members. So a draw needs one number in [0, 1) per
 class, whatever k is.
@@ -95,3 +97,77 @@ def votes(name: str, counts: list[int], k: int, first: int, last: int) -> tuple[
         nth = nth - top
     of_winner = np.array(counts)[winner]
     return winner, np.minimum((rest * of_winner).astype(np.int64), of_winner - 1)
+
+
+def sizes(n: int) -> list[int]:
+    """4, 8, ... below n, then n; nothing for two responses and less."""
+    return [] if n < 3 else [*(1 << j for j in range(2, n.bit_length()) if 1 << j < n), n]
+
+
+class Ballots:
+    """Votes over k members of a group, drawn with replacement by the numbers ``md5(seed:text:k:draw:slot)``.
+
+    The numbers of the last text are kept for its other groups while they are few, and so are its results."""
+
+    #: Numbers made together, and kept.
+    TOGETHER = 1 << 16
+
+    def __init__(self, seed: int, draws: int):
+        self.seed, self.draws = seed, draws
+        self.text: str | None = None
+        self.numbers: dict[int, np.ndarray] = {}
+        self.done: dict[tuple[int, bytes], np.ndarray] = {}
+        self.endings: dict[int, list[bytes]] = {}
+
+    def _numbers(self, text: str, k: int, first: int, last: int) -> np.ndarray:
+        """Numbers in [0, 1) of the draws first .. last - 1, a row each: 48 bits of a digest."""
+        whole = last - first == self.draws
+        if whole and k in self.numbers:
+            return self.numbers[k]
+        ends = self.endings.get(k) if whole else None
+        if ends is None:
+            ends = [b"%d:%d" % (draw, slot) for draw in range(first, last) for slot in range(1, k + 1)]
+            if whole and len(self.endings) < 32:
+                self.endings[k] = ends
+        start, digests = hashlib.md5(f"{self.seed}:{text}:{k}:".encode()), []
+        for end in ends:
+            h = start.copy()
+            h.update(end)
+            digests.append(h.digest())
+        heads = np.frombuffer(b"".join(digests), ">u8").reshape(-1, 2)[:, 0] >> np.uint64(16)
+        u = (heads.astype(np.float64) / float(1 << 48)).reshape(-1, k)
+        if whole:
+            self.numbers[k] = u
+        return u
+
+    def of(self, text: str, codes: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """For each k, how often each member gives the value of the vote. ``codes``: the members' classes from 0.
+        The most frequent class wins, among equals the one drawn first; its value is that of its first draw."""
+        if text != self.text:
+            self.text, self.numbers, self.done = text, {}, {}
+        n, classes, found = len(codes), int(codes.max(initial=0)) + 1, []
+        for k in sizes(n):
+            name = (k, codes.tobytes())
+            won = self.done.get(name)
+            if won is None:
+                won, step = np.zeros(n, np.int64), min(self.draws, max(1, self.TOGETHER // max(k, classes)))
+                for first in range(1, self.draws + 1, step):
+                    drawn = np.floor(self._numbers(text, k, first, min(first + step, self.draws + 1)) * n).astype(np.int64)
+                    cell = codes[drawn] + np.arange(len(drawn))[:, None] * classes
+                    often = np.bincount(cell.reshape(-1), minlength=len(drawn) * classes)[cell]
+                    # the first of the largest: a class drawn most often, by its first draw
+                    won += np.bincount(drawn[np.arange(len(drawn)), often.argmax(axis=1)], minlength=n)
+                if len(self.done) < 64:
+                    self.done[name] = won
+            found.append((k, won))
+        return found
+
+
+def moments(won: np.ndarray, value: np.ndarray, known: np.ndarray) -> tuple[float | None, float | None]:
+    """Mean and population std of the known values by how often they won."""
+    some = known & (won > 0)
+    if not some.any():
+        return None, None
+    w, v = won[some], value[some]
+    mean = float((w * v).sum() / w.sum())
+    return mean, float(np.sqrt((w * (v - mean) ** 2).sum() / w.sum()))

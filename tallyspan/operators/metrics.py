@@ -6,12 +6,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.functions.draws import votes
+from tallyspan.functions.draws import Ballots, moments
 from tallyspan.operators.masked import masked
-from tallyspan.spread import affine_scan, attach, quantiles, ranked
+from tallyspan.spread import SCAN_BLOCK, affine_scan, attach, hash_uniform, hot_groups, quantiles, ranked
 
 # ---- reduction of logged metrics ---------------------------------------------------------
 
@@ -202,51 +203,15 @@ def best_of_metrics(vars_df: DataFrame) -> DataFrame:
     return g.select(*keys, "n", F.inline(cells))
 
 
-#: Draws of a subset size that are made together.
-DRAW_CHUNK = 1_000
-
-
-def _won(shapes: DataFrame, draws: int, seed: int) -> DataFrame:
-    """``data_source, uid, counts, k, place, member, won``: how often a member of the class at ``place`` (from 1)
-    gives the value of the vote over k drawn responses. ``shapes``: one row per prompt and list of class counts."""
-    steps = F.explode(F.sequence(F.lit(1), F.lit(draws), F.lit(DRAW_CHUNK))).alias("first")
-    n = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
-    tasks = shapes.withColumn("k", F.explode(subset_sizes(n))).filter(F.col("k") > 2).select("*", steps)
-    names = ["data_source", "uid", "counts", "k"]
-    tasks = tasks.withColumn("text", F.concat_ws(":", F.lit(str(seed)), F.col("uid").cast("string"), F.col("k").cast("string")))
-    # little data but much work: as many tasks as a shuffle has, whatever their size in bytes
-    spread = tasks.repartition(int(shapes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text", "first")
-
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*[batch.column(c).to_pylist() for c in ("text", "counts", "k", "first")])
-            at, found = [], []
-            for i, (text, counts, k, first) in enumerate(rows):
-                winner, member = votes(text, counts, k, first, min(first + DRAW_CHUNK, draws + 1))
-                width = max(counts)
-                pairs, won = np.unique(winner * width + member, return_counts=True)
-                at.append(np.full(len(pairs), i))
-                found.append(np.column_stack([pairs // width, pairs % width, won]))
-            if found:
-                at, found = pa.array(np.concatenate(at)), np.concatenate(found)
-                columns = [batch.column(c).take(at) for c in names] + [pa.array(found[:, 0] + 1), *[pa.array(found[:, i]) for i in (1, 2)]]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "place", "member", "won"])
-
-    fields = ", ".join(f"{c} {t}" for c, t in spread.select(*names).dtypes)
-    made = spread.mapInArrow(vote, f"{fields}, place long, member long, won long")
-    return made.groupBy(*names, "place", "member").agg(F.sum("won").alias("won"))
-
-
-def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42) -> DataFrame:
+def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42, array_rows: int = SCAN_BLOCK) -> DataFrame:
     """Mean and population std of the majority-vote value over ``draws`` subsets of each size k.
 
-    A subset takes k responses with replacement. The vote goes to the most frequent ``pred``, among equals
-    to the one drawn first; its value is that of its first draw. For k = 2 the first draw always wins, so
-    the exact mean and std of the group are used.
+    A subset takes k responses with replacement by seeded md5 numbers. The vote goes to the most
+    frequent ``pred``, among equals to the one drawn first; its value is that of its first draw.
+    For k = 2 the first draw always wins, so the exact mean and std of the group are used.
 
-    Only how often each distinct ``pred`` is drawn matters: these counts are drawn class by class from
-    seeded numbers, and winners meet their values by class and place. A prompt's class counts are one
-    list; its responses never are.
+    A prompt of at most ``array_rows`` rows votes inside one array, so that its draws and slots
+    never become rows; the draws of a larger one are dealt over the cluster, slot by slot.
     """
     keys = ["data_source", "uid", "var"]
     sizes = vars_df.groupBy(*keys).agg(
@@ -254,19 +219,13 @@ def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42) -> D
     )
     exact = sizes.select(*keys, "n", F.explode(subset_sizes(F.col("n"))).alias("k"), "m", "s").filter(F.col("k") == 2)
     voters = vars_df.dropna(subset=keys)
-    classes = voters.groupBy(*keys, "pred").agg(F.count(F.lit(1)).alias("c"))
-    listed = classes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pred", "c"))).alias("l"))
-    listed = listed.select(*keys, F.transform("l", lambda x: x["c"]).alias("counts"), F.transform("l", lambda x: x["pred"]).alias("preds"))
-    # the numbers drawn do not depend on the variable
-    won = _won(listed.select("data_source", "uid", "counts").distinct(), draws, seed)
-    won = won.join(listed, ["data_source", "uid", "counts"])
-    won = won.select(*keys, "k", F.get("preds", (F.col("place") - 1).cast("int")).alias("won_pred"), "member", "won")
-    members = ranked(voters, [*keys, "pred"], ["sample_id"], "nth").select(*keys, "pred", (F.col("nth") - 1).alias("member"), "val")
-    valued = won.join(members, [*keys, "member"]).filter(F.col("pred").eqNullSafe(F.col("won_pred")) & F.col("val").isNotNull())
-    w, v = F.col("won"), F.col("val")
-    drawn = valued.groupBy(*keys, "k").agg(F.sum(w).alias("w"), F.sum(w * v).alias("wv"), F.sum(w * v * v).alias("wvv"))
-    drawn = drawn.select(*keys, "k", (F.col("wv") / F.col("w")).alias("m"), F.sqrt(F.greatest(F.col("wvv") / F.col("w") - F.pow(F.col("wv") / F.col("w"), 2), F.lit(0.0))).alias("s"))
-    drawn = drawn.join(sizes.select(*keys, "n"), keys).select(*keys, "n", "k", "m", "s")
+    large = hot_groups(voters, keys, array_rows)
+    if large.isEmpty():
+        drawn = _votes_in_arrays(voters, draws, seed)
+    else:
+        rest = voters.join(F.broadcast(large), keys, "left_anti")
+        many = voters.join(F.broadcast(large), keys, "left_semi")
+        drawn = _votes_in_arrays(rest, draws, seed).unionByName(_votes_by_slot(many, draws, seed))
     name = F.concat(F.lit("maj@"), F.col("k").cast("string"))
     cells = F.array(
         F.struct(F.concat(name, F.lit("/mean")).alias("metric"), F.col("m").alias("value")),
@@ -275,6 +234,59 @@ def majority_metrics(vars_df: DataFrame, draws: int = 1000, seed: int = 42) -> D
     return exact.unionByName(drawn).select(*keys, "n", F.inline(cells))
 
 
+def _votes_in_arrays(voters: DataFrame, draws: int, seed: int) -> DataFrame:
+    """``n, k, m, s`` of the drawn votes of prompts that fit in one array. The rows of a ``uid`` lie side by
+    side, as its numbers serve all its sources and variables."""
+    keys = ["data_source", "uid", "var"]
+    # little data but much work: as many tasks as a shuffle has, whatever their size in bytes
+    parts = int(voters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = voters.repartition(parts, "uid").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("sample_id", "pred", "val"))).alias("rows"))
+    lists = [F.col(f"rows.{c}").alias(c) for c in ("pred", "val")]
+    rows = rows.filter(F.size("rows") > 2).select(*keys, F.col("uid").cast("string").alias("text"), *lists).sortWithinPartitions("uid", "data_source")
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ballots = Ballots(seed, draws)
+        for batch in batches:
+            pred, val = batch.column("pred"), batch.column("val")
+            ends = np.cumsum(pc.list_value_length(pred).to_numpy(zero_copy_only=False)).tolist()
+            codes = pred.flatten().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            val = val.flatten()
+            known, value = val.is_valid().to_numpy(zero_copy_only=False), val.fill_null(0.0).to_numpy(zero_copy_only=False)
+            found: list[tuple] = []
+            for at, (text, a, b) in enumerate(zip(batch.column("text").to_pylist(), [0, *ends[:-1]], ends)):
+                for k, won in ballots.of(text, np.unique(codes[a:b], return_inverse=True)[1].reshape(-1)):
+                    found.append((at, b - a, k, *moments(won, value[a:b], known[a:b])))
+            at, *made = zip(*found) if found else [()] * 5
+            columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in keys]
+            columns += [pa.array(c, t) for c, t in zip(made, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "n", "k", "m", "s"])
+
+    fields = ", ".join(f"{c} {t}" for c, t in rows.select(*keys).dtypes)
+    return rows.mapInArrow(vote, f"{fields}, n long, k long, m double, s double")
+
+
+def _votes_by_slot(voters: DataFrame, draws: int, seed: int) -> DataFrame:
+    """The same for prompts of any size; every slot of a draw becomes a row."""
+    keys = ["data_source", "uid", "var"]
+    r = ranked(voters, keys, ["sample_id"], "__i").withColumn("__i", F.col("__i") - 1)
+    plan = voters.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    plan = plan.select(*keys, "n", F.explode(subset_sizes(F.col("n"))).alias("k")).filter(F.col("k") > 2)
+    # draws first, slots second: a large group is dealt over its draws before its slots are made
+    plan = plan.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws))))
+    parts = int(voters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plan = plan.repartition(parts, *keys, "k", "draw").withColumn("slot", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))))
+    u = hash_uniform(seed, "uid", "k", "draw", "slot")
+    plan = plan.withColumn("__i", F.floor(u * F.col("n")).cast("long"))
+    drawn = plan.join(r.select(*keys, "__i", "val", "pred"), [*keys, "__i"])
+    votes = drawn.groupBy(*keys, "n", "k", "draw", "pred").agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.struct("slot", "val")).alias("first")
+    )
+    won = votes.groupBy(*keys, "n", "k", "draw").agg(
+        F.max(F.struct("c", (-F.col("first.slot")).alias("early"), F.col("first.val").alias("val"))).alias("w")
+    )
+    return won.groupBy(*keys, "n", "k").agg(F.avg("w.val").alias("m"), F.stddev_pop("w.val").alias("s"))
+
+
 def majority_of_all(rows: DataFrame, val: str) -> DataFrame:
     """The vote over all responses of a prompt: most frequent ``pred``, ties to the lowest sample id."""
     votes = rows.groupBy("uid", "pred").agg(

@@ -90,6 +90,29 @@ def test_votes_of_a_large_prompt_cost_its_classes():
     assert small.tolist() == [0, 1, 1, 1, 2, 2, 2, 3]
 
 
+@pytest.mark.parametrize("array_rows", [0, 100])
+def test_every_vote_draws_its_responses(spark, array_rows):
+    """Slot by slot by the md5 numbers of the SQL, with four classes and one of them null; small and large prompts."""
+    import hashlib
+
+    groups = {"a": [("x", 1.0), ("y", 2.0), ("x", 4.0), (None, 8.0), ("z", 16.0), ("w", 32.0)], "b": [("x", 3.0), ("y", None), ("x", 7.0)]}
+    rows = [(s, u, i, p, "acc", v) for s in ("s", "t") for u, g in groups.items() for i, (p, v) in enumerate(g)]
+    df = spark.createDataFrame(rows, "data_source string, uid string, sample_id long, pred string, var string, val double")
+    got = {(r["data_source"], r["uid"], r["metric"]): r["value"] for r in M.majority_metrics(df, draws=200, array_rows=array_rows).collect()}
+    for (uid, g), k in [(x, k) for x in groups.items() for k in ((4, 6) if len(x[1]) == 6 else (3,))]:
+        values = []
+        for draw in range(1, 201):
+            heads = [hashlib.md5(f"42:{uid}:{k}:{draw}:{slot}".encode()).hexdigest()[:12] for slot in range(1, k + 1)]
+            drawn = [g[int(int(h, 16) / 16**12 * len(g))] for h in heads]
+            count = Counter(p for p, _ in drawn)
+            values.append(next(v for p, v in drawn if count[p] == max(count.values())))
+        values = [v for v in values if v is not None]
+        for source in "st":
+            assert got[source, uid, f"maj@{k}/mean"] == pytest.approx(np.mean(values))
+            assert got[source, uid, f"maj@{k}/std"] == pytest.approx(np.std(values))
+    assert len(got) == 2 * (3 * 2 + 2 * 2)
+
+
 def test_majority_query_makes_all_draws(spark, sf):
     whole = M.over_prompts(M.majority_metrics(metrics.validation_vars(spark, sf))).collect()
     got = {tuple(r)[:3]: r["value"] for r in entry.queries()["validation_majority"](spark, sf).collect()}
