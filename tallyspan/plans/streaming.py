@@ -56,7 +56,7 @@ register("queue_replay", f"{REPLAY} SELECT queue, seq, size_before, size_after,
 )
 register("queue_statistics", f"{REPLAY} {STATS}")(lambda spark, sf: Q.statistics(replayed(spark, sf), ["queue"]))
 register("queue_statistics_stream", f"{REPLAY} {STATS}")(
-    lambda spark, sf: S.run(S.queue_counters(as_queue_log(S.file_stream(spark, f"{sf}/events*.parquet")), "queue", CAP), "update", ["queue"])
+    lambda spark, sf: S.queue_counters(as_queue_log(S.file_stream(spark, f"{sf}/events*.parquet")), "queue", CAP)
 )
 FATES = """a AS (SELECT queue, seq, row_number() OVER (PARTITION BY queue ORDER BY seq) AS n FROM r WHERE op > 0), b AS (SELECT queue, seq, took, version, row_number() OVER (PARTITION BY queue ORDER BY seq) AS n FROM r WHERE dropped OR took),
  f AS (SELECT a.queue, a.seq AS put_seq, b.seq AS out_seq, CASE WHEN took THEN 'consumed' WHEN b.seq IS NOT NULL THEN 'dropped' ELSE 'queued' END AS fate, b.version FROM a LEFT JOIN b USING (queue, n))"""
@@ -105,7 +105,7 @@ READY = """WITH a AS (SELECT user_id || '/' || day(ts) AS sample_id, event_type
  SELECT sample_id, task, max(arrived) AS ready_seq FROM a JOIN n USING (field) JOIN k USING (task) GROUP BY sample_id, task, need HAVING count(*) = need"""
 register("sample_readiness", READY)(lambda spark, sf: Q.readiness(arrivals(V.table(spark, sf, "events")), "sample_id", TASKS))
 register("sample_readiness_stream", READY)(
-    lambda spark, sf: S.run(S.ready(arrivals(S.file_stream(spark, f"{sf}/events*.parquet")), "sample_id", TASKS))
+    lambda spark, sf: S.ready(arrivals(S.file_stream(spark, f"{sf}/events*.parquet")), "sample_id", TASKS)
 )
 
 

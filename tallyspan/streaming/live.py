@@ -6,22 +6,21 @@ executors: what a trigger adds, partial aggregates say, is written to a folder o
 trigger that is run again replaces, and a reader puts the parts together. Rows may then come in any
 order and in any number of files; what comes later than a watermark allows goes to a table of its own.
 
-Readiness and queue counters follow the events of a key one by one and keep a state; a key's events have
-to arrive in the order of ``seq`` from trigger to trigger, as a log does.
+Queue counters go on from the sizes that the trigger before left; a queue's events have to arrive in the
+order of ``seq`` from trigger to trigger, as a log does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyspan.operators.filters import drop_overlong
 from tallyspan.sources.sinks import shared_folder
 from tallyspan.spread import attach_table, ranked
+from tallyspan.streaming.queue import readiness, replay, statistics
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -52,40 +51,6 @@ def run(stream: DataFrame, mode: str = "append", keys: Sequence[str] = ()) -> Da
     return latest.select(*keys, "__r.*")
 
 
-def _ordered(parts: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
-    """The rows of one trigger in event order."""
-    return pd.concat(list(parts), ignore_index=True).sort_values(order, ignore_index=True)
-
-
-def queue_counters(events: DataFrame, queue: str, capacity: int) -> DataFrame:
-    """Counters of each bounded queue after every trigger (update mode): ``seq`` and ``op`` as in the batch replay."""
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        size, made, used, lost, empty = state.get if state.exists else (0, 0, 0, 0, 0)
-        for op in _ordered(parts, "seq")["op"]:
-            if op > 0:
-                made += 1
-                lost += size >= capacity
-                size = min(size + 1, capacity)
-            elif op < 0:
-                used += size > 0
-                empty += size == 0
-                size = max(size - 1, 0)
-        state.update((size, made, used, int(lost), int(empty)))
-        yield pd.DataFrame(
-            {queue: [key[0]], "produced": [made], "consumed": [used], "dropped": [int(lost)], "empty_gets": [int(empty)], "queue_size": [size]}
-        )
-
-    kind = events.schema[queue].dataType.simpleString()
-    return events.groupBy(queue).applyInPandasWithState(
-        step,
-        f"`{queue}` {kind}, produced long, consumed long, dropped long, empty_gets long, queue_size long",
-        "size long, made long, used long, lost long, empty long",
-        "update",
-        GroupStateTimeout.NoTimeout,
-    )
-
-
 #: What a trigger makes of its rows, its number and a reader of earlier triggers' tables: tables by name.
 Step = Callable[[DataFrame, int, Callable[[str], DataFrame]], dict[str, DataFrame]]
 
@@ -136,26 +101,33 @@ def assembled(samples: DataFrame, queue: str, order: str, size: int) -> DataFram
     return placed.select(queue, order, F.floor(F.col("at") / size).alias("train_batch"), (F.col("at") % size).alias("slot"))
 
 
+def queue_counters(events: DataFrame, queue: str, capacity: int) -> DataFrame:
+    """Counters of each bounded queue when the stream is drained: ``seq`` and ``op`` as in the batch replay.
+
+    A trigger replays its events block by block from the sizes at which the triggers before it left the
+    queues, and hands on its counters and sizes, a row for each of its queues.
+    """
+
+    def step(df: DataFrame, batch: int, earlier: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+        held = None if batch < 0 else earlier("counters").groupBy(queue).agg(F.max_by("queue_size", "__batch").alias("queue_size"))
+        return {"counters": statistics(replay(df.select(queue, "seq", "op"), [queue], capacity, held=held), [queue])}
+
+    counters = drain(events, step)["counters"]
+    sums = [F.sum(c).alias(c) for c in ("produced", "consumed", "dropped", "empty_gets")]
+    return counters.groupBy(queue).agg(*sums, F.max_by("queue_size", "__batch").alias("queue_size"))
+
+
 def ready(arrivals: DataFrame, sample: str, tasks: dict[str, Sequence[str]]) -> DataFrame:
-    """``task`` per sample once all its fields have arrived, each pair once."""
-    needs = {t: frozenset(fs) for t, fs in tasks.items()}
-
-    def step(key, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        have, told = (set(x) for x in state.get) if state.exists else (set(), set())
-        out = []
-        rows = _ordered(parts, "seq")
-        for seq, field in zip(rows["seq"], rows["field"], strict=True):
-            have.add(field)
-            new = sorted(t for t, fs in needs.items() if t not in told and field in fs and fs <= have)
-            told.update(new)
-            out += [(key[0], t, seq) for t in new]
-        state.update((sorted(have), sorted(told)))
-        yield pd.DataFrame(out, columns=[sample, "task", "ready_seq"])
-
-    kind = arrivals.schema[sample].dataType.simpleString()
-    return arrivals.groupBy(sample).applyInPandasWithState(
-        step, f"`{sample}` {kind}, task string, ready_seq long", "have array<string>, told array<string>", "append", GroupStateTimeout.NoTimeout
-    )
+    """``task, ready_seq`` per sample once all its fields have arrived, each pair once.
+
+    A trigger hands on when each of the fields that a task needs came first; nothing is kept in memory.
+    """
+    needed = sorted({f for fields in tasks.values() for f in fields})
+
+    def step(df: DataFrame, batch: int, earlier: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+        return {"first": df.filter(F.col("field").isin(needed)).groupBy(sample, "field").agg(F.min("seq").alias("seq"))}
+
+    return readiness(drain(arrivals, step)["first"], sample, tasks)
 
 
 def _version_parts(log: DataFrame) -> DataFrame:

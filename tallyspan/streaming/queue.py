@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyspan.spread import SCAN_BLOCK, affine_scan, durable, has_long_groups, packed, ranked
+from tallyspan.spread import SCAN_BLOCK, affine_scan, attach_table, durable, has_long_groups, packed, ranked
 
 _MAP = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "lo", "hi")])
 
@@ -39,15 +39,15 @@ def _summary(capacity: int):
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))
-def _starts(a: pd.Series, lo: pd.Series, hi: pd.Series) -> pd.Series:
-    def one(a_s, lo_s, hi_s):
-        size, found = 0, []
+def _starts(a: pd.Series, lo: pd.Series, hi: pd.Series, held: pd.Series) -> pd.Series:
+    def one(a_s, lo_s, hi_s, size):
+        found = []
         for x, low, high in zip(a_s, lo_s, hi_s, strict=True):
             found.append(size)
             size = min(max(size + x, low), high)
         return found
 
-    return pd.Series([one(*row) for row in zip(a, lo, hi, strict=True)])
+    return pd.Series([one(*row) for row in zip(a, lo, hi, held.astype(int), strict=True)])
 
 
 def _replay(capacity: int):
@@ -65,8 +65,11 @@ def _replay(capacity: int):
     return run
 
 
-def replay(log: DataFrame, queue: Sequence[str], capacity: int, block: int = SCAN_BLOCK) -> DataFrame:
-    """Add ``pos`` and the queue size before and after each event, and whether it dropped or took a sample."""
+def replay(log: DataFrame, queue: Sequence[str], capacity: int, block: int = SCAN_BLOCK, held: DataFrame | None = None) -> DataFrame:
+    """Add ``pos`` and the queue size before and after each event, and whether it dropped or took a sample.
+
+    Queues begin empty, or with the size in ``held`` (``queue_size``, at most one row a queue).
+    """
     queue = list(queue)
     r = ranked(log, queue, ["seq"], "pos")
     carried = [c for c in r.columns if c not in queue and c != "pos"]
@@ -75,13 +78,14 @@ def replay(log: DataFrame, queue: Sequence[str], capacity: int, block: int = SCA
     if has_long_groups(log, queue, block):
         blocks = durable(blocks)  # read twice below
         heads = blocks.select(*queue, "page", _summary(capacity)("__ops").alias("m"))
-        chain = heads.groupBy(*queue).agg(F.array_sort(F.collect_list(F.struct("page", "m"))).alias("l"))
+        chain = _with_held(heads.groupBy(*queue).agg(F.array_sort(F.collect_list(F.struct("page", "m"))).alias("l")), queue, held)
         parts = [_pick(n) for n in ("a", "lo", "hi")]
-        chain = chain.select(*queue, F.transform("l", lambda x: x["page"]).alias("page"), _starts(*parts).alias("start"))
-        starts = chain.select(*queue, F.inline(F.arrays_zip("page", "start")))
-        blocks = blocks.join(starts, [*queue, "page"])
+        chain = chain.select(*queue, F.transform("l", lambda x: x["page"]).alias("__page"), _starts(*parts, "__held").alias("start"))
+        starts = chain.select(*[F.col(k).alias("__k_" + k) for k in queue], F.inline(F.arrays_zip("__page", "start")))
+        same = [blocks[k].eqNullSafe(starts["__k_" + k]) for k in queue]
+        blocks = blocks.join(starts, [*same, blocks["page"] == starts["__page"]])
     else:
-        blocks = blocks.withColumn("start", F.lit(0).cast("long"))
+        blocks = _with_held(blocks, queue, held).withColumnRenamed("__held", "start")
     blocks = blocks.withColumn("__before", _replay(capacity)("__ops", "start"))
     z = blocks.select(*queue, F.explode(F.arrays_zip("__rows", "__before")).alias("z"))
     d = z.select(
@@ -95,6 +99,14 @@ def replay(log: DataFrame, queue: Sequence[str], capacity: int, block: int = SCA
     )
 
 
+def _with_held(df: DataFrame, queue: list[str], held: DataFrame | None) -> DataFrame:
+    """Add ``__held``, the size at which a queue begins."""
+    if held is None:
+        return df.withColumn("__held", F.lit(0).cast("long"))
+    d = attach_table(df, queue, held, ["queue_size"])
+    return d.withColumn("__held", F.coalesce("queue_size", F.lit(0)).cast("long")).drop("queue_size")
+
+
 def _pick(name: str):
     return F.transform("l", lambda x: x["m"][name])
 

@@ -4,6 +4,7 @@ import random
 from collections import deque
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspan.streaming import queue as Q
 
@@ -132,3 +133,45 @@ def test_version_without_duration_has_a_ratio(spark):
         ("a", 0): (0.0, 0.0, "nan"), ("a", 1): (0.0, 4.0, "1.0"), ("a", 2): (1.0, 4.0, "0.75"),
         ("b", 0): (2.0, 0.0, "-inf"), ("b", 1): (-2.0, 0.0, "inf"),
     }
+
+
+def test_queues_and_readiness_go_on_from_trigger_to_trigger(spark, tmp_path):
+    """Several files, one a trigger, with a queue without name; no operator keeps a state in memory."""
+    import os
+    import time
+
+    from tallyspan.streaming import live as S
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["a", "a", None]), i, rng.choice([1, 1, 1, -1, -1, 0]), rng.choice("xyz")) for i in range(400)]
+    log = spark.createDataFrame(rows, "q string, seq long, op long, field string")
+    for part in range(4):
+        folder = tmp_path / "parts" / str(part)
+        log.filter(f"seq >= {100 * part} and seq < {100 * part + 100}").coalesce(1).write.parquet(str(folder))
+        (name,) = folder.glob("part*")
+        os.utime(name, (time.time() - 100 + part,) * 2)
+    stream = S.file_stream(spark, str(tmp_path / "parts" / "*" / "part*"))
+    got = {r["q"]: tuple(r)[1:] for r in S.queue_counters(stream, "q", 5).collect()}
+    for q in ("a", None):
+        fate, sizes = fifo([op for name, _, op, _ in rows if name == q], 5)
+        kinds = [k for k, _ in fate.values()]
+        gets = sum(op < 0 for name, _, op, _ in rows if name == q)
+        consumed = kinds.count("consumed")
+        assert got[q] == (len(kinds), consumed, kinds.count("dropped"), gets - consumed, sizes[-1])
+    tasks = {"one": ["x"], "two": ["x", "y"], "none": ["x", "w"]}
+    found = S.ready(stream.withColumnRenamed("q", "s"), "s", tasks)
+    assert not any("State" in line for line in found._jdf.queryExecution().toString().splitlines())
+    first = {(q, f): min(i for name, i, _, g in rows if (name, g) == (q, f)) for q in ("a", None) for f in "xy"}
+    want = [(q, "one", first[q, "x"]) for q in ("a", None)] + [(q, "two", max(first[q, "x"], first[q, "y"])) for q in ("a", None)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_long_queues_begin_with_what_they_hold(spark):
+    ops = [random.Random(3).choice([1, -1]) for _ in range(50)]
+    ops += [1, 1, -1, -1, -1, 1] * 8
+    log = spark.createDataFrame([(q, i, o) for q in ("a", None) for i, o in enumerate(ops)], "q string, seq long, op long")
+    held = spark.createDataFrame([("a", 3), (None, 2)], "q string, queue_size long")
+    for block in (7, 10_000):
+        got = {q: [r["size_after"] for r in Q.replay(log, ["q"], 4, block=block, held=held).filter(F.col("q").eqNullSafe(q)).orderBy("seq").collect()] for q in ("a", None)}
+        for q, size in (("a", 3), (None, 2)):
+            assert got[q] == fifo([1] * size + ops, 4)[1][size:]
