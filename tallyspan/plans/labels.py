@@ -12,8 +12,8 @@ from tallyspan.sources.views import with_views
 K = range(1, 5)
 
 
-def vocab(spark, sf):
-    return V.vocab_tokens(spark, sf).withColumn("teacher_logp", F.col("t1")).withColumn("student_logp", F.col("s1"))
+def vocab(spark, sf, stepped=False):
+    return V.vocab_tokens(spark, sf, stepped).withColumn("teacher_logp", F.col("t1")).withColumn("student_logp", F.col("s1"))
 
 
 def plus(form):
@@ -117,7 +117,7 @@ for _name, _form in (("teacher_seq_log_prob", "x"), ("teacher_sentence_prob", "e
 
 
 def stepped(spark, sf):
-    return vocab(spark, sf).join(V.rollouts(spark, sf).select("sample_id", "step"), "sample_id")
+    return vocab(spark, sf, stepped=True)
 
 
 ENTROPY = f"""h AS (SELECT v.*, step, -{plus('exp({t}) * {t}')} AS h, -{plus('exp({s}) * {s}')} AS hs FROM vocab_tokens v JOIN rollouts USING (sample_id))"""

@@ -66,9 +66,17 @@ def vocab_columns(k: int = 4) -> list:
     return cols
 
 
-def vocab_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    """Tokens with the arrays ``student_topk`` and ``teacher_topk``; entry 1 is the sampled token."""
-    items = table(spark, sf, "lineitem").select(*_token_columns(), *vocab_columns())
+def vocab_tokens(spark: SparkSession, sf: str, stepped: bool = False) -> DataFrame:
+    """Tokens with the arrays ``student_topk`` and ``teacher_topk``; entry 1 is the sampled token.
+
+    With ``stepped``, those of known responses with their ``step``, joined before the log-probs are made of a
+    few short columns: these, not the arrays, are what is shuffled.
+    """
+    lines, more = table(spark, sf, "lineitem"), []
+    if stepped:
+        steps = rollouts(spark, sf).select("sample_id", "step")
+        lines, more = lines.join(steps, F.col("l_orderkey") == F.col("sample_id")).drop("sample_id"), ["step"]
+    items = lines.select(*_token_columns(), *more, *vocab_columns())
     pick = lambda p: F.array(*[F.col(f"{p}{i}") for i in range(1, 5)])
     return items.withColumn("student_topk", pick("s")).withColumn("teacher_topk", pick("t"))
 

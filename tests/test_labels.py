@@ -35,3 +35,14 @@ def test_clean_teacher_of_any_length(spark):
         assert got[i]["clean_topk"] == alone["clean_topk"] and len(got[i]["clean_topk"]) == i + 2
         assert got[i]["h_clean"] == alone["h_clean"]
     assert L.clean_teacher(frame(spark).limit(0)).count() == 0
+
+
+def test_tokens_meet_their_step_before_they_have_log_probs(spark, sf):
+    """What is shuffled by the join are a token's few numbers, not its arrays of log-probs."""
+    from tallyspan.operators import labels
+    from tallyspan.plans.labels import stepped
+
+    for version in ("v4", "v5"):
+        plan = labels.confidence_weights(stepped(spark, sf), version).select("sample_id", "tag", "weight")._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.rindex("Join Inner") :].lower()
+        assert "topk" not in below and "ln(" not in below and "array(" not in below
