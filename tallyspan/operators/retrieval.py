@@ -3,8 +3,8 @@
 Dense: queries and vectors are dealt into blocks, every block of queries meets every block of vectors
 by the pair of block numbers, and a pair hands on k hits per query. Lexical: queries meet an inverted
 index word by word; documents that cannot reach a query's k-th score are never paired with it. Nothing
-passes through the driver; the index and the queries' words, which are read several times, are written
-first.
+passes through the driver but the words of few queries, at most FEW_WORDS; the index and the queries' words,
+which are read several times, are written first.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspan.functions.values import bound
-from tallyspan.spread import durable, packed, ranked, top_k
+from tallyspan.spread import attach_table, packed, ranked, stored, top_k
 
 #: Rows of a block: a pair of blocks is one task's product of two matrices.
 QUERY_BLOCK, VECTOR_BLOCK = 512, 8_192
@@ -77,6 +77,10 @@ WORD = r"[a-z0-9]+"
 PROBE = 2_000
 #: Parts that the documents of a word are dealt over.
 SALTS = 16
+#: Rows of words that are broadcast to the postings; more meet them by a shuffle.
+FEW_WORDS = 100_000
+#: Share of a query's floor that the bounds of its weak words may sum to.
+WEAK_SHARE = 0.25
 #: Score differences below this are rounding.
 _SLACK = 1e-6
 
@@ -85,6 +89,11 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
 
+def _sent(words: DataFrame) -> DataFrame:
+    """Words of queries on their way to the postings; ``words`` is stored, so that it is counted by its footers."""
+    return F.broadcast(words) if words.count() <= FEW_WORDS else words.hint("merge")
+
+
 def _salt() -> Column:
     return F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
 
@@ -108,9 +117,13 @@ def inverted_index(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def collection_totals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row: ``n`` documents, ``average`` words of one."""
+    """One row: ``n`` documents, ``average`` words of one, ``copies`` rows of one id at most."""
     words = F.sum(F.size(words_of(F.coalesce(F.col(text), F.lit("")))))
-    return docs.agg(F.count(F.lit(1)).alias("n"), (F.coalesce(words, F.lit(0)) / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("average"))
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), words.alias("words"))
+    n = F.coalesce(F.sum("copies"), F.lit(0).cast("long"))
+    average = F.coalesce(F.sum("words"), F.lit(0)) / F.greatest(n, F.lit(1))
+    copies = F.coalesce(F.max(F.when(F.col("doc_id").isNotNull(), F.col("copies"))), F.lit(1).cast("long"))
+    return ids.agg(n.alias("n"), average.alias("average"), copies.alias("copies"))
 
 
 def bm25_search(
@@ -123,11 +136,14 @@ def bm25_search(
 
     A word's largest term part times its weight bounds what it can add to a score. The strongest words of a
     query, about ``probe`` postings, give scores whose k-th is a floor. Weak words whose bounds sum to
-    less than the floor cannot carry a document: only documents with another word of the query are paired
-    with it, and of those only the ones that can still reach the floor look up their weak words. The
-    documents of a word are dealt over ``SALTS`` parts, and a query's words go to each of them.
+    less than a share of the floor cannot carry a document: only documents with another word of the query are
+    paired with it, and of those only the few that can still reach the floor look up their weak words. The
+    words of few queries are broadcast, so that postings are not shuffled; else the documents of a word are
+    dealt over ``SALTS`` parts, and a query's words go to each of them.
     """
-    whole = totals.agg(F.struct(F.max("n").alias("n"), F.max("average").alias("average")).alias("t")).scalar()
+    # an id that comes several times has the sum of its rows
+    copies = F.max("copies") if "copies" in totals.columns else F.lit(1)
+    whole = totals.agg(F.struct(F.max("n").alias("n"), F.max("average").alias("average"), copies.alias("copies")).alias("t")).scalar()
     n, average = whole["n"], whole["average"]
     terms = queries.select("query_id", F.explode(words_of(F.col(text))).alias("word")).groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("times"))
     part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / average))
@@ -139,29 +155,42 @@ def bm25_search(
     before = own.orderBy(F.desc("most"), "word").rowsBetween(Window.unboundedPreceding, -1)
     up_to = own.orderBy("most", F.desc("word")).rowsBetween(Window.unboundedPreceding, 0)
     # the queries' words, with what the index knows of them, are used five times below
-    terms = durable(terms.withColumn("seen", F.coalesce(F.sum("df").over(before), F.lit(0))).withColumn("weak", F.sum("most").over(up_to)))
-
-    def scores(of: DataFrame, *more: str) -> DataFrame:
-        carried = [F.max(c).alias(c) for c in more]
-        dealt = of.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        return dealt.join(postings, ["word", "salt"]).groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"), *carried)
+    terms = stored(terms.withColumn("seen", F.coalesce(F.sum("df").over(before), F.lit(0))).withColumn("weak", F.sum("most").over(up_to)))
+    few = terms.count() <= FEW_WORDS
+
+    def scores(of: DataFrame) -> DataFrame:
+        asked = of.select("query_id", "word", "weight")
+        if few:
+            met = postings.join(F.broadcast(asked), "word")
+        else:
+            dealt = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            met = dealt.hint("merge").join(postings, ["word", "salt"])
+        return met.groupBy("query_id", "doc_id").agg(F.sum(F.col("weight") * F.col("part")).alias("score"))
 
     first = scores(terms.filter(F.col("seen") < max(probe, k)))
     floor = top_k(first, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank").filter(F.col("rank") == k)
     terms = terms.join(floor.select("query_id", (F.col("score") - _SLACK).alias("floor")), "query_id", "left").fillna({"floor": 0.0})
-    strong = F.col("weak") >= F.col("floor")
+    # the bounds are those of one row: where ids repeat, weak words are as many as the floor allows
+    strong = F.col("weak") >= F.col("floor") * F.when(whole["copies"] == 1, WEAK_SHARE).otherwise(1.0)
     rest = F.max(F.when(~strong, F.col("weak")).otherwise(0.0)).over(own)
-    terms = durable(terms.withColumn("strong", strong).withColumn("rest", rest))
-    paired = scores(terms.filter("strong"), "rest", "floor").filter(F.col("score") + F.col("rest") >= F.col("floor"))
-    asked = paired.select("query_id", "doc_id").join(terms.filter("NOT strong").select("query_id", "word", "weight"), "query_id")
-    added = asked.withColumn("salt", _salt()).join(postings, ["word", "salt", "doc_id"]).select("query_id", "doc_id", (F.col("weight") * F.col("part")).alias("score"))
-    summed = paired.select("query_id", "doc_id", "score").unionByName(added).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
+    terms = stored(terms.withColumn("strong", strong).withColumn("rest", rest))
+    reach = terms.filter("strong").groupBy("query_id").agg(F.max("rest").alias("rest"), F.max("floor").alias("floor"))
+    able = scores(terms.filter("strong")).join(stored(reach), "query_id").filter(F.col("score") + F.col("rest") >= F.col("floor"))
+    able = stored(able.select("query_id", "doc_id", "score", "rest"))
+    # the k-th of these scores, which may still grow, is a better floor, and leaves few documents
+    best = top_k(able, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank").filter(F.col("rank") == k)
+    best = stored(best.select("query_id", F.col("score").alias("best")))
+    near = F.col("score") + F.col("rest") * whole["copies"] >= F.coalesce(F.col("best") - _SLACK, F.lit(0.0))
+    paired = stored(able.join(best, "query_id", "left").filter(near).select("query_id", "doc_id", "score"))
+    asked = stored(paired.select("query_id", "doc_id").join(terms.filter("NOT strong").select("query_id", "word", "weight"), "query_id"))
+    added = postings.drop("salt").join(_sent(asked), ["word", "doc_id"]).select("query_id", "doc_id", (F.col("weight") * F.col("part")).alias("score"))
+    summed = paired.unionByName(added).groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 9).alias("score"))
     return top_k(summed.filter(F.col("score") > 0), ["query_id"], [F.desc("score"), F.asc("doc_id")], k, "rank")
 
 
 def bm25_top_k(docs: DataFrame, queries: DataFrame, k: int, k1: float = 0.9, b: float = 0.4, text: str = "text", probe: int = PROBE) -> DataFrame:
     """``bm25_search`` over an index that is written first, as any index is."""
-    index, totals = durable(inverted_index(docs, text)), durable(collection_totals(docs, text))
+    index, totals = stored(inverted_index(docs, text)), stored(collection_totals(docs, text))
     return bm25_search(index, totals, queries, k, k1, b, text, probe)
 
 

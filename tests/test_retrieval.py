@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspan.operators import retrieval as R
+from tallyspan.spread import hash_order, ranked
 
 
 def vectors(spark, rows, name):
@@ -106,3 +107,15 @@ def test_index_counts_words_in_place(spark):
     assert (totals["n"], totals["average"]) == (4, 7 / 4)
     assert "Exchange" not in R.inverted_index(table)._jdf.queryExecution().executedPlan().toString()
     assert R.bm25_top_k(table.limit(0), table.select(F.col("doc_id").alias("query_id"), "text"), 3).count() == 0
+
+
+def test_postings_are_not_shuffled_for_few_words(spark, monkeypatch):
+    docs, queries = corpus()
+    table, asked = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(queries, "query_id long, text string")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    few = R.bm25_top_k(table, asked, 5, probe=1)
+    assert "SortMergeJoin" not in plan(few)
+    monkeypatch.setattr(R, "FEW_WORDS", 0)
+    many = R.bm25_top_k(table, asked, 5, probe=1)
+    assert "SortMergeJoin" in plan(many)
+    assert hits(few) == hits(many)
