@@ -253,21 +253,80 @@ def sorted_steps(dump: DataFrame) -> DataFrame:
 def covariance(tokens: DataFrame, batch: Sequence[str]) -> DataFrame:
     """Add ``cov`` = (advantage - mean) * (log-prob - mean) with the masked means of the batch; null outside the mask."""
     from tallyspan.operators.masked import masked, masked_average
-    from tallyspan.spread import attach
 
-    m = F.col("mask")
-    d = attach(tokens, list(batch), __a=masked_average(F.col("adv"), m), __l=masked_average(F.col("old_logp"), m), __n=F.sum(m))
+    m, batch = F.col("mask"), list(batch)
+    means = {"__a": masked_average(F.col("adv"), m), "__l": masked_average(F.col("old_logp"), m), "__valid": F.sum(m)}
+    # a row per batch, stored: tokens are not shuffled to meet it
+    stats = stored(tokens.groupBy(*batch).agg(*[c.alias(n) for n, c in means.items()]))
+    d = attach_table(tokens, batch, stats, list(means))
     cov = masked((F.col("adv") - F.col("__a")) * (F.col("old_logp") - F.col("__l")), m)
-    return d.withColumn("cov", cov).withColumn("__valid", F.col("__n")).drop("__a", "__l", "__n")
+    return d.withColumn("cov", cov).drop("__a", "__l")
+
+
+#: Levels of the search for the last token chosen, and buckets of a level.
+CUT_LEVELS, CUT_BUCKETS = 3, 4_096
+
+
+def _place(number: Column, low: Column, high: Column) -> Column:
+    """The bucket of a number between ends; a column of one value has one bucket."""
+    share = (number / 2 - low / 2) / F.greatest(high / 2 - low / 2, F.lit(1e-300))
+    return F.floor(F.least(share, F.lit(1.0)) * (CUT_BUCKETS - 1)).cast("long")
+
+
+def _first_of_batch(
+    d: DataFrame, batch: Sequence[str], number: Column, order: Sequence[str], many: Column, between: tuple[float, float] | None = None
+) -> DataFrame:
+    """Add ``selected`` to the tokens whose mask is known: is it among the first ``many`` of the batch inside the
+    mask, by ``order``? ``number`` never falls where ``order`` rises, and lies ``between`` two known ends or any.
+
+    Histograms, level by level, find the bucket that holds the last chosen token of a batch; only that bucket is
+    kept, at last ranked, and every token compares itself with that last one.
+    """
+    batch, order = list(batch), list(order)
+    # nulls come first, not-a-numbers last
+    number = F.when(F.isnan(number), 8e307).otherwise(F.greatest(F.least(F.coalesce(number, F.lit(-8e307)), F.lit(8e307)), F.lit(-8e307)))
+    live = d.filter(F.col("mask") != 0).select(*batch, *order, number.alias("__x"), many.cast("long").alias("__rest"))
+    place = None
+    for _ in range(CUT_LEVELS):
+        if place is None and between:
+            placed = live.withColumn("__b", _place(F.col("__x"), *map(F.lit, between)))
+        else:
+            ends = stored(live.groupBy(*batch).agg(F.min("__x").alias("__low"), F.max("__x").alias("__high")))
+            placed = attach_table(live, batch, ends, ["__low", "__high"])
+            placed = placed.withColumn("__b", _place(F.col("__x"), F.col("__low"), F.col("__high"))).drop("__low", "__high")
+        place = placed.groupBy(*batch, "__b").agg(F.count(F.lit(1)).alias("__n"), F.first("__rest").alias("__left"))
+        # at most CUT_BUCKETS rows of a batch
+        up_to = F.sum("__n").over(Window.partitionBy(*batch).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0))
+        place = place.withColumn("__to", up_to).filter(F.col("__to").between(F.col("__left"), F.col("__left") + F.col("__n") - 1))
+        # a batch that has fewer tokens than are asked for has no such bucket, and all of them are chosen
+        place = stored(place.select(*batch, F.col("__b").alias("__at"), (F.col("__left") - F.col("__to") + F.col("__n")).alias("__left")))
+        inside = attach_table(placed, batch, place, ["__at", "__left"]).filter(F.col("__b") == F.col("__at"))
+        live = edge = stored(inside.select(*batch, *order, "__x", F.col("__left").alias("__rest")))
+    key = F.struct(*[F.col(c) for c in order])
+    last = ranked(edge, batch, order, "__r").filter(F.col("__r") == F.col("__rest")).select(*batch, key.alias("__cut"), "__rest")
+    last = stored(last)
+    near = attach_table(edge.drop("__x", "__rest"), batch, last, ["__cut", "__rest"])
+    at = near.groupBy(*batch).agg(F.count(F.when(key < F.col("__cut"), 1)).alias("__under"), F.count(F.when(key == F.col("__cut"), 1)).alias("__same"))
+    cuts = stored(attach_table(last, batch, at, ["__under", "__same"]).withColumn("__room", F.col("__rest") - F.col("__under")))
+    d = attach_table(d, batch, cuts, ["__cut", "__room", "__same"])
+    masked_out, first = F.col("mask") == 0, F.coalesce(key <= F.col("__cut"), F.lit(True))
+    known = d.filter(F.col("mask").isNotNull())
+    if cuts.filter(F.col("__same") > F.col("__room")).isEmpty():
+        found = known.withColumn("selected", ~masked_out & first)
+    else:
+        # tokens that are alike in all of the order share the last places
+        tied = ~masked_out & F.coalesce((key == F.col("__cut")) & (F.col("__same") > F.col("__room")), F.lit(False))
+        some = ranked(known.filter(tied), batch, order, "__r")
+        some = some.withColumn("selected", F.col("__r") <= F.col("__room")).drop("__r")
+        found = known.filter(~tied).withColumn("selected", ~masked_out & first).unionByName(some)
+    return found.drop("__cut", "__room", "__same")
 
 
 def top_covariance_tokens(tokens: DataFrame, batch: Sequence[str], ratio: float, tie: Sequence[str]) -> DataFrame:
     """Add ``selected`` for the tokens with the largest covariance: a share ``ratio`` of the valid ones, one at least."""
     d = covariance(tokens, batch).withColumn("__o", -F.col("cov"))
-    live = ranked(d.filter(F.col("mask") != 0), list(batch), ["__o", *tie], "__r")
     many = F.greatest(F.floor(F.col("__valid") * ratio), F.lit(1))
-    live = live.withColumn("selected", F.col("__r") <= many)
-    return _rejoined(live, d)
+    return _first_of_batch(d, batch, F.col("__o"), ["__o", *tie], many).drop("__o", "__valid")
 
 
 def random_covariance_tokens(
@@ -279,12 +338,8 @@ def random_covariance_tokens(
     d = covariance(tokens, batch)
     inside = (F.col("cov") > low) & (F.col("cov") < high)
     d = d.withColumn("__o", F.concat(F.when(inside, F.lit("0")).otherwise(F.lit("1")), hash_order(seed, *tie)))
-    live = ranked(d.filter(F.col("mask") != 0), list(batch), ["__o", *tie], "__r")
     many = F.greatest(F.floor(F.col("__valid") * ratio), F.lit(1))
-    picked = (F.col("__r") <= many) & (F.col("cov") > low) & (F.col("cov") < high)
-    return _rejoined(live.withColumn("selected", picked), d)
-
-
-def _rejoined(live: DataFrame, d: DataFrame) -> DataFrame:
-    rest = d.filter(F.col("mask") == 0).withColumn("selected", F.lit(False))
-    return live.drop("__r", "__o", "__valid").unionByName(rest.drop("__o", "__valid"))
+    # the mark and twelve digits of the hash, without the loss of a digit in a double
+    number = F.conv(F.left("__o", F.lit(13)), 16, 10).cast("double")
+    found = _first_of_batch(d, batch, number, ["__o", *tie], many, (0.0, 2.0 * 16**12))
+    return found.withColumn("selected", F.col("selected") & F.coalesce(inside, F.lit(False))).drop("__o", "__valid")

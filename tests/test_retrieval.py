@@ -119,3 +119,41 @@ def test_postings_are_not_shuffled_for_few_words(spark, monkeypatch):
     many = R.bm25_top_k(table, asked, 5, probe=1)
     assert "SortMergeJoin" in plan(many)
     assert hits(few) == hits(many)
+
+
+def covariance_rows():
+    rng = random.Random(9)
+    rows = [(step, i, 1, rng.choice([0, 1, 1]), rng.gauss(0, 1), rng.gauss(0, 1)) for step in (1, 2, None) for i in range(400)]
+    rows += [(1, 500, 1, 1, 1e9, 1e9), (1, 500, 1, 1, 1e9, 1e9), (2, 501, 1, None, 0.0, 0.0), (2, 502, 1, 1, None, 0.0), (3, 7, 1, 1, 0.1, 0.2), (4, 8, 1, 0, 0.1, 0.2)]
+    return rows
+
+
+@pytest.mark.parametrize("twice", [False, True])
+def test_chosen_tokens_are_the_first_of_a_sort(spark, twice):
+    rows = covariance_rows() * (2 if twice else 1)
+    tokens = spark.createDataFrame(rows, "step int, sample_id long, pos long, mask int, adv double, old_logp double")
+    order = ["sample_id", "pos"]
+    for got, by in (
+        (R.top_covariance_tokens(tokens, ["step"], 0.05, order), "__o"),
+        (R.random_covariance_tokens(tokens, ["step"], 0.05, -0.5, 0.5, order, 4), "__h"),
+    ):
+        if not twice and by == "__o":
+            assert got.columns == [*tokens.columns, "cov", "selected"]
+        d = R.covariance(tokens, ["step"]).withColumn("__o", -F.col("cov"))
+        inside = (F.col("cov") > -0.5) & (F.col("cov") < 0.5)
+        d = d.withColumn("__h", F.concat(F.when(inside, "0").otherwise("1"), hash_order(4, *order)))
+        live = ranked(d.filter("mask != 0"), ["step"], [by, *order], "__r")
+        first = F.col("__r") <= F.greatest(F.floor(F.col("__valid") * 0.05), F.lit(1))
+        want = live.filter(first if by == "__o" else first & inside)
+        key = lambda r: (r["step"] or 0, r["sample_id"])
+        assert sorted(map(key, got.filter("selected").collect())) == sorted(map(key, want.collect()))
+        assert got.count() == tokens.filter("mask IS NOT NULL").count()
+
+
+def test_chosen_tokens_need_no_shuffle_of_tokens(spark):
+    rows = [(1, i, 1, 1, float(i), float(i % 7)) for i in range(50)]
+    tokens = spark.createDataFrame(rows, "step int, sample_id long, pos long, mask int, adv double, old_logp double")
+    found = R.top_covariance_tokens(tokens, ["step"], 0.1, ["sample_id", "pos"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "Exchange range" not in plan and "SortMergeJoin" not in plan
+    assert found.filter("selected").count() == 5
