@@ -7,6 +7,7 @@ portion goes to another helper.
 
 from __future__ import annotations
 
+import gc
 import multiprocessing
 import time
 from collections import deque
@@ -19,6 +20,7 @@ PORTION = 32
 
 
 def _serve(call: Callable, pipe: Connection) -> None:
+    gc.freeze()  # a collection that visits what the task has loaded would copy its memory
     while (rows := pipe.recv()) is not None:
         for row in rows:
             pipe.send(call(*row))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -171,8 +172,10 @@ def user_scores(fn: Callable, timeout: float | None = None, helpers: int = 4):
     return run
 
 
-#: Parts that a batch is cut into when it fails.
-BATCH_PARTS = 16
+#: Parts that a batch is cut into when it fails: an Arrow batch of Spark's own size is down to its rows in two steps.
+BATCH_PARTS = 100
+#: Arrow batches of a task that are tried side by side, so that a helper that waits does not hold up the others.
+BATCHES_AHEAD = 8
 
 
 def batch_scores(fn: Callable, timeout: float | None = None, helpers: int = 4):
@@ -192,32 +195,32 @@ def batch_scores(fn: Callable, timeout: float | None = None, helpers: int = 4):
             return f"ValueError: {len(got)} scores for {len(columns[0])} rows"
         return got
 
-    def tried(ask: Callable[[list], list], part: tuple[pd.Series, ...]) -> pd.DataFrame:
-        columns = [list(c) for c in part]
-        results: list = [None] * len(columns[0])
-        todo = [range(len(results))] if results else []
+    def tried(ask: Callable[[list], list], parts: list[tuple[pd.Series, ...]]) -> list[pd.DataFrame]:
+        tables = [[list(c) for c in part] for part in parts]
+        results: list[list] = [[None] * len(columns[0]) for columns in tables]
+        todo = [(i, range(len(found))) for i, found in enumerate(results) if found]
         while todo:
             late = []
-            for rows, got in zip(todo, ask([tuple(c[rows.start : rows.stop] for c in columns) for rows in todo])):
+            for (i, rows), got in zip(todo, ask([tuple(c[rows.start : rows.stop] for c in tables[i]) for i, rows in todo])):
                 if not isinstance(got, str):
-                    results[rows.start : rows.stop] = got
+                    results[i][rows.start : rows.stop] = got
                 elif len(rows) == 1:
-                    results[rows.start] = _lost(got)
+                    results[i][rows.start] = _lost(got)
                 else:
                     step = -(-len(rows) // BATCH_PARTS)
-                    late += [rows[at : at + step] for at in range(0, len(rows), step)]
+                    late += [(i, rows[at : at + step]) for at in range(0, len(rows), step)]
             todo = late
-        return _frame(results)
+        return [_frame(found) for found in results]
 
     @F.pandas_udf(USER_SCORE)
     def run(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         if timeout is None:
             for part in parts:
-                yield tried(lambda batches: [call(*b) for b in batches], part)
+                yield from tried(lambda batches: [call(*b) for b in batches], [part])
             return
         with timed.helpers(call, str, timeout, helpers, portion=1) as pool:
-            for part in parts:
-                yield tried(pool.run, part)
+            while some := list(islice(parts, BATCHES_AHEAD)):
+                yield from tried(pool.run, some)
 
     return run
 

@@ -1,10 +1,14 @@
 """Answer texts at the edges."""
 
+import gc
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from tallyspan.functions import answers as A
-from tallyspan.functions import latex
+from tallyspan.functions import latex, timed
+from tallyspan.functions import maths as M
 from tallyspan.operators import scoring as S
 
 
@@ -326,3 +330,36 @@ def test_a_batch_scorer_that_miscounts_is_told(spark):
     got = responses(spark, ["a"]).select(score.alias("s")).select("s.*").first()
     assert (got["score"], got["error"]) == (0.0, "ValueError: 3 scores for 1 rows")
     assert responses(spark, []).select(score.alias("s")).count() == 0
+
+
+def test_batches_that_hang_are_waited_for_together(spark):
+    def scorer(sources, texts, truths):
+        if "hang" in texts:
+            time.sleep(60)
+        return [1.0] * len(texts)
+
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        texts = (["fine"] * 9 + ["hang"]) * 4
+        score = S.batch_scores(scorer, 2)(F.col("source"), F.col("text"), F.col("truth"))
+        begun = time.monotonic()
+        got = responses(spark, texts).coalesce(1).select("id", score.alias("s")).select("id", "s.*").collect()
+        # two waits of 2 s each, not two for each of the four batches
+        assert time.monotonic() - begun < 12
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert [r["error"] for r in sorted(got)] == [None if t == "fine" else "timeout after 2 s" for t in texts]
+
+
+def test_helpers_do_not_visit_what_the_task_has_loaded():
+    with timed.helpers(gc.get_freeze_count, str, 20, most=1) as pool:
+        assert pool.run([()])[0] > 0
+
+
+def test_texts_without_markup_are_not_rewritten(spark):
+    texts = ["0", "7", "12345", "012", "1234567890123456", "(12,5)", "[1,234)", "(1,234)", "3/4", "-3/4", "1,234", "x=3", "0.5", ".5", "a/b", "tfrac12", "3 cm", "1\n2", "(", "", None, "\\frac12", "^2", "2^\\circ"]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    s = M.spelled(F.col("t"))
+    both = d.select("t", M.plain(F.col("t")).alias("a"), M._made_plain(F.col("t")).alias("b"), M.normalised(F.col("t")).alias("c"), F.when(s["readable"], s["text"]).otherwise(F.col("t")).alias("d"))
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] for r in both.collect())
