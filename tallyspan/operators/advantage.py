@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspan.operators.masked import masked, masked_average, whiten
-from tallyspan.spread import affine_scan, attach, attach_table, durable, ranked, top_k
+from tallyspan.spread import affine_scan, attach, attach_table, durable, ranked, stored, top_k
 
 EPS = 1e-6
 ESTIMATORS: dict[str, Callable] = {}
@@ -255,16 +255,21 @@ def optimal_token_baseline_multi_turn(
 ) -> DataFrame:
     """As above on the index among valid tokens; responses without a valid token are left out."""
     m = F.col("mask")
-    t = durable(returns_to_go(tokens, extra={"__w": (F.lit(1.0), _energy(weight) * m, False)}))
-    valid = durable(ranked(t.filter(m != 0), ["sample_id"], ["pos"], "__v").join(uids.select("sample_id", "uid"), "sample_id"))
-    lengths = valid.groupBy("sample_id", "uid").agg(F.count(F.lit(1)).alias("n_valid"))
+    t = stored(returns_to_go(tokens, extra={"__w": (F.lit(1.0), _energy(weight) * m, False)}))
+    valid = ranked(t.filter(m != 0), ["sample_id"], ["pos"], "__v")
+    lengths = stored(t.filter(m != 0).groupBy("sample_id").agg(F.count(F.lit(1)).alias("__k")).join(uids.select("sample_id", "uid"), "sample_id"))
+    lengths = lengths.groupBy("sample_id", "uid").agg(F.sum("__k").alias("n_valid"), F.count(F.lit(1)).alias("__times"))
     sizes = lengths.groupBy("uid").agg(F.count(F.lit(1)).alias("__n"))
-    early = valid
-    valid = attach_table(valid, ["uid"], sizes, ["__n"])
-    valid = attach(valid, ["uid", "__v"], of=early, __base=F.sum(F.col("ret") * F.col("__w")) / (F.sum("__w") + eps))
+    # what a response knows of its group meets its tokens with the response's group itself, in one join
+    known = attach_table(lengths, ["uid"], sizes, ["__n"])
+    if zero_tail:
+        known = known.join(_longest_alone(lengths), "sample_id", "left")
+    # a response that is listed more than once has its tokens as often
+    known = known.withColumn("__times", F.explode(F.sequence(F.lit(1).cast("long"), "__times"))).drop("n_valid")
+    valid = stored(valid.join(known, "sample_id"))
+    valid = attach(valid, ["uid", "__v"], __base=F.sum(F.col("ret") * F.col("__w")) / (F.sum("__w") + eps))
     base = F.when(F.col("__n") == 1, F.lit(0.0)).otherwise(F.col("__base"))
     if zero_tail:
-        valid = valid.join(_longest_alone(lengths), "sample_id", "left")
         base = F.when(F.col("__v") > F.col("__second"), F.lit(0.0)).otherwise(base)
     valid = _done(valid.withColumn("adv", F.col("ret") - base))
     rest = t.filter(m == 0).join(uids.select("sample_id", "uid"), "sample_id").withColumn("adv", F.lit(0.0))
