@@ -77,10 +77,20 @@ def _with_fractions(value: Column, readable: Column) -> Column:
     return F.struct(text.alias("text"), (readable & ~bare).alias("readable"))
 
 
+#: What a text must have for ``spelled`` to change it, or to find it unreadable.
+_UNSPELLED = r"[\n\\^.= /]|[td]frac"
+#: Texts that ``plain`` leaves as they are: digits, a ratio of them, lists of them in brackets.
+_PLAIN = r"^(0|[1-9][0-9]{0,14}|[0-9]+/[0-9]+|[(\[][0-9,()\[\]]*)\z"
+
+
 def normalised(text: Column) -> Column:
     """The text in one spelling; an unreadable one as it is."""
-    both = F.struct(spelled(text).alias("spelled"), text.alias("raw"))
-    return bound(both, lambda b: F.when(b["spelled"]["readable"], b["spelled"]["text"]).otherwise(b["raw"]))
+
+    def full(raw: Column) -> Column:
+        return bound(spelled(raw), lambda s: F.when(s["readable"], s["text"]).otherwise(raw))
+
+    # most texts have nothing to respell, and one look shows it
+    return bound(text, lambda raw: F.when(F.rlike(raw, F.lit(_UNSPELLED)), full(raw)).otherwise(raw))
 
 
 def same(a: Column, b: Column) -> Column:
@@ -130,6 +140,10 @@ def _plain_latex(text: Column) -> Column:
 
 def plain(text: Column) -> Column:
     """Answer without markup, units and number words, in lower case; a whole number as its digits."""
+    return bound(text, lambda t: F.when(F.rlike(t, F.lit(_PLAIN)), t).otherwise(_made_plain(t)))
+
+
+def _made_plain(text: Column) -> Column:
     value = replaced(_unwrapped(text), ANSWER_REPLACEMENTS)
     value = F.regexp_replace(value, rf"(?:{'|'.join(UNITS)})(?:es)?s? *(?:\^[0-9]+)?", "")
     value = F.regexp_replace(value, r"\^ *\\circ|,\\! *", "")
@@ -145,21 +159,25 @@ def plain(text: Column) -> Column:
 
 def _entries(text: Column) -> Column:
     """Entries of a tuple or an interval; any other text is one entry, an empty one none."""
-    value = without_separators(text)
+    return bound(without_separators(text), _listed)
+
+
+def _listed(value: Column) -> Column:
     listed = F.rlike(value, F.lit(r"(?s)^[()\[\]][^()\[\]]+[()\[\]]\z"))
     inner = F.substr(value, F.lit(2), F.length(value) - 2)
-    return F.when(text == "", F.array().cast("array<string>")).when(listed, F.transform(F.split(inner, ","), lambda p: F.trim(p))).otherwise(F.array(value))
+    return F.when(value == "", F.array().cast("array<string>")).when(listed, F.transform(F.split(inner, ","), lambda p: F.trim(p))).otherwise(F.array(value))
 
 
 def _alike(a: Column, b: Column) -> Column:
     """Ratios must be written alike, a whole number only equals a whole one, other texts and numbers must be equal."""
     ratio = F.lit(r"^-?[0-9]+.?/0*[1-9][0-9]*.?\z")
-    read = lambda t: F.struct(t.alias("t"), whole_of(without_separators(t)).alias("w"), number_of(without_separators(t)).alias("x"))
+    numbers = lambda v: F.struct(whole_of(v).alias("w"), number_of(v).alias("x"))
+    read = lambda t: F.struct(t.alias("t"), bound(without_separators(t), numbers).alias("n"))
 
     def agree(p: Column) -> Column:
         a, b = p["a"], p["b"]
-        same_kind = a["w"].isNull() == b["w"].isNull()
-        equal = (a["t"] == b["t"]) | F.coalesce(a["x"] == b["x"], F.lit(False))
+        same_kind = a["n"]["w"].isNull() == b["n"]["w"].isNull()
+        equal = (a["t"] == b["t"]) | F.coalesce(a["n"]["x"] == b["n"]["x"], F.lit(False))
         return F.when(F.rlike(a["t"], ratio) & F.rlike(b["t"], ratio), a["t"] == b["t"]).otherwise(same_kind & equal)
 
     return bound(F.struct(read(a).alias("a"), read(b).alias("b")), agree)
@@ -171,11 +189,14 @@ def graded(given: Column, truth: Column) -> Column:
 
     def entries(p: Column) -> Column:
         a, b = p["truth"], p["given"]
-        left, right = _entries(a), _entries(b)
         ends = (F.left(a, F.lit(1)) == F.left(b, F.lit(1))) & (F.right(a, F.lit(1)) == F.right(b, F.lit(1)))
-        listed = (F.size(left) == F.size(right)) & ((F.size(left) <= 1) | ends)
-        every = F.forall(F.zip_with(left, right, lambda x, y: F.coalesce(_alike(x, y), F.lit(False))), lambda e: e)
-        return (a == b) | ((b != "") & listed & every)
+
+        def agree(e: Column) -> Column:
+            left, right = e["left"], e["right"]
+            listed = (F.size(left) == F.size(right)) & ((F.size(left) <= 1) | ends)
+            return listed & F.forall(F.zip_with(left, right, lambda x, y: F.coalesce(_alike(x, y), F.lit(False))), lambda x: x)
+
+        return (a == b) | ((b != "") & bound(F.struct(_entries(a).alias("left"), _entries(b).alias("right")), agree))
 
     by_entry = bound(F.struct(plain(truth).alias("truth"), plain(given).alias("given")), entries)
     return F.when(given.isNull() | truth.isNull(), False).otherwise((spelling(given) == spelling(truth)) | by_entry)
