@@ -146,8 +146,10 @@ def bm25_search(
     whole = totals.agg(F.struct(F.max("n").alias("n"), F.max("average").alias("average"), copies.alias("copies")).alias("t")).scalar()
     n, average = whole["n"], whole["average"]
     terms = queries.select("query_id", F.explode(words_of(F.col(text))).alias("word")).groupBy("query_id", "word").agg(F.count(F.lit(1)).alias("times"))
+    terms = stored(terms)
+    asked_words = _sent(stored(terms.select("word").distinct()))
     part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / average))
-    postings = index.join(terms.select("word").distinct(), "word", "left_semi").select("word", "doc_id", part.alias("part"), _salt().alias("salt"))
+    postings = index.join(asked_words, "word", "left_semi").select("word", "doc_id", part.alias("part"), _salt().alias("salt"))
     words = postings.groupBy("word").agg(F.count(F.lit(1)).alias("df"), F.max("part").alias("most"))
     weight = F.col("times") * F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = terms.join(words, "word").select("query_id", "word", "df", weight.alias("weight"), (weight * F.col("most")).alias("most"))
