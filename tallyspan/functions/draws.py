@@ -11,10 +11,13 @@ class, whatever k is.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 
+from tallyspan.functions.digests import heads
+
 #: Numbers in [0, 1) that are taken from one md5 digest, five bytes each.
 PER_DIGEST = 3
 #: Standard deviations, and counts besides, within which a binomial is tabulated.
@@ -104,70 +107,78 @@ def sizes(n: int) -> list[int]:
     return [] if n < 3 else [*(1 << j for j in range(2, n.bit_length()) if 1 << j < n), n]
 
 
+def classes(codes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The codes of groups that lie one after another, numbered from 0 in each group."""
+    place, starts = np.repeat(np.arange(len(lengths)), lengths), np.cumsum(lengths) - lengths
+    numbers = np.unique(place * (int(codes.max()) + 1) + codes, return_inverse=True)[1].reshape(-1)
+    return np.split(numbers - np.minimum.reduceat(numbers, starts)[place], starts[1:])
+
+
 class Ballots:
     """Votes over k members of a group, drawn with replacement by the numbers ``md5(seed:text:k:draw:slot)``.
 
-    The numbers of the last text are kept for its other groups while they are few, and so are its results."""
+    Groups are taken together by k and the length of their text. A text's numbers serve all its groups, and a
+    vote serves those of equal classes."""
 
-    #: Numbers made together, and kept.
-    TOGETHER = 1 << 16
+    #: Numbers made together.
+    TOGETHER = 1 << 14
 
     def __init__(self, seed: int, draws: int):
         self.seed, self.draws = seed, draws
-        self.text: str | None = None
-        self.numbers: dict[int, np.ndarray] = {}
-        self.done: dict[tuple[int, bytes], np.ndarray] = {}
-        self.endings: dict[int, list[bytes]] = {}
-
-    def _numbers(self, text: str, k: int, first: int, last: int) -> np.ndarray:
-        """Numbers in [0, 1) of the draws first .. last - 1, a row each: 48 bits of a digest."""
-        whole = last - first == self.draws
-        if whole and k in self.numbers:
-            return self.numbers[k]
-        ends = self.endings.get(k) if whole else None
-        if ends is None:
-            ends = [b"%d:%d" % (draw, slot) for draw in range(first, last) for slot in range(1, k + 1)]
-            if whole and len(self.endings) < 32:
-                self.endings[k] = ends
-        start, digests = hashlib.md5(f"{self.seed}:{text}:{k}:".encode()), []
-        for end in ends:
-            h = start.copy()
-            h.update(end)
-            digests.append(h.digest())
-        heads = np.frombuffer(b"".join(digests), ">u8").reshape(-1, 2)[:, 0] >> np.uint64(16)
-        u = (heads.astype(np.float64) / float(1 << 48)).reshape(-1, k)
-        if whole:
-            self.numbers[k] = u
-        return u
-
-    def of(self, text: str, codes: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        """For each k, how often each member gives the value of the vote. ``codes``: the members' classes from 0.
-        The most frequent class wins, among equals the one drawn first; its value is that of its first draw."""
-        if text != self.text:
-            self.text, self.numbers, self.done = text, {}, {}
-        n, classes, found = len(codes), int(codes.max(initial=0)) + 1, []
-        for k in sizes(n):
-            name = (k, codes.tobytes())
-            won = self.done.get(name)
-            if won is None:
-                won, step = np.zeros(n, np.int64), min(self.draws, max(1, self.TOGETHER // max(k, classes)))
-                for first in range(1, self.draws + 1, step):
-                    drawn = np.floor(self._numbers(text, k, first, min(first + step, self.draws + 1)) * n).astype(np.int64)
-                    cell = codes[drawn] + np.arange(len(drawn))[:, None] * classes
-                    often = np.bincount(cell.reshape(-1), minlength=len(drawn) * classes)[cell]
-                    # the first of the largest: a class drawn most often, by its first draw
-                    won += np.bincount(drawn[np.arange(len(drawn)), often.argmax(axis=1)], minlength=n)
-                if len(self.done) < 64:
-                    self.done[name] = won
-            found.append((k, won))
-        return found
-
-
-def moments(won: np.ndarray, value: np.ndarray, known: np.ndarray) -> tuple[float | None, float | None]:
-    """Mean and population std of the known values by how often they won."""
-    some = known & (won > 0)
-    if not some.any():
-        return None, None
-    w, v = won[some], value[some]
-    mean = float((w * v).sum() / w.sum())
-    return mean, float(np.sqrt((w * (v - mean) ** 2).sum() / w.sum()))
+
+    def of(self, texts: Sequence[str], codes: Sequence[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """For each group and each k: the group's place, k, and how often each member gives the value of the vote.
+        ``codes``: the members' classes from 0."""
+        wanted: dict[tuple[int, int], dict[bytes, dict[bytes, list[int]]]] = {}
+        for at, (text, members) in enumerate(zip(texts, codes)):
+            equal = members.tobytes()
+            for k in sizes(len(members)):
+                start = f"{self.seed}:{text}:{k}:".encode()
+                wanted.setdefault((k, len(start)), {}).setdefault(start, {}).setdefault(equal, []).append(at)
+        for (k, _), of_start in wanted.items():
+            starts, together = list(of_start), max(1, self.TOGETHER // (k * self.draws))
+            for x in range(0, len(starts), together):
+                some = starts[x : x + together]
+                groups = [(i, places, codes[places[0]]) for i, start in enumerate(some) for places in of_start[start].values()]
+                for (_, places, _), won in zip(groups, self._votes(some, k, [(i, c) for i, _, c in groups])):
+                    for at in places:
+                        yield at, k, won
+
+    def _votes(self, starts: list[bytes], k: int, groups: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
+        """How often each member of the groups wins; a group is the place of its start and its members' classes."""
+        won, step = [np.zeros(len(codes), np.int64) for _, codes in groups], max(1, self.TOGETHER // k)
+        for first in range(1, self.draws + 1, step):
+            u = heads(starts, k, first, min(first + step, self.draws + 1)) / float(1 << 48)
+            for (i, codes), wins in zip(groups, won):
+                # the cells of a vote are its classes: fewer votes at a time where they outnumber its slots
+                some = max(1, self.TOGETHER // (int(codes.max()) + 1))
+                for x in range(0, u.shape[2], some):
+                    wins += _winners(u[i, :, x : x + some], codes)
+        return won
+
+
+def _winners(u: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """How often each member wins the votes of ``u``, a row for each slot, a column for each vote.
+    The most frequent class wins, among equals the one drawn first; its value is that of its first draw."""
+    (k, many), n = u.shape, len(codes)
+    drawn, vote = (u * n).astype(np.int64), np.arange(many)
+    cell = codes[drawn] * many + vote
+    often = np.bincount(cell.reshape(-1), minlength=(int(codes.max()) + 1) * many)[cell]
+    # the first slot of a class drawn most often: its count and its distance from the end are the largest
+    best = (often * k - np.arange(k)[:, None]).max(axis=0)
+    return np.bincount(drawn[-best % k, vote], minlength=n)
+
+
+def moments(won: Sequence[np.ndarray], begins: np.ndarray, value: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean and population std of each vote's known values by how often they won, and whether one did.
+    The members of a vote are the rows from its place in ``begins`` on."""
+    lengths = np.array([len(w) for w in won])
+    starts = np.cumsum(lengths) - lengths
+    member = np.arange(lengths.sum()) + np.repeat(begins - starts, lengths)
+    w = np.where(known[member], np.concatenate(won), 0)
+    some, v = w > 0, value[member]
+    total = np.add.reduceat(w, starts)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean = np.add.reduceat(np.where(some, w * v, 0.0), starts) / total
+        spread = np.add.reduceat(np.where(some, w * (v - np.repeat(mean, lengths)) ** 2, 0.0), starts) / total
+    return mean, np.sqrt(spread), total > 0

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspan.functions.draws import Ballots, moments
+from tallyspan.functions.draws import Ballots, classes, moments
 from tallyspan.operators.masked import masked
 from tallyspan.spread import SCAN_BLOCK, affine_scan, attach, hash_uniform, hot_groups, quantiles, ranked
 
@@ -248,18 +248,22 @@ def _votes_in_arrays(voters: DataFrame, draws: int, seed: int) -> DataFrame:
         ballots = Ballots(seed, draws)
         for batch in batches:
             pred, val = batch.column("pred"), batch.column("val")
-            ends = np.cumsum(pc.list_value_length(pred).to_numpy(zero_copy_only=False)).tolist()
+            lengths = pc.list_value_length(pred).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths)
             codes = pred.flatten().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
             val = val.flatten()
             known, value = val.is_valid().to_numpy(zero_copy_only=False), val.fill_null(0.0).to_numpy(zero_copy_only=False)
-            found: list[tuple] = []
-            for at, (text, a, b) in enumerate(zip(batch.column("text").to_pylist(), [0, *ends[:-1]], ends)):
-                for k, won in ballots.of(text, np.unique(codes[a:b], return_inverse=True)[1].reshape(-1)):
-                    found.append((at, b - a, k, *moments(won, value[a:b], known[a:b])))
-            at, *made = zip(*found) if found else [()] * 5
-            columns = [batch.column(c).take(pa.array(at, pa.int64())) for c in keys]
-            columns += [pa.array(c, t) for c, t in zip(made, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "n", "k", "m", "s"])
+            texts = batch.column("text").to_pylist()
+            # prompts vote together, until they have so many rows
+            cuts = [*np.flatnonzero(np.diff(ends // (4 * SCAN_BLOCK), prepend=-1)).tolist(), len(ends)]
+            for x, y in zip(cuts, cuts[1:]):
+                grouped = classes(codes[ends[x] - lengths[x] : ends[y - 1]], lengths[x:y])
+                at, k, won = zip(*ballots.of(texts[x:y], grouped))
+                at = np.array(at) + x
+                m, s, some = moments(won, ends[at] - lengths[at], value, known)
+                columns = [batch.column(c).take(pa.array(at)) for c in keys]
+                columns += [pa.array(lengths[at], pa.int64()), pa.array(k, pa.int64()), pa.array(m, mask=~some), pa.array(s, mask=~some)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keys, "n", "k", "m", "s"])
 
     fields = ", ".join(f"{c} {t}" for c, t in rows.select(*keys).dtypes)
     return rows.mapInArrow(vote, f"{fields}, n long, k long, m double, s double")

@@ -1,6 +1,8 @@
 """Metric rules by name, votes, closed forms, off-policy edges."""
 
+import hashlib
 import itertools
+import time
 from collections import Counter
 
 import numpy as np
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tallyspan.functions import draws
+from tallyspan.functions import digests, draws
 from tallyspan.operators import metrics as M
 from tallyspan.operators import offpolicy as O
 from tallyspan.operators import reports as R
@@ -113,6 +115,56 @@ def test_every_vote_draws_its_responses(spark, array_rows):
     assert len(got) == 2 * (3 * 2 + 2 * 2)
 
 
+def test_digests_of_many_texts_are_md5():
+    """Starts of any length: endings that begin within a word, fill a block to the last byte or reach into the next."""
+    for length in (*range(70), *range(110, 134), 200):
+        starts = [bytes((7 * i + 31 * j + length) % 256 for i in range(length)) for j in range(3)]
+        for k, first, last in ((11, 1, 12), (2, 98, 102), (1, 999, 1_001)):
+            want = [[[int(hashlib.md5(s + b"%d:%d" % (d, slot)).hexdigest()[:12], 16) for d in range(first, last)] for slot in range(1, k + 1)] for s in starts]
+            assert digests.heads(starts, k, first, last).tolist() == want
+
+
+@pytest.mark.parametrize("together", [1 << 14, 60])
+def test_ballots_of_a_batch_are_those_of_each_prompt(monkeypatch, together):
+    monkeypatch.setattr(draws.Ballots, "TOGETHER", together)
+    rng = np.random.default_rng(1)
+    texts = [t for t in ("7", "8", "12", "\u00e9" * 30, "x" * 70) for _ in range(4)] + ["", "5"]
+    codes = draws.classes(rng.integers(0, 5, sum(ns := [*rng.integers(1, 20, 20).tolist(), 3, 40])), np.array(ns))
+    assert [len(c) for c in codes] == ns and all(set(c.tolist()) == set(range(c.max() + 1)) for c in codes)
+    got = {(at, k): won.tolist() for at, k, won in draws.Ballots(42, 15).of(texts, codes)}
+    assert set(got) == {(at, k) for at, n in enumerate(ns) for k in draws.sizes(n)}
+    for (at, k), won in got.items():
+        want, c = [0] * ns[at], codes[at].tolist()
+        for draw in range(1, 16):
+            heads = [hashlib.md5(f"42:{texts[at]}:{k}:{draw}:{slot}".encode()).hexdigest()[:12] for slot in range(1, k + 1)]
+            drawn = [int(int(h, 16) / 16**12 * ns[at]) for h in heads]
+            count = Counter(c[i] for i in drawn)
+            want[next(i for i in drawn if count[c[i]] == max(count.values()))] += 1
+        assert won == want
+
+
+def test_votes_take_less_time_than_a_call_for_each_digest():
+    """80 prompts of four responses: 320,000 drawn responses; one call each is most of the time of a vote."""
+    ends = [b"%d:%d" % (draw, slot) for draw in range(1, 1_001) for slot in range(1, 5)]
+    texts, codes = [str(100 + i) for i in range(80)], [np.array([0, 1, 1, 2])] * 80
+
+    def calls():
+        for text in texts:
+            start = hashlib.md5(f"42:{text}:4:".encode())
+            for end in ends:
+                h = start.copy()
+                h.update(end)
+                h.digest()
+
+    def seconds(f):
+        start = time.process_time()
+        f()
+        return time.process_time() - start
+
+    votes = min(seconds(lambda: list(draws.Ballots(42, 1_000).of(texts, codes))) for _ in range(3))
+    assert votes < 0.75 * min(seconds(calls) for _ in range(3))
+
+
 def test_majority_query_makes_all_draws(spark, sf):
     whole = M.over_prompts(M.majority_metrics(metrics.validation_vars(spark, sf))).collect()
     got = {tuple(r)[:3]: r["value"] for r in entry.queries()["validation_majority"](spark, sf).collect()}
